@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload this package re-implements is batch only (fixed inputs, fixed sweep
+counts, no watermarks, windows over time or stateful stream operators), so no streaming
+operator is offered here.  The batch operators are plain DataFrame functions and can be
+applied inside ``foreachBatch`` if a caller needs them on micro-batches.
+"""
