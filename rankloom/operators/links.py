@@ -90,8 +90,10 @@ def _strict_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         parsed = [strict_links(h) if h is not None else None for h in pdf["html"]]
         keep = [p is not None for p in parsed]
-        out = pdf.loc[keep, ["name", "h"]].copy()
-        out["links"] = [p for p in parsed if p is not None]
+        if not any(keep):
+            continue
+        out = pdf.loc[keep, ["name", "h"]].reset_index(drop=True)
+        out["links"] = pd.Series([p for p in parsed if p is not None], dtype=object)
         yield out
 
 
