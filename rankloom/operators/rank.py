@@ -7,18 +7,19 @@ fields of :class:`RankSpec`.
 
 Physical layout (what makes it scale):
 
-* ``W(src[, b], dst, m)`` - each distinct link with its multiplicity - is built once,
-  hash-partitioned on the source, and checkpointed.  Its partitioning survives the
-  checkpoint, so a sweep never shuffles the edges: only rank messages and the partially
-  aggregated contributions move.
+* ``W(src[, b], dst, m)`` - each distinct link with its multiplicity - is built once and
+  written as a table bucketed on the source under ``spark.checkpoint.dir``.  The bucketed
+  scan keeps its hash partitioning, so a sweep never shuffles the edges: only the
+  partially aggregated contributions move (and, for split sources, the rank messages).
 * A source whose fan-out exceeds ``hub_fanout`` is split over ``b`` buckets
   (``pmod(xxhash64(dst), nsalt)``) and its message is replicated once per bucket, so one
   huge source cannot pin a third of the edges on one task.  The hub table is broadcast
   only when its row count is under ``broadcast_rows``; otherwise it is a shuffle join.
-* The node table ``(node, is_page, has_in, deg, nsalt)`` is built once, hash-partitioned
-  on ``node`` and checkpointed; the rank vector inherits that partitioning.
-* Every sweep ends with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``: the
-  plan stays one sweep deep and a lost executor only costs the current sweep.
+* The node table ``(node, is_page, has_in, deg, nsalt)`` is written once, bucketed on
+  ``node``; every rank vector is written the same way at the end of its sweep.  Joins of
+  vector, node table and edges are therefore co-partitioned, the plan stays one sweep
+  deep, and a lost executor only costs the current sweep (the inputs are files in the
+  shared checkpoint folder).
 * The dangling mass is a one-row aggregate joined back as a broadcast scalar.
 """
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rankloom.functions.fixed import (
@@ -38,8 +39,8 @@ from rankloom.functions.fixed import (
     SWEEPS_SPARK,
     TELEPORT,
 )
-from rankloom.operators.graph import Graph, node_universe
-from rankloom.session import checkpoint_dir, shuffle_partitions
+from rankloom.operators.graph import Graph
+from rankloom.session import bucketed_table, checkpoint_dir, shuffle_partitions
 
 SCALES = ("pages", "nodes", "unit")
 STARTS = ("pages", "nodes")
@@ -126,10 +127,12 @@ class RankModel:
     norm: float
 
 
-def _phantom_edges(g: Graph) -> DataFrame:
-    """Edges ``(page, NULL)`` for every page without links (the RDD program's ``[null]`` group)."""
-    lonely = g.pages.join(g.edges.select(F.col("src").alias("node")), "node", "left_anti")
-    return lonely.select(F.col("node").alias("src"), F.lit(None).cast("string").alias("dst"))
+def _phantom_pairs(g: Graph, pairs: DataFrame) -> DataFrame:
+    """``(page, NULL, 1)`` for every page without links (the RDD program's ``[null]`` group)."""
+    lonely = g.pages.join(pairs.select(F.col("src").alias("node")), "node", "left_anti")
+    return lonely.select(
+        F.col("node").alias("src"), F.lit(None).cast("string").alias("dst"), F.lit(1).cast("long").alias("m")
+    )
 
 
 def prepare(
@@ -139,56 +142,64 @@ def prepare(
     hub_fanout: int = HUB_FANOUT,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> RankModel:
-    """Build and checkpoint the static frames (weighted edges and the node table)."""
+    """Build the static frames (weighted edges and the node table) as bucketed tables.
+
+    The raw links are read once: they are aggregated to distinct pairs with their
+    multiplicity (partial aggregation, shuffled on the pair, so no single source can
+    overload a task) and checkpointed; everything else is derived from that.
+    """
     spark = g.edges.sparkSession
     checkpoint_dir(spark)
     parts = shuffle_partitions(spark)
 
-    edges = g.edges.select("src", "dst")
-    if spec.phantom:
-        edges = edges.unionByName(_phantom_edges(g))
+    pairs = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")).checkpoint(eager=True)
+    if spec.edges == "distinct":
+        pairs = pairs.withColumn("m", F.lit(1).cast("long"))
+    links = pairs.unionByName(_phantom_pairs(g, pairs)) if spec.phantom else pairs
 
-    # sources whose fan-out is too large for one task get split into nsalt buckets
-    width = edges.groupBy("src").agg(F.count(F.lit(1)).alias("width"))
+    # sources with more distinct targets than hub_fanout are split into nsalt buckets
+    width = links.groupBy("src").agg(F.count(F.lit(1)).alias("width"))
     hubs = width.where(F.col("width") > hub_fanout).select(
         "src", (F.lit(1) + F.floor((F.col("width") - 1) / hub_fanout)).cast("int").alias("nsalt")
     )
     n_hubs = hubs.count()
     salted = n_hubs > 0
+    hub_side = (F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs) if salted else None
     if salted:
-        hub_side = F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs
-        bucketed = edges.join(hub_side, "src", "left").select(
+        links = links.join(hub_side, "src", "left").select(
             "src",
             F.when(F.col("nsalt").isNull(), F.lit(0))
             .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt")))
             .cast("int")
             .alias("b"),
             "dst",
+            "m",
         )
         keys = ["src", "b"]
-        weights = bucketed.repartition(parts, *keys).groupBy("src", "b", "dst")
     else:
         keys = ["src"]
-        weights = edges.repartition(parts, "src").groupBy("src", "dst")
-    weights = weights.agg(F.count(F.lit(1)).alias("m"))
-    if spec.edges == "distinct":
-        weights = weights.withColumn("m", F.lit(1).cast("long"))
-    weights = weights.checkpoint(eager=True)
+    weights = bucketed_table(links, keys, "links")
 
     deg = weights.groupBy("src").agg(F.sum("m").alias("deg"))
-    nodes = node_universe(g).join(deg, F.col("node") == F.col("src"), "left").drop("src")
+    flags = g.pages.select("node", F.lit(True).alias("is_page"), F.lit(False).alias("has_in")).unionByName(
+        pairs.where(F.col("dst").isNotNull()).select(
+            F.col("dst").alias("node"), F.lit(False).alias("is_page"), F.lit(True).alias("has_in")
+        )
+    )
+    nodes = flags.groupBy("node").agg(F.max("is_page").alias("is_page"), F.max("has_in").alias("has_in"))
+    nodes = nodes.join(deg, F.col("node") == F.col("src"), "left").drop("src")
     if salted:
-        hub_side = F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs
         nodes = nodes.join(hub_side, F.col("node") == F.col("src"), "left").drop("src")
         nodes = nodes.withColumn("nsalt", F.coalesce("nsalt", F.lit(1)))
     else:
         nodes = nodes.withColumn("nsalt", F.lit(1))
-    nodes = nodes.checkpoint(eager=True)
+    counted = Observation("nodes")
+    nodes = bucketed_table(nodes.observe(counted, F.count(F.lit(1)).alias("n")), ["node"], "nodes")
 
     if spec.scale == "pages":
         norm = float(g.pages.count())
     elif spec.scale == "nodes":
-        norm = float(nodes.count())
+        norm = float(counted.get["n"])
     else:
         norm = 1.0
     return RankModel(spec, nodes, weights, salted, norm)
@@ -209,7 +220,9 @@ def initial_ranks(model: RankModel) -> DataFrame:
 
 def contributions(model: RankModel, state: DataFrame) -> DataFrame:
     """Per link: (src, dst, c = r(src) * m / d(src)).  Sources without a rank send nothing."""
-    msgs = _messages(model, state)
+    # build the hash table from the messages (one per node); the edges only stream by,
+    # so the large side is neither shuffled (bucketed) nor sorted
+    msgs = _messages(model, state).hint("shuffle_hash")
     on = ["src", "b"] if model.salted else ["src"]
     return model.weights.join(msgs, on).select("src", "dst", (F.col("msg") * F.col("m")).alias("c"))
 
@@ -227,24 +240,44 @@ def gather(model: RankModel, state: DataFrame) -> DataFrame:
     return contributions(model, state).groupBy("dst").agg(F.sum("c").alias("c"))
 
 
-def _dangling_mass(model: RankModel, state: DataFrame, sweep: int) -> DataFrame | float:
+def _dangling_filter():
+    return F.col("deg").isNull() & F.col("node").isNotNull()
+
+
+def dangling_stats_exprs():
+    """Aggregates over the dangling nodes of a vector: exact rank total, fixed-point total."""
+    d = _dangling_filter()
+    return [
+        F.coalesce(F.sum(F.when(d, F.col("rank"))), F.lit(0.0)).alias("total"),
+        fixed_point_total(F.when(d, F.col("rank"))).alias("fixed"),
+    ]
+
+
+def dangling_stats(state: DataFrame) -> dict:
+    """Run the dangling aggregates as a job (used when no observation is at hand)."""
+    return state.agg(*dangling_stats_exprs()).first().asDict()
+
+
+def dangling_mass(model: RankModel, stats: dict | None, sweep_no: int) -> float:
+    """Mass added to every node in sweep ``sweep_no`` given the previous vector's stats."""
     spec = model.spec
-    dangling = state.where(F.col("deg").isNull() & F.col("node").isNotNull())
     if spec.dangling == "none":
         return 0.0
     if spec.dangling == "exact":
-        return dangling.agg((F.coalesce(F.sum("rank"), F.lit(0.0)) / model.norm).alias("mass"))
+        return stats["total"] / model.norm
     # literal schedule: -1 in sweep 1, the fixed-point total of sweep 1 in sweep 2, then 0
     scale = FIXED_POINT_SCALE * model.norm
-    if sweep == 1:
+    if sweep_no == 1:
         return LITERAL_FIRST_DELTA / scale
-    if sweep == 2:
-        return dangling.agg(
-            (fixed_point_total(F.col("rank")) / F.lit(scale)).alias("mass")
-        )
+    if sweep_no == 2:
+        return stats["fixed"] / scale
     return 0.0
 
 
+def _needs_stats(spec: RankSpec, sweep_no: int) -> bool:
+    return spec.dangling == "exact" or (spec.dangling == "literal" and sweep_no == 2)
+
+
 def fixed_point_total(rank):
     """Sum of trunc(rank * 1e5) as a long (rounded to 6 places first against float noise)."""
     return F.coalesce(
@@ -252,12 +285,17 @@ def fixed_point_total(rank):
     )
 
 
-def sweep(model: RankModel, state: DataFrame, sweep_no: int) -> DataFrame:
-    """One application of the recurrence; returns the new (unmaterialised) state."""
+def sweep(model: RankModel, state: DataFrame, sweep_no: int, mass: float | None = None) -> DataFrame:
+    """One application of the recurrence; returns the new (unmaterialised) state.
+
+    ``mass`` is the dangling term of this sweep; when omitted it is computed from ``state``.
+    """
     spec = model.spec
+    if mass is None:
+        stats = dangling_stats(state) if _needs_stats(spec, sweep_no) else None
+        mass = dangling_mass(model, stats, sweep_no)
     base = spec.teleport / model.norm
     contrib = gather(model, state)
-    mass = _dangling_mass(model, state, sweep_no)
 
     nodes = model.nodes.select("node", "has_in", "deg", "nsalt")
     if spec.unlinked == "teleport":
@@ -277,23 +315,28 @@ def sweep(model: RankModel, state: DataFrame, sweep_no: int) -> DataFrame:
         )
         c = F.col("c")
 
-    if isinstance(mass, DataFrame):
-        joined = joined.crossJoin(F.broadcast(mass))
-        m = F.col("mass")
-    else:
-        m = F.lit(mass)
-    new_rank = F.lit(base) + F.lit(spec.damping) * (c + m)
+    new_rank = F.lit(base) + F.lit(spec.damping) * (c + F.lit(mass))
     if spec.unlinked == "keep":
         new_rank = F.when(F.col("c").isNull(), F.col("old")).otherwise(new_rank)
     return joined.select("node", new_rank.alias("rank"), "deg", "nsalt")
 
 
 def iterate(model: RankModel, state: DataFrame | None = None, iterations: int | None = None) -> DataFrame:
-    """Run the sweeps; the state is checkpointed after each one (lineage stays one sweep)."""
+    """Run the sweeps.  Each new vector is written as a bucketed table (lineage stays one
+    sweep deep); the dangling totals the next sweep needs are observed during that write,
+    so they cost no extra job."""
+    spec = model.spec
     state = state if state is not None else initial_ranks(model)
-    n = model.spec.iterations if iterations is None else iterations
+    n = spec.iterations if iterations is None else iterations
+    stats = dangling_stats(state) if n and _needs_stats(spec, 1) else None
     for k in range(1, n + 1):
-        state = sweep(model, state, k).checkpoint(eager=True)
+        new = sweep(model, state, k, mass=dangling_mass(model, stats, k))
+        observed = None
+        if k < n and _needs_stats(spec, k + 1):
+            observed = Observation(f"dangling{k}")
+            new = new.observe(observed, *dangling_stats_exprs())
+        state = bucketed_table(new, ["node"], f"rank{k}")
+        stats = observed.get if observed is not None else None
     return state
 
 

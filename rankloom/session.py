@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -36,3 +37,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def shuffle_partitions(spark: SparkSession) -> int:
     """Partition count used for the pre-partitioned, reused frames (edges, nodes, ranks)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def bucketed_table(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
+    """Materialise ``df`` as a parquet table bucketed on ``keys``; return a scan of it.
+
+    The table lives under the checkpoint folder (shared storage on a cluster), so it both
+    cuts lineage (executor loss re-reads files instead of recomputing earlier sweeps) and
+    pins the layout: a bucketed scan reports ``hashpartitioning(keys, n)``, which lets
+    later joins and aggregations on ``keys`` run without shuffling this side - something a
+    plain ``checkpoint()`` does not keep once adaptive execution is on.  The preceding
+    ``repartition`` is dropped by the planner when ``df`` is already hash-partitioned that
+    way; it makes every task write exactly one bucket file.
+    """
+    spark = df.sparkSession
+    root = checkpoint_dir(spark).rstrip("/")
+    n = shuffle_partitions(spark)
+    name = f"rankloom_{tag}_{uuid.uuid4().hex[:16]}"
+    (
+        df.repartition(n, *keys)
+        .write.format("parquet")
+        .bucketBy(n, *keys)
+        .option("path", f"{root}/tables/{name}")
+        .mode("errorifexists")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
