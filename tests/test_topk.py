@@ -1,0 +1,40 @@
+"""Top-k variants (ops 46-49) on the fixture graph's S sweep-10 ranks (tie A = D)."""
+
+from pyspark.sql import functions as F
+
+from rankloom.operators import rank as R
+from rankloom.operators import topk as T
+
+
+def _s10(graph, phantom=False):
+    preset = "unnormalised_phantom" if phantom else "unnormalised"
+    return R.pagerank(graph, preset).select("node", F.round("rank", 9).alias("rank"))
+
+
+def test_top_k_keeps_ties_ordered_by_name(fixture_graph):
+    got = [r["node"] for r in T.top_k(_s10(fixture_graph)).collect()]
+    assert got == ["C", "A", "D", "B"]
+
+
+def test_top_k_distinct_collapses_to_greatest_name(fixture_graph):
+    got = [r["node"] for r in T.top_k_distinct(_s10(fixture_graph)).orderBy(F.desc("rank")).collect()]
+    assert got == ["C", "D", "B"]
+
+
+def test_top_k_is_a_prefix_of_the_full_sort(fixture_graph):
+    full = [r["node"] for r in _s10(fixture_graph).orderBy(F.desc("rank"), "node").collect()]
+    for k in (1, 2, 3):
+        assert [r["node"] for r in T.top_k(_s10(fixture_graph), k=k).collect()] == full[:k]
+
+
+def test_skip_first_drops_top_row_only_when_k_plus_one_rows(fixture_graph):
+    df = _s10(fixture_graph, phantom=True)  # 5 rows: C, null(0.5059), A, D, B
+    all_rows = [r["node"] for r in T.top_k_skip_first(df, k=100).collect()]
+    assert sorted(all_rows, key=str) == sorted(["C", None, "A", "D", "B"], key=str)
+    sliced = [r["node"] for r in T.top_k_skip_first(df, k=4).collect()]
+    assert sorted(sliced, key=str) == sorted([None, "A", "D", "B"], key=str)
+
+
+def test_top_k_plans_as_take_ordered(fixture_graph):
+    plan = T.top_k(_s10(fixture_graph))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
