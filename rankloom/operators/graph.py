@@ -14,11 +14,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import strip_whitespace
-from rankloom.session import shuffle_partitions
 
 
 class Graph(NamedTuple):
@@ -79,16 +78,34 @@ def out_degree(g: Graph, distinct: bool = False) -> DataFrame:
     return g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree")).withColumnRenamed("src", "node")
 
 
+def sources(g: Graph) -> DataFrame:
+    """Distinct link sources as ``node`` (partially aggregated: one row per source per task,
+    so a source with a huge list never lands on the un-splittable side of an anti join)."""
+    return g.edges.select(F.col("src").alias("node")).distinct()
+
+
 def dangling_pages(g: Graph) -> DataFrame:
     """Pages with an empty link list (link-only targets are NOT included)."""
-    return g.pages.join(g.edges.select(F.col("src").alias("node")), "node", "left_anti")
+    return g.pages.join(sources(g), "node", "left_anti")
 
 
 def dangling_nodes(g: Graph) -> DataFrame:
     """Every node without out-links: dangling pages plus link-only targets."""
-    return node_universe(g).join(g.edges.select(F.col("src").alias("node")), "node", "left_anti").select(
-        "node", "is_page"
+    return node_universe(g).join(sources(g), "node", "left_anti").select("node", "is_page")
+
+
+def adjacency(g: Graph) -> DataFrame:
+    """Adjacency lists as rows: (node, link, m), one row per distinct link of a page with its
+    multiplicity; a page without links has one row (node, NULL, 0).
+
+    This is the sorted list with duplicates in multiset form - no per-page ``collect_list``,
+    so a page with millions of links is spread over tasks like any other aggregate.
+    """
+    linked = edge_multiplicity(g).select(F.col("src").alias("node"), F.col("dst").alias("link"), "m")
+    empty = dangling_pages(g).select(
+        "node", F.lit(None).cast("string").alias("link"), F.lit(0).cast("long").alias("m")
     )
+    return linked.unionByName(empty)
 
 
 def transition_matrix(g: Graph, distinct: bool = False) -> DataFrame:
@@ -101,50 +118,25 @@ def transition_matrix(g: Graph, distinct: bool = False) -> DataFrame:
 
 
 def matrix_rows(g: Graph) -> DataFrame:
-    """Row view of the matrix: one row per target with its ordered (src, w) entries."""
-    return (
-        transition_matrix(g)
-        .groupBy("dst")
-        .agg(F.array_sort(F.collect_list(F.struct("src", "w"))).alias("entries"))
+    """Row view of the matrix: COO entries range-partitioned and sorted by (dst, src), so
+    each target's entries are contiguous and ordered.  A target with a huge in-degree is
+    split across tasks by the range bounds instead of being gathered into one array."""
+    return transition_matrix(g).orderBy("dst", "src")
+
+
+def matrix_row_summary(g: Graph) -> DataFrame:
+    """Per target row: number of entries and total incoming weight (partial aggregation)."""
+    return transition_matrix(g).groupBy("dst").agg(
+        F.count(F.lit(1)).alias("nnz"), F.sum("w").alias("in_weight")
     )
 
 
 def node_alias(nodes: DataFrame, col: str = "node") -> DataFrame:
-    """Dense ids 1..|V| in binary name order, without a single-partition window.
+    """Dense ids 1..|V| in binary name order (no single-partition window): see
+    :func:`rankloom.operators.ordered.dense_index`."""
+    from rankloom.operators.ordered import dense_index
 
-    Range-partition and sort the names, freeze that layout with a checkpoint (range bounds
-    are sampled, so a recomputation could move rows), count rows per partition, turn the
-    counts into offsets over a table with one row per partition (bounded by the partition
-    count, so it is broadcast), and add each row's position inside its partition.
-    """
-    spark = nodes.sparkSession
-    from rankloom.session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    parts = shuffle_partitions(spark)
-    ranged = (
-        nodes.select(col)
-        .repartitionByRange(parts, col)
-        .sortWithinPartitions(col)
-        .select(
-            col,
-            F.spark_partition_id().alias("pid"),
-            F.monotonically_increasing_id().alias("rid"),
-        )
-        .checkpoint(eager=True)
-    )
-    counts = ranged.groupBy("pid").agg(F.count(F.lit(1)).alias("cnt"))
-    offsets = counts.select(
-        "pid",
-        F.coalesce(
-            F.sum("cnt").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("offset"),
-    )
-    local_pos = F.col("rid") - F.shiftleft(F.col("pid").cast("long"), 33)
-    return ranged.join(F.broadcast(offsets), "pid").select(
-        col, (F.col("offset") + local_pos + 1).alias("id")
-    )
+    return dense_index(nodes.select(col), [col]).select(col, "id")
 
 
 def edges_by_id(g: Graph, alias: DataFrame | None = None) -> DataFrame:

@@ -129,7 +129,7 @@ class RankModel:
 
 def _phantom_pairs(g: Graph, pairs: DataFrame) -> DataFrame:
     """``(page, NULL, 1)`` for every page without links (the RDD program's ``[null]`` group)."""
-    lonely = g.pages.join(pairs.select(F.col("src").alias("node")), "node", "left_anti")
+    lonely = g.pages.join(pairs.select(F.col("src").alias("node")).distinct(), "node", "left_anti")
     return lonely.select(
         F.col("node").alias("src"), F.lit(None).cast("string").alias("dst"), F.lit(1).cast("long").alias("m")
     )

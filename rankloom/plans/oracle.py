@@ -232,10 +232,9 @@ def oracle_sql() -> dict[str, str]:
     q["page_count"] = with_graph("SELECT n AS n_pages FROM g_n")
     q["node_universe"] = with_graph("SELECT node, is_page, has_in FROM g_nodes")
     q["adjacency_list"] = with_graph(
-        """SELECT p.node, coalesce(a.n_links, 0) AS n_links, '[' || coalesce(a.links, '') || ']' AS links
-FROM g_pages p LEFT JOIN (
-  SELECT src, count(*) AS n_links, string_agg(dst, ', ' ORDER BY dst) AS links FROM g_edges GROUP BY src
-) a ON a.src = p.node"""
+        """SELECT src AS node, dst AS link, count(*) AS m FROM g_edges GROUP BY src, dst
+UNION ALL
+SELECT node, CAST(NULL AS VARCHAR), CAST(0 AS BIGINT) FROM g_pages WHERE node NOT IN (SELECT src FROM g_edges)"""
     )
     q["out_degree"] = with_graph("SELECT src AS node, count(*) AS out_degree FROM g_edges GROUP BY src")
     q["out_degree_distinct"] = with_graph(
@@ -252,8 +251,7 @@ FROM g_pages p LEFT JOIN (
 FROM g_pairs p JOIN (SELECT src, sum(m) AS deg FROM g_pairs GROUP BY src) d ON d.src = p.src"""
     )
     q["matrix_rows"] = with_graph(
-        """SELECT dst, count(*) AS nnz, round(sum(w), 9) AS in_weight,
-       string_agg(src, ',' ORDER BY src) AS sources
+        """SELECT dst, count(*) AS nnz, round(sum(w), 9) AS in_weight
 FROM (SELECT p.dst, p.src, p.m / d.deg AS w
       FROM g_pairs p JOIN (SELECT src, sum(m) AS deg FROM g_pairs GROUP BY src) d ON d.src = p.src)
 GROUP BY dst"""

@@ -85,16 +85,8 @@ def node_universe(spark, sf_dir):
 
 
 def adjacency_list(spark, sf_dir):
-    """Each page with its sorted link list rendered as ``[a, b]`` (empty list: ``[]``)."""
-    g = _g(spark, sf_dir)
-    lists = g.edges.groupBy("src").agg(
-        F.count(F.lit(1)).alias("n_links"), F.array_sort(F.collect_list("dst")).alias("links")
-    )
-    return g.pages.join(lists, g.pages.node == lists.src, "left").select(
-        "node",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.concat(F.lit("["), F.coalesce(F.array_join("links", ", "), F.lit("")), F.lit("]")).alias("links"),
-    )
+    """Each page's link list in multiset form: (node, link, m); (node, NULL, 0) if empty."""
+    return G.adjacency(_g(spark, sf_dir))
 
 
 def out_degree(spark, sf_dir):
@@ -118,13 +110,8 @@ def transition_matrix(spark, sf_dir):
 
 
 def matrix_rows(spark, sf_dir):
-    rows = G.matrix_rows(_g(spark, sf_dir))
-    return rows.select(
-        "dst",
-        F.size("entries").alias("nnz"),
-        F.round(F.aggregate("entries", F.lit(0.0), lambda acc, e: acc + e["w"]), 9).alias("in_weight"),
-        F.array_join(F.transform("entries", lambda e: e["src"]), ",").alias("sources"),
-    )
+    rows = G.matrix_row_summary(_g(spark, sf_dir))
+    return rows.select("dst", "nnz", F.round("in_weight", 9).alias("in_weight"))
 
 
 def node_alias(spark, sf_dir):

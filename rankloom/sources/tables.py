@@ -8,10 +8,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.operators.graph import Graph, normalise_edges
+from rankloom.operators.ordered import HOT_GROUP_ROWS, next_in_group
 
 # fixed values of the G and R derivations (shared with the SQL oracle)
 MAX_PAGE_SIZE = 40
@@ -29,6 +30,7 @@ def part_follow_graph(
     sf_dir: str,
     returnflag: str | None = LINK_RETURNFLAG,
     linestatus: str | None = LINK_LINESTATUS,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> Graph:
     """Graph G.  ``returnflag``/``linestatus`` = None drops that filter (denser graphs)."""
     part = read_table(spark, sf_dir, "part")
@@ -41,11 +43,16 @@ def part_follow_graph(
         items = items.where(F.col("l_returnflag") == returnflag)
     if linestatus is not None:
         items = items.where(F.col("l_linestatus") == linestatus)
-    # an order has a handful of lines: the window partition is small and bounded
-    order_lines = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-    links = items.select(
+    # next line item of the same order; an order with a huge number of lines is split
+    # over many tasks instead of forming one window partition
+    lines = items.select("l_orderkey", "l_linenumber", "l_partkey")
+    followed = next_in_group(
+        lines, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey", out="next_partkey",
+        hot_rows=hot_rows,
+    )
+    links = followed.select(
         F.col("l_partkey").cast("string").alias("src"),
-        F.lead("l_partkey").over(order_lines).cast("string").alias("dst"),
+        F.col("next_partkey").cast("string").alias("dst"),
     ).where(F.col("dst").isNotNull())
     links = links.join(pages.select(F.col("node").alias("src")), "src", "left_semi")
     return Graph(pages, normalise_edges(links))

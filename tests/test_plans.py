@@ -72,3 +72,20 @@ def test_transition_matrix_columns_sum_to_one(spark, g):
 
 def test_page_count_counts_page_rows(spark, g):
     assert G.page_count(g).first()["n_pages"] == G.n_pages(g) == 165
+
+
+def test_hot_order_split_path_equals_window(spark):
+    from rankloom.operators.ordered import next_in_group
+
+    base = part_follow_graph(spark, SF)
+    split = part_follow_graph(spark, SF, hot_rows=2)  # most orders take the split path
+    assert sorted(map(tuple, base.edges.collect())) == sorted(map(tuple, split.edges.collect()))
+    # one group holding every row, with ties in the order key
+    df = spark.createDataFrame(
+        [(1, i // 3, i // 3) for i in range(30)] + [(2, 0, 7)], "k int, o int, v int"
+    )
+    got = sorted(map(tuple, next_in_group(df, "k", ["o", "v"], "v", hot_rows=5).collect()), key=str)
+    want = sorted(
+        map(tuple, next_in_group(df, "k", ["o", "v"], "v", hot_rows=10**9).collect()), key=str
+    )
+    assert got == want
