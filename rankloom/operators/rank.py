@@ -285,6 +285,45 @@ def fixed_point_total(rank):
     )
 
 
+def _sweep_statement(spec: RankSpec, salted: bool) -> str:
+    """The sweep as one SQL statement over {state}, {weights} and {nodes}.
+
+    One statement is analysed once (a chain of DataFrame calls is analysed call by call,
+    which dominates a sweep's driver time on small inputs); the physical plan is the same.
+    """
+    if salted:
+        msgs = (
+            "SELECT node AS src, explode(sequence(0, nsalt - 1)) AS b, rank / deg AS msg "
+            "FROM {state} WHERE deg IS NOT NULL"
+        )
+        on = "w.src = s.src AND w.b = s.b"
+    else:
+        msgs = "SELECT node AS src, rank / deg AS msg FROM {state} WHERE deg IS NOT NULL"
+        on = "w.src = s.src"
+    # messages are the hash-join build side: the edge table is streamed, never sorted
+    contrib = (
+        f"SELECT /*+ SHUFFLE_HASH(s) */ w.dst, sum(s.msg * w.m) AS c "
+        f"FROM {{weights}} w JOIN ({msgs}) s ON {on} GROUP BY w.dst"
+    )
+    update = ":base + :damping * ({c} + :mass)"
+    if spec.unlinked in ("teleport", "inlinks"):
+        where = "WHERE n.has_in" if spec.unlinked == "inlinks" else ""
+        return (
+            f"SELECT n.node, {update.format(c='coalesce(c.c, 0.0D)')} AS rank, n.deg, n.nsalt "
+            f"FROM {{nodes}} n LEFT JOIN ({contrib}) c ON c.dst = n.node {where}"
+        )
+    if spec.unlinked == "keep":
+        return (
+            f"SELECT p.node, CASE WHEN c.c IS NULL THEN p.rank ELSE {update.format(c='c.c')} END AS rank, "
+            f"p.deg, p.nsalt FROM {{state}} p LEFT JOIN ({contrib}) c ON c.dst = p.node"
+        )
+    # reached: only targets of this sweep's messages (the phantom NULL node included)
+    return (
+        f"SELECT c.dst AS node, {update.format(c='c.c')} AS rank, n.deg, n.nsalt "
+        f"FROM ({contrib}) c LEFT JOIN {{nodes}} n ON n.node = c.dst"
+    )
+
+
 def sweep(model: RankModel, state: DataFrame, sweep_no: int, mass: float | None = None) -> DataFrame:
     """One application of the recurrence; returns the new (unmaterialised) state.
 
@@ -294,31 +333,14 @@ def sweep(model: RankModel, state: DataFrame, sweep_no: int, mass: float | None
     if mass is None:
         stats = dangling_stats(state) if _needs_stats(spec, sweep_no) else None
         mass = dangling_mass(model, stats, sweep_no)
-    base = spec.teleport / model.norm
-    contrib = gather(model, state)
-
-    nodes = model.nodes.select("node", "has_in", "deg", "nsalt")
-    if spec.unlinked == "teleport":
-        joined = nodes.join(contrib, F.col("node") == F.col("dst"), "left")
-        c = F.coalesce(F.col("c"), F.lit(0.0))
-    elif spec.unlinked == "inlinks":
-        joined = nodes.where("has_in").join(contrib, F.col("node") == F.col("dst"), "left")
-        c = F.coalesce(F.col("c"), F.lit(0.0))
-    elif spec.unlinked == "keep":
-        joined = state.withColumnRenamed("rank", "old").join(
-            contrib, F.col("node") == F.col("dst"), "left"
-        )
-        c = F.col("c")
-    else:  # reached: only targets of this sweep's messages (the phantom NULL node included)
-        joined = contrib.join(nodes, F.col("dst") == F.col("node"), "left").withColumn(
-            "node", F.col("dst")
-        )
-        c = F.col("c")
-
-    new_rank = F.lit(base) + F.lit(spec.damping) * (c + F.lit(mass))
-    if spec.unlinked == "keep":
-        new_rank = F.when(F.col("c").isNull(), F.col("old")).otherwise(new_rank)
-    return joined.select("node", new_rank.alias("rank"), "deg", "nsalt")
+    spark = state.sparkSession
+    return spark.sql(
+        _sweep_statement(spec, model.salted),
+        args={"base": spec.teleport / model.norm, "damping": spec.damping, "mass": float(mass)},
+        state=state.select("node", "rank", "deg", "nsalt"),
+        weights=model.weights,
+        nodes=model.nodes,
+    )
 
 
 def iterate(model: RankModel, state: DataFrame | None = None, iterations: int | None = None) -> DataFrame:
