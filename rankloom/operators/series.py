@@ -18,7 +18,10 @@ from rankloom.functions.text import java_double_text, lenient_double, year_prefi
 
 def measure_readings(readings: DataFrame) -> DataFrame:
     """Keep TMIN/TMAX rows (exact case); year = first 4 date chars, value parsed leniently."""
-    return readings.where(F.col("mtype").isin(MEASURE_MAX, MEASURE_MIN)).select(
+    # equality tests (not IN) so that Catalyst can fold them through a CASE that derives
+    # mtype upstream and push the result into the scan
+    kept = (F.col("mtype") == MEASURE_MAX) | (F.col("mtype") == MEASURE_MIN)
+    return readings.where(kept).select(
         "station",
         year_prefix("date").alias("year"),
         "mtype",

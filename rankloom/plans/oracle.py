@@ -174,7 +174,7 @@ def _topk_skip_first(spec: str, k: int = TOP_K) -> str:
 READINGS_CTES = """
 r_raw AS (
   SELECT CAST(l_partkey AS VARCHAR) AS station, strftime(l_shipdate, '%Y%m%d') AS date,
-         CASE l_returnflag WHEN 'R' THEN 'TMIN' WHEN 'A' THEN 'TMAX' ELSE l_returnflag END AS mtype,
+         CASE l_returnflag WHEN 'R' THEN 'TMIN' WHEN 'A' THEN 'TMAX' ELSE 'OTHER' END AS mtype,
          CAST(l_quantity AS VARCHAR) AS value
   FROM lineitem
 ),
