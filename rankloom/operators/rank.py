@@ -40,7 +40,7 @@ from rankloom.functions.fixed import (
     TELEPORT,
 )
 from rankloom.operators.graph import Graph
-from rankloom.session import bucketed_table, checkpoint_dir, shuffle_partitions
+from rankloom.session import bucketed_table, checkpoint_dir, drop_bucketed_table, shuffle_partitions
 
 SCALES = ("pages", "nodes", "unit")
 STARTS = ("pages", "nodes")
@@ -357,7 +357,9 @@ def iterate(model: RankModel, state: DataFrame | None = None, iterations: int |
         if k < n and _needs_stats(spec, k + 1):
             observed = Observation(f"dangling{k}")
             new = new.observe(observed, *dangling_stats_exprs())
-        state = bucketed_table(new, ["node"], f"rank{k}")
+        previous, state = state, bucketed_table(new, ["node"], f"rank{k}")
+        if k > 1:  # the previous vector is no longer needed: free the shared folder
+            drop_bucketed_table(state.sparkSession, previous)
         stats = observed.get if observed is not None else None
     return state
 

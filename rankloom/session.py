@@ -64,3 +64,22 @@ def bucketed_table(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
     )
     return spark.table(name)
 
+
+
+def drop_bucketed_table(spark: SparkSession, df: DataFrame) -> None:
+    """Remove a table made by :func:`bucketed_table`: its catalog entry and its folder.
+
+    Only tables whose name this module generated are touched (the name is recovered from
+    the scan), so a caller's own tables can never be removed by mistake.
+    """
+    names = [
+        n for n in df.inputFiles()[:1] if "/tables/rankloom_" in n
+    ]
+    if not names:
+        return
+    folder = names[0][: names[0].rindex("/")]
+    table = folder[folder.rindex("/") + 1 :]
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -72,3 +72,12 @@ def test_spec_validation():
         R.RankSpec(unlinked="nowhere")
     with pytest.raises(ValueError):
         R.RankSpec(iterations=-1)
+
+
+def test_intermediate_vectors_are_removed(spark, fixture_graph):
+    before = {t.name for t in spark.catalog.listTables() if t.name.startswith("rankloom_rank")}
+    model = R.prepare(fixture_graph, R.PRESETS["total"].with_(iterations=4))
+    final = R.iterate(model)
+    after = {t.name for t in spark.catalog.listTables() if t.name.startswith("rankloom_rank")}
+    assert len(after - before) == 1  # only the final vector's table remains
+    assert abs(sum(r["rank"] for r in final.collect()) - 1.0) < 1e-12
