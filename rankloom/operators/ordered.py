@@ -62,15 +62,23 @@ def next_in_group(
     out: str = "next",
     hot_rows: int = HOT_GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``out`` = ``value`` of the next row of the same ``key`` group in ``order``
     (NULL for a group's last row).  Rows with equal order keys may come in any order; the
     result is the same either way because tied rows are interchangeable for ``value``
-    exactly when ``value`` is part of ``order`` (as it is for the graph derivation)."""
+    exactly when ``value`` is part of ``order`` (as it is for the graph derivation).
+
+    ``max_rows`` is an upper bound on the rows of ``df`` if the caller knows one cheaply
+    (e.g. a parquet footer count): no group can be hot when it is at most ``hot_rows``,
+    and the detection pass is skipped.
+    """
+    w = Window.partitionBy(key).orderBy(*order)
+    if max_rows is not None and max_rows <= hot_rows:
+        return df.withColumn(out, F.lead(value).over(w))
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.where(F.col("_n") > hot_rows).select(key)
     n_hot = hot.count()
-    w = Window.partitionBy(key).orderBy(*order)
     if n_hot == 0:
         return df.withColumn(out, F.lead(value).over(w))
     hot_side = F.broadcast(hot) if n_hot <= broadcast_rows else hot

@@ -49,7 +49,7 @@ def part_follow_graph(
     lines = items.select("l_orderkey", "l_linenumber", "l_partkey")
     followed = next_in_group(
         lines, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey", out="next_partkey",
-        hot_rows=hot_rows,
+        hot_rows=hot_rows, max_rows=lineitem.count(),  # footer-only count bounds every order
     )
     links = followed.select(
         F.col("l_partkey").cast("string").alias("src"),
