@@ -306,20 +306,23 @@ def _sweep_statement(spec: RankSpec, salted: bool) -> str:
         f"FROM {{weights}} w JOIN ({msgs}) s ON {on} GROUP BY w.dst"
     )
     update = ":base + :damping * ({c} + :mass)"
+    # the node table (or vector) and the summed contributions are co-partitioned on the
+    # node: a partition-local hash join, no broadcast and no extra job per sweep
     if spec.unlinked in ("teleport", "inlinks"):
         where = "WHERE n.has_in" if spec.unlinked == "inlinks" else ""
         return (
-            f"SELECT n.node, {update.format(c='coalesce(c.c, 0.0D)')} AS rank, n.deg, n.nsalt "
-            f"FROM {{nodes}} n LEFT JOIN ({contrib}) c ON c.dst = n.node {where}"
+            f"SELECT /*+ SHUFFLE_HASH(c) */ n.node, {update.format(c='coalesce(c.c, 0.0D)')} AS rank, "
+            f"n.deg, n.nsalt FROM {{nodes}} n LEFT JOIN ({contrib}) c ON c.dst = n.node {where}"
         )
     if spec.unlinked == "keep":
         return (
-            f"SELECT p.node, CASE WHEN c.c IS NULL THEN p.rank ELSE {update.format(c='c.c')} END AS rank, "
+            f"SELECT /*+ SHUFFLE_HASH(c) */ p.node, "
+            f"CASE WHEN c.c IS NULL THEN p.rank ELSE {update.format(c='c.c')} END AS rank, "
             f"p.deg, p.nsalt FROM {{state}} p LEFT JOIN ({contrib}) c ON c.dst = p.node"
         )
     # reached: only targets of this sweep's messages (the phantom NULL node included)
     return (
-        f"SELECT c.dst AS node, {update.format(c='c.c')} AS rank, n.deg, n.nsalt "
+        f"SELECT /*+ SHUFFLE_HASH(n) */ c.dst AS node, {update.format(c='c.c')} AS rank, n.deg, n.nsalt "
         f"FROM ({contrib}) c LEFT JOIN {{nodes}} n ON n.node = c.dst"
     )
 
