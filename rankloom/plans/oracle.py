@@ -310,5 +310,11 @@ FROM (SELECT DISTINCT station, year FROM r_meas)"""
         """SELECT station, CAST(row_number() OVER (PARTITION BY station ORDER BY year) - 1 AS INTEGER) AS pos,
        year, mean_tmin, mean_tmax
 FROM r_means"""
+    )
+    q["series_text"] = with_readings(
+        """SELECT station || ',[' || string_agg(
+         '(' || CAST(year AS VARCHAR) || ',' || CAST(mean_tmin AS VARCHAR) || ',' || CAST(mean_tmax AS VARCHAR) || ')',
+         '' ORDER BY year) || ']' AS value
+FROM r_means GROUP BY station"""
     )
     return q

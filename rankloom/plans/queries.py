@@ -196,6 +196,11 @@ def station_series(spark, sf_dir):
     return S.flatten_series(S.station_series(_r(spark, sf_dir)))
 
 
+def series_text(spark, sf_dir):
+    """Each station's series as one text line ``station,[(y,tmin,tmax)...]``."""
+    return S.render_series(S.station_series(_r(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "page_name_filter": page_name_filter,
     "links_lenient": links_lenient,
@@ -234,4 +239,5 @@ QUERIES: dict[str, Query] = {
     "yearly_means": yearly_means,
     "year_breaks": year_breaks,
     "station_series": station_series,
+    "series_text": series_text,
 }
