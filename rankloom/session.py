@@ -15,7 +15,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; we never invent a machine-local one there.  Only a
     local-mode session without the setting (unit tests) gets a fresh temp folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, the server owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -80,6 +86,9 @@ def drop_bucketed_table(spark: SparkSession, df: DataFrame) -> None:
     folder = names[0][: names[0].rindex("/")]
     table = folder[folder.rindex("/") + 1 :]
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    try:
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # no JVM access (Spark Connect): leave the files to the folder's lifecycle
+        pass
