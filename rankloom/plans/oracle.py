@@ -203,7 +203,7 @@ def with_readings(body: str) -> str:
     return f"WITH {READINGS_CTES}\n{body}"
 
 
-HREFS = f"""SELECT page_id, generate_subscripts(hrefs, 1) - 1 AS pos, unnest(hrefs) AS href
+HREFS = f"""SELECT page_id, CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS pos, unnest(hrefs) AS href
   FROM (SELECT page_id, regexp_extract_all(html, {_q(HREF_PATTERN)}, 1) AS hrefs FROM pages)"""
 
 # Java-style decoding: '+' is a space; DuckDB's url_decode keeps broken escapes as they are
