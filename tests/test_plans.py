@@ -89,3 +89,14 @@ def test_hot_order_split_path_equals_window(spark):
         map(tuple, next_in_group(df, "k", ["o", "v"], "v", hot_rows=10**9).collect()), key=str
     )
     assert got == want
+
+
+def test_no_python_in_jvm_operators(spark, g):
+    """Everything except strict extraction stays in the JVM (no Python evaluation nodes)."""
+    import __spark_entry__ as E
+
+    qs = E.queries()
+    for name in ("edges", "adjacency_list", "transition_matrix", "yearly_means", "links_decoded", "topk"):
+        plan = _plan(qs[name](spark, SF))
+        assert "Python" not in plan and "ArrowEval" not in plan, name
+        assert "WholeStageCodegen" in plan or "*(" in plan or "AdaptiveSparkPlan" in plan, name
