@@ -293,6 +293,8 @@ FROM c_w w JOIN c0 r ON r.node = w.src GROUP BY w.dst""",
     q["pagerank_matrix_col"] = rank_sql("matrix_col")
     q["pagerank_matrix_col_once"] = rank_sql("matrix_col_once")
     q["pagerank_unnormalised"] = rank_sql("unnormalised")
+    q["pagerank_list_exact"] = rank_sql("list_exact")
+    q["pagerank_unnormalised_phantom"] = rank_sql("unnormalised_phantom")
     q["topk"] = _topk("total")
     q["topk_distinct_ranks"] = _topk_distinct("total")
     q["topk_skip_first"] = _topk_skip_first("unnormalised_phantom")

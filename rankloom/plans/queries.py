@@ -231,6 +231,8 @@ QUERIES: dict[str, Query] = {
     "pagerank_matrix_col": rank_query("matrix_col"),
     "pagerank_matrix_col_once": rank_query("matrix_col_once"),
     "pagerank_unnormalised": rank_query("unnormalised"),
+    "pagerank_list_exact": rank_query("list_exact"),
+    "pagerank_unnormalised_phantom": rank_query("unnormalised_phantom"),
     "topk": topk,
     "topk_distinct_ranks": topk_distinct_ranks,
     "topk_skip_first": topk_skip_first,
