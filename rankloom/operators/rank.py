@@ -40,7 +40,13 @@ from rankloom.functions.fixed import (
     TELEPORT,
 )
 from rankloom.operators.graph import Graph
-from rankloom.session import bucketed_table, checkpoint_dir, drop_bucketed_table, shuffle_partitions
+from rankloom.session import (
+    bucketed_table,
+    checkpoint_dir,
+    drop_bucketed_table,
+    partitions_for,
+    scoped_shuffle_partitions,
+)
 
 SCALES = ("pages", "nodes", "unit")
 STARTS = ("pages", "nodes")
@@ -116,15 +122,23 @@ HUB_FANOUT = 1_000_000  # links of one source per bucket before the source is sp
 BROADCAST_ROWS = 1_000_000  # hub table rows above which the hub join is a shuffle join
 
 
+LINK_ROW_BYTES = 64  # rough width of one (src, dst, m) row, to size the bucket count
+
+
 @dataclass
 class RankModel:
-    """The static, checkpointed frames of one graph + spec, reusable across runs."""
+    """The static, bucketed frames of one graph + spec, reusable across runs."""
 
     spec: RankSpec
-    nodes: DataFrame  # node, is_page, has_in, deg, nsalt   (hash-partitioned on node)
-    weights: DataFrame  # src, [b,] dst, m                   (hash-partitioned on src[, b])
+    nodes: DataFrame  # node, is_page, has_in, deg, nsalt   (bucketed on node)
+    weights: DataFrame  # src, [b,] dst, m                   (bucketed on src[, b])
     salted: bool
     norm: float
+    buckets: int  # bucket count of every table of this model (and of its sweeps' shuffle)
+
+    def scope(self):
+        """Context in which shuffles line up with this model's buckets."""
+        return scoped_shuffle_partitions(self.weights.sparkSession, self.buckets)
 
 
 def _phantom_pairs(g: Graph, pairs: DataFrame) -> DataFrame:
@@ -141,6 +155,7 @@ def prepare(
     *,
     hub_fanout: int = HUB_FANOUT,
     broadcast_rows: int = BROADCAST_ROWS,
+    buckets: int | None = None,
 ) -> RankModel:
     """Build the static frames (weighted edges and the node table) as bucketed tables.
 
@@ -150,9 +165,22 @@ def prepare(
     """
     spark = g.edges.sparkSession
     checkpoint_dir(spark)
-    parts = shuffle_partitions(spark)
 
-    pairs = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")).checkpoint(eager=True)
+    counted_pairs = Observation("pairs")
+    pairs = (
+        g.edges.groupBy("src", "dst")
+        .agg(F.count(F.lit(1)).alias("m"))
+        .observe(counted_pairs, F.count(F.lit(1)).alias("n"))
+        .checkpoint(eager=True)
+    )
+    if buckets is None:
+        buckets = partitions_for(spark, counted_pairs.get["n"], LINK_ROW_BYTES)
+    with scoped_shuffle_partitions(spark, buckets):
+        return _build(g, spec, pairs, buckets, hub_fanout, broadcast_rows)
+
+
+def _build(g: Graph, spec: RankSpec, pairs: DataFrame, buckets: int, hub_fanout: int, broadcast_rows: int) -> RankModel:
+    spark = g.edges.sparkSession
     if spec.edges == "distinct":
         pairs = pairs.withColumn("m", F.lit(1).cast("long"))
     links = pairs.unionByName(_phantom_pairs(g, pairs)) if spec.phantom else pairs
@@ -178,7 +206,7 @@ def prepare(
         keys = ["src", "b"]
     else:
         keys = ["src"]
-    weights = bucketed_table(links, keys, "links")
+    weights = bucketed_table(links, keys, "links", buckets)
 
     deg = weights.groupBy("src").agg(F.sum("m").alias("deg"))
     flags = g.pages.select("node", F.lit(True).alias("is_page"), F.lit(False).alias("has_in")).unionByName(
@@ -194,7 +222,7 @@ def prepare(
     else:
         nodes = nodes.withColumn("nsalt", F.lit(1))
     counted = Observation("nodes")
-    nodes = bucketed_table(nodes.observe(counted, F.count(F.lit(1)).alias("n")), ["node"], "nodes")
+    nodes = bucketed_table(nodes.observe(counted, F.count(F.lit(1)).alias("n")), ["node"], "nodes", buckets)
 
     if spec.scale == "pages":
         norm = float(g.pages.count())
@@ -202,7 +230,7 @@ def prepare(
         norm = float(counted.get["n"])
     else:
         norm = 1.0
-    return RankModel(spec, nodes, weights, salted, norm)
+    return RankModel(spec, nodes, weights, salted, norm, buckets)
 
 
 def initial_ranks(model: RankModel) -> DataFrame:
@@ -350,6 +378,11 @@ def iterate(model: RankModel, state: DataFrame | None = None, iterations: int |
     """Run the sweeps.  Each new vector is written as a bucketed table (lineage stays one
     sweep deep); the dangling totals the next sweep needs are observed during that write,
     so they cost no extra job."""
+    with model.scope():
+        return _iterate(model, state, iterations)
+
+
+def _iterate(model: RankModel, state: DataFrame | None, iterations: int | None) -> DataFrame:
     spec = model.spec
     state = state if state is not None else initial_ranks(model)
     n = spec.iterations if iterations is None else iterations
@@ -360,7 +393,7 @@ def iterate(model: RankModel, state: DataFrame | None = None, iterations: int |
         if k < n and _needs_stats(spec, k + 1):
             observed = Observation(f"dangling{k}")
             new = new.observe(observed, *dangling_stats_exprs())
-        previous, state = state, bucketed_table(new, ["node"], f"rank{k}")
+        previous, state = state, bucketed_table(new, ["node"], f"rank{k}", model.buckets)
         if k > 1:  # the previous vector is no longer needed: free the shared folder
             drop_bucketed_table(state.sparkSession, previous)
         stats = observed.get if observed is not None else None

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +48,40 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def bucketed_table(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _bytes(text: str) -> int:
+    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", text)
+    return int(m.group(1)) * _UNITS[m.group(2).lower()] if m else 64 << 20
+
+
+def partitions_for(spark: SparkSession, rows: int, row_bytes: int) -> int:
+    """Partition count for ``rows`` rows of about ``row_bytes`` each: the AQE advisory
+    partition size per partition, at least 1, at most ``spark.sql.shuffle.partitions``.
+
+    This is the decision AQE's partition coalescing makes for ordinary shuffles, taken
+    once for layouts that are pinned (bucketed) and therefore cannot be coalesced later.
+    """
+    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    return max(1, min(shuffle_partitions(spark), math.ceil(rows * row_bytes / target)))
+
+
+@contextmanager
+def scoped_shuffle_partitions(spark: SparkSession, n: int):
+    """Run a block with ``spark.sql.shuffle.partitions = n`` (restored afterwards), so the
+    shuffles planned inside it line up with tables bucketed into ``n`` buckets."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def bucketed_table(df: DataFrame, keys: list[str], tag: str, buckets: int | None = None) -> DataFrame:
     """Materialise ``df`` as a parquet table bucketed on ``keys``; return a scan of it.
 
     The table lives under the checkpoint folder (shared storage on a cluster), so it both
@@ -58,7 +94,7 @@ def bucketed_table(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     root = checkpoint_dir(spark).rstrip("/")
-    n = shuffle_partitions(spark)
+    n = buckets or shuffle_partitions(spark)
     name = f"rankloom_{tag}_{uuid.uuid4().hex[:16]}"
     (
         df.repartition(n, *keys)

@@ -31,8 +31,9 @@ def no_broadcast(spark):
 
 def test_sweep_shuffles_only_partial_sums(spark, g, no_broadcast):
     model = R.prepare(g, R.PRESETS["total"])
-    state = bucketed_table(R.initial_ranks(model), ["node"], "t0")
-    plan = _plan(R.sweep(model, state, 1, mass=0.0))
+    with model.scope():
+        state = bucketed_table(R.initial_ranks(model), ["node"], "t0", model.buckets)
+        plan = _plan(R.sweep(model, state, 1, mass=0.0))
     assert plan.count("Exchange") == 1
     assert "Exchange hashpartitioning(dst" in plan
     assert "partial_sum" in plan
@@ -41,14 +42,23 @@ def test_sweep_shuffles_only_partial_sums(spark, g, no_broadcast):
 
 
 def test_salted_sweep_moves_messages_not_edges(spark, g, no_broadcast):
-    model = R.prepare(g, R.PRESETS["total"], hub_fanout=1)
-    assert model.salted
-    state = bucketed_table(R.initial_ranks(model), ["node"], "t0")
-    plan = _plan(R.sweep(model, state, 1, mass=0.0))
+    model = R.prepare(g, R.PRESETS["total"], hub_fanout=1, buckets=4)
+    assert model.salted and model.buckets == 4
+    with model.scope():
+        state = bucketed_table(R.initial_ranks(model), ["node"], "t0", model.buckets)
+        plan = _plan(R.sweep(model, state, 1, mass=0.0))
     assert plan.count("Exchange hashpartitioning(src") == 1  # exploded messages
     assert "Exchange hashpartitioning(dst" in plan
 
 
+def test_bucket_count_follows_data_size(spark, g):
+    from rankloom.session import partitions_for
+
+    assert R.prepare(g, R.PRESETS["total"]).buckets == 1  # 210 links
+    assert partitions_for(spark, 10**12, 64) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(spark, 3 * 10**6, 64) == 3  # 64 MB advisory size per partition
+
+
 def test_alias_matches_global_row_number(spark, g):
     nodes = G.node_universe(g).select("node")
     got = {r["node"]: r["id"] for r in G.node_alias(nodes).collect()}
