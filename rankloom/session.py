@@ -58,14 +58,26 @@ def _bytes(text: str) -> int:
 
 
 def partitions_for(spark: SparkSession, rows: int, row_bytes: int) -> int:
-    """Partition count for ``rows`` rows of about ``row_bytes`` each: the AQE advisory
-    partition size per partition, at least 1, at most ``spark.sql.shuffle.partitions``.
-
-    This is the decision AQE's partition coalescing makes for ordinary shuffles, taken
-    once for layouts that are pinned (bucketed) and therefore cannot be coalesced later.
+    """Partition count for ``rows`` rows of about ``row_bytes`` each, at most
+    ``spark.sql.shuffle.partitions``.
+
+    This is the rule AQE's partition coalescing applies to ordinary shuffles, taken once
+    for layouts that are pinned (bucketed) and therefore cannot be coalesced later: the
+    advisory partition size, or - with ``parallelismFirst`` (the default) - the total
+    spread over the default parallelism when that is smaller, never below the minimum
+    partition size.
     """
-    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
-    return max(1, min(shuffle_partitions(spark), math.ceil(rows * row_bytes / target)))
+    conf = spark.conf
+    total = rows * row_bytes
+    target = _bytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    if conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true").lower() == "true":
+        try:
+            parallelism = spark.sparkContext.defaultParallelism
+        except Exception:  # no driver-side context
+            parallelism = shuffle_partitions(spark)
+        floor = _bytes(conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1MB"))
+        target = max(min(math.ceil(total / parallelism), target), floor)
+    return max(1, min(shuffle_partitions(spark), math.ceil(total / target)))
 
 
 @contextmanager

@@ -54,9 +54,15 @@ def test_salted_sweep_moves_messages_not_edges(spark, g, no_broadcast):
 def test_bucket_count_follows_data_size(spark, g):
     from rankloom.session import partitions_for
 
-    assert R.prepare(g, R.PRESETS["total"]).buckets == 1  # 210 links
-    assert partitions_for(spark, 10**12, 64) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert partitions_for(spark, 3 * 10**6, 64) == 3  # 64 MB advisory size per partition
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert R.prepare(g, R.PRESETS["total"]).buckets == 1  # 210 links: under the 1 MB floor
+    assert partitions_for(spark, 10**12, 64) == cap
+    assert partitions_for(spark, 40_000, 64) == 3  # 2.56 MB at the 1 MB minimum size
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        assert partitions_for(spark, 2 * 10**6, 64) == 2  # 64 MB advisory size per partition
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
 
 
 def test_alias_matches_global_row_number(spark, g):
