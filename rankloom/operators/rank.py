@@ -20,7 +20,11 @@ Physical layout (what makes it scale):
   vector, node table and edges are therefore co-partitioned, the plan stays one sweep
   deep, and a lost executor only costs the current sweep (the inputs are files in the
   shared checkpoint folder).
-* The dangling mass is a one-row aggregate joined back as a broadcast scalar.
+* The bucket count follows the data (AQE's coalescing rule, capped by
+  ``spark.sql.shuffle.partitions``) and the sweeps run with the shuffle width scoped to
+  it, so the one shuffle per sweep lands directly in the buckets of the node table.
+* The dangling mass the next sweep needs is observed (``DataFrame.observe``) while the
+  current vector is written: no extra job, and it enters the next sweep as a literal.
 """
 
 from __future__ import annotations
@@ -179,8 +183,10 @@ def prepare(
         return _build(g, spec, pairs, buckets, hub_fanout, broadcast_rows)
 
 
-def _build(g: Graph, spec: RankSpec, pairs: DataFrame, buckets: int, hub_fanout: int, broadcast_rows: int) -> RankModel:
-    spark = g.edges.sparkSession
+def _build(
+    g: Graph, spec: RankSpec, pairs: DataFrame, buckets: int, hub_fanout: int, broadcast_rows: int
+) -> RankModel:
+    """Edge table and node table in ``buckets`` buckets (runs inside the shuffle scope)."""
     if spec.edges == "distinct":
         pairs = pairs.withColumn("m", F.lit(1).cast("long"))
     links = pairs.unionByName(_phantom_pairs(g, pairs)) if spec.phantom else pairs

@@ -7,13 +7,11 @@ the same :class:`RankSpec` the Spark job runs, so both sides follow one definiti
 from __future__ import annotations
 
 from rankloom.functions.fixed import (
-    DAMPING,
     FIXED_POINT_SCALE,
     HREF_PATTERN,
     LINK_PATTERN,
     LITERAL_FIRST_DELTA,
     PAGE_NAME_PATTERN,
-    TELEPORT,
     TOP_K,
 )
 from rankloom.operators.rank import PRESETS, RankSpec

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.functions.fixed import FIXED_POINT_SCALE
 from rankloom.functions.text import decode_link, link_capture, page_name_ok
 from rankloom.operators import graph as G
 from rankloom.operators import links as L
