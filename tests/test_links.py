@@ -89,3 +89,13 @@ def test_strict_depth_counting():
     )
     assert strict_links(html) == ["A", "B"]
     assert strict_links("<r><div id='bodyContent'>") is None  # not well-formed
+
+
+def test_entities_with_and_without_external_dtd():
+    body = '<html><body><div id="bodyContent">a&nbsp;b<a href="./x/Q.html"/></div></body></html>'
+    doctype = (
+        '<!DOCTYPE html PUBLIC "-//W3C//DTD XHTML 1.0 Strict//EN" '
+        '"http://www.w3.org/TR/xhtml1/DTD/xhtml1-strict.dtd">'
+    )
+    assert strict_links(body) is None  # undefined entity, no DTD: not well-formed
+    assert strict_links(doctype + body) == ["Q"]  # external DTD named (never loaded): skipped
