@@ -139,6 +139,7 @@ class RankModel:
     salted: bool
     norm: float
     buckets: int  # bucket count of every table of this model (and of its sweeps' shuffle)
+    start_dangling: int | None = None  # dangling nodes holding a start value (observed)
 
     def scope(self):
         """Context in which shuffles line up with this model's buckets."""
@@ -177,26 +178,39 @@ def prepare(
         .observe(counted_pairs, F.count(F.lit(1)).alias("n"))
         .checkpoint(eager=True)
     )
+    n_pairs = counted_pairs.get["n"]
     if buckets is None:
-        buckets = partitions_for(spark, counted_pairs.get["n"], LINK_ROW_BYTES)
+        buckets = partitions_for(spark, n_pairs, LINK_ROW_BYTES)
     with scoped_shuffle_partitions(spark, buckets):
-        return _build(g, spec, pairs, buckets, hub_fanout, broadcast_rows)
+        return _build(g, spec, pairs, n_pairs, buckets, hub_fanout, broadcast_rows)
 
 
 def _build(
-    g: Graph, spec: RankSpec, pairs: DataFrame, buckets: int, hub_fanout: int, broadcast_rows: int
+    g: Graph,
+    spec: RankSpec,
+    pairs: DataFrame,
+    n_pairs: int,
+    buckets: int,
+    hub_fanout: int,
+    broadcast_rows: int,
 ) -> RankModel:
-    """Edge table and node table in ``buckets`` buckets (runs inside the shuffle scope)."""
+    """Edge table and node table in ``buckets`` buckets (runs inside the shuffle scope).
+
+    Counts the sweeps need (pages, nodes, dangling nodes of the start vector) are observed
+    at the top of the node-table write, i.e. in its result stage, where every task's
+    metrics are counted exactly once even if tasks are retried.
+    """
     if spec.edges == "distinct":
         pairs = pairs.withColumn("m", F.lit(1).cast("long"))
     links = pairs.unionByName(_phantom_pairs(g, pairs)) if spec.phantom else pairs
 
-    # sources with more distinct targets than hub_fanout are split into nsalt buckets
+    # sources with more distinct targets than hub_fanout are split into nsalt buckets;
+    # when there are no more pairs than hub_fanout in total, no source can qualify
     width = links.groupBy("src").agg(F.count(F.lit(1)).alias("width"))
     hubs = width.where(F.col("width") > hub_fanout).select(
         "src", (F.lit(1) + F.floor((F.col("width") - 1) / hub_fanout)).cast("int").alias("nsalt")
     )
-    n_hubs = hubs.count()
+    n_hubs = hubs.count() if n_pairs > hub_fanout else 0
     salted = n_hubs > 0
     hub_side = (F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs) if salted else None
     if salted:
@@ -215,34 +229,55 @@ def _build(
     weights = bucketed_table(links, keys, "links", buckets)
 
     deg = weights.groupBy("src").agg(F.sum("m").alias("deg"))
-    flags = g.pages.select("node", F.lit(True).alias("is_page"), F.lit(False).alias("has_in")).unionByName(
+    flags = g.pages.select(
+        "node", F.lit(True).alias("is_page"), F.lit(False).alias("has_in"), F.lit(1).alias("lines")
+    ).unionByName(
         pairs.where(F.col("dst").isNotNull()).select(
-            F.col("dst").alias("node"), F.lit(False).alias("is_page"), F.lit(True).alias("has_in")
+            F.col("dst").alias("node"),
+            F.lit(False).alias("is_page"),
+            F.lit(True).alias("has_in"),
+            F.lit(0).alias("lines"),
         )
     )
-    nodes = flags.groupBy("node").agg(F.max("is_page").alias("is_page"), F.max("has_in").alias("has_in"))
+    nodes = flags.groupBy("node").agg(
+        F.max("is_page").alias("is_page"), F.max("has_in").alias("has_in"), F.sum("lines").alias("lines")
+    )
     nodes = nodes.join(deg, F.col("node") == F.col("src"), "left").drop("src")
     if salted:
         nodes = nodes.join(hub_side, F.col("node") == F.col("src"), "left").drop("src")
         nodes = nodes.withColumn("nsalt", F.coalesce("nsalt", F.lit(1)))
     else:
         nodes = nodes.withColumn("nsalt", F.lit(1))
+    in_start = F.lit(True) if spec.start == "nodes" else F.col("is_page")
     counted = Observation("nodes")
-    nodes = bucketed_table(nodes.observe(counted, F.count(F.lit(1)).alias("n")), ["node"], "nodes", buckets)
+    nodes = nodes.observe(
+        counted,
+        F.count(F.lit(1)).alias("nodes"),
+        F.sum("lines").alias("page_lines"),  # page rows, duplicates included
+        F.count(F.when(F.col("deg").isNull() & in_start, F.lit(1))).alias("start_dangling"),
+    ).drop("lines")
+    nodes = bucketed_table(nodes, ["node"], "nodes", buckets)
+    stats = counted.get
 
     if spec.scale == "pages":
-        norm = float(g.pages.count())
+        norm = float(stats["page_lines"] or 0)
     elif spec.scale == "nodes":
-        norm = float(counted.get["n"])
+        norm = float(stats["nodes"])
     else:
         norm = 1.0
-    return RankModel(spec, nodes, weights, salted, norm, buckets)
+    model = RankModel(spec, nodes, weights, salted, norm, buckets)
+    model.start_dangling = stats["start_dangling"]
+    return model
+
+
+def _start_value(model: RankModel) -> float:
+    return 1.0 if model.spec.scale == "unit" else 1.0 / model.norm
 
 
 def initial_ranks(model: RankModel) -> DataFrame:
     """Start vector over V: 1/n (or 1.0 when un-normalised) on the start domain, else 0."""
     spec = model.spec
-    value = 1.0 if spec.scale == "unit" else 1.0 / model.norm
+    value = _start_value(model)
     on = F.lit(True) if spec.start == "nodes" else F.col("is_page")
     return model.nodes.select(
         "node",
@@ -390,9 +425,12 @@ def iterate(model: RankModel, state: DataFrame | None = None, iterations: int |
 
 def _iterate(model: RankModel, state: DataFrame | None, iterations: int | None) -> DataFrame:
     spec = model.spec
-    state = state if state is not None else initial_ranks(model)
     n = spec.iterations if iterations is None else iterations
-    stats = dangling_stats(state) if n and _needs_stats(spec, 1) else None
+    if state is None:
+        state = initial_ranks(model)
+        stats = {"total": model.start_dangling * _start_value(model), "fixed": None}
+    else:
+        stats = dangling_stats(state) if n and _needs_stats(spec, 1) else None
     for k in range(1, n + 1):
         new = sweep(model, state, k, mass=dangling_mass(model, stats, k))
         observed = None
