@@ -24,15 +24,20 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-# graph G, its node table and its link multiplicities
-GRAPH_CTES = f"""
+def graph_ctes(dense: bool = False) -> str:
+    """Graph G, its node table and its link multiplicities (``dense``: no line-item filters)."""
+    item_filter = (
+        "" if dense
+        else f"WHERE l_returnflag = {_q(LINK_RETURNFLAG)} AND l_linestatus = {_q(LINK_LINESTATUS)}"
+    )
+    return f"""
 g_pages AS (
   SELECT CAST(p_partkey AS VARCHAR) AS node FROM part WHERE p_size <= {MAX_PAGE_SIZE}
 ),
 g_raw AS (
   SELECT CAST(l_partkey AS VARCHAR) AS src,
          CAST(lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS VARCHAR) AS dst
-  FROM lineitem WHERE l_returnflag = {_q(LINK_RETURNFLAG)} AND l_linestatus = {_q(LINK_LINESTATUS)}
+  FROM lineitem {item_filter}
 ),
 g_edges AS (
   SELECT regexp_replace(src, '\\s', '', 'g') AS src, regexp_replace(dst, '\\s', '', 'g') AS dst
@@ -50,8 +55,8 @@ g_pairs AS (SELECT src, dst, count(*) AS m FROM g_edges GROUP BY src, dst),
 g_n AS (SELECT count(*) AS n FROM g_pages)"""
 
 
-def with_graph(body: str, extra: str = "") -> str:
-    ctes = GRAPH_CTES + ("," + extra if extra else "")
+def with_graph(body: str, extra: str = "", dense: bool = False) -> str:
+    ctes = graph_ctes(dense) + ("," + extra if extra else "")
     return f"WITH {ctes}\n{body}"
 
 
@@ -133,12 +138,12 @@ def rank_ctes(spec: RankSpec, norm_sql: str, prefix: str = "r") -> tuple[str, st
     return ",\n".join(parts), f"{prefix}{spec.iterations}"
 
 
-def rank_sql(spec: RankSpec | str, select: str | None = None) -> str:
+def rank_sql(spec: RankSpec | str, select: str | None = None, dense: bool = False) -> str:
     spec = PRESETS[spec] if isinstance(spec, str) else spec
     norm = "SELECT n FROM g_n" if spec.scale == "pages" else "SELECT count(*) FROM g_nodes"
     ctes, final = rank_ctes(spec, norm)
     select = select or f"SELECT node, round(rank, {DIGITS}) AS rank FROM {final}"
-    return with_graph(select.replace("{final}", final), ctes)
+    return with_graph(select.replace("{final}", final), ctes, dense=dense)
 
 
 def _topk(spec: str, k: int = TOP_K) -> str:
@@ -292,6 +297,7 @@ FROM c_w w JOIN c0 r ON r.node = w.src GROUP BY w.dst""",
     q["pagerank_matrix_col_once"] = rank_sql("matrix_col_once")
     q["pagerank_unnormalised"] = rank_sql("unnormalised")
     q["pagerank_list_exact"] = rank_sql("list_exact")
+    q["pagerank_dense"] = rank_sql("total", dense=True)
     q["pagerank_unnormalised_phantom"] = rank_sql("unnormalised_phantom")
     q["topk"] = _topk("total")
     q["topk_distinct_ranks"] = _topk_distinct("total")

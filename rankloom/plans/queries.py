@@ -32,6 +32,13 @@ def _rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select("node", F.round("rank", digits).alias("rank"))
 
 
+def pagerank_dense(spark, sf_dir):
+    """The flagship recurrence on the dense part-follow graph: every line item links to the
+    next one of its order (no flag filters), i.e. the whole lineitem table."""
+    g = part_follow_graph(spark, sf_dir, returnflag=None, linestatus=None)
+    return _rounded(R.pagerank(g, "total"))
+
+
 def rank_query(preset: str) -> Query:
     return lambda spark, sf_dir: _rounded(_ranked(spark, sf_dir, preset))
 
@@ -231,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "pagerank_matrix_col_once": rank_query("matrix_col_once"),
     "pagerank_unnormalised": rank_query("unnormalised"),
     "pagerank_list_exact": rank_query("list_exact"),
+    "pagerank_dense": pagerank_dense,
     "pagerank_unnormalised_phantom": rank_query("unnormalised_phantom"),
     "topk": topk,
     "topk_distinct_ranks": topk_distinct_ranks,
