@@ -68,6 +68,9 @@ def next_in_group(
     (NULL for a group's last row).  Rows with equal order keys may come in any order; the
     result is the same either way because tied rows are interchangeable for ``value``
     exactly when ``value`` is part of ``order`` (as it is for the graph derivation).
+    Give ``order`` a unique, deterministic tie-breaker (e.g. file path and row index): the
+    range shuffle can then split even identical keys, and a re-run task reproduces its rows'
+    positions exactly.
 
     ``max_rows`` is an upper bound on the rows of ``df`` if the caller knows one cheaply
     (e.g. a parquet footer count): no group can be hot when it is at most ``hot_rows``,
@@ -83,14 +86,14 @@ def next_in_group(
         return df.withColumn(out, F.lead(value).over(w))
     hot_side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     normal = df.join(hot_side, key, "left_anti").withColumn(out, F.lead(value).over(w))
-    heavy = df.join(hot_side, key, "left_semi").withColumn("_tb", F.monotonically_increasing_id())
-    numbered = dense_index(heavy, [key, *order, "_tb"], id_col="_pos")
+    heavy = df.join(hot_side, key, "left_semi")
+    numbered = dense_index(heavy, [key, *order], id_col="_pos")
     following = numbered.select(
         (F.col("_pos") - 1).alias("_pos"), F.col(key).alias("_nkey"), F.col(value).alias("_nval")
     )
     heavy_out = (
         numbered.join(following, "_pos", "left")
         .withColumn(out, F.when(F.col("_nkey") == F.col(key), F.col("_nval")))
-        .drop("_pos", "_nkey", "_nval", "_tb")
+        .drop("_pos", "_nkey", "_nval")
     )
     return normal.unionByName(heavy_out)

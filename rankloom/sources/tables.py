@@ -46,10 +46,20 @@ def part_follow_graph(
         items = items.where(F.col("l_linestatus") == linestatus)
     # next line item of the same order; an order with a huge number of lines is split
     # over many tasks instead of forming one window partition
-    lines = items.select("l_orderkey", "l_linenumber", "l_partkey")
+    # file and row position: a unique, deterministic tie-breaker for equal (line, part)
+    # keys - it cannot change the result (tied rows have the same part) but lets a hot
+    # order be split anywhere and keeps recomputed tasks identical
+    lines = items.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.xxhash64("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+    )
     followed = next_in_group(
-        lines, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey", out="next_partkey",
-        hot_rows=hot_rows, max_rows=lineitem.count(),  # footer-only count bounds every order
+        lines, "l_orderkey", ["l_linenumber", "l_partkey", "_file", "_row"], "l_partkey",
+        out="next_partkey", hot_rows=hot_rows,
+        max_rows=lineitem.count(),  # footer-only count bounds every order
     )
     links = followed.select(
         F.col("l_partkey").cast("string").alias("src"),
