@@ -146,6 +146,18 @@ class RankModel:
         return scoped_shuffle_partitions(self.weights.sparkSession, self.buckets)
 
 
+def _metrics(observation: Observation, fallback) -> dict:
+    """Observed metrics of the last action, or ``fallback()`` (a job computing the same
+    aggregates) when there are none - an action over zero partitions reports no row."""
+    try:
+        got = observation.get
+        if got:
+            return got
+    except Exception:
+        pass
+    return fallback()
+
+
 def _phantom_pairs(g: Graph, pairs: DataFrame) -> DataFrame:
     """``(page, NULL, 1)`` for every page without links (the RDD program's ``[null]`` group)."""
     lonely = g.pages.join(pairs.select(F.col("src").alias("node")).distinct(), "node", "left_anti")
@@ -178,7 +190,7 @@ def prepare(
         .observe(counted_pairs, F.count(F.lit(1)).alias("n"))
         .checkpoint(eager=True)
     )
-    n_pairs = counted_pairs.get["n"]
+    n_pairs = _metrics(counted_pairs, lambda: {"n": pairs.count()})["n"]
     if buckets is None:
         buckets = partitions_for(spark, n_pairs, LINK_ROW_BYTES)
     with scoped_shuffle_partitions(spark, buckets):
@@ -250,14 +262,14 @@ def _build(
         nodes = nodes.withColumn("nsalt", F.lit(1))
     in_start = F.lit(True) if spec.start == "nodes" else F.col("is_page")
     counted = Observation("nodes")
-    nodes = nodes.observe(
-        counted,
+    node_stats = [
         F.count(F.lit(1)).alias("nodes"),
         F.sum("lines").alias("page_lines"),  # page rows, duplicates included
         F.count(F.when(F.col("deg").isNull() & in_start, F.lit(1))).alias("start_dangling"),
-    ).drop("lines")
-    nodes = bucketed_table(nodes, ["node"], "nodes", buckets)
-    stats = counted.get
+    ]
+    table = bucketed_table(nodes.observe(counted, *node_stats).drop("lines"), ["node"], "nodes", buckets)
+    stats = _metrics(counted, lambda: nodes.agg(*node_stats).first().asDict())
+    nodes = table
 
     if spec.scale == "pages":
         norm = float(stats["page_lines"] or 0)
@@ -265,6 +277,7 @@ def _build(
         norm = float(stats["nodes"])
     else:
         norm = 1.0
+    norm = norm or 1.0  # empty graph: nothing to rank, keep the arithmetic defined
     model = RankModel(spec, nodes, weights, salted, norm, buckets)
     model.start_dangling = stats["start_dangling"]
     return model
@@ -426,10 +439,11 @@ def iterate(model: RankModel, state: DataFrame | None = None, iterations: int |
 def _iterate(model: RankModel, state: DataFrame | None, iterations: int | None) -> DataFrame:
     spec = model.spec
     n = spec.iterations if iterations is None else iterations
-    if state is None:
+    if state is None and model.start_dangling is not None:
         state = initial_ranks(model)
         stats = {"total": model.start_dangling * _start_value(model), "fixed": None}
     else:
+        state = state if state is not None else initial_ranks(model)
         stats = dangling_stats(state) if n and _needs_stats(spec, 1) else None
     for k in range(1, n + 1):
         new = sweep(model, state, k, mass=dangling_mass(model, stats, k))
@@ -440,7 +454,7 @@ def _iterate(model: RankModel, state: DataFrame | None, iterations: int | None)
         previous, state = state, bucketed_table(new, ["node"], f"rank{k}", model.buckets)
         if k > 1:  # the previous vector is no longer needed: free the shared folder
             drop_bucketed_table(state.sparkSession, previous)
-        stats = observed.get if observed is not None else None
+        stats = _metrics(observed, lambda: dangling_stats(state)) if observed is not None else None
     return state
 
 

@@ -81,3 +81,11 @@ def test_intermediate_vectors_are_removed(spark, fixture_graph):
     after = {t.name for t in spark.catalog.listTables() if t.name.startswith("rankloom_rank")}
     assert len(after - before) == 1  # only the final vector's table remains
     assert abs(sum(r["rank"] for r in final.collect()) - 1.0) < 1e-12
+
+
+def test_empty_graph(spark):
+    from rankloom.operators.graph import Graph
+
+    g = Graph(spark.createDataFrame([], "node string"), spark.createDataFrame([], "src string, dst string"))
+    for preset in ("total", "list", "unnormalised_phantom"):
+        assert R.pagerank(g, preset).count() == 0
