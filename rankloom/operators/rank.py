@@ -127,6 +127,7 @@ BROADCAST_ROWS = 1_000_000  # hub table rows above which the hub join is a shuff
 
 
 LINK_ROW_BYTES = 64  # rough width of one (src, dst, m) row, to size the bucket count
+KEYED_MIN_PAIRS = 5_000_000  # distinct links from which sweeps run on 64-bit node keys
 
 
 @dataclass
@@ -139,12 +140,28 @@ class RankModel:
     salted: bool
     norm: float
     buckets: int  # bucket count of every table of this model (and of its sweeps' shuffle)
+    keyed: bool = False  # node columns hold 64-bit keys; the node table maps them to names
     start_dangling: int | None = None  # dangling nodes holding a start value (observed)
 
     def scope(self):
         """Context in which shuffles line up with this model's buckets."""
         return scoped_shuffle_partitions(self.weights.sparkSession, self.buckets)
 
+    def named(self, df: DataFrame, *cols: str) -> DataFrame:
+        """Replace node keys in ``cols`` by node names (identity when not keyed).  The join
+        with the bucketed node table is co-partitioned for a vector bucketed on ``node``;
+        a NULL key (the phantom node) stays NULL."""
+        if not self.keyed:
+            return df
+        names = self.nodes.select("node", "name")
+        for c in cols:
+            df = (
+                df.join(names.withColumnRenamed("node", c), c, "left")
+                .drop(c)
+                .withColumnRenamed("name", c)
+            )
+        return df
+
 
 def _metrics(observation: Observation, fallback) -> dict:
     """Observed metrics of the last action, or ``fallback()`` (a job computing the same
@@ -173,12 +190,20 @@ def prepare(
     hub_fanout: int = HUB_FANOUT,
     broadcast_rows: int = BROADCAST_ROWS,
     buckets: int | None = None,
+    keys: str = "auto",
 ) -> RankModel:
     """Build the static frames (weighted edges and the node table) as bucketed tables.
 
     The raw links are read once: they are aggregated to distinct pairs with their
     multiplicity (partial aggregation, shuffled on the pair, so no single source can
     overload a task) and checkpointed; everything else is derived from that.
+
+    ``keys="hash"`` runs the sweeps on 64-bit keys (``xxhash64`` of the name) instead of
+    names: the edge table the sweeps scan shrinks to three longs per row and every join
+    and aggregation hashes longs.  The keys are checked to be collision-free first (one
+    aggregation over the distinct names); on any collision the names are used as keys,
+    so results are exact either way.  ``"auto"`` (default) hashes from ``KEYED_MIN_PAIRS``
+    distinct links on - below that the check and re-keying cost more than they save.
     """
     spark = g.edges.sparkSession
     checkpoint_dir(spark)
@@ -193,8 +218,27 @@ def prepare(
     n_pairs = _metrics(counted_pairs, lambda: {"n": pairs.count()})["n"]
     if buckets is None:
         buckets = partitions_for(spark, n_pairs, LINK_ROW_BYTES)
+    wanted = keys == "hash" or (keys == "auto" and n_pairs >= KEYED_MIN_PAIRS)
+    keyed = wanted and _keys_are_unique(g, pairs)
     with scoped_shuffle_partitions(spark, buckets):
-        return _build(g, spec, pairs, n_pairs, buckets, hub_fanout, broadcast_rows)
+        return _build(g, spec, pairs, n_pairs, buckets, hub_fanout, broadcast_rows, keyed)
+
+
+def _key(c):
+    """64-bit key of a node name; NULL stays NULL (the phantom node)."""
+    return F.when(c.isNotNull(), F.xxhash64(c))
+
+
+def _keys_are_unique(g: Graph, pairs: DataFrame) -> bool:
+    names = g.pages.select("node").unionByName(
+        pairs.where(F.col("dst").isNotNull()).select(F.col("dst").alias("node"))
+    )
+    clashes = (
+        names.groupBy(_key(F.col("node")).alias("k"))
+        .agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+        .where(F.col("lo") != F.col("hi"))
+    )
+    return clashes.limit(1).count() == 0
 
 
 def _build(
@@ -205,6 +249,7 @@ def _build(
     buckets: int,
     hub_fanout: int,
     broadcast_rows: int,
+    keyed: bool = False,
 ) -> RankModel:
     """Edge table and node table in ``buckets`` buckets (runs inside the shuffle scope).
 
@@ -215,6 +260,8 @@ def _build(
     if spec.edges == "distinct":
         pairs = pairs.withColumn("m", F.lit(1).cast("long"))
     links = pairs.unionByName(_phantom_pairs(g, pairs)) if spec.phantom else pairs
+    if keyed:
+        links = links.select(_key(F.col("src")).alias("src"), _key(F.col("dst")).alias("dst"), "m")
 
     # sources with more distinct targets than hub_fanout are split into nsalt buckets;
     # when there are no more pairs than hub_fanout in total, no source can qualify
@@ -254,6 +301,10 @@ def _build(
     nodes = flags.groupBy("node").agg(
         F.max("is_page").alias("is_page"), F.max("has_in").alias("has_in"), F.sum("lines").alias("lines")
     )
+    if keyed:
+        nodes = nodes.select(
+            _key(F.col("node")).alias("node"), F.col("node").alias("name"), "is_page", "has_in", "lines"
+        )
     nodes = nodes.join(deg, F.col("node") == F.col("src"), "left").drop("src")
     if salted:
         nodes = nodes.join(hub_side, F.col("node") == F.col("src"), "left").drop("src")
@@ -278,7 +329,7 @@ def _build(
     else:
         norm = 1.0
     norm = norm or 1.0  # empty graph: nothing to rank, keep the arithmetic defined
-    model = RankModel(spec, nodes, weights, salted, norm, buckets)
+    model = RankModel(spec, nodes, weights, salted, norm, buckets, keyed)
     model.start_dangling = stats["start_dangling"]
     return model
 
@@ -462,4 +513,9 @@ def pagerank(g: Graph, spec: RankSpec | str = "total", **prepare_kw) -> DataFram
     """Rank every node of the graph with the given recurrence: ``(node, rank)``."""
     spec = PRESETS[spec] if isinstance(spec, str) else spec
     model = prepare(g, spec, **prepare_kw)
-    return iterate(model).select("node", "rank")
+    return ranks(model, iterate(model))
+
+
+def ranks(model: RankModel, state: DataFrame) -> DataFrame:
+    """``(node, rank)`` with node names, from a vector of this model."""
+    return model.named(state.select("node", "rank"), "node")

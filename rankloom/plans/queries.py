@@ -135,17 +135,18 @@ def _matrix_start(spark, sf_dir) -> tuple[R.RankModel, DataFrame]:
 
 def initial_ranks(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    return _rounded(state)
+    return _rounded(R.ranks(model, state))
 
 
 def contributions(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    return R.contributions(model, state).select("src", "dst", F.round("c", 12).alias("c"))
+    contrib = R.contributions(model, state).select("src", "dst", F.round("c", 12).alias("c"))
+    return model.named(contrib, "src", "dst")
 
 
 def spmv_step(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    return R.gather(model, state).select("dst", F.round("c", 12).alias("c"))
+    return model.named(R.gather(model, state).select("dst", F.round("c", 12).alias("c")), "dst")
 
 
 def dangling_mass(spark, sf_dir):

@@ -34,3 +34,12 @@ def test_rank_sanity(g, preset):
     r = R.pagerank(g, preset).select(F.round("rank", 9).alias("r"))
     rows, total, top = r.agg(F.count("*"), F.round(F.sum("r"), 6), F.max("r")).first()
     assert (rows, total, top) == SANITY[preset]
+
+
+def test_hash_keys_match_name_keys_on_dense_graph(spark):
+    g = part_follow_graph(spark, "/root/testdata/sf0.001", returnflag=None, linestatus=None)
+    for preset in ("total", "list", "unnormalised_phantom"):
+        by_hash = {r["node"]: r["rank"] for r in R.pagerank(g, preset, keys="hash").collect()}
+        by_name = {r["node"]: r["rank"] for r in R.pagerank(g, preset, keys="name").collect()}
+        assert set(by_hash) == set(by_name)
+        assert all(abs(by_hash[n] - by_name[n]) < 1e-12 for n in by_name), preset

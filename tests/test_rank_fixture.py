@@ -55,7 +55,7 @@ def test_salted_hubs_give_the_same_ranks(fixture_graph):
     plain = ranks(fixture_graph, "total", 10)
     salted_model = R.prepare(fixture_graph, R.PRESETS["total"], hub_fanout=1)
     assert salted_model.salted
-    salted = {r["node"]: r["rank"] for r in R.iterate(salted_model).collect()}
+    salted = {r["node"]: r["rank"] for r in R.ranks(salted_model, R.iterate(salted_model)).collect()}
     assert set(plain) == set(salted)
     assert all(abs(plain[n] - salted[n]) < 1e-12 for n in plain)
 
@@ -89,3 +89,13 @@ def test_empty_graph(spark):
     g = Graph(spark.createDataFrame([], "node string"), spark.createDataFrame([], "src string, dst string"))
     for preset in ("total", "list", "unnormalised_phantom"):
         assert R.pagerank(g, preset).count() == 0
+
+
+def test_name_keys_and_hash_keys_agree(fixture_graph):
+    by_hash = ranks(fixture_graph, "unnormalised_phantom", 10, keys="hash")
+    model = R.prepare(fixture_graph, R.PRESETS["unnormalised_phantom"], keys="name")
+    assert not model.keyed
+    by_name = {r["node"]: r["rank"] for r in R.ranks(model, R.iterate(model)).collect()}
+    assert set(by_hash) == set(by_name) and all(abs(by_hash[n] - by_name[n]) < 1e-12 for n in by_hash)
+    assert R.prepare(fixture_graph, R.PRESETS["total"], keys="hash").keyed
+    assert not R.prepare(fixture_graph, R.PRESETS["total"]).keyed  # auto: small graph, names
