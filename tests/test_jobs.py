@@ -32,3 +32,15 @@ def test_series_job(spark, tmp_path):
     src.write_text(READINGS)
     jobs.station_series(spark, str(src), str(tmp_path / "out"))
     assert sorted(_lines(str(tmp_path / "out"))) == EXPECTED
+
+
+def test_command_line(spark, tmp_path):
+    src = tmp_path / "r.csv"
+    src.write_text(READINGS)
+    jobs.main(["series", str(src), str(tmp_path / "cli")])
+    assert sorted(_lines(str(tmp_path / "cli"))) == EXPECTED
+    pages = tmp_path / "pages.txt"
+    pages.write_text("\n".join(LINES) + "\n")
+    jobs.main(["rank", str(pages), str(tmp_path / "rank"), "--preset", "list", "--k", "3"])
+    top = [line.split("\t")[0] for line in _lines(str(tmp_path / "rank" / "top3"))]
+    assert len(top) == 3 and set(top) <= {"A", "F", "K", "B", "C", "GH"}
