@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.session import checkpoint_dir, shuffle_partitions
+from rankloom.session import checkpoint_dir
 
 HOT_GROUP_ROWS = 1_000_000  # group size above which a group takes the split path
 BROADCAST_ROWS = 1_000_000  # hot-key table rows above which it is joined by shuffle
@@ -30,9 +30,10 @@ def dense_index(df: DataFrame, order: list[str], id_col: str = "id", start: int
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    parts = shuffle_partitions(spark)
+    # no explicit count: adaptive execution may merge adjacent ranges (still ordered), and
+    # the partition ids and positions below are taken after that
     ranged = (
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id())
