@@ -68,3 +68,9 @@ def test_secondary_sort_is_one_range_exchange(spark):
     df = S.secondary_sort(S.measure_readings(lineitem_readings(spark, "/root/testdata/sf0.001")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan
+
+
+def test_secondary_sort_output_is_ordered(spark):
+    df = S.secondary_sort(S.measure_readings(lineitem_readings(spark, "/root/testdata/sf0.001")))
+    keys = [(r["station"], r["year"]) for r in df.select("station", "year").collect()]
+    assert keys == sorted(keys)

@@ -38,3 +38,8 @@ def test_skip_first_drops_top_row_only_when_k_plus_one_rows(fixture_graph):
 def test_top_k_plans_as_take_ordered(fixture_graph):
     plan = T.top_k(_s10(fixture_graph))._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_top_k_distinct_pre_aggregates(fixture_graph):
+    plan = T.top_k_distinct(_s10(fixture_graph))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "TakeOrderedAndProject" in plan
