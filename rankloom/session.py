@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,3 +142,29 @@ def drop_bucketed_table(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
     except Exception:  # no JVM access (Spark Connect): leave the files to the folder's lifecycle
         pass
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Functions passed to ``mapInArrow`` and the like are pickled by reference, so a worker
+    must be able to import the package; where it is only on the driver's path (a job started
+    from a checkout, a notebook) it is sent as a zip file with ``addPyFile``.  Clusters that
+    install the package, or pass it with ``--py-files``, lose nothing by this.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="rankloom-code-"), "rankloom.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(home)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
