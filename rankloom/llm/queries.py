@@ -11,10 +11,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import packing, quality_rules, simhash_cover, spaced_seeds, suffix_dedup
+from rankloom.llm import (
+    interpolation_lm,
+    packing,
+    quality_qda,
+    quality_rules,
+    simhash_cover,
+    spaced_seeds,
+    suffix_dedup,
+    toxicity_nnpu,
+    url_filter,
+    wordpiece_counts,
+)
 from rankloom.llm._work import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", threshold=0.3)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = quality_rules.line_verdicts(table(spark, sf_dir, "documents"))
     return v.select(
@@ -29,6 +44,18 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return pairs.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.min("length").alias("window"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_nnpu.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", threshold=0.5)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece_counts.count_pieces(table(spark, sf_dir, "documents"), packing.vocabulary("word_bpe_49k.json"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.span_digest(table(spark, sf_dir, "documents"), length=200, keep="none")
 
@@ -42,10 +69,23 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.labelled_table(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_quality_rules": op2_quality_rules,
-    "op3_benchmark_decontamination": op3_benchmark_decontamination,
-    "op7_suffix_dedup": op7_suffix_dedup,
-    "op8_best_fit_packing": op8_best_fit_packing,
-    "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op2_quality_rules,
+        op3_benchmark_decontamination,
+        op4_toxicity,
+        op5_token_counts,
+        op6_lm_scoring,
+        op7_suffix_dedup,
+        op8_best_fit_packing,
+        op9_simhash_near_dedup,
+        op10_url_filter,
+    )
 }
