@@ -7,7 +7,6 @@ Sub-packages:
 * ``functions`` - Column-level helpers (regexes, decoding, lenient number parsing, text rendering)
 * ``operators`` - link extraction, graph tables, the rank sweep engine, top-k, per-station series
 * ``plans``     - the named queries registered in ``__spark_entry__`` and their DuckDB oracles
-* ``streaming`` - intentionally empty (the workload is batch only)
 """
 
 from rankloom.session import checkpoint_dir, shuffle_partitions

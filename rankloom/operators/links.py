@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.fixed import BODY_DIV_ID, HREF_PATTERN, LINK_PATTERN
-from rankloom.functions.text import decode_link, link_capture, page_name_ok
+from rankloom.functions.text import decode_link, link_capture, page_name_ok, strip_whitespace
+from rankloom.session import materialise, ship_package
 
 MODES = ("strict", "lenient")
 
@@ -41,32 +42,29 @@ def url_decode(link: str) -> str:
 
 
 class _BodyLinks(xml.sax.handler.ContentHandler):
-    """Collects link names of anchors nested (at any depth) in the body div."""
+    """Link names of the anchors that have a body div among their ancestors.
+
+    ``path`` tells, for every open element, whether it is a body div or lies in one; nested
+    and repeated body divs need no special case.
+    """
 
     def __init__(self) -> None:
         super().__init__()
-        self.depth = 0
+        self.path: list[bool] = []
         self.links: list[str] = []
 
     def startElement(self, name, attrs):  # noqa: N802 (SAX API)
+        within = bool(self.path) and self.path[-1]
         tag = name.lower()
-        if self.depth == 0:
-            if tag == "div" and (attrs.get("id") or "").lower() == BODY_DIV_ID.lower():
-                self.depth = 1
-            return
-        self.depth += 1
-        if tag != "a":
-            return
-        href = attrs.get("href")
-        if href is None:
-            return
-        m = _LINK_RE.search(url_decode(href))
-        if m:
-            self.links.append(m.group(1))
+        if within and tag == "a" and attrs.get("href") is not None:
+            found = _LINK_RE.search(url_decode(attrs.get("href")))
+            if found:
+                self.links.append(found.group(1))
+        is_body = tag == "div" and (attrs.get("id") or "").lower() == BODY_DIV_ID.lower()
+        self.path.append(within or is_body)
 
     def endElement(self, name):  # noqa: N802 (SAX API)
-        if self.depth > 0:
-            self.depth -= 1
+        self.path.pop()
 
 
 def strict_links(html: str) -> list[str] | None:
@@ -81,7 +79,7 @@ def strict_links(html: str) -> list[str] | None:
     source.setCharacterStream(io.StringIO(html))
     try:
         reader.parse(source)
-    except Exception:  # any parse error discards the page
+    except xml.sax.SAXException:  # not well-formed: not a page
         return None
     return handler.links
 
@@ -107,24 +105,32 @@ def lenient_links(html):
 def extract_links(pages: DataFrame, mode: str = "strict", dedupe: bool = True) -> DataFrame:
     """(name, html) -> (name, links).  Names with '~' and malformed pages (strict) are dropped.
 
-    With ``dedupe`` a name that occurs on several lines keeps one of its link lists,
-    chosen deterministically (smallest html hash); only (hash, links) is shuffled, never
-    the html itself.
+    Whitespace is stripped from the names first (a name that becomes empty is no page).  With
+    ``dedupe`` a name that occurs on several lines keeps one of its link lists, the one with
+    the smallest html hash: the winning hash per name is a hash aggregate over two short
+    columns, joined back to the written lists; only names that repeat go through one
+    more exchange.  Lines with the same name and html are one page.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    named = pages.where(page_name_ok("name")).select(
-        "name", "html", F.xxhash64("html").alias("h")
+    named = (
+        pages.where(page_name_ok("name"))
+        .select(strip_whitespace("name").alias("name"), "html", F.xxhash64("html").alias("h"))
+        .where("name != ''")
     )
     if mode == "lenient":
         adj = named.select("name", "h", lenient_links(F.col("html")).alias("links"))
     else:
+        ship_package(pages.sparkSession)
         adj = named.mapInPandas(_strict_batches, "name string, h long, links array<string>")
     if not dedupe:
         return adj.select("name", "links")
-    return adj.groupBy("name").agg(F.min(F.struct("h", "links")).alias("p")).select(
-        "name", F.col("p.links").alias("links")
-    )
+    adj = materialise(adj, "adjacency")  # each page is parsed once, whatever reads the lists
+    best = adj.groupBy("name").agg(F.min("h").alias("best"), F.count(F.lit(1)).alias("lines"))
+    joined = adj.join(best, "name").where(F.col("h") == F.col("best"))
+    once = joined.where(F.col("lines") == 1).select("name", "links")
+    again = joined.where(F.col("lines") > 1).dropDuplicates(["name"]).select("name", "links")
+    return once.unionByName(again)
 
 
 def page_hrefs(pages: DataFrame, id_col: str = "page_id") -> DataFrame:

@@ -20,15 +20,15 @@ Physical layout (what makes it scale):
   vector, node table and edges are therefore co-partitioned, the plan stays one sweep
   deep, and a lost executor only costs the current sweep (the inputs are files in the
   shared checkpoint folder).
-* The bucket count follows the data (AQE's coalescing rule, capped by
-  ``spark.sql.shuffle.partitions``) and the sweeps run with the shuffle width scoped to
-  it, so the one shuffle per sweep lands directly in the buckets of the node table.
+* The bucket count follows the bytes of the links (AQE's coalescing rule, without a cap)
+  and the sweeps run with the shuffle width scoped to it, so the one shuffle per sweep lands directly in the buckets of the node table.
 * The dangling mass the next sweep needs is observed (``DataFrame.observe``) while the
   current vector is written: no extra job, and it enters the next sweep as a literal.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation
@@ -126,8 +126,7 @@ HUB_FANOUT = 1_000_000  # links of one source per bucket before the source is sp
 BROADCAST_ROWS = 1_000_000  # hub table rows above which the hub join is a shuffle join
 
 
-LINK_ROW_BYTES = 64  # rough width of one (src, dst, m) row, to size the bucket count
-KEYED_MIN_PAIRS = 5_000_000  # distinct links from which sweeps run on 64-bit node keys
+LINK_ROW_BYTES = 48  # width of one (src, dst, m) row besides the names, to size the bucket count
 
 
 @dataclass
@@ -166,13 +165,7 @@ class RankModel:
 def _metrics(observation: Observation, fallback) -> dict:
     """Observed metrics of the last action, or ``fallback()`` (a job computing the same
     aggregates) when there are none - an action over zero partitions reports no row."""
-    try:
-        got = observation.get
-        if got:
-            return got
-    except Exception:
-        pass
-    return fallback()
+    return observation.get or fallback()
 
 
 def _phantom_pairs(g: Graph, pairs: DataFrame) -> DataFrame:
@@ -190,7 +183,7 @@ def prepare(
     hub_fanout: int = HUB_FANOUT,
     broadcast_rows: int = BROADCAST_ROWS,
     buckets: int | None = None,
-    keys: str = "auto",
+    keys: str = "name",
 ) -> RankModel:
     """Build the static frames (weighted edges and the node table) as bucketed tables.
 
@@ -202,24 +195,26 @@ def prepare(
     names: the edge table the sweeps scan shrinks to three longs per row and every join
     and aggregation hashes longs.  The keys are checked to be collision-free first (one
     aggregation over the distinct names); on any collision the names are used as keys,
-    so results are exact either way.  ``"auto"`` (default) hashes from ``KEYED_MIN_PAIRS``
-    distinct links on - below that the check and re-keying cost more than they save.
+    so results are exact either way.  The default is ``"name"`` at every size.
     """
     spark = g.edges.sparkSession
     checkpoint_dir(spark)
 
     counted_pairs = Observation("pairs")
+    name_bytes = F.octet_length("src") + F.coalesce(F.octet_length("dst"), F.lit(0))
+    pair_stats = [F.count(F.lit(1)).alias("n"), F.sum(name_bytes).alias("bytes")]
     pairs = (
         g.edges.groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("m"))
-        .observe(counted_pairs, F.count(F.lit(1)).alias("n"))
+        .observe(counted_pairs, *pair_stats)
         .checkpoint(eager=True)
     )
-    n_pairs = _metrics(counted_pairs, lambda: {"n": pairs.count()})["n"]
+    counted = _metrics(counted_pairs, lambda: pairs.agg(*pair_stats).first().asDict())
+    n_pairs = counted["n"]
     if buckets is None:
-        buckets = partitions_for(spark, n_pairs, LINK_ROW_BYTES)
-    wanted = keys == "hash" or (keys == "auto" and n_pairs >= KEYED_MIN_PAIRS)
-    keyed = wanted and _keys_are_unique(g, pairs)
+        width = LINK_ROW_BYTES + math.ceil((counted["bytes"] or 0) / max(1, n_pairs))
+        buckets = partitions_for(spark, n_pairs, width)
+    keyed = keys == "hash" and _keys_are_unique(g, pairs)
     with scoped_shuffle_partitions(spark, buckets):
         return _build(g, spec, pairs, n_pairs, buckets, hub_fanout, broadcast_rows, keyed)
 
@@ -516,6 +511,22 @@ def pagerank(g: Graph, spec: RankSpec | str = "total", **prepare_kw) -> DataFram
     return ranks(model, iterate(model))
 
 
+def scaled_ranks(g: Graph, spec: RankSpec | str = "total", digits: int = 9, **prepare_kw) -> DataFrame:
+    """``(node, rank, rank_n)``: ``rank_n`` is the rank in units of the normaliser,
+    ``round(rank * n, digits)``.
+
+    Ranks shrink as 1/n, so a fixed number of decimals means less the larger the graph is;
+    ``rank_n`` does not shrink, which makes it the value to compare, order and print."""
+    spec = PRESETS[spec] if isinstance(spec, str) else spec
+    model = prepare(g, spec, **prepare_kw)
+    return scaled(model, iterate(model), digits)
+
+
+def scaled(model: RankModel, state: DataFrame, digits: int = 9) -> DataFrame:
+    """``(node, rank, rank_n)`` of a vector of this model, see :func:`scaled_ranks`."""
+    return ranks(model, state).withColumn("rank_n", F.round(F.col("rank") * F.lit(model.norm), digits))
+
+
 def ranks(model: RankModel, state: DataFrame) -> DataFrame:
     """``(node, rank)`` with node names, from a vector of this model."""
     return model.named(state.select("node", "rank"), "node")

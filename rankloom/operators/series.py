@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.fixed import MEASURE_MAX, MEASURE_MIN, MISSING_MEAN
 from rankloom.functions.text import java_double_text, lenient_double, year_prefix
+from rankloom.operators.ordered import dense_index
 
 
 def measure_readings(readings: DataFrame) -> DataFrame:
     """Keep TMIN/TMAX rows (exact case); year = first 4 date chars, value parsed leniently."""
-    # equality tests (not IN) so that Catalyst can fold them through a CASE that derives
-    # mtype upstream and push the result into the scan
     kept = (F.col("mtype") == MEASURE_MAX) | (F.col("mtype") == MEASURE_MIN)
     return readings.where(kept).select(
         "station",
@@ -38,6 +37,12 @@ def secondary_sort(readings: DataFrame) -> DataFrame:
     return readings.orderBy("station", "year", "mtype", "value")
 
 
+def sorted_positions(readings: DataFrame) -> DataFrame:
+    """The readings with their position 1..n in (station, year, mtype, value) order: one range
+    shuffle, per-partition counts, no window over all rows."""
+    return dense_index(readings, ["station", "year", "mtype", "value"], "pos")
+
+
 def yearly_sums(readings: DataFrame) -> DataFrame:
     """(station, year, sum/count of TMIN, sum/count of TMAX); unparsable values skipped."""
     r = measure_readings(readings)

@@ -1,5 +1,9 @@
 """Top-k reports.  All three forms plan as ``TakeOrderedAndProject`` (per-task partial
-top-k, then a merge of at most k rows per task) - nothing is collected or fully sorted."""
+top-k, then a merge of at most k rows per task) - nothing is collected or fully sorted.
+
+Give them a value that keeps its size when the graph grows (``rank_n`` of
+:func:`rankloom.operators.rank.scaled_ranks`): ``digits`` rounds on an absolute grid, which
+would make one tie of all ranks below it."""
 
 from __future__ import annotations
 
@@ -21,11 +25,11 @@ def top_k(
 
 
 def top_k_distinct(
-    df: DataFrame, k: int = TOP_K, value: str = "rank", key: str = "node", digits: int | None = 9
+    df: DataFrame, k: int = TOP_K, value: str = "rank", key: str = "node", digits: int | None = None
 ) -> DataFrame:
     """The k largest DISTINCT values; a tie collapses to the greatest key.
 
-    ``digits`` rounds first so that values one ulp apart count as one value.  The group-by
+    With rounded values, those one ulp apart count as one.  The group-by
     is partially aggregated map-side before its shuffle.
     """
     collapsed = (

@@ -15,7 +15,16 @@ from rankloom.functions.fixed import (
     TOP_K,
 )
 from rankloom.operators.rank import PRESETS, RankSpec
-from rankloom.sources.tables import LINK_LINESTATUS, LINK_RETURNFLAG, MAX_PAGE_SIZE
+from rankloom.sources.tables import (
+    LINK_ESCAPED_LINE,
+    LINK_LINESTATUS,
+    LINK_OUTSIDE_LINE,
+    LINK_RETURNFLAG,
+    MAX_PAGE_SIZE,
+    PAGE_BROKEN_EVERY,
+    PAGE_SECOND_EVERY,
+    PAGE_TILDE_EVERY,
+)
 
 DIGITS = 9
 
@@ -24,6 +33,35 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# what the strict extraction must find in the rendered pages, from the rule that renders them
+STRICT_CTES = f"""
+s_pages AS (
+  SELECT p_partkey AS part, 'P' || CAST(p_partkey AS VARCHAR) AS name FROM part
+  WHERE p_partkey % {PAGE_TILDE_EVERY} <> 0 AND p_partkey % {PAGE_BROKEN_EVERY} <> 0
+),
+s_anchors AS (
+  SELECT l_partkey AS part, 0 AS div, l_orderkey AS o, l_linenumber AS n, l_suppkey AS s,
+         CASE WHEN l_linenumber = {LINK_ESCAPED_LINE} THEN 'P ' ELSE 'P' END || CAST(l_suppkey AS VARCHAR) AS link
+  FROM lineitem WHERE l_linenumber <> {LINK_OUTSIDE_LINE}
+  UNION ALL SELECT part, 1, 0, 0, 0, 'Second' FROM s_pages WHERE part % {PAGE_SECOND_EVERY} = 0
+),
+s_links AS (
+  SELECT p.name, CAST(row_number() OVER (PARTITION BY a.part ORDER BY div, o, n, s, link) - 1 AS INTEGER) AS pos, a.link
+  FROM s_pages p JOIN s_anchors a ON a.part = p.part
+)"""
+
+STRICT_GRAPH = f"""{STRICT_CTES},
+g_pages AS (SELECT name AS node FROM s_pages),
+g_edges AS (SELECT name AS src, replace(link, ' ', '') AS dst FROM s_links),
+g_nodes AS (
+  SELECT node, bool_or(is_page) AS is_page, bool_or(has_in) AS has_in FROM (
+    SELECT node, true AS is_page, false AS has_in FROM g_pages
+    UNION ALL SELECT dst, false, true FROM g_edges
+  ) GROUP BY node
+),
+g_n AS (SELECT count(*) AS n FROM g_pages)"""
+
+
 def graph_ctes(dense: bool = False) -> str:
     """Graph G, its node table and its link multiplicities (``dense``: no line-item filters)."""
     item_filter = (
@@ -138,38 +176,37 @@ def rank_ctes(spec: RankSpec, norm_sql: str, prefix: str = "r") -> tuple[str, st
     return ",\n".join(parts), f"{prefix}{spec.iterations}"
 
 
-def rank_sql(spec: RankSpec | str, select: str | None = None, dense: bool = False) -> str:
+def rank_sql(spec: RankSpec | str, select: str | None = None, dense: bool = False, graph: str | None = None) -> str:
     spec = PRESETS[spec] if isinstance(spec, str) else spec
     norm = "SELECT n FROM g_n" if spec.scale == "pages" else "SELECT count(*) FROM g_nodes"
     ctes, final = rank_ctes(spec, norm)
-    select = select or f"SELECT node, round(rank, {DIGITS}) AS rank FROM {final}"
-    return with_graph(select.replace("{final}", final), ctes, dense=dense)
+    # the reported value: the rank in units of the normaliser
+    n = "1" if spec.scale == "unit" else f"CAST(({norm}) AS DOUBLE)"
+    ctes += f",\nreported AS (SELECT node, round(rank * {n}, {DIGITS}) AS rank_n FROM {final})"
+    select = select or "SELECT node, rank_n FROM reported"
+    return f"WITH {graph},\n{ctes}\n{select}" if graph else with_graph(select, ctes, dense=dense)
 
 
-def _topk(spec: str, k: int = TOP_K) -> str:
+def _topk(spec: str, k: int = TOP_K, graph: str | None = None) -> str:
     return rank_sql(
-        spec,
-        f"SELECT node, round(rank, {DIGITS}) AS rank FROM {{final}} "
-        f"ORDER BY round(rank, {DIGITS}) DESC, node ASC NULLS LAST LIMIT {k}",
+        spec, f"SELECT node, rank_n FROM reported ORDER BY rank_n DESC, node ASC NULLS LAST LIMIT {k}", graph=graph
     )
 
 
 def _topk_distinct(spec: str, k: int = TOP_K) -> str:
     return rank_sql(
         spec,
-        f"SELECT max(node) AS node, round(rank, {DIGITS}) AS rank FROM {{final}} "
-        f"GROUP BY round(rank, {DIGITS}) ORDER BY rank DESC LIMIT {k}",
+        f"SELECT max(node) AS node, rank_n FROM reported GROUP BY rank_n ORDER BY rank_n DESC LIMIT {k}",
     )
 
 
 def _topk_skip_first(spec: str, k: int = TOP_K) -> str:
     return rank_sql(
         spec,
-        f"""SELECT node, rank FROM (
-  SELECT node, rank, row_number() OVER (ORDER BY rank DESC, node ASC NULLS LAST) AS pos,
+        f"""SELECT node, rank_n FROM (
+  SELECT node, rank_n, row_number() OVER (ORDER BY rank_n DESC, node ASC NULLS LAST) AS pos,
          count(*) OVER () AS cnt
-  FROM (SELECT node, round(rank, {DIGITS}) AS rank FROM {{final}}
-        ORDER BY round(rank, {DIGITS}) DESC, node ASC NULLS LAST LIMIT {k + 1})
+  FROM (SELECT node, rank_n FROM reported ORDER BY rank_n DESC, node ASC NULLS LAST LIMIT {k + 1})
 ) WHERE pos > 1 OR cnt <= {k}""",
     )
 
@@ -229,6 +266,10 @@ def oracle_sql() -> dict[str, str]:
   SELECT page_id, regexp_extract('.' || regexp_extract(url, 'https?://[^/]+(/[^?#]*)', 1), {_q(LINK_PATTERN)}, 1) AS name
   FROM pages
 ) WHERE name <> ''"""
+    q["links_strict"] = f"""WITH {STRICT_CTES}
+SELECT p.name, l.pos, l.link FROM s_pages p LEFT JOIN s_links l ON l.name = p.name"""
+    # no given page is well-formed XML, so none may be kept
+    q["links_strict_raw"] = "SELECT url AS name, CAST(0 AS INTEGER) AS n_links FROM pages WHERE false"
     # --- G: graph tables ------------------------------------------------------------
     q["edges"] = with_graph("SELECT src, dst FROM g_edges")
     q["edges_distinct"] = with_graph("SELECT DISTINCT src, dst FROM g_edges")
@@ -254,6 +295,10 @@ SELECT node, CAST(NULL AS VARCHAR), CAST(0 AS BIGINT) FROM g_pages WHERE node NO
 FROM g_pairs p JOIN (SELECT src, sum(m) AS deg FROM g_pairs GROUP BY src) d ON d.src = p.src"""
     )
     q["matrix_rows"] = with_graph(
+        """SELECT p.dst, p.src, p.m / d.deg AS w, row_number() OVER (ORDER BY p.dst, p.src) AS pos
+FROM g_pairs p JOIN (SELECT src, sum(m) AS deg FROM g_pairs GROUP BY src) d ON d.src = p.src"""
+    )
+    q["matrix_row_summary"] = with_graph(
         """SELECT dst, count(*) AS nnz, round(sum(w), 9) AS in_weight
 FROM (SELECT p.dst, p.src, p.m / d.deg AS w
       FROM g_pairs p JOIN (SELECT src, sum(m) AS deg FROM g_pairs GROUP BY src) d ON d.src = p.src)
@@ -265,11 +310,11 @@ GROUP BY dst"""
 FROM g_pairs p JOIN ({_alias_sql()}) a ON a.node = p.src JOIN ({_alias_sql()}) b ON b.node = p.dst"""
     )
     q["initial_ranks"] = with_graph(
-        f"SELECT node, round(CAST(1.0 AS DOUBLE) / (SELECT n FROM g_n), {DIGITS}) AS rank FROM g_nodes"
+        f"SELECT node, round(CAST(1.0 AS DOUBLE) / (SELECT n FROM g_n) * (SELECT n FROM g_n), {DIGITS}) AS rank_n FROM g_nodes"
     )
+    ctes, final = rank_ctes(PRESETS["list_exact"].with_(iterations=1), "SELECT n FROM g_n", prefix="x")
     q["dangling_mass"] = with_graph(
-        f"""SELECT round(coalesce(sum(CAST(1.0 AS DOUBLE) / (SELECT n FROM g_n)), 0) / (SELECT n FROM g_n), 12) AS mass
-FROM g_pages WHERE node NOT IN (SELECT src FROM g_edges)"""
+        f"SELECT round(coalesce(sum(rank), 0), {DIGITS}) AS total FROM {final} WHERE deg IS NULL", ctes
     )
     spec1 = PRESETS["list"].with_(iterations=1)
     ctes, final = rank_ctes(spec1, "SELECT n FROM g_n", prefix="d")
@@ -280,12 +325,12 @@ FROM {final} WHERE deg IS NULL""",
     )
     ctes, _ = rank_ctes(PRESETS["matrix_row"].with_(iterations=0), "SELECT n FROM g_n", prefix="c")
     q["contributions"] = with_graph(
-        f"""SELECT w.src, w.dst, round(r.rank / r.deg * w.m, 12) AS c
+        f"""SELECT w.src, w.dst, round(r.rank / r.deg * w.m * (SELECT n FROM g_n), 9) AS c_n
 FROM c_w w JOIN c0 r ON r.node = w.src""",
         ctes,
     )
     q["spmv_step"] = with_graph(
-        f"""SELECT w.dst, round(sum(r.rank / r.deg * w.m), 12) AS c
+        f"""SELECT w.dst, round(sum(r.rank / r.deg * w.m) * (SELECT n FROM g_n), 9) AS c_n
 FROM c_w w JOIN c0 r ON r.node = w.src GROUP BY w.dst""",
         ctes,
     )
@@ -300,12 +345,13 @@ FROM c_w w JOIN c0 r ON r.node = w.src GROUP BY w.dst""",
     q["pagerank_dense"] = rank_sql("total", dense=True)
     q["pagerank_unnormalised_phantom"] = rank_sql("unnormalised_phantom")
     q["topk"] = _topk("total")
+    q["rank_from_pages"] = _topk("list", graph=STRICT_GRAPH)
     q["topk_distinct_ranks"] = _topk_distinct("total")
     q["topk_skip_first"] = _topk_skip_first("unnormalised_phantom")
     # --- R: readings ----------------------------------------------------------------
     q["readings_filtered"] = with_readings("SELECT station, year, mtype, value FROM r_meas")
     q["secondary_sorted"] = with_readings(
-        "SELECT station, year, mtype, value FROM r_meas ORDER BY station, year, mtype, value"
+        """SELECT station, year, mtype, value, row_number() OVER (ORDER BY station, year, mtype, value) AS pos FROM r_meas"""
     )
     q["yearly_means"] = with_readings("SELECT station, year, mean_tmin, mean_tmax FROM r_means")
     q["year_breaks"] = with_readings(

@@ -2,7 +2,8 @@
 
 Inputs (see FIXTURES.md section 4): graph G (part-follow graph from part + lineitem),
 pages H (the ``pages`` table) and readings R (derived from lineitem).  Ranks are
-reported rounded to 9 decimals (sums run in a different order on every engine).
+reported in units of the normaliser, ``rank_n = round(rank * n, 9)`` (sums run in a
+different order on every engine): unlike the ranks these do not shrink with the graph.
 """
 
 from __future__ import annotations
@@ -18,29 +19,26 @@ from rankloom.operators import links as L
 from rankloom.operators import rank as R
 from rankloom.operators import series as S
 from rankloom.operators import topk as T
-from rankloom.sources.tables import lineitem_readings, part_follow_graph, read_table
+from rankloom.operators.ordered import dense_index
+from rankloom.sources.tables import lineitem_readings, page_lines, part_follow_graph, read_table
+from rankloom.sources.text import split_page_lines
 
-DIGITS = 9
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _ranked(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
-    return R.pagerank(part_follow_graph(spark, sf_dir), preset)
-
-
-def _rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select("node", F.round("rank", digits).alias("rank"))
+    return R.scaled_ranks(part_follow_graph(spark, sf_dir), preset).select("node", "rank_n")
 
 
 def pagerank_dense(spark, sf_dir):
     """The flagship recurrence on the dense part-follow graph: every line item links to the
     next one of its order (no flag filters), i.e. the whole lineitem table."""
     g = part_follow_graph(spark, sf_dir, returnflag=None, linestatus=None)
-    return _rounded(R.pagerank(g, "total"))
+    return R.scaled_ranks(g, "total").select("node", "rank_n")
 
 
 def rank_query(preset: str) -> Query:
-    return lambda spark, sf_dir: _rounded(_ranked(spark, sf_dir, preset))
+    return lambda spark, sf_dir: _ranked(spark, sf_dir, preset)
 
 
 # --- H: pages ---------------------------------------------------------------------------
@@ -62,11 +60,27 @@ def links_html_capture(spark, sf_dir):
     return pages.select("page_id", link_capture(path).alias("name")).where(F.col("name").isNotNull())
 
 
+def _strict(spark, sf_dir) -> DataFrame:
+    """Page lines -> (name, html) -> (name, links), pages that are no XML dropped."""
+    return L.extract_links(split_page_lines(page_lines(spark, sf_dir)), "strict")
+
+
 def links_strict(spark, sf_dir):
-    """Strict (well-formed XML, body-div) extraction over every page's whole html."""
+    """Strict (well-formed XML, body-div) extraction: every link with its place in the list;
+    a page without links has one row (name, NULL, NULL)."""
+    return _strict(spark, sf_dir).select("name", F.posexplode_outer("links").alias("pos", "link"))
+
+
+def links_strict_raw(spark, sf_dir):
+    """The same extraction over the given raw pages, none of which is well-formed XML."""
     pages = read_table(spark, sf_dir, "pages").select(F.col("url").alias("name"), "html")
-    adj = L.extract_links(pages, "strict")
-    return adj.select("name", F.size("links").alias("n_links"))
+    return L.extract_links(pages, "strict").select("name", F.size("links").alias("n_links"))
+
+
+def rank_from_pages(spark, sf_dir):
+    """Pages to report: lines -> strict links -> graph -> list recurrence -> top 100."""
+    g = G.adjacency_to_graph(_strict(spark, sf_dir))
+    return T.top_k(R.scaled_ranks(g, "list").select("node", "rank_n"), value="rank_n")
 
 
 # --- G: graph tables ---------------------------------------------------------------------
@@ -116,6 +130,11 @@ def transition_matrix(spark, sf_dir):
 
 
 def matrix_rows(spark, sf_dir):
+    """Row view of the matrix: every entry with its position in (dst, src) order."""
+    return dense_index(G.transition_matrix(_g(spark, sf_dir)), ["dst", "src"], "pos")
+
+
+def matrix_row_summary(spark, sf_dir):
     rows = G.matrix_row_summary(_g(spark, sf_dir))
     return rows.select("dst", "nnz", F.round("in_weight", 9).alias("in_weight"))
 
@@ -135,27 +154,28 @@ def _matrix_start(spark, sf_dir) -> tuple[R.RankModel, DataFrame]:
 
 def initial_ranks(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    return _rounded(R.ranks(model, state))
+    return R.scaled(model, state).select("node", "rank_n")
 
 
 def contributions(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    contrib = R.contributions(model, state).select("src", "dst", F.round("c", 12).alias("c"))
+    c_n = F.round(F.col("c") * F.lit(model.norm), 9).alias("c_n")
+    contrib = R.contributions(model, state).select("src", "dst", c_n)
     return model.named(contrib, "src", "dst")
 
 
 def spmv_step(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    return model.named(R.gather(model, state).select("dst", F.round("c", 12).alias("c")), "dst")
+    c_n = F.round(F.col("c") * F.lit(model.norm), 9).alias("c_n")
+    return model.named(R.gather(model, state).select("dst", c_n), "dst")
 
 
 def dangling_mass(spark, sf_dir):
-    """Mass of the dangling pages under the start vector 1/N, divided by N."""
-    g = _g(spark, sf_dir)
-    n = F.lit(float(G.n_pages(g)))
-    return G.dangling_pages(g).agg(
-        F.round(F.coalesce(F.sum(F.lit(1.0) / n), F.lit(0.0)) / n, 12).alias("mass")
-    )
+    """Rank total of the dangling nodes after one sweep of the exact list recurrence: the
+    mass that the next sweep spreads, summed over the vector itself."""
+    model = R.prepare(_g(spark, sf_dir), R.PRESETS["list_exact"])
+    totals = R.iterate(model, iterations=1).agg(*R.dangling_stats_exprs())
+    return totals.select(F.round("total", 9).alias("total"))
 
 
 def dangling_mass_fixed(spark, sf_dir):
@@ -167,15 +187,15 @@ def dangling_mass_fixed(spark, sf_dir):
 
 # --- G: reports --------------------------------------------------------------------------
 def topk(spark, sf_dir):
-    return T.top_k(_ranked(spark, sf_dir, "total"), digits=DIGITS)
+    return T.top_k(_ranked(spark, sf_dir, "total"), value="rank_n")
 
 
 def topk_distinct_ranks(spark, sf_dir):
-    return T.top_k_distinct(_ranked(spark, sf_dir, "total"), digits=DIGITS)
+    return T.top_k_distinct(_ranked(spark, sf_dir, "total"), value="rank_n")
 
 
 def topk_skip_first(spark, sf_dir):
-    return T.top_k_skip_first(_ranked(spark, sf_dir, "unnormalised_phantom"), digits=DIGITS)
+    return T.top_k_skip_first(_ranked(spark, sf_dir, "unnormalised_phantom"), value="rank_n")
 
 
 # --- R: readings -------------------------------------------------------------------------
@@ -188,7 +208,8 @@ def readings_filtered(spark, sf_dir):
 
 
 def secondary_sorted(spark, sf_dir):
-    return S.secondary_sort(S.measure_readings(_r(spark, sf_dir)))
+    """Readings in composite-key order, each with its position in it."""
+    return S.sorted_positions(S.measure_readings(_r(spark, sf_dir)))
 
 
 def yearly_means(spark, sf_dir):
@@ -214,6 +235,8 @@ QUERIES: dict[str, Query] = {
     "links_decoded": links_decoded,
     "links_html_capture": links_html_capture,
     "links_strict": links_strict,
+    "links_strict_raw": links_strict_raw,
+    "rank_from_pages": rank_from_pages,
     "edges": edges,
     "edges_distinct": edges_distinct,
     "page_count": page_count,
@@ -225,6 +248,7 @@ QUERIES: dict[str, Query] = {
     "dangling_nodes": dangling_nodes,
     "transition_matrix": transition_matrix,
     "matrix_rows": matrix_rows,
+    "matrix_row_summary": matrix_row_summary,
     "node_alias": node_alias,
     "edges_by_id": edges_by_id,
     "initial_ranks": initial_ranks,

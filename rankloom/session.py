@@ -60,8 +60,7 @@ def _bytes(text: str) -> int:
 
 
 def partitions_for(spark: SparkSession, rows: int, row_bytes: int) -> int:
-    """Partition count for ``rows`` rows of about ``row_bytes`` each, at most
-    ``spark.sql.shuffle.partitions``.
+    """Partition count for ``rows`` rows of about ``row_bytes`` each.
 
     This is the rule AQE's partition coalescing applies to ordinary shuffles, taken once
     for layouts that are pinned (bucketed) and therefore cannot be coalesced later: the
@@ -79,7 +78,14 @@ def partitions_for(spark: SparkSession, rows: int, row_bytes: int) -> int:
             parallelism = shuffle_partitions(spark)
         floor = _bytes(conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1MB"))
         target = max(min(math.ceil(total / parallelism), target), floor)
-    return max(1, min(shuffle_partitions(spark), math.ceil(total / target)))
+    n = max(1, math.ceil(total / target))
+    most = int(conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    if n > most:
+        raise ValueError(
+            f"{n} buckets are needed and spark.sql.sources.bucketing.maxBuckets is {most}: "
+            "raise it, or raise spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        )
+    return n
 
 
 @contextmanager
@@ -144,6 +150,15 @@ def drop_bucketed_table(spark: SparkSession, df: DataFrame) -> None:
         pass
 
 
+def materialise(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the checkpoint folder and return a scan of it: for
+    frames that are dear to compute and read more than once."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{tag}-{uuid.uuid4().hex[:16]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 

@@ -9,10 +9,12 @@ from rankloom.functions.text import java_double_text
 
 
 def write_key_value(df: DataFrame, key: str, value: str, path: str, mode: str = "overwrite") -> None:
-    """``key TAB value`` lines, one file per partition."""
-    df.select(F.col(key).cast("string"), java_double_text(value)).write.mode(mode).option(
-        "sep", "\t"
-    ).option("quote", "").csv(path)
+    """``key TAB value`` lines, one file per partition; a NULL key is written as ``null``.
+
+    Lines are rendered as text: a CSV writer would escape keys that are empty or start with
+    a comment character."""
+    line = F.concat_ws("\t", F.coalesce(F.col(key).cast("string"), F.lit("null")), java_double_text(value))
+    df.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def write_lines(df: DataFrame, text: str, path: str, mode: str = "overwrite") -> None:
@@ -34,5 +36,5 @@ def report_lines(topk: DataFrame, node: str = "node", rank: str = "rank") -> Dat
 
 def write_report(topk: DataFrame, path: str, node: str = "node", rank: str = "rank") -> None:
     """Report sink: the top-k rows as ``node rank`` lines in one file, in rank order."""
-    lines = report_lines(topk.orderBy(F.desc(rank), F.asc(node)), node, rank)
+    lines = report_lines(topk.orderBy(F.desc(rank), F.asc_nulls_last(node)), node, rank)
     write_single_file(lines, "value", path)

@@ -69,12 +69,54 @@ def part_follow_graph(
     return Graph(pages, normalise_edges(links))
 
 
-def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings R as text fields (station, date yyyymmdd, mtype, value)."""
+# fixed values of the rendered pages (shared with the SQL oracle)
+PAGE_TILDE_EVERY = 17  # names of these parts hold a "~"
+PAGE_BROKEN_EVERY = 13  # pages of these parts are not well-formed
+PAGE_SECOND_EVERY = 5  # pages of these parts have a second body div
+LINK_OUTSIDE_LINE = 7  # line items with this number link to another site
+LINK_ESCAPED_LINE = 6  # links of these hold an escaped blank
+
+
+def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name:html`` lines: every part as an XHTML page that links, in (order, line, supplier)
+    order, to the pages named after its line items' suppliers.
+
+    Every page has an anchor outside its body div; some have a second body div, some are not
+    well-formed and some have a name that is no page name.  One page is one row, so its
+    list is gathered per part, as a crawler would have stored it.
+    """
+    part = read_table(spark, sf_dir, "part").select("p_partkey")
+    items = read_table(spark, sf_dir, "lineitem")
+    supplier = F.col("l_suppkey").cast("string")
+    href = (
+        F.when(F.col("l_linenumber") == LINK_OUTSIDE_LINE, F.concat(F.lit("http://x/P"), supplier, F.lit(".html")))
+        .when(F.col("l_linenumber") == LINK_ESCAPED_LINE, F.concat(F.lit("./s/P%20"), supplier, F.lit(".html")))
+        .otherwise(F.concat(F.lit("../s/P"), supplier, F.lit(".html")))
+    )
+    anchor = F.concat(F.lit('<p><a href="'), href, F.lit('">x</a></p>'))
+    bodies = (
+        items.select("l_partkey", F.struct("l_orderkey", "l_linenumber", "l_suppkey", anchor.alias("a")).alias("s"))
+        .groupBy("l_partkey")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["a"]), "").alias("body"))
+    )
+    every = lambda n: F.col("p_partkey") % n == 0
+    second = F.when(every(PAGE_SECOND_EVERY), F.lit('<div id="BODYCONTENT"><a href="./s/Second.html"/></div>')).otherwise(F.lit(""))
+    line = F.concat(
+        F.lit("P"), F.col("p_partkey").cast("string"), F.when(every(PAGE_TILDE_EVERY), F.lit("~1")).otherwise(F.lit("")),
+        F.lit(':<html><body><a href="./s/Out.html">o</a><div id="bodyContent">'), F.coalesce("body", F.lit("")), F.lit("</div>"),
+        second, F.when(every(PAGE_BROKEN_EVERY), F.lit("<br>")).otherwise(F.lit("")), F.lit("</body></html>"),
+    )
+    return part.join(bodies, F.col("p_partkey") == F.col("l_partkey"), "left").select(line.alias("value"))
+
+
+def lineitem_readings(spark: SparkSession, sf_dir: str, measures_only: bool = True) -> DataFrame:
+    """Readings R as text fields (station, date yyyymmdd, mtype, value); ``measures_only``
+    reads only the line items that carry a measure (a predicate on the flag itself, which
+    the parquet scan can use; a filter on the derived ``mtype`` could not reach it)."""
     li = read_table(spark, sf_dir, "lineitem")
     flag = F.col("l_returnflag")
-    # one flat CASE with literal branches: Catalyst folds a later measure filter into a
-    # flag predicate that reaches the parquet scan
+    if measures_only:
+        li = li.where(flag.isin(*MEASURE_BY_FLAG))
     mtype = None
     for code, name in MEASURE_BY_FLAG.items():
         branch = flag == code
