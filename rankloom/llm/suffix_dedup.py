@@ -46,7 +46,7 @@ GRAM = 64
 PART = 4000
 AT = B.U((1 << 22) - 1)  # low bits of the packed gram hash: place in a section
 SECTION = 1 << 21
-NO_ID = -(1 << 63)
+NO_ID = (1 << 63) - 1  # a null doc_id comes after all others
 
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -252,7 +252,7 @@ def _match(part: DataFrame, length: int, keep: str) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first", part: int = PART) -> DataFrame:
     """``(id, key, spans)``: byte spans ``[lo, hi)`` to remove from each document that has any
-    (they may overlap); ``id`` is doc_id (the least long for null), ``key`` xxhash64(text)."""
+    (they may overlap); ``id`` is doc_id (the greatest long for null), ``key`` xxhash64(text)."""
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
     if length < GRAM + 32:
