@@ -148,6 +148,8 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
 def pack(pieces: DataFrame, capacity: int, work: Workspace) -> DataFrame:
     """``pieces`` (with ``doc_id``, ``start``, ``length``) plus ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
+    # the range sort samples its input first, so the pieces are written before it
+    pieces = work.save(pieces, "pieces")
     ranked = work.save(
         pieces.repartitionByRange("length", "doc_id", "start", "ids_crc32")
         .sortWithinPartitions("length")
