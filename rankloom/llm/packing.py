@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 from rankloom.llm._work import Workspace, arrow_map
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-CACHE_WORDS = 200_000
+CACHE_WORDS = 700_000  # about 200 MB
+MARKS = ".,!?;:*#$%&"  # neither letters nor numbers, so the tokenizer splits before them
+LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def vocabulary(name: str) -> str:
@@ -56,23 +58,53 @@ def _tokenizer(path: str):
 
 
 class WordIds:
-    """Words -> ids as little-endian unsigned 32-bit bytes; the cache is emptied when full."""
+    """Words -> ids as little-endian unsigned 32-bit bytes; the cache is emptied when full.
+
+    A word that is not cached is first reduced - A-Z lower-cased, marks after a last letter cut
+    off, both of which the tokenizer does itself - so that the forms of one word are encoded
+    once."""
 
     def __init__(self, path: str):
-        self.encode = _tokenizer(path).encode_batch
+        self.encode = _tokenizer(path).encode_batch_fast
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    @staticmethod
+    def reduced(word: str) -> tuple[str, str]:
+        if "<|" in word:  # may hold a special token
+            return word, ""
+        word = word.translate(LOWER)
+        core = word.rstrip(MARKS)
+        return (core, word[len(core) :]) if core[-1:].isalpha() else (word, "")
+
+    def _learn(self, words: set[str]) -> None:
+        cut = {w: self.reduced(w) for w in words}
+        new = list({p for pair in cut.values() for p in pair if p and p not in self.parts})
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            for p, e in zip(some, self.encode(some, add_special_tokens=False)):
+                self.parts[p] = np.array(e.ids, "<u4").tobytes()
+        for w, (core, tail) in cut.items():
+            self.known[w] = self.parts[core] + self.parts[tail] if tail else self.parts[core]
 
     def texts(self, words: list[list[str]]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        for at in range(0, len(new), 50_000):
-            some = new[at : at + 50_000]
-            for w, e in zip(some, self.encode(some, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        if len(known) > CACHE_WORDS:
+            known.clear()
+            self.parts.clear()
+        got = [list(map(known.get, ws)) for ws in words]
+        late = [i for i, g in enumerate(got) if None in g]
+        if late:
+            self._learn({w for i in late for w in words[i] if w not in known})
+            for i in late:
+                got[i] = list(map(known.__getitem__, words[i]))
+        return [b"".join(g) for g in got]
+
+
+@functools.lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One cache per Python worker, kept from task to task."""
+    return WordIds(path)
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0) -> DataFrame:
@@ -80,7 +112,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0) ->
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        ids = WordIds(path)
+        ids = word_ids(path)
         for batch in batches:
             texts = batch.column(1)
             for lo in range(0, batch.num_rows, 256):
