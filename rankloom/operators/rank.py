@@ -31,6 +31,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -165,7 +166,10 @@ class RankModel:
 def _metrics(observation: Observation, fallback) -> dict:
     """Observed metrics of the last action, or ``fallback()`` (a job computing the same
     aggregates) when there are none - an action over zero partitions reports no row."""
-    return observation.get or fallback()
+    try:
+        return observation.get or fallback()
+    except Py4JJavaError:  # no task, no row of metrics
+        return fallback()
 
 
 def _phantom_pairs(g: Graph, pairs: DataFrame) -> DataFrame:

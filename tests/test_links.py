@@ -99,3 +99,32 @@ def test_entities_with_and_without_external_dtd():
     )
     assert strict_links(body) is None  # undefined entity, no DTD: not well-formed
     assert strict_links(doctype + body) == ["Q"]  # external DTD named (never loaded): skipped
+
+
+def test_names_are_stripped_before_they_are_compared(spark):
+    html = '<html><div id="bodyContent"><a href="./x/%s.html"/></div></html>'
+    pages = spark.createDataFrame([("G H", html % "B"), ("GH", html % "C"), ("GH", html % "C"), (" ", html % "D")], "name string, html string")
+    for mode in ("strict", "lenient"):
+        got = extract_links(pages, mode).collect()
+        assert [r["name"] for r in got] == ["GH"] and list(got[0]["links"]) in (["B"], ["C"])
+
+
+def test_each_page_is_parsed_once(spark, tmp_path, monkeypatch):
+    """The written lists, not the parser, feed the graph and all its readers."""
+    from rankloom.operators import rank as R
+
+    html = '<html><div id="bodyContent"><a href="./x/P1.html"/></div></html>'
+    pages = spark.createDataFrame([(f"P{i}", html) for i in range(20)], "name string, html string")
+    g = G.adjacency_to_graph(extract_links(pages, "strict"))
+    for df in (g.pages, g.edges):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInPandas" not in plan and all("/tables/adjacency-" in f for f in df.inputFiles())
+    assert R.pagerank(g, "list").count() == 20
+
+
+def test_repeated_and_nested_body_divs(spark):
+    page = (
+        '<html><a href="./x/O.html"/><div id="bodyContent"><div><a href="./x/A.html"/><div id="BodyContent"><a href="./x/B.html"/></div>'
+        '<a href="./x/C.html"/></div></div><a href="./x/O.html"/><DIV id="bodycontent"><A href="./x/D.html"/></DIV></html>'
+    )
+    assert strict_links(page) == ["A", "B", "C", "D"]

@@ -98,4 +98,4 @@ def test_name_keys_and_hash_keys_agree(fixture_graph):
     by_name = {r["node"]: r["rank"] for r in R.ranks(model, R.iterate(model)).collect()}
     assert set(by_hash) == set(by_name) and all(abs(by_hash[n] - by_name[n]) < 1e-12 for n in by_hash)
     assert R.prepare(fixture_graph, R.PRESETS["total"], keys="hash").keyed
-    assert not R.prepare(fixture_graph, R.PRESETS["total"]).keyed  # auto: small graph, names
+    assert not R.prepare(fixture_graph, R.PRESETS["total"]).keyed  # names unless asked

@@ -26,3 +26,9 @@ def test_report_and_key_value(spark, tmp_path):
     assert sorted(_read(str(tmp_path / "kv"))) == ["A\t0.25", "B\t1.0E-4", "C\t0.5"]
     sinks.write_lines(df.select(F.concat_ws("|", "node", "rank").alias("t")), "t", str(tmp_path / "lines"))
     assert sorted(_read(str(tmp_path / "lines"))) == ["A|0.25", "B|1.0E-4", "C|0.5"]
+
+
+def test_key_value_keeps_odd_keys(spark, tmp_path):
+    df = spark.createDataFrame([("#x", 1.0), ("", 2.0), ('a"b', 3.0), (None, 4.0)], "k string, v double")
+    sinks.write_key_value(df, "k", "v", str(tmp_path / "odd"))
+    assert sorted(_read(str(tmp_path / "odd"))) == sorted(["#x\t1.0", "\t2.0", 'a"b\t3.0', "null\t4.0"])

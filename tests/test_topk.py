@@ -43,3 +43,19 @@ def test_top_k_plans_as_take_ordered(fixture_graph):
 def test_top_k_distinct_pre_aggregates(fixture_graph):
     plan = T.top_k_distinct(_s10(fixture_graph))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "TakeOrderedAndProject" in plan
+
+
+def test_top_k_of_tiny_ranks(spark):
+    """Ranks shrink with the graph; in units of the normaliser they keep their digits."""
+    n = 10**9
+    df = spark.createDataFrame([(f"n{i:03d}", (0.15 + i * 1e-6) / n) for i in range(300)], "node string, rank double")
+    df = df.withColumn("rank_n", F.round(F.col("rank") * F.lit(float(n)), 9))
+    want = [f"n{i:03d}" for i in range(299, 294, -1)]
+    assert [r["node"] for r in T.top_k(df, 5, value="rank_n").collect()] == want
+    assert [r["node"] for r in T.top_k_distinct(df, 5, value="rank_n").collect()] == want
+    assert T.top_k_distinct(df, 300, value="rank_n").count() == 300
+
+
+def test_scaled_ranks_are_in_units_of_the_normaliser(fixture_graph):
+    rows = R.scaled_ranks(fixture_graph, "total").collect()
+    assert all(abs(r["rank_n"] - 6 * r["rank"]) < 1e-9 for r in rows)  # |V| = 6
