@@ -38,7 +38,7 @@ from rankloom.llm import _bytes as B
 from rankloom.llm._work import Workspace, arrow_map
 from rankloom.session import ship_package
 
-BLOCK = 12 << 20
+BLOCK = 8 << 20
 END = B.mix(np.array([0x656E64], B.U))[0]
 PAIR = (B.U(0x9FB21C651E98DF25), B.U(0xC2B2AE3D27D4EB4F))
 GRID = 4  # cells of the held-out histogram per octave of a probability
@@ -108,11 +108,11 @@ COUNTED = "doc_id long, split int, n long, words array<long>, pairs array<long>,
 def _ask(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         tok, prev, size = block_tokens(table.column("text"))
-        split = np.repeat(table.column("split").to_numpy(), size)
+        split = np.repeat(table.column("split").to_numpy().astype(np.int8), size)
         block = table.column("block")[0].as_py()
         rows = []
-        for kind, keys, bits in ((0, tok, 64), (1, pair_keys(prev, tok), 56)):
-            distinct, at = np.unique(keys, return_inverse=True)
+        for kind, bits in ((0, 64), (1, 56)):
+            distinct, at = np.unique(tok if kind == 0 else pair_keys(prev, tok), return_inverse=True)
             rest = np.bincount(at[split > DEV], minlength=len(distinct))
             dev = np.bincount(at[split == DEV], minlength=len(distinct))
             bound = _bucket_bounds(distinct, buckets, bits)
@@ -168,26 +168,21 @@ def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
         n = sum(right.column("n").to_pylist())
         return pa.Table.from_pylist([{"doc_id": None, "split": -1, "n": n}], schema=schema)
     tok, prev, size = block_tokens(left.column("text"))
-    found = []
-    for kind, keys in ((0, tok), (1, pair_keys(prev, tok))):
-        _, at = np.unique(keys, return_inverse=True)
-        some = right.filter(pa.array(right.column("kind").to_numpy() == kind)).sort_by("bucket")
-        n = some.column("n").to_pylist()
-        for name in ("rest", "dev"):
-            x = [unpack_counts(k, m) for k, m in zip(some.column(name).to_pylist(), n)]
-            found.append(np.concatenate(x)[at])
-    w_rest, w_dev, p_rest, p_dev = found
     split = left.column("split").to_numpy()
     dev = split == DEV
     of_dev = np.repeat(dev, size)
     part = np.where(dev, size, 0)
-    return pa.table(
-        [
-            left.column("doc_id"), pa.array(split), pa.array(size), _lists(w_rest + w_dev, size), _lists(p_rest + p_dev, size),
-            _lists(w_rest[of_dev], part), _lists(p_rest[of_dev], part),
-        ],
-        schema=schema,
-    )
+    both, rest_of_dev = [], []
+    for kind in (0, 1):
+        _, at = np.unique(tok if kind == 0 else pair_keys(prev, tok), return_inverse=True)
+        some = right.filter(pa.array(right.column("kind").to_numpy() == kind)).sort_by("bucket")
+        n = some.column("n").to_pylist()
+        rest, held = (
+            np.concatenate([unpack_counts(k, m) for k, m in zip(some.column(name).to_pylist(), n)]) for name in ("rest", "dev")
+        )
+        both.append(_lists((rest + held)[at], size))
+        rest_of_dev.append(_lists(rest[at[of_dev]], part))
+    return pa.table([left.column("doc_id"), pa.array(split), pa.array(size), *both, *rest_of_dev], schema=schema)
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
