@@ -27,6 +27,7 @@ import bisect
 import functools
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from rankloom.llm._work import Workspace, arrow_map
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-CACHE_WORDS = 700_000  # about 200 MB
+CACHE_WORDS, CACHE_PARTS = 400_000, 1_000_000  # at most about 300 MB in a worker
 MARKS = ".,!?;:*#$%&"  # neither letters nor numbers, so the tokenizer splits before them
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -58,7 +59,7 @@ def _tokenizer(path: str):
 
 
 class WordIds:
-    """Words -> ids as little-endian unsigned 32-bit bytes; the cache is emptied when full.
+    """Words -> ids as little-endian unsigned 32-bit bytes; either cache is emptied when full.
 
     A word that is not cached is first reduced - A-Z lower-cased, marks after a last letter cut
     off, both of which the tokenizer does itself - so that the forms of one word are encoded
@@ -73,7 +74,7 @@ class WordIds:
     def reduced(word: str) -> tuple[str, str]:
         if "<|" in word:  # may hold a special token
             return word, ""
-        word = word.translate(LOWER)
+        word = word.lower() if word.isascii() else word.translate(LOWER)
         core = word.rstrip(MARKS)
         return (core, word[len(core) :]) if core[-1:].isalpha() else (word, "")
 
@@ -83,7 +84,7 @@ class WordIds:
         for at in range(0, len(new), 20_000):
             some = new[at : at + 20_000]
             for p, e in zip(some, self.encode(some, add_special_tokens=False)):
-                self.parts[p] = np.array(e.ids, "<u4").tobytes()
+                self.parts[p] = array("I", e.ids).tobytes()
         for w, (core, tail) in cut.items():
             self.known[w] = self.parts[core] + self.parts[tail] if tail else self.parts[core]
 
@@ -91,6 +92,7 @@ class WordIds:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
+        if len(self.parts) > CACHE_PARTS:
             self.parts.clear()
         got = [list(map(known.get, ws)) for ws in words]
         late = [i for i, g in enumerate(got) if None in g]
