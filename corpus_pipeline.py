@@ -10,14 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankloom.llm import packing, quality_rules, simhash_cover, spaced_seeds, suffix_dedup
 from rankloom.llm._work import Workspace, table
 
 
+def recounted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the texts as they are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality rules reject go; kept texts lose their boilerplate lines."""
-    return quality_rules.apply_rules(docs)
+    return recounted(quality_rules.apply_rules(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes or more that occurred before go; the first copy stays."""
-    return suffix_dedup.remove_repeats(docs, length=200, keep="first")
+    return recounted(suffix_dedup.remove_repeats(docs, length=200, keep="first"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -259,7 +259,10 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first", part
         raise ValueError(f"length must be at least {GRAM + 32}")
     work = Workspace(docs.sparkSession, "suffix")
     texts = _texts(docs)
-    twice = _grams(texts, length).groupBy("gram").agg(F.sum("n").alias("c")).filter("c > 1").select(F.col("gram").alias("g"))
+    # written first: a join of two plain scans is one whose hot keys AQE can split
+    twice = work.save(
+        _grams(texts, length).groupBy("gram").agg(F.sum("n").alias("c")).filter("c > 1").select(F.col("gram").alias("g")), "grams"
+    )
     found = work.save(
         _stretches(texts, length).join(twice, F.col("gram") == F.col("g"), "left_semi"), "stretches"
     )
