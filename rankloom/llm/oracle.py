@@ -2,4 +2,55 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD = r"[^\x20\x09-\x0D]+"
+
+QUALITY_RULES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS w
+  FROM documents
+),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+),
+repeated AS (
+  SELECT r, count(DISTINCT word_at) AS n FROM (
+    SELECT r, unnest(range(i, i + 8)) AS word_at FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1
+  ) GROUP BY r
+),
+lines AS (
+  SELECT r, host, t, line, len(regexp_extract_all(line, '{WORD}')) AS words,
+         array_to_string(regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{WORD}'), ' ') AS norm
+  FROM (SELECT r, host, t, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '{WORD}')
+),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
+texts AS (SELECT host, t, any_value(r) AS r FROM d GROUP BY host, t),
+entries AS (SELECT l.host, l.t, l.norm, sum(l.words) AS words FROM lines l JOIN texts x ON x.r = l.r GROUP BY l.host, l.t, l.norm),
+hosts AS (SELECT host, count(*) AS n FROM texts GROUP BY host),
+often AS (
+  SELECT e.host, e.norm FROM (SELECT host, norm, count(*) AS n FROM entries GROUP BY host, norm) e
+  JOIN hosts h ON h.host IS NOT DISTINCT FROM e.host
+  WHERE e.n > 10 AND e.n > CAST(0.1 AS DOUBLE) * h.n
+),
+removed AS (
+  SELECT e.host, e.t, sum(e.words) AS words, count(*) AS n FROM entries e
+  JOIN often o ON o.host IS NOT DISTINCT FROM e.host AND o.norm = e.norm GROUP BY e.host, e.t
+),
+counts AS (
+  SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(length(array_to_string(d.w, '')) AS BIGINT) AS word_chars,
+         CAST(length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(u.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(m.n, 0) AS BIGINT) AS n_frequent_lines, CAST(coalesce(m.words, 0) AS BIGINT) AS n_line_words
+  FROM d LEFT JOIN dups u ON u.r = d.r LEFT JOIN repeated p ON p.r = d.r
+  LEFT JOIN removed m ON m.host IS NOT DISTINCT FROM d.host AND m.t = d.t
+),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words - n_line_words >= 20 AND n_words - n_line_words >= CAST(0.3 AS DOUBLE) * n_words AS kept,
+       n_frequent_lines, n_line_words
+FROM judged"""
+
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": QUALITY_RULES}

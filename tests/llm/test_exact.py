@@ -254,3 +254,16 @@ def test_op10_rules(spark):
         best = max(fit, key=lambda x: len(x[0] + x[1]), default=None)
         assert (r.host, r.path, r.rule) == (host, path, best and best[0] + best[1])
         assert r.verdict == best[2] if best else r.verdict in ("allow", "block")
+
+
+def test_op2_agrees_with_its_oracle(spark):
+    import duckdb
+
+    from rankloom.llm.oracle import ORACLE_SQL
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    rel = con.sql(ORACLE_SQL["op2_quality_rules"])
+    df = queries.QUERIES["op2_quality_rules"](spark, SF_SMALL)
+    assert df.columns == rel.columns
+    assert sorted(map(tuple, df.collect())) == sorted(rel.fetchall())
