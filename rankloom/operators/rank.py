@@ -127,6 +127,7 @@ HUB_FANOUT = 1_000_000  # links of one source per bucket before the source is sp
 BROADCAST_ROWS = 1_000_000  # hub table rows above which the hub join is a shuffle join
 
 
+ROUNDING_GUARD = 1e-11
 LINK_ROW_BYTES = 48  # width of one (src, dst, m) row besides the names, to size the bucket count
 
 
@@ -517,7 +518,7 @@ def pagerank(g: Graph, spec: RankSpec | str = "total", **prepare_kw) -> DataFram
 
 def scaled_ranks(g: Graph, spec: RankSpec | str = "total", digits: int = 9, **prepare_kw) -> DataFrame:
     """``(node, rank, rank_n)``: ``rank_n`` is the rank in units of the normaliser,
-    ``round(rank * n, digits)``.
+    ``round(rank * n, digits)`` (see :func:`in_units`).
 
     Ranks shrink as 1/n, so a fixed number of decimals means less the larger the graph is;
     ``rank_n`` does not shrink, which makes it the value to compare, order and print."""
@@ -528,7 +529,14 @@ def scaled_ranks(g: Graph, spec: RankSpec | str = "total", digits: int = 9, **pr
 
 def scaled(model: RankModel, state: DataFrame, digits: int = 9) -> DataFrame:
     """``(node, rank, rank_n)`` of a vector of this model, see :func:`scaled_ranks`."""
-    return ranks(model, state).withColumn("rank_n", F.round(F.col("rank") * F.lit(model.norm), digits))
+    return ranks(model, state).withColumn("rank_n", in_units(F.col("rank"), model.norm, digits))
+
+
+def in_units(value, norm: float, digits: int = 9):
+    """``value`` in units of the normaliser, rounded.  Ranks of small graphs are often decimals
+    that end in a 5 just past the last digit; the guard lets those round up whatever the
+    order of the sums, and is far below the last digit."""
+    return F.round(value * F.lit(norm) + F.lit(ROUNDING_GUARD), digits)
 
 
 def ranks(model: RankModel, state: DataFrame) -> DataFrame:

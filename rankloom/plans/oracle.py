@@ -27,6 +27,7 @@ from rankloom.sources.tables import (
 )
 
 DIGITS = 9
+GUARD = "CAST(1e-11 AS DOUBLE)"  # decides exact halves alike on both sides
 
 
 def _q(s: str) -> str:
@@ -182,7 +183,7 @@ def rank_sql(spec: RankSpec | str, select: str | None = None, dense: bool = Fals
     ctes, final = rank_ctes(spec, norm)
     # the reported value: the rank in units of the normaliser
     n = "1" if spec.scale == "unit" else f"CAST(({norm}) AS DOUBLE)"
-    ctes += f",\nreported AS (SELECT node, round(rank * {n}, {DIGITS}) AS rank_n FROM {final})"
+    ctes += f",\nreported AS (SELECT node, round(rank * {n} + {GUARD}, {DIGITS}) AS rank_n FROM {final})"
     select = select or "SELECT node, rank_n FROM reported"
     return f"WITH {graph},\n{ctes}\n{select}" if graph else with_graph(select, ctes, dense=dense)
 
@@ -310,11 +311,11 @@ GROUP BY dst"""
 FROM g_pairs p JOIN ({_alias_sql()}) a ON a.node = p.src JOIN ({_alias_sql()}) b ON b.node = p.dst"""
     )
     q["initial_ranks"] = with_graph(
-        f"SELECT node, round(CAST(1.0 AS DOUBLE) / (SELECT n FROM g_n) * (SELECT n FROM g_n), {DIGITS}) AS rank_n FROM g_nodes"
+        f"SELECT node, round(CAST(1.0 AS DOUBLE) / (SELECT n FROM g_n) * (SELECT n FROM g_n) + {GUARD}, {DIGITS}) AS rank_n FROM g_nodes"
     )
     ctes, final = rank_ctes(PRESETS["list_exact"].with_(iterations=1), "SELECT n FROM g_n", prefix="x")
     q["dangling_mass"] = with_graph(
-        f"SELECT round(coalesce(sum(rank), 0), {DIGITS}) AS total FROM {final} WHERE deg IS NULL", ctes
+        f"SELECT round(coalesce(sum(rank), 0) + {GUARD}, {DIGITS}) AS total FROM {final} WHERE deg IS NULL", ctes
     )
     spec1 = PRESETS["list"].with_(iterations=1)
     ctes, final = rank_ctes(spec1, "SELECT n FROM g_n", prefix="d")
@@ -325,12 +326,12 @@ FROM {final} WHERE deg IS NULL""",
     )
     ctes, _ = rank_ctes(PRESETS["matrix_row"].with_(iterations=0), "SELECT n FROM g_n", prefix="c")
     q["contributions"] = with_graph(
-        f"""SELECT w.src, w.dst, round(r.rank / r.deg * w.m * (SELECT n FROM g_n), 9) AS c_n
+        f"""SELECT w.src, w.dst, round(r.rank / r.deg * w.m * (SELECT n FROM g_n) + {GUARD}, 9) AS c_n
 FROM c_w w JOIN c0 r ON r.node = w.src""",
         ctes,
     )
     q["spmv_step"] = with_graph(
-        f"""SELECT w.dst, round(sum(r.rank / r.deg * w.m) * (SELECT n FROM g_n), 9) AS c_n
+        f"""SELECT w.dst, round(sum(r.rank / r.deg * w.m) * (SELECT n FROM g_n) + {GUARD}, 9) AS c_n
 FROM c_w w JOIN c0 r ON r.node = w.src GROUP BY w.dst""",
         ctes,
     )

@@ -159,14 +159,14 @@ def initial_ranks(spark, sf_dir):
 
 def contributions(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    c_n = F.round(F.col("c") * F.lit(model.norm), 9).alias("c_n")
+    c_n = R.in_units(F.col("c"), model.norm).alias("c_n")
     contrib = R.contributions(model, state).select("src", "dst", c_n)
     return model.named(contrib, "src", "dst")
 
 
 def spmv_step(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    c_n = F.round(F.col("c") * F.lit(model.norm), 9).alias("c_n")
+    c_n = R.in_units(F.col("c"), model.norm).alias("c_n")
     return model.named(R.gather(model, state).select("dst", c_n), "dst")
 
 
@@ -175,7 +175,7 @@ def dangling_mass(spark, sf_dir):
     mass that the next sweep spreads, summed over the vector itself."""
     model = R.prepare(_g(spark, sf_dir), R.PRESETS["list_exact"])
     totals = R.iterate(model, iterations=1).agg(*R.dangling_stats_exprs())
-    return totals.select(F.round("total", 9).alias("total"))
+    return totals.select(R.in_units(F.col("total"), 1.0).alias("total"))
 
 
 def dangling_mass_fixed(spark, sf_dir):
