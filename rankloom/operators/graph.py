@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import strip_whitespace
+from rankloom.session import materialise
 
 
 class Graph(NamedTuple):
@@ -109,11 +110,15 @@ def adjacency(g: Graph) -> DataFrame:
 
 
 def transition_matrix(g: Graph, distinct: bool = False) -> DataFrame:
-    """Sparse column-stochastic matrix in COO form: (dst, src, w) with w = m / out-degree."""
+    """Sparse column-stochastic matrix in COO form: (dst, src, w) with w = m / out-degree.
+
+    Pairs and degrees are written once each: the links are derived once, and a join of two
+    plain scans is one whose hot sources adaptive execution can split."""
     pairs = edge_multiplicity(g)
     if distinct:
         pairs = pairs.withColumn("m", F.lit(1).cast("long"))
-    deg = pairs.groupBy("src").agg(F.sum("m").alias("deg"))
+    pairs = materialise(pairs, "pairs")
+    deg = materialise(pairs.groupBy("src").agg(F.sum("m").alias("deg")), "degrees")
     return pairs.join(deg, "src").select("dst", "src", (F.col("m") / F.col("deg")).alias("w"))
 
 
