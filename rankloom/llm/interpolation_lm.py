@@ -102,7 +102,7 @@ def _bucket_bounds(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
 
 ASKED = "bucket int, block long, kind int, n int, keys binary, rest binary, dev binary"
 ANSWERED = "block long, bucket int, kind int, n int, rest binary, dev binary"
-COUNTED = "doc_id long, split int, n long, words array<long>, pairs array<long>, words_rest array<long>, pairs_rest array<long>"
+COUNTED = "doc_id long, split int, n long, words binary, pairs binary, words_rest binary, pairs_rest binary"
 
 
 def _ask(buckets: int):
@@ -153,16 +153,23 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def _lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
-    off = np.zeros(len(size) + 1, np.int32)
-    np.cumsum(size, out=off[1:])
-    return pa.ListArray.from_arrays(pa.array(off), pa.array(values))
+def _packed(values: np.ndarray, size: np.ndarray, wanted: np.ndarray | None = None) -> pa.Array:
+    """The counts of each text's tokens, packed; null where they are not wanted."""
+    end = np.cumsum(size)
+    rows = range(len(size))
+    return pa.array(
+        [pack_counts(values[end[i] - size[i] : end[i]]) if wanted is None or wanted[i] else None for i in rows], pa.binary()
+    )
+
+
+def _unpacked(column, size: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *(unpack_counts(raw, n) for raw, n in zip(column.to_pylist(), size))])
 
 
 def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("split", pa.int32()), ("n", pa.int64())]
-        + [(c, pa.list_(pa.int64())) for c in ("words", "pairs", "words_rest", "pairs_rest")]
+        + [(c, pa.binary()) for c in ("words", "pairs", "words_rest", "pairs_rest")]
     )
     if not left.num_rows:  # word totals of one bucket
         n = sum(right.column("n").to_pylist())
@@ -170,8 +177,6 @@ def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
     tok, prev, size = block_tokens(left.column("text"))
     split = left.column("split").to_numpy()
     dev = split == DEV
-    of_dev = np.repeat(dev, size)
-    part = np.where(dev, size, 0)
     both, rest_of_dev = [], []
     for kind in (0, 1):
         _, at = np.unique(tok if kind == 0 else pair_keys(prev, tok), return_inverse=True)
@@ -180,15 +185,15 @@ def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
         rest, held = (
             np.concatenate([unpack_counts(k, m) for k, m in zip(some.column(name).to_pylist(), n)]) for name in ("rest", "dev")
         )
-        both.append(_lists((rest + held)[at], size))
-        rest_of_dev.append(_lists(rest[at[of_dev]], part))
+        both.append(_packed((rest + held)[at], size))
+        rest_of_dev.append(_packed(rest[at], size, dev))
     return pa.table([left.column("doc_id"), pa.array(split), pa.array(size), *both, *rest_of_dev], schema=schema)
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    """``(doc_id, split, n, words, pairs, words_rest, pairs_rest)``: for every token of every
-    text the training counts of the token and of its pair with the one before; the same
-    without the held-out part for documents of that part.  Rows with split -1 have the number
+    """``(doc_id, split, n, words, pairs, words_rest, pairs_rest)``: packed, for every token of
+    every text, the training counts of the token and of its pair with the one before; the
+    same without the held-out part for documents of that part.  Rows with split -1 have the number
     of distinct training words of one hash range in ``n``."""
     ship_package(docs.sparkSession)
     part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10))
@@ -211,11 +216,6 @@ def octave(count: np.ndarray) -> np.ndarray:
     return np.where(count > 0, np.frexp(count.astype(np.float64))[1], 0)
 
 
-def _flat(col) -> tuple[np.ndarray, np.ndarray]:
-    off = col.offsets.to_numpy()
-    return col.values.to_numpy()[off[0] : off[-1]], off - off[0]
-
-
 def context(words: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Count of the token before each: the end token's for the first."""
     prev = np.empty(len(words), np.int64)
@@ -235,8 +235,9 @@ def _held_out(total: int, types: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                words, off = _flat(part.column(0))
-                pairs, _ = _flat(part.column(1))
+                size = part.column(0).to_numpy()
+                off = np.r_[0, np.cumsum(size)]
+                words, pairs = _unpacked(part.column(1), size), _unpacked(part.column(2), size)
                 ctx = context(words, off)
                 p2 = np.where(ctx > 0, pairs / np.maximum(ctx, 1), 0.0)
                 code = (octave(ctx) << 20) | (cell(p2) << 10) | cell(words / max(1, total))
@@ -277,8 +278,9 @@ def _scores(weights: np.ndarray, total: int, types: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                words, off = _flat(part.column(2))
-                pairs, _ = _flat(part.column(3))
+                size = part.column(2).to_numpy()
+                off = np.r_[0, np.cumsum(size)]
+                words, pairs = _unpacked(part.column(3), size), _unpacked(part.column(4), size)
                 ctx = context(words, off)
                 w = weights[octave(ctx)]
                 p = w[:, 0] * pairs / np.maximum(ctx, 1) + w[:, 1] * words / max(1, total) + w[:, 2] / (types + 1)
@@ -287,7 +289,7 @@ def _scores(weights: np.ndarray, total: int, types: int):
                 n = len(off) - 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array(part.column(1).to_numpy() == HELD), pa.array(np.diff(off).astype(np.int64)),
+                        part.column(0), pa.array(part.column(1).to_numpy() == HELD), pa.array(size.astype(np.int64)),
                         pa.array(np.bincount(doc[words > 0], minlength=n).astype(np.int64)), pa.array(np.full(n, total, np.int64)),
                         pa.array(np.bincount(doc, weights=base, minlength=n)), pa.array(np.bincount(doc, weights=np.log10(p), minlength=n)),
                     ],
@@ -309,11 +311,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
     ).first()
     total, rest, types = (int(x or 0) for x in sums)
     held = arrow_map(
-        counts.filter(F.col("split") == DEV).select("words_rest", "pairs_rest"), _held_out(rest, types), "code long, n long"
+        counts.filter(F.col("split") == DEV).select("n", "words_rest", "pairs_rest"), _held_out(rest, types), "code long, n long"
     )
     cells = held.groupBy("code").agg(F.sum("n").alias("n")).toPandas()  # cells of the grid, whatever the corpus
     weights = mixture_weights(cells["code"].to_numpy(np.int64), cells["n"].to_numpy(np.int64), types)
-    rows = counts.filter("split >= 0").select("doc_id", "split", "words", "pairs")
+    rows = counts.filter("split >= 0").select("doc_id", "split", "n", "words", "pairs")
     return arrow_map(
         rows, _scores(weights, total, types),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
