@@ -38,7 +38,7 @@ from rankloom.llm import _bytes as B
 from rankloom.llm._work import Workspace, arrow_map
 from rankloom.session import ship_package
 
-BLOCK = 8 << 20
+BLOCK = 12 << 20
 END = B.mix(np.array([0x656E64], B.U))[0]
 PAIR = (B.U(0x9FB21C651E98DF25), B.U(0xC2B2AE3D27D4EB4F))
 GRID = 4  # cells of the held-out histogram per octave of a probability
