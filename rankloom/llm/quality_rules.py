@@ -10,6 +10,12 @@ rejects documents that keep too little without them, besides the per-document ba
   alone never makes its own lines boilerplate.
 * A line is boilerplate where it is in more than ``max_docs`` distinct documents *and* in
   more than ``max_share`` of the host's distinct documents.
+* With ``low_docs`` a line of at least ``low_words`` words (where it is least repeated) is also
+  boilerplate from ``LOW_LEAST`` documents on if it is in more than ``low_docs`` *or* in more
+  than ``low_share`` of the host's, so its limit neither grows without end with the host nor
+  keeps small hosts out.  Only documents count whose words are at least half outside such
+  lines: a group of near copies shares its lines with nobody else and stays for the
+  deduplication.
 * ``kept`` is false if a base rule fails, or the words outside boilerplate lines are fewer
   than ``min_words`` or less than ``min_left`` of the text's words.
 
@@ -39,6 +45,7 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 WINDOW_KEYS = B.mix(np.arange(101, 101 + WINDOW, dtype=B.U) * B.U(B.BASE)) | B.U(1)
 IN_DOC = B.U(0xA24BAED4963EE407)
+LOW_LEAST = 3
 
 STATS = (
     "doc_id long, host string, text_key long, n_words long, word_chars long, n_symbols long, "
@@ -168,6 +175,41 @@ def frequent_lines(stats: DataFrame, max_docs: int, max_share: float) -> tuple[D
     return entries, often
 
 
+def low_lines(stats: DataFrame, entries: DataFrame, low_docs: int, low_share: float, low_words: int, work: Workspace) -> DataFrame:
+    """Lines above the low limits, counted over documents that have as much else to say."""
+    above = lambda n: (n >= LOW_LEAST) & (n > F.least(F.lit(low_docs), F.lit(low_share) * F.col("host_docs")))
+    hosts = stats.select("host", "text_key").distinct().groupBy(F.col("host").alias("h")).agg(F.count(F.lit(1)).alias("host_docs"))
+    some = (
+        entries.groupBy("host", "line")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("line_words"))
+        .filter((F.col("n") >= LOW_LEAST) & (F.col("line_words") >= low_words))
+        .join(hosts, F.col("host").eqNullSafe(F.col("h")))
+        .filter(above(F.col("n")))
+        .select(F.col("host").alias("f_host"), F.col("line").alias("f_line"), "host_docs")
+    )
+    # written first: only lines above the limits are in it
+    held = work.save(
+        entries.join(some, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("line") == F.col("f_line"))).drop("f_host", "f_line"),
+        "low",
+    )
+    texts = stats.groupBy(F.col("host").alias("h"), F.col("text_key").alias("k")).agg(F.first("n_words").alias("n_words"))
+    same = F.col("host").eqNullSafe(F.col("h")) & (F.col("text_key") == F.col("k"))
+    carriers = (
+        held.groupBy("host", "text_key")
+        .agg(F.sum("words").alias("low"))
+        .join(texts, same)
+        .filter(2 * F.col("low") <= F.col("n_words"))
+        .select("h", "k")
+    )
+    return (
+        held.join(carriers, same)
+        .groupBy("host", "line")
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.first("host_docs").alias("host_docs"))
+        .filter(above(F.col("n_docs")))
+        .select(F.col("host").alias("f_host"), F.col("line").alias("f_line"), "n_docs")
+    )
+
+
 def line_verdicts(
     docs: DataFrame,
     host: str = "source",
@@ -176,12 +218,18 @@ def line_verdicts(
     min_words: int = 20,
     min_left: float = 0.3,
     max_repeat_pct: int = 30,
+    low_docs: int | None = None,
+    low_share: float = 0.02,
+    low_words: int = 6,
 ) -> DataFrame:
     """One row per document row: base counts, boilerplate words, ``base_failed``, ``kept``,
     and ``drop_lines`` (keys of its boilerplate lines; null where it has none)."""
     work = Workspace(docs.sparkSession, "rules")
     stats = work.save(document_stats(docs, host), "stats")
     entries, often = frequent_lines(stats, max_docs, max_share)
+    if low_docs is not None:
+        often = often.unionByName(low_lines(stats, entries, low_docs, low_share, low_words, work))
+        often = often.groupBy("f_host", "f_line").agg(F.max("n_docs").alias("n_docs"))
     removed = (
         entries.join(often, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("line") == F.col("f_line")))
         .groupBy("host", "text_key")

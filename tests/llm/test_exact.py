@@ -8,7 +8,9 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rankloom.llm import queries, quality_rules, simhash_cover, spaced_seeds, suffix_dedup, wordpiece_counts
 from tests.conftest import SF_SMALL
 
@@ -63,6 +65,35 @@ def test_op2_frequent_lines(spark):
     assert set(kept) == {*range(30), 200, *range(300, 350)} and kept[3] == body[3] + "\n" and kept[200] == f"{menu}\n{body[0]}"
 
 
+def test_op2_low_limits(spark):
+    """One line in a tenth of the documents of small, middling and big hosts."""
+    menu, body = "home about contact login register help", "concat_ws(' ', transform(sequence(1, 40), j -> concat('w', id, 'x', j)))"
+    rate = lambda host, n: spark.range(n).selectExpr(
+        "id AS doc_id", f"concat({body}, if(id % 10 = 0, '\n{menu}', if(id % 10 = 1, '\nread more', ''))) AS text", f"'{host}' AS source"
+    )
+    big = rate("small", 30).union(rate("middle", 500)).union(rate("big", 100_000))
+    only = spark.range(5).selectExpr("id + 200000 AS doc_id", f"concat('{menu}\\n', {body.replace('40', '14')}) AS text", "'big' AS source")
+    # each of a group of near copies has the same three lines and one of its own
+    near = "\n".join(" ".join(f"n{i}y{j}" for j in range(20)) for i in range(3))
+    copies = spark.range(300).selectExpr("id + 300000 AS doc_id", f"concat('{near}\nown line ', id) AS text", "'big' AS source")
+    docs = big.union(only).union(copies)
+    rows = quality_rules.line_verdicts(docs, low_docs=100).groupBy("host", "n_line_words", "kept").count().collect()
+    got = {(r.host, r.n_line_words, r.kept): r["count"] for r in rows}
+    assert got == {
+        ("small", 6, True): 3, ("small", 0, True): 27,
+        ("middle", 6, True): 50, ("middle", 0, True): 450,
+        ("big", 6, True): 10_000, ("big", 0, True): 90_300, ("big", 6, False): 5,
+    }
+    assert not quality_rules.line_verdicts(docs).filter("n_line_words > 0").count()
+
+
+def test_pipeline_marks_lines_of_big_hosts(spark):
+    menu, body = "home about contact login register help", "concat_ws(' ', transform(sequence(1, 40), j -> concat('w', id, 'x', j)))"
+    docs = spark.range(2000).selectExpr("id AS doc_id", f"concat({body}, if(id % 20 = 0, '\n{menu}', '')) AS text", "'a' AS source")
+    out = corpus_pipeline.drop_poor(spark, docs, SF_SMALL)
+    assert out.count() == 2000 and not out.filter(F.col("text").contains(menu)).count()
+
+
 def brute_spans(texts, length):
     raw = [t.encode() for t in texts]
     n = collections.Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
