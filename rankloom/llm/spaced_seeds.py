@@ -16,13 +16,19 @@ A-Z.  Each fixed mask hashes the tokens at its 1-positions and ignores those at
 A passage of ``window`` tokens is found whatever its place, with up to ``(1 - share) *
 window`` tokens replaced, if one mask meets no replaced token; see the tests for the rate.
 
+Items shorter than ``SHORT`` tokens have masks of their own length (``short_masks``) that find
+every copy with up to ``(1 - share)`` of the tokens replaced; items shorter than ``WHOLE`` are
+found where all their tokens are.  The texts are only given the masks of lengths that the
+benchmark has.
+
 Defined cases: null and empty texts and items have no tokens and no hits; items shorter than
-``least`` tokens are ignored; repeated rows give one pair; a null doc_id or item_id stays null in
+``least`` tokens are ignored (none by default); repeated rows give one pair; a null doc_id or item_id stays null in
 pairs; extra columns are ignored by ``contaminated_pairs`` and kept by ``drop_contaminated``.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -34,7 +40,8 @@ from rankloom.llm import _bytes as B
 from rankloom.llm._work import Workspace, arrow_map
 
 MASKS = ("11010111", "1100101011", "1110010011", "1011001101")  # fixed; weight 6
-WINDOW, SHARE, LEAST = 13, 0.8, 8
+WINDOW, SHARE, LEAST = 13, 0.8, 1
+WHOLE, SHORT = 8, 12
 BLOOM_BITS = 1 << 24
 KEYS = B.mix(np.arange(501, 501 + 16, dtype=B.U) * B.U(B.BASE)) | B.U(1)
 
@@ -45,14 +52,29 @@ def tokens(data: np.ndarray, off: np.ndarray):
     return B.span_hash(B.prefix(B.LOWER[data]), s, e), B.owner(off, s)
 
 
+def short_masks(n: int, window: int = WINDOW, share: float = SHARE) -> tuple[str, ...]:
+    """Masks of items of n tokens that need their own: cut into blocks, r replaced tokens leave
+    all but r of them whole, so one choice of that many blocks meets no replaced token."""
+    if n < WHOLE:
+        return ("1" * n,) if n else ()
+    if n >= SHORT or n > window:
+        return ()
+    r = n - math.ceil(share * n)
+    if not r:
+        return ("1" * n,)
+    blocks = min(r + 2, n)
+    block = [i * blocks // n for i in range(n)]
+    return tuple("".join("01"[b in kept] for b in block) for kept in itertools.combinations(range(blocks), blocks - r))
+
+
 def seeds(h: np.ndarray, doc: np.ndarray, masks=MASKS):
     """(start token, seed) of every mask at every place inside one document."""
     at, out = [], []
-    for i, mask in enumerate(masks):
+    for mask in masks:
         n = len(h) - len(mask) + 1
         if n < 1:
             continue
-        x = np.full(n, KEYS[15] * B.U(2 * i + 1), B.U)
+        x = np.full(n, KEYS[15] * B.U(2 * int(f"1{mask}", 2) + 1), B.U)
         for j, bit in enumerate(mask):
             if bit == "1":
                 x = x + h[j : j + n] * KEYS[j]
@@ -64,7 +86,7 @@ def seeds(h: np.ndarray, doc: np.ndarray, masks=MASKS):
     return np.concatenate(at), np.concatenate(out)
 
 
-def _item_rows(items: DataFrame, masks, least: int) -> DataFrame:
+def _item_rows(items: DataFrame, masks, window: int, share: float, least: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
@@ -75,7 +97,7 @@ def _item_rows(items: DataFrame, masks, least: int) -> DataFrame:
                     t = h[bound[i] : bound[i + 1]]
                     if len(t) < least:
                         continue
-                    at, seed = seeds(t, np.zeros(len(t), np.int64), masks)
+                    at, seed = seeds(t, np.zeros(len(t), np.int64), short_masks(len(t), window, share) or masks)
                     yield pa.RecordBatch.from_arrays(
                         [ids.slice(lo + i, 1), pa.array([B.signed(t)]), pa.array([at.astype(np.int32)]), pa.array([B.signed(seed)])],
                         names=["item_id", "tokens", "at", "seeds"],
@@ -176,7 +198,9 @@ def contaminated_pairs(
     """``(doc_id, key, item_id, matched, length, first_token)`` for every document row (key:
     xxhash64 of its text) and item that overlap."""
     work = Workspace(docs.sparkSession, "seeds")
-    items = work.save(_item_rows(benchmark, masks, least), "items")
+    items = work.save(_item_rows(benchmark, masks, window, share, least), "items")
+    lengths = items.select(F.size("tokens").alias("n")).filter(F.col("n") < SHORT).distinct().collect()  # < SHORT rows
+    masks = tuple(dict.fromkeys([*masks, *(m for r in sorted(lengths) for m in short_masks(r["n"], window, share))]))
     item_seeds = items.select("item_id", F.explode(F.arrays_zip("at", "seeds")).alias("z")).select(
         "item_id", F.col("z.at").alias("i_at"), F.col("z.seeds").alias("seed")
     )

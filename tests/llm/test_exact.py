@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -232,6 +233,25 @@ def test_op3_exact_and_substituted(spark, docs):
     assert not any(d >= 2000 for d, _ in pairs)
 
 
+def test_op3_short_items(spark):
+    """Every copy of a short item with as many tokens replaced as the share allows."""
+    items = [(n, " ".join(f"t{n}x{j}" for j in range(n))) for n in range(1, 14)]
+    texts, want = [], set()
+    for n, t in items:
+        r = n - math.ceil(0.8 * n)
+        for k in range(r + 2):  # the last ones have one replaced token too many
+            for out in itertools.combinations(range(n), k):
+                w = ["other" if j in out else x for j, x in enumerate(t.split())]
+                at = len(texts)
+                texts.append((at, " ".join(["before", *w, "after"] if at % 2 else w)))
+                if k == 0 or n >= 8 and k <= r:
+                    want.add((at, n))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items + [(90, ""), (91, None)], "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in spaced_seeds.contaminated_pairs(df, bench).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_op5_greedy(spark, docs):
     import public_tokenizers
 
