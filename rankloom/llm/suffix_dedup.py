@@ -13,10 +13,9 @@ copy at the smallest (doc_id, text key, position) stays).  Matches never cross d
    has a copy, and one of them stands for all in the next step.
 3. The distinct stretches of a gram (the ends of repeated passages) are cut from the texts
    and grouped by gram.  A task builds the suffix order of its stretches by prefix doubling
-   to depth ``length``, and reads off previous and next smaller text positions: inside a
-   class of suffixes equal to depth ``length`` the previous one in suffix order is the
-   previous smaller position, so the longest previous factor reaches ``length`` for all but
-   the first.
+   to depth ``length``, finds the previous and next smaller text positions in it, and from
+   these the longest previous factor of every window, cut at ``length``: the longer of the
+   prefixes that it shares with either.
 4. A gram with more than ``part`` distinct stretches is dealt over several tasks.  The
    first window of each class in each of them is named by 128 bits and the names are joined
    across tasks, so a passage that a third of the corpus shares is no task's burden.
@@ -154,11 +153,12 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     return arrow_map(rows, run, "gram long, part int, parts int, copies long, id long, key long, s int, n short, bytes binary")
 
 
-def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
+def suffix_ranks(data: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
     """Rank of every position's suffix cut at ``depth`` bytes (equal prefixes rank equal), by
-    prefix doubling; the bytes are padded with zeros past the end."""
+    prefix doubling; the bytes are padded with zeros past the end.  Also the ranks at each
+    power of two on the way, as (depth, ranks)."""
     rank = data.astype(np.int64) + 1
-    have = 1
+    have, levels = 1, [(1, rank.astype(np.int32))]
     while have < depth:
         step = min(have, depth - have)  # the last step overlaps
         nxt = np.zeros(len(rank), np.int64)
@@ -166,22 +166,60 @@ def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
         pair = rank * (int(rank.max(initial=0)) + 1) + nxt if len(rank) < (1 << 31) else None
         _, rank = np.unique(pair, return_inverse=True)
         rank = rank.astype(np.int64) + 1
+        if step == have:
+            levels.append((have + step, rank.astype(np.int32)))
         have += step
-    return rank
-
-
-def previous_factors(rank: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes with text order ``order`` and ranks cut at depth L: (has an earlier match
-    of L, has any other match of L).  In suffix order with ties by text position, the previous
-    smaller position of a suffix that shares L bytes is its predecessor, and its next smaller
-    position shares fewer; so LPF reaches L exactly where the predecessor's rank is equal."""
+    return rank, levels
+
+
+def previous_smaller(x: np.ndarray) -> np.ndarray:
+    """Place of the nearest smaller value before each, -1 where there is none: jumps of halving
+    width over the minima of 1, 2, 4, ... values."""
+    least, width = [x], 1
+    while width < len(x):
+        low = least[-1].copy()
+        low[width:] = np.minimum(low[width:], least[-1][:-width])
+        least.append(low)
+        width *= 2
+    at = np.arange(len(x)) - 1
+    for low in reversed(least):
+        jump = (at >= 0) & (low[at] > x)
+        at = np.maximum(np.where(jump, at - width, at), -1)
+        width //= 2
+    return at
+
+
+def shared_prefix(a: np.ndarray, b: np.ndarray, levels: list[tuple[int, np.ndarray]], depth: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at ``a`` and at ``b``, cut at ``depth``."""
+    n = np.zeros(len(a), np.int64)
+    for width, rank in reversed(levels):
+        last = len(rank) - 1  # only met by prefixes that have reached the depth
+        n += width * (rank[np.minimum(a + n, last)] == rank[np.minimum(b + n, last)])
+    return np.minimum(n, depth)
+
+
+def previous_factors(data: np.ndarray, at: np.ndarray, order: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the suffixes at ``at`` (of ``depth`` bytes or more) with text order ``order``: the
+    longest previous factor, cut at ``depth``; and whether any other one shares ``depth``
+    bytes.  Of all suffixes before it in the text, the one that shares most with a suffix is
+    the nearest on either side in suffix order, the previous or the next smaller position."""
+    rank, levels = suffix_ranks(data, depth)
+    rank = rank[at]
     sa = np.lexsort((order, rank))
+    here, text = at[sa], order[sa].astype(np.int32)
+    before = previous_smaller(text)
+    after = len(sa) - 1 - previous_smaller(text[::-1])[::-1]  # len(sa) where there is none
+    found = np.zeros(len(sa), np.int64)
+    for near, has in ((before, before >= 0), (after, after < len(sa))):
+        k = np.flatnonzero(has)
+        found[k] = np.maximum(found[k], shared_prefix(here[k], here[near[k]], levels, depth))
+    lpf = np.empty(len(sa), np.int64)
+    lpf[sa] = found
     same = rank[sa][1:] == rank[sa][:-1]
-    earlier, other = np.zeros(len(rank), bool), np.zeros(len(rank), bool)
-    earlier[sa[1:]] = same
+    other = np.zeros(len(rank), bool)
     other[sa[1:]] = same
     other[sa[:-1]] |= same
-    return earlier, other
+    return lpf, other
 
 
 def _factor(cols: dict, length: int, keep: str):
@@ -196,7 +234,8 @@ def _factor(cols: dict, length: int, keep: str):
     # text order of the windows: (id, key, position)
     order = np.empty(len(row), np.int64)
     order[np.lexsort((cols["s"][row] + within, cols["key"][row], cols["id"][row]))] = np.arange(len(row))
-    earlier, other = previous_factors(suffix_ranks(data, length)[at], order)
+    lpf, other = previous_factors(data, at, order, length)
+    earlier = lpf >= length
     hit = earlier if keep == "first" else other
     split = (cols["parts"][row] > 1) & ~earlier  # the class's first window in this part
     c = B.prefix(data)

@@ -138,6 +138,22 @@ def test_op7_shared_passages(spark, keep, part):
     assert {i: s for i, s in order if s} == got
 
 
+@pytest.mark.parametrize("depth", [1, 7, 8, 20])
+def test_op7_longest_previous_factors(depth):
+    rng = np.random.default_rng(depth)
+    for n in (0, 1, 40, 300):
+        data = np.r_[rng.integers(0, 2, n), rng.integers(0, 3, depth)].astype(np.uint8)
+        raw, at = bytes(data), np.arange(n + 1 if n else 0)
+        order = rng.permutation(len(at))
+        share = lambda a, b: next((k for k in range(depth) if raw[a + k] != raw[b + k]), depth)
+        lpf, other = suffix_dedup.previous_factors(data, at, order, depth)
+        for i in at:
+            assert lpf[i] == max((share(i, j) for j in at if order[j] < order[i]), default=0)
+            assert other[i] == any(share(i, j) == depth for j in at if j != i)
+    x = rng.permutation(50)
+    assert [max((j for j in range(i) if x[j] < x[i]), default=-1) for i in range(50)] == list(suffix_dedup.previous_smaller(x))
+
+
 def test_op8_packing(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
