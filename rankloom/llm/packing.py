@@ -10,7 +10,8 @@ intervals of sequences with each gap - a state bounded by ``capacity``, whatever
 documents - and every step moves a whole class: all pieces of a length find the successor
 among the gap sizes, the k-th piece (by rank) takes the k-th sequence of that gap, gaps are
 updated, and what is left goes to the next successor, or opens sequences where there is
-none.  Documents never pass through the driver: Spark range-sorts the pieces by (length,
+none.  A step fills the gap of an interval as often as the length fits, so the plan has at
+most ``most_rows(lengths, capacity)`` rows, 260,096 for a capacity of 2048.  Documents never pass through the driver: Spark range-sorts the pieces by (length,
 doc_id, start, row), gives each its rank within its length from per-partition counts, and a
 join on (length, rank range) hands out sequence and offset.
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import math
 import re
 import zlib
 from array import array
@@ -135,13 +137,26 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0) ->
     return arrow_map(d, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """Sweeps over length classes -> rows ``(length, rank from, rank to, first sequence,
-    offset)``: the pieces of a length with these ranks go to consecutive sequences."""
+def most_rows(lengths: int, capacity: int) -> int:
+    """Bound on the rows of a plan with so many different lengths.
+
+    A length splits at most one interval of sequences, or opens at most two, so at the end there
+    are at most ``2 * lengths`` intervals of sequences with the same contents.  Every row puts a
+    length into one of them or more; a length meets an interval in one row, but for one row
+    more in the step that ends the length.  A sequence holds at most d different lengths where
+    1 + 2 + ... + d <= capacity."""
+    d = (math.isqrt(8 * capacity + 1) - 1) // 2
+    return lengths * (2 * d + 1)
+
+
+def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
+    """Sweeps over length classes -> rows ``(length, rank from, rank to, first sequence, number
+    of sequences, offset)``: the pieces of a length with these ranks go to these sequences in
+    turn, each round behind the one before."""
     plan, sizes, gaps, opened = [], [], {}, 0  # gaps: size -> intervals [first, count]
 
     def give(size, first, count):
-        if size:
+        if size and count:
             if size not in gaps:
                 bisect.insort(sizes, size)
                 gaps[size] = []
@@ -149,33 +164,35 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
 
     for length in sorted((x for x in counts if counts[x]), reverse=True):
         rank, left = 0, counts[length]
+
+        def put(pieces, first, count, offset):
+            nonlocal rank, left
+            if pieces:
+                plan.append((length, rank, rank + pieces, first, count, offset))
+                rank, left = rank + pieces, left - pieces
+
         while left:
             at = bisect.bisect_left(sizes, length)
-            if at < len(sizes):  # the successor among the gaps
+            if at < len(sizes):  # the successor among the gaps; what remains of it is the next one
                 size = sizes[at]
                 first, count = gaps[size].pop()
-                take = min(left, count)
-                if take < count:
-                    gaps[size].append([first + take, count - take])
                 if not gaps[size]:
                     del gaps[size], sizes[at]
-                plan.append((length, rank, rank + take, first, capacity - size))
-                give(size - length, first, take)
+                rounds = min(size // length, left // count)
+                put(rounds * count, first, count, capacity - size)
+                size -= rounds * length
+                more = left if size >= length else 0  # fewer than the sequences
+                put(more, first, count, capacity - size)
+                give(size, first + more, count - more)
+                give(size - length, first, more)
             else:  # none: open sequences, each filled as far as this length goes
                 fit = capacity // length
                 full, rest = divmod(left, fit)
-                take = 0
-                for slot in range(fit if full else 0):
-                    plan.append((length, rank + slot * full, rank + (slot + 1) * full, opened, slot * length))
-                if full:
-                    give(capacity - fit * length, opened, full)
-                    opened, take = opened + full, full * fit
-                for slot in range(rest):
-                    plan.append((length, rank + take + slot, rank + take + slot + 1, opened, slot * length))
-                if rest:
-                    give(capacity - rest * length, opened, 1)
-                    opened, take = opened + 1, take + rest
-            rank, left = rank + take, left - take
+                put(full * fit, opened, full, 0)
+                give(capacity - fit * length, opened, full)
+                put(rest, opened + full, 1, 0)
+                give(capacity - rest * length, opened + full, 1 if rest else 0)
+                opened += full + (rest > 0)
     return plan
 
 
@@ -198,10 +215,11 @@ def pack(pieces: DataFrame, capacity: int, work: Workspace) -> DataFrame:
     rank = ranked.join(F.broadcast(cells), ["_part", "length"]).withColumn("_rank", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
     counts = {r["length"]: r["n"] for r in ranked.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= capacity rows
     plan = best_fit_plan(counts, capacity)
-    rows = spark.createDataFrame(plan, "p_length long, lo long, hi long, first long, offset long")
+    rows = spark.createDataFrame(plan, "p_length long, lo long, hi long, first long, n_seq long, offset long")
+    nth = F.col("_rank") - F.col("lo")
     return rank.join(
         F.broadcast(rows), (F.col("length") == F.col("p_length")) & (F.col("_rank") >= F.col("lo")) & (F.col("_rank") < F.col("hi"))
-    ).select(*pieces.columns, (F.col("first") + F.col("_rank") - F.col("lo")).alias("sequence_id"), "offset")
+    ).select(*pieces.columns, (F.col("first") + nth % F.col("n_seq")).alias("sequence_id"), (F.col("offset") + F.floor(nth / F.col("n_seq")) * F.col("length")).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, path: str | None = None, end_id: int = 0) -> DataFrame:

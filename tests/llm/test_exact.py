@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rankloom.llm import queries, quality_rules, simhash_cover, spaced_seeds, suffix_dedup, wordpiece_counts
+from rankloom.llm import packing, queries, quality_rules, simhash_cover, spaced_seeds, suffix_dedup, wordpiece_counts
 from tests.conftest import SF_SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -177,6 +177,52 @@ def test_op8_packing(spark, docs):
     assert len(seqs) <= -(-total // 2048) + 1
 
 
+def sweeps(counts, capacity):
+    """(length, rank) -> (sequence, offset), one sweep at a time: pieces of a length go to the
+    sequences of one interval with the smallest gap that holds them, one to each, or fill new
+    sequences one by one."""
+    out, held, opened = {}, collections.defaultdict(list), 0  # gap -> lists of sequences
+    for length in sorted(counts, reverse=True):
+        ranks = list(range(counts[length]))
+        while ranks and (size := min((g for g in held if g >= length and held[g]), default=0)):
+            seqs = held[size].pop()
+            now, later = seqs[: len(ranks)], seqs[len(ranks) :]
+            out |= {(length, k): (x, capacity - size) for k, x in zip(ranks, now)}
+            ranks = ranks[len(now) :]
+            held[size] += [later] if later else []
+            held[size - length].append(now)
+        fit = capacity // length
+        full, rest = divmod(len(ranks), fit)
+        for k, rank in enumerate(ranks):
+            new, slot = (k % full, k // full) if k < full * fit else (full, k - full * fit)
+            out[length, rank] = opened + new, slot * length
+        if full:
+            held[capacity - fit * length].append(list(range(opened, opened + full)))
+        if rest:
+            held[capacity - rest * length].append([opened + full])
+        opened += full + (rest > 0)
+    return out
+
+
+def test_op8_plan():
+    rng = np.random.default_rng(11)
+    some = [({33 - i: 3 for i in range(1, 33)}, 32), ({32: 2, 5: 1}, 32), ({}, 32), ({7: 1000}, 32)]
+    for _ in range(60):
+        capacity = int(rng.integers(1, 60))
+        lengths = rng.choice(capacity, rng.integers(1, capacity + 1), replace=False) + 1
+        some.append(({int(x): int(rng.integers(0, rng.choice([2, 30]))) for x in lengths}, capacity))
+    for counts, capacity in some:
+        plan, got = packing.best_fit_plan(counts, capacity), {}
+        for length, lo, hi, first, count, offset in plan:
+            got |= {(length, lo + k): (first + k % count, offset + k // count * length) for k in range(hi - lo)}
+        assert got == sweeps(counts, capacity) and sum(r[2] - r[1] for r in plan) == len(got)
+        assert len(plan) <= packing.most_rows(len(counts), capacity)
+    # every gap from 1 to 255, and pieces of length 1 for all of them
+    counts = {x: 1 for x in range(257, 512)} | {1: 255 * 256 // 2}
+    assert len(packing.best_fit_plan(counts, 512)) <= packing.most_rows(256, 512) == 256 * 63
+    assert packing.most_rows(2048, 2048) == 260_096
+
+
 def test_op9_components(spark, docs):
     rows = run(spark, "op9_simhash_near_dedup")
     fps = np.array([int(r.fingerprint, 16) for r in rows], np.uint64)
