@@ -9,7 +9,8 @@ expectation-maximisation on held-out counts: a tenth of the training documents i
 the counts of the others.  Tokens are words, lower-cased A-Z, then one end token; the context
 of the first word is the end token.  Counts cover all training documents.
 
-Plan.  Documents are dealt into blocks of about ``BLOCK`` bytes of text.  A block sends each
+Plan.  Rows with the same doc_id and text are one row with a number within each batch, and the
+rest is dealt by doc_id and text into blocks of about ``BLOCK`` bytes of text.  A block sends each
 of its distinct words and pairs once, with its counts, to the task of the key's hash range;
 that task adds up the counts of all blocks and sends each block its totals back, in the
 same order, so answers need no keys.  The blocks meet their answers in a cogroup (the texts'
@@ -102,19 +103,31 @@ def _bucket_bounds(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
 
 ASKED = "bucket int, block long, kind int, n int, keys binary, rest binary, dev binary"
 ANSWERED = "block long, bucket int, kind int, n int, rest binary, dev binary"
-COUNTED = "doc_id long, split int, n long, words binary, pairs binary, words_rest binary, pairs_rest binary"
+COUNTED = "doc_id long, split int, times int, n long, words binary, pairs binary, words_rest binary, pairs_rest binary"
+
+
+def _once(batches):
+    """Rows of a batch with the same doc_id and text as one, with their number."""
+    for batch in batches:
+        rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()))
+        first = {r: i for i, r in reversed(list(enumerate(rows)))}
+        times = np.bincount([first[r] for r in rows], minlength=len(rows)).astype(np.int32)
+        out = batch.append_column("times", pa.array(times))
+        yield out if len(first) == len(rows) else out.take(pa.array(np.flatnonzero(times)))
 
 
 def _ask(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         tok, prev, size = block_tokens(table.column("text"))
         split = np.repeat(table.column("split").to_numpy().astype(np.int8), size)
+        times = np.repeat(table.column("times").to_numpy(), size)
         block = table.column("block")[0].as_py()
         rows = []
         for kind, bits in ((0, 64), (1, 56)):
             distinct, at = np.unique(tok if kind == 0 else pair_keys(prev, tok), return_inverse=True)
-            rest = np.bincount(at[split > DEV], minlength=len(distinct))
-            dev = np.bincount(at[split == DEV], minlength=len(distinct))
+            rest, dev = (
+                np.bincount(at[some], weights=times[some], minlength=len(distinct)).astype(np.int64) for some in (split > DEV, split == DEV)
+            )
             bound = _bucket_bounds(distinct, buckets, bits)
             for b in np.flatnonzero(np.diff(bound)):
                 i, j = bound[b], bound[b + 1]
@@ -168,12 +181,12 @@ def _unpacked(column, size: np.ndarray) -> np.ndarray:
 
 def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("split", pa.int32()), ("n", pa.int64())]
+        [("doc_id", pa.int64()), ("split", pa.int32()), ("times", pa.int32()), ("n", pa.int64())]
         + [(c, pa.binary()) for c in ("words", "pairs", "words_rest", "pairs_rest")]
     )
     if not left.num_rows:  # word totals of one bucket
         n = sum(right.column("n").to_pylist())
-        return pa.Table.from_pylist([{"doc_id": None, "split": -1, "n": n}], schema=schema)
+        return pa.Table.from_pylist([{"doc_id": None, "split": -1, "times": 1, "n": n}], schema=schema)
     tok, prev, size = block_tokens(left.column("text"))
     split = left.column("split").to_numpy()
     dev = split == DEV
@@ -187,13 +200,14 @@ def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
         )
         both.append(_packed((rest + held)[at], size))
         rest_of_dev.append(_packed(rest[at], size, dev))
-    return pa.table([left.column("doc_id"), pa.array(split), pa.array(size), *both, *rest_of_dev], schema=schema)
+    return pa.table([left.column("doc_id"), pa.array(split), left.column("times"), pa.array(size), *both, *rest_of_dev], schema=schema)
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    """``(doc_id, split, n, words, pairs, words_rest, pairs_rest)``: packed, for every token of
+    """``(doc_id, split, times, n, words, pairs, words_rest, pairs_rest)``: packed, for every token of
     every text, the training counts of the token and of its pair with the one before; the
-    same without the held-out part for documents of that part.  Rows with split -1 have the number
+    same without the held-out part for documents of that part; ``times`` is the number of equal
+    rows that one stands for.  Rows with split -1 have the number
     of distinct training words of one hash range in ``n``."""
     ship_package(docs.sparkSession)
     part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10))
@@ -201,11 +215,12 @@ def token_counts(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(part, F.lit(HELD)).cast("int").alias("split"),
         "text",
-        F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))).alias("h"),
+        F.xxhash64("text").alias("text_key"),
     )
+    d = arrow_map(d, _once, "doc_id long, split int, text string, text_key long, times int")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK))
-    d = d.withColumn("block", F.pmod("h", F.lit(blocks))).drop("h")
+    d = d.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks))).drop("text_key")
     asked = d.groupBy("block").applyInArrow(_ask(int(blocks)), ASKED)
     answers = asked.groupBy("bucket").applyInArrow(_answer, ANSWERED)
     return d.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_meet, COUNTED)
@@ -235,13 +250,14 @@ def _held_out(total: int, types: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                size = part.column(0).to_numpy()
+                size, times = part.column(0).to_numpy(), part.column(3).to_numpy()
                 off = np.r_[0, np.cumsum(size)]
                 words, pairs = _unpacked(part.column(1), size), _unpacked(part.column(2), size)
                 ctx = context(words, off)
                 p2 = np.where(ctx > 0, pairs / np.maximum(ctx, 1), 0.0)
                 code = (octave(ctx) << 20) | (cell(p2) << 10) | cell(words / max(1, total))
-                code, count = np.unique(code, return_counts=True)
+                code, at = np.unique(code, return_inverse=True)
+                count = np.bincount(at, weights=np.repeat(times, size), minlength=len(code)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(count)], names=["code", "n"])
 
     return run
@@ -287,7 +303,7 @@ def _scores(weights: np.ndarray, total: int, types: int):
                 base = np.log10((words + 0.1) / (total + 0.1 * (types + 1)))
                 doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
                 n = len(off) - 1
-                yield pa.RecordBatch.from_arrays(
+                out = pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array(part.column(1).to_numpy() == HELD), pa.array(size.astype(np.int64)),
                         pa.array(np.bincount(doc[words > 0], minlength=n).astype(np.int64)), pa.array(np.full(n, total, np.int64)),
@@ -295,6 +311,9 @@ def _scores(weights: np.ndarray, total: int, types: int):
                     ],
                     names=names,
                 )
+                row = np.repeat(np.arange(n), part.column(5).to_numpy())
+                for at in range(0, len(row), 10_000):
+                    yield out.take(pa.array(row[at : at + 10_000])) if len(row) > n else out
 
     return run
 
@@ -304,18 +323,19 @@ def score_texts(docs: DataFrame) -> DataFrame:
     document row; logarithms to base 10."""
     work = Workspace(docs.sparkSession, "lm")
     counts = work.save(token_counts(docs), "counts")
+    n = F.col("n") * F.col("times")
     sums = counts.agg(
-        F.sum(F.when(F.col("split") >= DEV, F.col("n"))).alias("total"),
-        F.sum(F.when(F.col("split") > DEV, F.col("n"))).alias("rest"),
+        F.sum(F.when(F.col("split") >= DEV, n)).alias("total"),
+        F.sum(F.when(F.col("split") > DEV, n)).alias("rest"),
         F.sum(F.when(F.col("split") == -1, F.col("n"))).alias("types"),
     ).first()
     total, rest, types = (int(x or 0) for x in sums)
     held = arrow_map(
-        counts.filter(F.col("split") == DEV).select("n", "words_rest", "pairs_rest"), _held_out(rest, types), "code long, n long"
+        counts.filter(F.col("split") == DEV).select("n", "words_rest", "pairs_rest", "times"), _held_out(rest, types), "code long, n long"
     )
     cells = held.groupBy("code").agg(F.sum("n").alias("n")).toPandas()  # cells of the grid, whatever the corpus
     weights = mixture_weights(cells["code"].to_numpy(np.int64), cells["n"].to_numpy(np.int64), types)
-    rows = counts.filter("split >= 0").select("doc_id", "split", "n", "words", "pairs")
+    rows = counts.filter("split >= 0").select("doc_id", "split", "n", "words", "pairs", "times")
     return arrow_map(
         rows, _scores(weights, total, types),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",

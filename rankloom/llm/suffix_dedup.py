@@ -25,7 +25,7 @@ Nothing is sampled or capped; memory in a task is a multiple of one text or one
 Defined cases: null and empty texts and texts shorter than ``length`` have no spans.  Rows
 with the same doc_id and the same text are copies of each other for ``keep="none"``; for
 ``keep="first"`` they are one document and stay alike.  Rows with the same doc_id and other
-text are different documents.  Extra columns are ignored by the finder and kept by
+text are different documents.  Of repeated rows each task passes on one text and one of each span.  Extra columns are ignored by the finder and kept by
 ``remove_repeats``.
 """
 
@@ -109,6 +109,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _once(texts: DataFrame) -> DataFrame:
+    """``texts`` with each (id, key) at most once a task."""
+
+    def run(batches):
+        seen: set[tuple[int, int]] = set()  # bounded by the rows of the task
+        for batch in batches:
+            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            new = [i for i, r in enumerate(rows) if not (r in seen or seen.add(r))]
+            yield batch if len(new) == len(rows) else batch.take(pa.array(new, pa.int64()))
+
+    return arrow_map(texts, run, "id long, key long, text string")
+
+
 def _stretches(texts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -323,7 +336,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first", part
         .groupBy(F.col("id").alias("w_id"), F.col("key").alias("w_key"))
         .agg(F.collect_list("want").alias("wants"))  # bounded by the stretches of one text
     )
-    one = texts.join(wants, (F.col("id") == F.col("w_id")) & (F.col("key") == F.col("w_key"))).select("id", "key", "text", "wants")
+    one = _once(texts).join(wants, (F.col("id") == F.col("w_id")) & (F.col("key") == F.col("w_key"))).select("id", "key", "text", "wants")
+    one = one.groupBy("id", "key").agg(F.first("text").alias("text"), F.first("wants").alias("wants"))  # a row of each task at most
     grouped = _cut(one, length).withColumn("g", F.xxhash64("gram", "part")).drop("gram", "part")
     found2 = work.save(_match(grouped.repartition("g").sortWithinPartitions("g"), length, keep), "matches")
     spans = found2.filter("kind = 0").select("id", "key", "lo", "hi")
@@ -333,7 +347,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first", part
     if keep == "first":
         across = across.filter(F.struct("id", "key", "lo") != F.col("first"))
     every = settled.unionByName(spans).unionByName(across.select("id", "key", "lo", "hi"))
-    return every.groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    # rows with the same id and text give the same spans: they are reduced before they meet
+    return every.distinct().groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def merged(spans: list) -> list[tuple[int, int]]:

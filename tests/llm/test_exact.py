@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rankloom.llm import packing, queries, quality_rules, simhash_cover, spaced_seeds, suffix_dedup, wordpiece_counts
+from rankloom.llm import interpolation_lm, packing, queries, quality_rules, simhash_cover, spaced_seeds, suffix_dedup, wordpiece_counts
 from tests.conftest import SF_SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -138,6 +138,25 @@ def test_op7_shared_passages(spark, keep, part):
     assert {i: s for i, s in order if s} == got
 
 
+@pytest.mark.parametrize("keep", ["first", "none"])
+def test_op7_repeated_rows(spark, keep, monkeypatch):
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(rng.choice(list("abcd ef"), n))
+    text, passage = word(900), word(350)
+    rows = [(1, text)] * 300 + [(None, passage + text[:400])] * 200 + [(2, word(300) + passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    cut, seen = suffix_dedup._cut, []
+    monkeypatch.setattr(suffix_dedup, "_cut", lambda rows, length: seen.append(rows.count()) or cut(rows, length))
+    got = suffix_dedup.repeated_spans(df, 200, keep).collect()
+    assert seen[0] <= 3  # one text of each
+    brute = brute_spans([text] * (keep == "none") + [text, *[passage + text[:400]] * (1 + (keep == "none")), rows[-1][1]], 200)
+    by = {r.id: r.spans for r in got}
+    for i, spans in ((1, brute[0]), (suffix_dedup.NO_ID, brute[-2 - (keep == "none")]), (2, brute[-1])):
+        if keep == "none" or i == 1:
+            assert suffix_dedup.merged([(s.lo, s.hi) for s in by.get(i, [])]) == spans[keep]
+    assert all(len(s) == len(set(s)) for s in by.values())
+
+
 @pytest.mark.parametrize("depth", [1, 7, 8, 20])
 def test_op7_longest_previous_factors(depth):
     rng = np.random.default_rng(depth)
@@ -357,6 +376,29 @@ def test_op6_base_and_probabilities(spark, docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_op6_repeated_rows(spark):
+    rng = np.random.default_rng(4)
+    text = lambda: " ".join(rng.choice(list("abcdefgh"), 30))
+    rows = [(i, text()) for i in range(60)] + [(7, text()) for _ in range(40)] + [(100, "a b c a b")] * 400 + [(None, None)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert interpolation_lm.token_counts(df).filter("doc_id = 100").count() <= 3  # one row of each batch
+    part = lambda i: zlib.crc32(str(i).encode()) % 10 if i is not None else 0
+    c = collections.Counter(w for i, t in rows if part(i) for w in [*(t or "").split(), None])
+    n, v = sum(c.values()), len(c)
+    want = collections.Counter()
+    for i, t in rows:
+        ws = [*(t or "").split(), None]
+        want[i, part(i) == 0, len(ws), round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), 6)] += 1
+    got = interpolation_lm.score_texts(df).collect()
+    assert collections.Counter((r.doc_id, r.held_out, r.n_tokens, round(r.base_score, 6)) for r in got) == want
+    assert {r.train_tokens for r in got} == {n}
+    # as many copies with ids of the same part, which are not reduced, score the same
+    alike = [j for j in range(1000, 9000) if part(j) == part(100)][:400]
+    apart = [(alike.pop() if i == 100 else i, t) for i, t in rows]
+    other = interpolation_lm.score_texts(spark.createDataFrame(apart, "doc_id long, text string")).collect()
+    assert np.allclose(sorted(r.score for r in other), sorted(r.score for r in got))
+
+
 def test_op10_rules(spark):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
