@@ -166,12 +166,11 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     return arrow_map(rows, run, "gram long, part int, parts int, copies long, id long, key long, s int, n short, bytes binary")
 
 
-def suffix_ranks(data: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
     """Rank of every position's suffix cut at ``depth`` bytes (equal prefixes rank equal), by
-    prefix doubling; the bytes are padded with zeros past the end.  Also the ranks at each
-    power of two on the way, as (depth, ranks)."""
+    prefix doubling; the bytes are padded with zeros past the end."""
     rank = data.astype(np.int64) + 1
-    have, levels = 1, [(1, rank.astype(np.int32))]
+    have = 1
     while have < depth:
         step = min(have, depth - have)  # the last step overlaps
         nxt = np.zeros(len(rank), np.int64)
@@ -179,10 +178,8 @@ def suffix_ranks(data: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[i
         pair = rank * (int(rank.max(initial=0)) + 1) + nxt if len(rank) < (1 << 31) else None
         _, rank = np.unique(pair, return_inverse=True)
         rank = rank.astype(np.int64) + 1
-        if step == have:
-            levels.append((have + step, rank.astype(np.int32)))
         have += step
-    return rank, levels
+    return rank
 
 
 def previous_smaller(x: np.ndarray) -> np.ndarray:
@@ -202,12 +199,15 @@ def previous_smaller(x: np.ndarray) -> np.ndarray:
     return at
 
 
-def shared_prefix(a: np.ndarray, b: np.ndarray, levels: list[tuple[int, np.ndarray]], depth: int) -> np.ndarray:
-    """Length of the common prefix of the suffixes at ``a`` and at ``b``, cut at ``depth``."""
+def shared_prefix(a: np.ndarray, b: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at ``a`` and at ``b``, cut at ``depth``;
+    ``words`` are the eight bytes from every place on."""
     n = np.zeros(len(a), np.int64)
-    for width, rank in reversed(levels):
-        last = len(rank) - 1  # only met by prefixes that have reached the depth
-        n += width * (rank[np.minimum(a + n, last)] == rank[np.minimum(b + n, last)])
+    go = np.arange(len(a))
+    for at in range(0, depth, 8):
+        x = words[a[go] + at] ^ words[b[go] + at]
+        n[go] += sum((x >> B.U(bits) == 0).astype(np.int64) for bits in range(0, 64, 8))
+        go = go[x == 0]
     return np.minimum(n, depth)
 
 
@@ -216,19 +216,24 @@ def previous_factors(data: np.ndarray, at: np.ndarray, order: np.ndarray, depth:
     longest previous factor, cut at ``depth``; and whether any other one shares ``depth``
     bytes.  Of all suffixes before it in the text, the one that shares most with a suffix is
     the nearest on either side in suffix order, the previous or the next smaller position."""
-    rank, levels = suffix_ranks(data, depth)
-    rank = rank[at]
+    rank = suffix_ranks(data, depth)[at]
     sa = np.lexsort((order, rank))
-    here, text = at[sa], order[sa].astype(np.int32)
+    same = rank[sa][1:] == rank[sa][:-1]
+    # behind the first of those that share ``depth`` bytes, the previous smaller position does too
+    head = sa[np.r_[True, ~same][: len(sa)]]
+    text = order[head].astype(np.int32)
     before = previous_smaller(text)
-    after = len(sa) - 1 - previous_smaller(text[::-1])[::-1]  # len(sa) where there is none
-    found = np.zeros(len(sa), np.int64)
-    for near, has in ((before, before >= 0), (after, after < len(sa))):
+    after = len(head) - 1 - previous_smaller(text[::-1])[::-1]  # len(head) where there is none
+    raw = np.r_[data, np.zeros(8, np.uint8)]
+    words = np.zeros(len(data), B.U)
+    for k in range(8):
+        words |= raw[k : k + len(data)].astype(B.U) << B.U(56 - 8 * k)
+    found = np.zeros(len(head), np.int64)
+    for near, has in ((before, before >= 0), (after, after < len(head))):
         k = np.flatnonzero(has)
-        found[k] = np.maximum(found[k], shared_prefix(here[k], here[near[k]], levels, depth))
-    lpf = np.empty(len(sa), np.int64)
-    lpf[sa] = found
-    same = rank[sa][1:] == rank[sa][:-1]
+        found[k] = np.maximum(found[k], shared_prefix(at[head[k]], at[head[near[k]]], words, depth))
+    lpf = np.full(len(sa), depth, np.int64)
+    lpf[head] = found
     other = np.zeros(len(rank), bool)
     other[sa[1:]] = same
     other[sa[:-1]] |= same
