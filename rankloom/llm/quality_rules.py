@@ -228,6 +228,7 @@ def line_verdicts(
     stats = work.save(document_stats(docs, host), "stats")
     entries, often = frequent_lines(stats, max_docs, max_share)
     if low_docs is not None:
+        entries = work.save(entries, "entries")  # read four times
         often = often.unionByName(low_lines(stats, entries, low_docs, low_share, low_words, work))
         often = often.groupBy("f_host", "f_line").agg(F.max("n_docs").alias("n_docs"))
     removed = (
