@@ -19,6 +19,7 @@ import pyarrow as pa
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64
 PIECE = 1 << 20
+KEPT = 2 * PIECE  # entries of the power tables that stay in a worker
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,8 +40,7 @@ ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     def run(base):
         p = np.full(n, base, dtype=U)
         p[0] = 1
@@ -49,9 +49,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return run(BASE), run(pow(BASE, -1, 1 << 64))
 
 
+@functools.lru_cache(maxsize=1)
+def _kept() -> tuple[np.ndarray, np.ndarray]:
+    return _tables(KEPT)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base**i`` and ``base**-i`` for i in 0..n-1 (tables are rounded up and reused)."""
-    return _powers(1 << max(20, int(n).bit_length()))
+    """``base**i`` and ``base**-i`` for i in 0..n-1 at least.  One table is kept in a worker
+    (32 MB, enough for every piece that is not one long document); larger ones are made for
+    their caller and freed with it."""
+    return _kept() if n <= KEPT else _tables(n)
 
 
 def column_bytes(col) -> tuple[np.ndarray, np.ndarray]:

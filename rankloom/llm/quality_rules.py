@@ -255,24 +255,49 @@ def line_verdicts(
     )
 
 
-def drop_lines(data, off, keys: list) -> pa.Array:
-    """The texts without the lines whose key is in the document's list."""
+def drop_lines(data, off, keys: list) -> list[bytes | None]:
+    """The texts without the lines whose key is in the document's list; None where there is
+    no list (the text stays as it is)."""
     starts, ends, key, _ = line_keys(data, off)
-    doc = B.owner(off, starts)
-    n = len(off) - 1
-    texts = []
-    for i in range(n):
-        raw = bytes(data[off[i] : off[i + 1]])
-        if keys[i]:
-            mine = doc == i
-            bad = np.isin(B.signed(key[mine]), np.array(keys[i], np.int64))
-            out, at = [], 0
-            for s, e in zip(starts[mine][bad] - off[i], ends[mine][bad] - off[i]):
-                out.append(raw[at:s])
-                at = min(len(raw), e + 1)  # with its \n
-            raw = b"".join([*out, raw[at:]])
-        texts.append(raw.decode())
-    return pa.array(texts, pa.string())
+    key = B.signed(key)
+    first = np.searchsorted(starts, off)  # the lines of document i are first[i] .. first[i + 1]
+    out: list[bytes | None] = []
+    for i, mine in enumerate(keys):
+        if not mine:
+            out.append(None)
+            continue
+        lo, hi = first[i], first[i + 1]
+        bad = lo + np.flatnonzero(np.isin(key[lo:hi], np.array(mine, np.int64)))
+        kept, at = [], int(off[i])
+        for s, e in zip(starts[bad].tolist(), ends[bad].tolist()):
+            kept.append(data[at:s].tobytes())
+            at = min(int(off[i + 1]), e + 1)  # with its \n
+        kept.append(data[at : off[i + 1]].tobytes())
+        out.append(b"".join(kept))
+    return out
+
+
+def edited_batches(batches, at: int):
+    """Batches whose last column lists line keys -> batches without it, whose texts (column
+    ``at``) lost those lines; a megabyte of text at a time, whatever the size of a batch."""
+    for batch in batches:
+        last = batch.num_columns - 1
+        keys = batch.column(last)
+        if keys.null_count == len(keys):
+            yield batch.select(range(last))
+            continue
+        for lo, rows, data, off in B.pieces(batch.column(at)):
+            some = batch.slice(lo, rows).select(range(last))
+            mine = keys.slice(lo, rows)
+            if mine.null_count < rows:
+                col = some.column(at)
+                texts = drop_lines(data, off, mine.to_pylist())
+                for i, ok in enumerate(col.is_valid().to_pylist()):
+                    if texts[i] is None and ok:
+                        texts[i] = data[off[i] : off[i + 1]].tobytes()
+                new = pa.array(texts, pa.binary()).cast(pa.string()).cast(col.type)
+                some = pa.RecordBatch.from_arrays([new if i == at else some.column(i) for i in range(last)], names=some.schema.names)
+            yield some
 
 
 def apply_rules(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
@@ -281,33 +306,20 @@ def apply_rules(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
     # rows that need no change carry nothing: only rejected and edited texts are on this side
     verdicts = (
         v.filter(~F.col("kept") | F.col("drop_lines").isNotNull())
-        .groupBy(F.col("host").alias("_v_host"), F.col("text_key").alias("_v_key"))
+        .groupBy(F.col("doc_id").alias("_v_id"), F.col("host").alias("_v_host"), F.col("text_key").alias("_v_key"))
         .agg(F.first("kept").alias("_v_kept"), F.first("drop_lines").alias("_v_lines"))
     )
     packed = docs.select(
-        F.struct("*").alias("row"), F.col(host).cast("string").alias("_host"), F.xxhash64("text").alias("_key")
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("long").alias("_id"),
+        F.col(host).cast("string").alias("_host"),
+        F.xxhash64("text").alias("_key"),
     )
+    same = F.col("_id").eqNullSafe(F.col("_v_id")) & F.col("_host").eqNullSafe(F.col("_v_host")) & (F.col("_key") == F.col("_v_key"))
     joined = (
-        packed.join(verdicts, F.col("_host").eqNullSafe(F.col("_v_host")) & (F.col("_key") == F.col("_v_key")), "left")
+        packed.join(verdicts, same, "left")
         .filter(F.coalesce("_v_kept", F.lit(True)))
         .select("row.*", F.col("_v_lines").alias(free_name(docs, "_v_lines")))
     )
-    names, at = docs.columns, [c.lower() for c in docs.columns].index("text")
-
-    def edit(batches):
-        for batch in batches:
-            keys = batch.column(len(names))
-            if keys.null_count == len(keys):
-                yield batch.select(range(len(names)))
-                continue
-            has = np.flatnonzero(keys.is_valid().to_numpy(zero_copy_only=False))
-            col = batch.column(at)
-            texts = col.to_pylist()
-            data, off = B.column_bytes(col.take(pa.array(has)))
-            for i, text in zip(has, drop_lines(data, off, keys.take(pa.array(has)).to_pylist()).to_pylist()):
-                texts[i] = text
-            cols = [batch.column(i) for i in range(len(names))]
-            cols[at] = pa.array(texts, col.type)
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return arrow_map(joined, edit, docs.schema)
+    at = [c.lower() for c in docs.columns].index("text")
+    return arrow_map(joined, lambda batches: edited_batches(batches, at), docs.schema)

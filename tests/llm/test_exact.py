@@ -422,3 +422,47 @@ def test_op2_agrees_with_its_oracle(spark):
     df = queries.QUERIES["op2_quality_rules"](spark, SF_SMALL)
     assert df.columns == rel.columns
     assert sorted(map(tuple, df.collect())) == sorted(rel.fetchall())
+
+
+def test_line_removal_by_hand_and_its_memory():
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from rankloom.llm import _bytes as B
+    from rankloom.llm import quality_rules as Q
+
+    rng = random.Random(5)
+    words = ["alpha", "Beta", "gamma", "é", "delta"]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 4))) for _ in range(30)]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randint(0, 12))) for _ in range(200)] + [None, ""]
+
+    def norm(line):
+        return " ".join("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in line.split())
+
+    bad = {norm(x) for x in lines[::3] if norm(x)}
+    keys = [int(B.signed(Q.line_keys(*B.column_bytes(pa.array([x])))[2])[0]) for x in sorted(bad)]
+    has = [i % 4 != 0 and t is not None for i, t in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array(texts), pa.array([keys if h else None for h in has], pa.list_(pa.int64()))], names=["i", "text", "k"]
+    )
+    got = pa.Table.from_batches(Q.edited_batches([batch], 1)).column("text").to_pylist()
+    for t, h, g in zip(texts, has, got):
+        assert g == ("".join(x + "\n" for x in t.split("\n") if norm(x) not in bad)[: None if norm(t.split("\n")[-1]) in bad else -1] if h else t)
+
+    # one Arrow batch of 64 MB, every row with the line: the peak stays a small multiple of a piece
+    text = lines[0] + "\n" + "some longer line of text that goes on and on\n" * 140
+    big = pa.RecordBatch.from_arrays(
+        [pa.array([text] * 10_000), pa.array([keys[:1]] * 10_000, pa.list_(pa.int64()))], names=["text", "k"]
+    )
+    assert big.nbytes > 60 << 20
+    B.powers(1)
+    tracemalloc.start()
+    for out in Q.edited_batches([big], 0):
+        assert isinstance(out, pa.RecordBatch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20, peak
+    assert np.int64(B.KEPT) * 16 <= 64 << 20
