@@ -53,4 +53,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        n_frequent_lines, n_line_words
 FROM judged"""
 
-ORACLE_SQL: dict[str, str] = {"op2_quality_rules": QUALITY_RULES}
+
+LEAF = ", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", "text"))
+
+
+def _climb(name: str, levels: int) -> list[str]:
+    """The levels of a tree over ``{name}0 (grp, idx, n, h)`` and the rows of ``{name}p0 (r, idx,
+    n, proof, fold)`` on their way up, one level at a time."""
+    out = []
+    for k in range(levels):
+        out.append(
+            f"{name}{k + 1} AS MATERIALIZED (SELECT grp, idx // 2 AS idx, (any_value(n) + 1) // 2 AS n, "
+            f"CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY idx)) ELSE any_value(h) END AS h "
+            f"FROM {name}{k} GROUP BY grp, idx // 2)"
+        )
+        out.append(
+            f"{name}p{k + 1} AS MATERIALIZED (SELECT p.r, p.grp, p.idx // 2 AS idx, (p.n + 1) // 2 AS n, p.proof || coalesce(s.h, '') AS proof, "
+            f"CASE WHEN p.n = 1 THEN p.fold WHEN p.idx % 2 = 1 THEN sha256(s.h || p.fold) ELSE sha256(p.fold || coalesce(s.h, '')) END AS fold "
+            f"FROM {name}p{k} p LEFT JOIN {name}{k} s ON s.grp IS NOT DISTINCT FROM p.grp AND s.idx = xor(p.idx, 1))"
+        )
+    return out
+
+
+def merkle_sql(levels: int = 24, groups: int = 8) -> str:
+    """Trees of at most 2**levels leaves a group and 2**groups groups, level by level."""
+    return ",\n".join(
+        [
+            """WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+)""",
+            "crc AS (SELECT list(c ORDER BY i) AS tab FROM steps WHERE k = 8)",
+            f"""leaves AS MATERIALIZED (
+  SELECT d.*, sha256(concat({LEAF})) AS leaf,
+         CASE WHEN xor(list_reduce([4294967295] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)),
+                lambda a, b: xor(tab[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 7 = 0
+              THEN sha256(concat({LEAF.replace('n_chars', '(n_chars + 1)')})) END AS bad
+  FROM documents d, crc
+)""",
+            """placed AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, lang AS grp, leaf, coalesce(bad, leaf) AS first,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, bad NULLS FIRST) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+)""",
+            "a0 AS MATERIALIZED (SELECT grp, idx, n, leaf AS h FROM placed)",
+            "ap0 AS MATERIALIZED (SELECT r, grp, idx, n, '' AS proof, first AS fold FROM placed)",
+            *_climb("a", levels),
+            f"subs AS MATERIALIZED (SELECT grp, h, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM a{levels})",
+            "b0 AS MATERIALIZED (SELECT 0 AS grp, idx, n, h FROM subs)",
+            f"bp0 AS MATERIALIZED (SELECT p.r, 0 AS grp, s.idx, s.n, p.proof, p.fold FROM ap{levels} p JOIN subs s ON s.grp IS NOT DISTINCT FROM p.grp)",
+            *_climb("b", groups),
+        ]
+    ) + f"""
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.fold AS folded_root, f.fold = t.h AS verified
+FROM placed p JOIN bp{groups} f ON f.r = p.r JOIN subs s ON s.grp IS NOT DISTINCT FROM p.grp CROSS JOIN b{groups} t"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op12_merkle_manifest": merkle_sql()}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rankloom.llm import (
     interpolation_lm,
+    merkle_manifest,
     packing,
     quality_qda,
     quality_rules,
@@ -74,6 +75,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.labelled_table(pages))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents; rows whose id's CRC-32 is divisible by 7 are folded from a
+    leaf whose n_chars is one too large."""
+    seventh = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    tampered = (seventh, {"n_chars": F.try_add(F.col("n_chars"), F.lit(1))})
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_simhash_near_dedup,
         op10_url_filter,
+        op12_merkle_manifest,
     )
 }
