@@ -109,4 +109,44 @@ SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_s
 FROM placed p JOIN bp{groups} f ON f.r = p.r JOIN subs s ON s.grp IS NOT DISTINCT FROM p.grp CROSS JOIN b{groups} t"""
 
 
-ORACLE_SQL: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op12_merkle_manifest": merkle_sql()}
+def clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """The rounds of exact k-means, one CTE each."""
+    def assigned(i):
+        return (
+            f"a{i} AS MATERIALIZED (SELECT r, c, dist FROM (SELECT r, c, dist, row_number() OVER (PARTITION BY r ORDER BY dist, c) AS nr FROM "
+            f"(SELECT v.r, k.c, sum((v.x - k.x) * (v.x - k.x)) AS dist FROM vals v JOIN c{i} k ON k.d = v.d GROUP BY v.r, k.c)) WHERE nr = 1)"
+        )
+
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
+)""",
+        "vals AS MATERIALIZED (SELECT r, unnest(range(len(v))) AS d, unnest(v) AS x FROM kept)",
+        f"""start AS MATERIALIZED (
+  SELECT r, row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c FROM kept QUALIFY c < {k}
+)""",
+        "c0 AS MATERIALIZED (SELECT s.c, v.d, v.x FROM start s JOIN vals v ON v.r = s.r)",
+    ]
+    for i in range(rounds):
+        parts += [
+            assigned(i),
+            f"m{i} AS MATERIALIZED (SELECT a.c, v.d, sum(v.x) AS s, count(*) AS n FROM a{i} a JOIN vals v ON v.r = a.r GROUP BY a.c, v.d)",
+            f"c{i + 1} AS MATERIALIZED (SELECT k.c, k.d, CAST(CASE WHEN m.n IS NULL THEN k.x WHEN m.s >= 0 THEN m.s // m.n ELSE -((-m.s + m.n - 1) // m.n) END AS BIGINT) AS x "
+            f"FROM c{i} k LEFT JOIN m{i} m ON m.c = k.c AND m.d = k.d)",
+        ]
+    parts += [
+        assigned(rounds),
+        f"names AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS h FROM c{rounds} GROUP BY c)",
+    ]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.dist AS BIGINT) AS distance,
+       CAST(sum(a.dist) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.dist) OVER () AS BIGINT) AS inertia, h.h AS centroid_sha256
+FROM a{rounds} a JOIN kept k ON k.r = a.r JOIN names h ON h.c = a.c"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": QUALITY_RULES,
+    "op12_merkle_manifest": merkle_sql(),
+    "op13_centroid_clustering": clusters_sql(),
+}

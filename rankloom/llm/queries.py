@@ -18,6 +18,7 @@ from rankloom.llm import (
     quality_qda,
     quality_rules,
     simhash_cover,
+    simplex_clusters,
     spaced_seeds,
     suffix_dedup,
     toxicity_nnpu,
@@ -83,6 +84,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.manifest(table(spark, sf_dir, "documents"), tampered)
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex_clusters.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,5 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_near_dedup,
         op10_url_filter,
         op12_merkle_manifest,
+        op13_centroid_clustering,
     )
 }
