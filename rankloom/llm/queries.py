@@ -23,6 +23,7 @@ from rankloom.llm import (
     suffix_dedup,
     toxicity_nnpu,
     url_filter,
+    winnowing,
     wordpiece_counts,
 )
 from rankloom.llm._work import table
@@ -76,6 +77,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.labelled_table(pages))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents; rows whose id's CRC-32 is divisible by 7 are folded from a
     leaf whose n_chars is one too large."""
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_simhash_near_dedup,
         op10_url_filter,
+        op11_document_fingerprints,
         op12_merkle_manifest,
         op13_centroid_clustering,
     )
