@@ -1,26 +1,27 @@
-"""Order-dependent operators that stay skew-safe: dense numbering and "next row in group".
+"""Order-dependent operators that stay skew-safe: dense numbering and "the next row".
 
-Both avoid a window over one huge partition (a single task holding a third of the rows):
+Neither has a window over one huge partition (a single task holding a third of the rows):
 
 * :func:`dense_index` numbers rows 1..n in a global order with a range shuffle, a
   per-partition count (one row per partition, so it can be broadcast) and each row's
   position inside its partition.
-* :func:`next_in_group` is ``lead(value) OVER (PARTITION BY key ORDER BY ...)``.  Groups up
-  to ``hot_rows`` rows use the ordinary window (its partitions are bounded by that size);
-  larger groups are numbered with :func:`dense_index` - the range shuffle splits them over
-  many tasks - and each row is joined to the row numbered one higher (unique keys, no skew).
+* :func:`next_row` gives every row the one that follows it in a global order.  The order keys
+  are range-sorted, and the first key of each range becomes a bound; every row finds its range
+  by binary search among the bounds and is shuffled to it, the first row of a range to the
+  range before it as well.  The window then runs inside a range, whatever the keys are.
+* :func:`next_in_group` is ``lead(value) OVER (PARTITION BY key ORDER BY ...)`` by it: the next
+  row counts if it is of the same group.  A group of any size is split like other rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.session import checkpoint_dir
 
-HOT_GROUP_ROWS = 1_000_000  # group size above which a group takes the split path
-BROADCAST_ROWS = 1_000_000  # hot-key table rows above which it is joined by shuffle
-
 
 def dense_index(df: DataFrame, order: list[str], id_col: str = "id", start: int = 1) -> DataFrame:
     """``df`` plus ``id_col`` = position (from ``start``) in ascending ``order``.
@@ -55,46 +56,59 @@ def dense_index(df: DataFrame, order: list[str], id_col: str = "id", start: int
     )
 
 
-def next_in_group(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    value: str,
-    out: str = "next",
-    hot_rows: int = HOT_GROUP_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
-    max_rows: int | None = None,
+def _bounds(df: DataFrame, names: list[str], ranges: int | None) -> list[dict]:
+    """The least key of each range of a range partitioning by ``names``, in order: a row per
+    partition.  Without ``ranges`` adaptive execution picks their number by the keys' bytes."""
+    ranged = df.repartitionByRange(*names) if ranges is None else df.repartitionByRange(ranges, *names)
+    least = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*names)).alias("key"))
+    return [r["key"].asDict() for r in least.orderBy("key").collect()]
+
+
+def next_row(
+    df: DataFrame, order: list[Column], carried: list[str], out: str = "next", ranges: int | None = None, wrap: bool = False
 ) -> DataFrame:
-    """``df`` plus ``out`` = ``value`` of the next row of the same ``key`` group in ``order``
-    (NULL for a group's last row).  Rows with equal order keys may come in any order; the
-    result is the same either way because tied rows are interchangeable for ``value``
-    exactly when ``value`` is part of ``order`` (as it is for the graph derivation).
-    Give ``order`` a unique, deterministic tie-breaker (e.g. file path and row index): the
-    range shuffle can then split even identical keys, and a re-run task reproduces its rows'
-    positions exactly.
-
-    ``max_rows`` is an upper bound on the rows of ``df`` if the caller knows one cheaply
-    (e.g. a parquet footer count): no group can be hot when it is at most ``hot_rows``,
-    and the detection pass is skipped.
-    """
-    w = Window.partitionBy(key).orderBy(*order)
-    if max_rows is not None and max_rows <= hot_rows:
-        return df.withColumn(out, F.lead(value).over(w))
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).select(key)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return df.withColumn(out, F.lead(value).over(w))
-    hot_side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
-    normal = df.join(hot_side, key, "left_anti").withColumn(out, F.lead(value).over(w))
-    heavy = df.join(hot_side, key, "left_semi")
-    numbered = dense_index(heavy, [key, *order], id_col="_pos")
-    following = numbered.select(
-        (F.col("_pos") - 1).alias("_pos"), F.col(key).alias("_nkey"), F.col(value).alias("_nval")
+    """``df`` plus ``out``: a struct of the ``carried`` columns of the next row in ascending
+    ``order`` (nulls first), NULL for the last row or, with ``wrap``, those of the first.
+
+    ``order`` has to be total (end it with a unique column, e.g. file and row of a scan): ranges
+    can then split even equal keys, and every row has one place.  ``df`` is read twice and must
+    give the same rows both times.  ``ranges`` is the number of ranges, for rows much wider
+    than their keys."""
+    names = [f"_o{i}" for i in range(len(order))]
+    keys = df.select(*[c.alias(n) for c, n in zip(order, names)])
+    types = keys.schema
+    bounds = _bounds(keys, names, ranges)
+    if not bounds:
+        return df.withColumn(out, F.struct(*carried))
+    at = lambda i: F.get(F.from_json(F.lit(json.dumps(bounds)), f"array<{types.simpleString()}>"), i)
+    key = F.struct(*names)
+    jumps = [1 << b for b in reversed(range((len(bounds) - 1).bit_length()))]
+    place = F.aggregate(
+        F.array(*[F.lit(j) for j in jumps]).cast("array<int>"),
+        F.lit(0),
+        lambda i, jump: F.when(F.coalesce(at(i + jump) <= key, F.lit(False)), i + jump).otherwise(i),
     )
-    heavy_out = (
-        numbered.join(following, "_pos", "left")
-        .withColumn(out, F.when(F.col("_nkey") == F.col(key), F.col("_nval")))
-        .drop("_pos", "_nkey", "_nval")
+    target = lambda r, extra: F.struct(r.alias("_to"), F.lit(extra).alias("_extra"))
+    here = target(F.col("_range"), False)
+    before = target(F.pmod(F.col("_range") - 1, F.lit(len(bounds))), True)
+    first = at(F.col("_range")) == key
+    if not wrap:
+        first = first & (F.col("_range") > 0)
+    dealt = (
+        df.select("*", *[c.alias(n) for c, n in zip(order, names)])
+        .withColumn("_range", place)
+        .withColumn("_target", F.explode(F.when(first, F.array(here, before)).otherwise(F.array(here))))
+        .select(*df.columns, *names, "_target._to", "_target._extra")
     )
-    return normal.unionByName(heavy_out)
+    follow = F.lead(F.struct(*carried)).over(Window.partitionBy("_to").orderBy("_extra", *names))
+    return dealt.withColumn(out, follow).where(~F.col("_extra")).select(*df.columns, out)
+
+
+def next_in_group(
+    df: DataFrame, key: str, order: list[str], value: str, out: str = "next", ranges: int | None = None
+) -> DataFrame:
+    """``df`` plus ``out`` = ``value`` of the next row of the same ``key`` group in ``order``
+    (NULL for a group's last row); see :func:`next_row` for what ``order`` has to be."""
+    followed = next_row(df, [F.col(c) for c in [key, *order]], [key, value], "_next", ranges)
+    same = F.col(f"_next.{key}").eqNullSafe(F.col(key))
+    return followed.withColumn(out, F.when(same, F.col(f"_next.{value}"))).drop("_next")

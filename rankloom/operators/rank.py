@@ -5,23 +5,26 @@ static weighted edge table on the source  ->  partial + final ``sum`` per target
 join with the static node table  ->  new vector.  The five recurrences differ only in the
 fields of :class:`RankSpec`.
 
-Physical layout (what makes it scale):
-
-* ``W(src[, b], dst, m)`` - each distinct link with its multiplicity - is built once and
-  written as a table bucketed on the source under ``spark.checkpoint.dir``.  The bucketed
-  scan keeps its hash partitioning, so a sweep never shuffles the edges: only the
-  partially aggregated contributions move (and, for split sources, the rank messages).
-* A source whose fan-out exceeds ``hub_fanout`` is split over ``b`` buckets
-  (``pmod(xxhash64(dst), nsalt)``) and its message is replicated once per bucket, so one
-  huge source cannot pin a third of the edges on one task.  The hub table is broadcast
-  only when its row count is under ``broadcast_rows``; otherwise it is a shuffle join.
-* The node table ``(node, is_page, has_in, deg, nsalt)`` is written once, bucketed on
-  ``node``; every rank vector is written the same way at the end of its sweep.  Joins of
-  vector, node table and edges are therefore co-partitioned, the plan stays one sweep
-  deep, and a lost executor only costs the current sweep (the inputs are files in the
-  shared checkpoint folder).
-* The bucket count follows the bytes of the links (AQE's coalescing rule, without a cap)
-  and the sweeps run with the shuffle width scoped to it, so the one shuffle per sweep lands directly in the buckets of the node table.
+Physical layout, the same at every size:
+
+* The matrix lies in *blocks*.  A source's links are dealt over ``blocks`` target blocks
+  (``b = hash(dst) mod blocks``), as many as its links are times the mean load of a bucket:
+  one for nearly every source, many for a hub, so that no bucket holds more than about a mean
+  load of one source.  The table ``W(src, b, dst, m)`` of distinct links with their
+  multiplicity is written once, bucketed on (source, target block).  At most as many sources
+  as there are buckets can have more than one block, which bounds the table of them.
+* A sweep sends each source's message once to each of its blocks and joins it there; the
+  edges are never shuffled.  Only messages (about one per node) and partially summed
+  contributions move.
+* The node table ``(node, is_page, has_in, deg, blocks)`` is written once, bucketed on
+  ``node``, and every rank vector is written the same way at the end of its sweep.  The sums
+  land in those buckets, the plan stays one sweep deep, and a lost executor only costs the
+  current sweep (the inputs are files in the shared checkpoint folder).
+* The bucket count follows the bytes of the links (AQE's coalescing rule, without a cap).  A
+  model runs in a session of its own whose shuffle width is that count, so the caller's
+  settings stay as they are and other jobs may run beside it.
+* What a model writes belongs to its :class:`~rankloom.session.Scratch`: the pairs go once the
+  tables are built, each vector when the next is written, the rest when it is closed.
 * The dangling mass the next sweep needs is observed (``DataFrame.observe``) while the
   current vector is written: no extra job, and it enters the next sweep as a literal.
 """
@@ -45,13 +48,7 @@ from rankloom.functions.fixed import (
     TELEPORT,
 )
 from rankloom.operators.graph import Graph
-from rankloom.session import (
-    bucketed_table,
-    checkpoint_dir,
-    drop_bucketed_table,
-    partitions_for,
-    scoped_shuffle_partitions,
-)
+from rankloom.session import Held, Scratch, adopt, checkpoint_dir, partitions_for, session_beside
 
 SCALES = ("pages", "nodes", "unit")
 STARTS = ("pages", "nodes")
@@ -123,30 +120,33 @@ PRESETS: dict[str, RankSpec] = {
     "total": RankSpec("nodes", "nodes", "multiset", "teleport", "exact", SWEEPS_MATRIX),
 }
 
-HUB_FANOUT = 1_000_000  # links of one source per bucket before the source is split
-BROADCAST_ROWS = 1_000_000  # hub table rows above which the hub join is a shuffle join
-
-
 ROUNDING_GUARD = 1e-11
 LINK_ROW_BYTES = 48  # width of one (src, dst, m) row besides the names, to size the bucket count
 
 
 @dataclass
 class RankModel:
-    """The static, bucketed frames of one graph + spec, reusable across runs."""
+    """The static, bucketed frames of one graph + spec, reusable across runs.  Use it as a
+    context manager, or call ``close``, to remove what it wrote."""
 
     spec: RankSpec
-    nodes: DataFrame  # node, is_page, has_in, deg, nsalt   (bucketed on node)
-    weights: DataFrame  # src, [b,] dst, m                   (bucketed on src[, b])
-    salted: bool
+    nodes: DataFrame  # node, [name,] is_page, has_in, deg, blocks   (bucketed on node)
+    weights: DataFrame  # src, b, dst, m                            (bucketed on src, b)
     norm: float
-    buckets: int  # bucket count of every table of this model (and of its sweeps' shuffle)
+    buckets: int  # bucket count of every table of this model (and its session's shuffle width)
+    scratch: Scratch  # owner of the tables; its session is the model's
     keyed: bool = False  # node columns hold 64-bit keys; the node table maps them to names
     start_dangling: int | None = None  # dangling nodes holding a start value (observed)
+    vector: Held | None = None  # the last vector written
+
+    def close(self) -> None:
+        self.scratch.close()
 
-    def scope(self):
-        """Context in which shuffles line up with this model's buckets."""
-        return scoped_shuffle_partitions(self.weights.sparkSession, self.buckets)
+    def __enter__(self) -> "RankModel":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
     def named(self, df: DataFrame, *cols: str) -> DataFrame:
         """Replace node keys in ``cols`` by node names (identity when not keyed).  The join
@@ -181,20 +181,12 @@ def _phantom_pairs(g: Graph, pairs: DataFrame) -> DataFrame:
     )
 
 
-def prepare(
-    g: Graph,
-    spec: RankSpec,
-    *,
-    hub_fanout: int = HUB_FANOUT,
-    broadcast_rows: int = BROADCAST_ROWS,
-    buckets: int | None = None,
-    keys: str = "name",
-) -> RankModel:
+def prepare(g: Graph, spec: RankSpec, *, buckets: int | None = None, keys: str = "name") -> RankModel:
     """Build the static frames (weighted edges and the node table) as bucketed tables.
 
     The raw links are read once: they are aggregated to distinct pairs with their
     multiplicity (partial aggregation, shuffled on the pair, so no single source can
-    overload a task) and checkpointed; everything else is derived from that.
+    overload a task) and written; everything else is derived from that.
 
     ``keys="hash"`` runs the sweeps on 64-bit keys (``xxhash64`` of the name) instead of
     names: the edge table the sweeps scan shrinks to three longs per row and every join
@@ -202,26 +194,26 @@ def prepare(
     aggregation over the distinct names); on any collision the names are used as keys,
     so results are exact either way.  The default is ``"name"`` at every size.
     """
-    spark = g.edges.sparkSession
-    checkpoint_dir(spark)
+    checkpoint_dir(g.edges.sparkSession)
+    own = session_beside(g.edges.sparkSession)
+    g = Graph(adopt(own, g.pages), adopt(own, g.edges))
+    scratch = Scratch(own)
 
     counted_pairs = Observation("pairs")
     name_bytes = F.octet_length("src") + F.coalesce(F.octet_length("dst"), F.lit(0))
     pair_stats = [F.count(F.lit(1)).alias("n"), F.sum(name_bytes).alias("bytes")]
-    pairs = (
-        g.edges.groupBy("src", "dst")
-        .agg(F.count(F.lit(1)).alias("m"))
-        .observe(counted_pairs, *pair_stats)
-        .checkpoint(eager=True)
+    pairs = scratch.written(
+        g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")).observe(counted_pairs, *pair_stats), "pairs"
     )
-    counted = _metrics(counted_pairs, lambda: pairs.agg(*pair_stats).first().asDict())
-    n_pairs = counted["n"]
+    counted = _metrics(counted_pairs, lambda: pairs.df.agg(*pair_stats).first().asDict())
     if buckets is None:
-        width = LINK_ROW_BYTES + math.ceil((counted["bytes"] or 0) / max(1, n_pairs))
-        buckets = partitions_for(spark, n_pairs, width)
-    keyed = keys == "hash" and _keys_are_unique(g, pairs)
-    with scoped_shuffle_partitions(spark, buckets):
-        return _build(g, spec, pairs, n_pairs, buckets, hub_fanout, broadcast_rows, keyed)
+        width = LINK_ROW_BYTES + math.ceil((counted["bytes"] or 0) / max(1, counted["n"]))
+        buckets = partitions_for(own, counted["n"], width)
+    own.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    keyed = keys == "hash" and _keys_are_unique(g, pairs.df)
+    model = _build(g, spec, pairs.df, buckets, scratch, keyed)
+    scratch.drop(pairs)
+    return model
 
 
 def _key(c):
@@ -241,17 +233,17 @@ def _keys_are_unique(g: Graph, pairs: DataFrame) -> bool:
     return clashes.limit(1).count() == 0
 
 
-def _build(
-    g: Graph,
-    spec: RankSpec,
-    pairs: DataFrame,
-    n_pairs: int,
-    buckets: int,
-    hub_fanout: int,
-    broadcast_rows: int,
-    keyed: bool = False,
-) -> RankModel:
-    """Edge table and node table in ``buckets`` buckets (runs inside the shuffle scope).
+def _block_counts(links: DataFrame, buckets: int) -> DataFrame:
+    """``(src, blocks)`` of the sources with more links than a mean bucket: one block for each
+    mean load.  Fewer rows than ``buckets``."""
+    widths = links.groupBy("src").agg(F.count(F.lit(1)).alias("width"))
+    total = links.agg(F.count(F.lit(1)).alias("n")).first()["n"]  # of a written table: from its footers
+    many = F.ceil(F.col("width") * buckets / max(1, total)).cast("int")
+    return widths.where(F.col("width") * buckets > total).select("src", many.alias("blocks"))
+
+
+def _build(g: Graph, spec: RankSpec, pairs: DataFrame, buckets: int, scratch: Scratch, keyed: bool = False) -> RankModel:
+    """Edge table and node table in ``buckets`` buckets.
 
     Counts the sweeps need (pages, nodes, dangling nodes of the start vector) are observed
     at the top of the node-table write, i.e. in its result stage, where every task's
@@ -263,29 +255,10 @@ def _build(
     if keyed:
         links = links.select(_key(F.col("src")).alias("src"), _key(F.col("dst")).alias("dst"), "m")
 
-    # sources with more distinct targets than hub_fanout are split into nsalt buckets;
-    # when there are no more pairs than hub_fanout in total, no source can qualify
-    width = links.groupBy("src").agg(F.count(F.lit(1)).alias("width"))
-    hubs = width.where(F.col("width") > hub_fanout).select(
-        "src", (F.lit(1) + F.floor((F.col("width") - 1) / hub_fanout)).cast("int").alias("nsalt")
-    )
-    n_hubs = hubs.count() if n_pairs > hub_fanout else 0
-    salted = n_hubs > 0
-    hub_side = (F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs) if salted else None
-    if salted:
-        links = links.join(hub_side, "src", "left").select(
-            "src",
-            F.when(F.col("nsalt").isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt")))
-            .cast("int")
-            .alias("b"),
-            "dst",
-            "m",
-        )
-        keys = ["src", "b"]
-    else:
-        keys = ["src"]
-    weights = bucketed_table(links, keys, "links", buckets)
+    hubs = F.broadcast(_block_counts(links, buckets))
+    block = F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("blocks"))).cast("int")
+    dealt = links.join(hubs, "src", "left").select("src", block.alias("b"), "dst", "m")
+    weights = scratch.bucketed(dealt, ["src", "b"], "links", buckets).df
 
     deg = weights.groupBy("src").agg(F.sum("m").alias("deg"))
     flags = g.pages.select(
@@ -306,11 +279,8 @@ def _build(
             _key(F.col("node")).alias("node"), F.col("node").alias("name"), "is_page", "has_in", "lines"
         )
     nodes = nodes.join(deg, F.col("node") == F.col("src"), "left").drop("src")
-    if salted:
-        nodes = nodes.join(hub_side, F.col("node") == F.col("src"), "left").drop("src")
-        nodes = nodes.withColumn("nsalt", F.coalesce("nsalt", F.lit(1)))
-    else:
-        nodes = nodes.withColumn("nsalt", F.lit(1))
+    nodes = nodes.join(hubs, F.col("node") == F.col("src"), "left").drop("src")
+    nodes = nodes.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     in_start = F.lit(True) if spec.start == "nodes" else F.col("is_page")
     counted = Observation("nodes")
     node_stats = [
@@ -318,9 +288,8 @@ def _build(
         F.sum("lines").alias("page_lines"),  # page rows, duplicates included
         F.count(F.when(F.col("deg").isNull() & in_start, F.lit(1))).alias("start_dangling"),
     ]
-    table = bucketed_table(nodes.observe(counted, *node_stats).drop("lines"), ["node"], "nodes", buckets)
+    table = scratch.bucketed(nodes.observe(counted, *node_stats).drop("lines"), ["node"], "nodes", buckets).df
     stats = _metrics(counted, lambda: nodes.agg(*node_stats).first().asDict())
-    nodes = table
 
     if spec.scale == "pages":
         norm = float(stats["page_lines"] or 0)
@@ -329,9 +298,7 @@ def _build(
     else:
         norm = 1.0
     norm = norm or 1.0  # empty graph: nothing to rank, keep the arithmetic defined
-    model = RankModel(spec, nodes, weights, salted, norm, buckets, keyed)
-    model.start_dangling = stats["start_dangling"]
-    return model
+    return RankModel(spec, table, weights, norm, buckets, scratch, keyed, stats["start_dangling"])
 
 
 def _start_value(model: RankModel) -> float:
@@ -347,25 +314,25 @@ def initial_ranks(model: RankModel) -> DataFrame:
         "node",
         F.when(on, F.lit(value)).otherwise(F.lit(0.0)).alias("rank"),
         "deg",
-        "nsalt",
+        "blocks",
     )
 
 
 def contributions(model: RankModel, state: DataFrame) -> DataFrame:
     """Per link: (src, dst, c = r(src) * m / d(src)).  Sources without a rank send nothing."""
-    # build the hash table from the messages (one per node); the edges only stream by,
-    # so the large side is neither shuffled (bucketed) nor sorted
-    msgs = _messages(model, state).hint("shuffle_hash")
-    on = ["src", "b"] if model.salted else ["src"]
-    return model.weights.join(msgs, on).select("src", "dst", (F.col("msg") * F.col("m")).alias("c"))
-
-
-def _messages(model: RankModel, state: DataFrame) -> DataFrame:
-    senders = state.where(F.col("deg").isNotNull())
-    cols = [F.col("node").alias("src"), (F.col("rank") / F.col("deg")).alias("msg")]
-    if model.salted:
-        cols.append(F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("b"))
-    return senders.select(*cols)
+    # build the hash table from the messages (one per node and block); the edges only stream
+    # by, so the large side is neither shuffled (bucketed) nor sorted
+    msgs = _messages(state).hint("shuffle_hash")
+    return model.weights.join(msgs, ["src", "b"]).select("src", "dst", (F.col("msg") * F.col("m")).alias("c"))
+
+
+def _messages(state: DataFrame) -> DataFrame:
+    """``(src, b, msg)``: each sender's message, once for each block of its links."""
+    return state.where(F.col("deg").isNotNull()).select(
+        F.col("node").alias("src"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"),
+        (F.col("rank") / F.col("deg")).alias("msg"),
+    )
 
 
 def gather(model: RankModel, state: DataFrame) -> DataFrame:
@@ -418,25 +385,20 @@ def fixed_point_total(rank):
     )
 
 
-def _sweep_statement(spec: RankSpec, salted: bool) -> str:
+def _sweep_statement(spec: RankSpec) -> str:
     """The sweep as one SQL statement over {state}, {weights} and {nodes}.
 
     One statement is analysed once (a chain of DataFrame calls is analysed call by call,
     which dominates a sweep's driver time on small inputs); the physical plan is the same.
     """
-    if salted:
-        msgs = (
-            "SELECT node AS src, explode(sequence(0, nsalt - 1)) AS b, rank / deg AS msg "
-            "FROM {state} WHERE deg IS NOT NULL"
-        )
-        on = "w.src = s.src AND w.b = s.b"
-    else:
-        msgs = "SELECT node AS src, rank / deg AS msg FROM {state} WHERE deg IS NOT NULL"
-        on = "w.src = s.src"
+    msgs = (
+        "SELECT node AS src, explode(sequence(0, blocks - 1)) AS b, rank / deg AS msg "
+        "FROM {state} WHERE deg IS NOT NULL"
+    )
     # messages are the hash-join build side: the edge table is streamed, never sorted
     contrib = (
         f"SELECT /*+ SHUFFLE_HASH(s) */ w.dst, sum(s.msg * w.m) AS c "
-        f"FROM {{weights}} w JOIN ({msgs}) s ON {on} GROUP BY w.dst"
+        f"FROM {{weights}} w JOIN ({msgs}) s ON w.src = s.src AND w.b = s.b GROUP BY w.dst"
     )
     update = ":base + :damping * ({c} + :mass)"
     # the node table (or vector) and the summed contributions are co-partitioned on the
@@ -445,17 +407,17 @@ def _sweep_statement(spec: RankSpec, salted: bool) -> str:
         where = "WHERE n.has_in" if spec.unlinked == "inlinks" else ""
         return (
             f"SELECT /*+ SHUFFLE_HASH(c) */ n.node, {update.format(c='coalesce(c.c, 0.0D)')} AS rank, "
-            f"n.deg, n.nsalt FROM {{nodes}} n LEFT JOIN ({contrib}) c ON c.dst = n.node {where}"
+            f"n.deg, n.blocks FROM {{nodes}} n LEFT JOIN ({contrib}) c ON c.dst = n.node {where}"
         )
     if spec.unlinked == "keep":
         return (
             f"SELECT /*+ SHUFFLE_HASH(c) */ p.node, "
             f"CASE WHEN c.c IS NULL THEN p.rank ELSE {update.format(c='c.c')} END AS rank, "
-            f"p.deg, p.nsalt FROM {{state}} p LEFT JOIN ({contrib}) c ON c.dst = p.node"
+            f"p.deg, p.blocks FROM {{state}} p LEFT JOIN ({contrib}) c ON c.dst = p.node"
         )
     # reached: only targets of this sweep's messages (the phantom NULL node included)
     return (
-        f"SELECT /*+ SHUFFLE_HASH(n) */ c.dst AS node, {update.format(c='c.c')} AS rank, n.deg, n.nsalt "
+        f"SELECT /*+ SHUFFLE_HASH(n) */ c.dst AS node, {update.format(c='c.c')} AS rank, n.deg, n.blocks "
         f"FROM ({contrib}) c LEFT JOIN {{nodes}} n ON n.node = c.dst"
     )
 
@@ -469,11 +431,10 @@ def sweep(model: RankModel, state: DataFrame, sweep_no: int, mass: float | None
     if mass is None:
         stats = dangling_stats(state) if _needs_stats(spec, sweep_no) else None
         mass = dangling_mass(model, stats, sweep_no)
-    spark = state.sparkSession
-    return spark.sql(
-        _sweep_statement(spec, model.salted),
+    return model.scratch.spark.sql(
+        _sweep_statement(spec),
         args={"base": spec.teleport / model.norm, "damping": spec.damping, "mass": float(mass)},
-        state=state.select("node", "rank", "deg", "nsalt"),
+        state=state.select("node", "rank", "deg", "blocks"),
         weights=model.weights,
         nodes=model.nodes,
     )
@@ -481,15 +442,11 @@ def sweep(model: RankModel, state: DataFrame, sweep_no: int, mass: float | None
 
 def iterate(model: RankModel, state: DataFrame | None = None, iterations: int | None = None) -> DataFrame:
     """Run the sweeps.  Each new vector is written as a bucketed table (lineage stays one
-    sweep deep); the dangling totals the next sweep needs are observed during that write,
-    so they cost no extra job."""
-    with model.scope():
-        return _iterate(model, state, iterations)
-
-
-def _iterate(model: RankModel, state: DataFrame | None, iterations: int | None) -> DataFrame:
+    sweep deep) and the one before it dropped; the dangling totals the next sweep needs are
+    observed during that write, so they cost no extra job."""
     spec = model.spec
     n = spec.iterations if iterations is None else iterations
+    previous = None
     if state is None and model.start_dangling is not None:
         state = initial_ranks(model)
         stats = {"total": model.start_dangling * _start_value(model), "fixed": None}
@@ -502,34 +459,52 @@ def _iterate(model: RankModel, state: DataFrame | None, iterations: int | None)
         if k < n and _needs_stats(spec, k + 1):
             observed = Observation(f"dangling{k}")
             new = new.observe(observed, *dangling_stats_exprs())
-        previous, state = state, bucketed_table(new, ["node"], f"rank{k}", model.buckets)
-        if k > 1:  # the previous vector is no longer needed: free the shared folder
-            drop_bucketed_table(state.sparkSession, previous)
+        held = model.scratch.bucketed(new, ["node"], f"rank{k}", model.buckets)
+        model.scratch.drop(previous)  # no longer needed: free the shared folder
+        previous, state, model.vector = held, held.df, held
         stats = _metrics(observed, lambda: dangling_stats(state)) if observed is not None else None
     return state
 
 
+def _result(model: RankModel, state: DataFrame, caller) -> DataFrame:
+    """``(node, rank)`` as a frame of the caller's session, all that is left of a model: its
+    last vector's files, or the start vector's, with names."""
+    if model.keyed or model.vector is None:
+        model.vector = model.scratch.written(ranks(model, state), "ranks")
+    path = model.scratch.path(model.vector)
+    out = caller.read.schema(model.vector.df.schema).parquet(path).select("node", "rank")
+    model.scratch.release(model.vector)
+    model.close()
+    return out
+
+
 def pagerank(g: Graph, spec: RankSpec | str = "total", **prepare_kw) -> DataFrame:
-    """Rank every node of the graph with the given recurrence: ``(node, rank)``."""
-    spec = PRESETS[spec] if isinstance(spec, str) else spec
-    model = prepare(g, spec, **prepare_kw)
-    return ranks(model, iterate(model))
+    """Rank every node of the graph with the given recurrence: ``(node, rank)``.
+
+    The frame reads the last vector's files, which stay in the checkpoint folder; use
+    :func:`prepare` and :func:`iterate` in a ``with`` block to leave nothing behind."""
+    return scaled_ranks(g, spec, **prepare_kw).select("node", "rank")
 
 
 def scaled_ranks(g: Graph, spec: RankSpec | str = "total", digits: int = 9, **prepare_kw) -> DataFrame:
-    """``(node, rank, rank_n)``: ``rank_n`` is the rank in units of the normaliser,
-    ``round(rank * n, digits)`` (see :func:`in_units`).
+    """``(node, rank, rank_n, n)``: ``n`` is the normaliser and ``rank_n`` the rank in units of
+    it, ``round(rank * n, digits)`` (see :func:`in_units`).
 
     Ranks shrink as 1/n, so a fixed number of decimals means less the larger the graph is;
     ``rank_n`` does not shrink, which makes it the value to compare, order and print."""
     spec = PRESETS[spec] if isinstance(spec, str) else spec
     model = prepare(g, spec, **prepare_kw)
-    return scaled(model, iterate(model), digits)
+    vector = _result(model, iterate(model), g.edges.sparkSession)
+    return _scaled(vector, model.norm, digits)
+
+
+def _scaled(vector: DataFrame, norm: float, digits: int) -> DataFrame:
+    return vector.withColumn("rank_n", in_units(F.col("rank"), norm, digits)).withColumn("n", F.lit(int(norm)).cast("long"))
 
 
 def scaled(model: RankModel, state: DataFrame, digits: int = 9) -> DataFrame:
-    """``(node, rank, rank_n)`` of a vector of this model, see :func:`scaled_ranks`."""
-    return ranks(model, state).withColumn("rank_n", in_units(F.col("rank"), model.norm, digits))
+    """``(node, rank, rank_n, n)`` of a vector of this model, see :func:`scaled_ranks`."""
+    return _scaled(ranks(model, state), model.norm, digits)
 
 
 def in_units(value, norm: float, digits: int = 9):

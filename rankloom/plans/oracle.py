@@ -1,20 +1,14 @@
 """DuckDB SQL oracles for the registered queries (independent re-statements, no Spark).
 
-Rank recurrences are unrolled into one ``AS MATERIALIZED`` CTE per sweep, generated from
-the same :class:`RankSpec` the Spark job runs, so both sides follow one definition.
+Rank recurrences are unrolled into one ``AS MATERIALIZED`` CTE per sweep.  What each recurrence
+is stands here once more, by hand (``SPECS``): a wrong preset of the Spark side differs from it.
 """
 
 from __future__ import annotations
 
-from rankloom.functions.fixed import (
-    FIXED_POINT_SCALE,
-    HREF_PATTERN,
-    LINK_PATTERN,
-    LITERAL_FIRST_DELTA,
-    PAGE_NAME_PATTERN,
-    TOP_K,
-)
-from rankloom.operators.rank import PRESETS, RankSpec
+from typing import NamedTuple
+
+from rankloom.functions.fixed import HREF_PATTERN, LINK_PATTERN, PAGE_NAME_PATTERN, TOP_K
 from rankloom.sources.tables import (
     LINK_ESCAPED_LINE,
     LINK_LINESTATUS,
@@ -30,6 +24,34 @@ DIGITS = 9
 GUARD = "CAST(1e-11 AS DOUBLE)"  # decides exact halves alike on both sides
 
 
+FIXED_POINT = 100000.0  # ranks of the list recurrence's dangling total are cut to five decimals
+
+
+class Spec(NamedTuple):
+    """A rank recurrence: normaliser, nodes with a start value, links counted once or as often
+    as they occur, nodes without in-links, dangling mass, sweeps, phantom node."""
+
+    norm: str
+    start: str
+    edges: str
+    unlinked: str
+    dangling: str
+    sweeps: int
+    phantom: bool = False
+
+
+SPECS = {
+    "list": Spec("pages", "pages", "multiset", "teleport", "literal", 9),
+    "list_exact": Spec("pages", "pages", "multiset", "teleport", "exact", 9),
+    "matrix_row": Spec("pages", "nodes", "multiset", "keep", "none", 10),
+    "matrix_col": Spec("pages", "nodes", "multiset", "inlinks", "none", 10),
+    "matrix_col_once": Spec("pages", "nodes", "multiset", "inlinks", "none", 1),
+    "unnormalised": Spec("one", "pages", "distinct", "reached", "none", 10),
+    "unnormalised_phantom": Spec("one", "pages", "distinct", "reached", "none", 10, True),
+    "total": Spec("nodes", "nodes", "multiset", "teleport", "exact", 10),
+}
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -103,7 +125,7 @@ def _num(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 
 
-def rank_ctes(spec: RankSpec, norm_sql: str, prefix: str = "r") -> tuple[str, str]:
+def rank_ctes(spec: Spec, norm_sql: str, prefix: str = "r") -> tuple[str, str]:
     """CTEs computing ``spec`` over G; returns (ctes, name of the final vector CTE).
 
     ``norm_sql`` is a scalar subquery giving the normaliser (N pages or |V| nodes).
@@ -127,7 +149,7 @@ def rank_ctes(spec: RankSpec, norm_sql: str, prefix: str = "r") -> tuple[str, st
   SELECT n.node, n.is_page, n.has_in, d.deg FROM g_nodes n LEFT JOIN {prefix}_deg d ON d.src = n.node
 )"""
     )
-    if spec.scale == "unit":
+    if spec.norm == "one":
         norm, start = "CAST(1.0 AS DOUBLE)", "CAST(1.0 AS DOUBLE)"
     else:
         norm = f"CAST(({norm_sql}) AS DOUBLE)"
@@ -138,9 +160,9 @@ def rank_ctes(spec: RankSpec, norm_sql: str, prefix: str = "r") -> tuple[str, st
   SELECT node, CASE WHEN {on} THEN {start} ELSE CAST(0.0 AS DOUBLE) END AS rank, deg FROM {prefix}_nodes
 )"""
     )
-    base = f"({_num(spec.teleport)} / {norm})"
-    damp = _num(spec.damping)
-    for t in range(1, spec.iterations + 1):
+    base = f"({_num(0.15)} / {norm})"
+    damp = _num(0.85)
+    for t in range(1, spec.sweeps + 1):
         prev, cur = f"{prefix}{t - 1}", f"{prefix}{t}"
         parts.append(
             f"""{cur}_c AS (
@@ -154,11 +176,11 @@ def rank_ctes(spec: RankSpec, norm_sql: str, prefix: str = "r") -> tuple[str, st
         elif spec.dangling == "exact":
             mass = f"(SELECT coalesce(sum(rank), 0) / {norm} {dangling})"
         elif t == 1:
-            mass = f"({_num(LITERAL_FIRST_DELTA)} / ({FIXED_POINT_SCALE} * {norm}))"
+            mass = f"({_num(-1.0)} / ({FIXED_POINT} * {norm}))"
         elif t == 2:
             mass = (
-                f"(SELECT CAST(coalesce(sum(CAST(floor(round(rank * {FIXED_POINT_SCALE}, 6)) AS BIGINT)), 0) AS DOUBLE)"
-                f" / ({FIXED_POINT_SCALE} * {norm}) {dangling})"
+                f"(SELECT CAST(coalesce(sum(CAST(floor(round(rank * {FIXED_POINT}, 6)) AS BIGINT)), 0) AS DOUBLE)"
+                f" / ({FIXED_POINT} * {norm}) {dangling})"
             )
         else:
             mass = "CAST(0.0 AS DOUBLE)"
@@ -174,17 +196,17 @@ def rank_ctes(spec: RankSpec, norm_sql: str, prefix: str = "r") -> tuple[str, st
             body = f"""SELECT c.dst AS node, {base} + {damp} * (c.c + {mass}) AS rank, n.deg
   FROM {cur}_c c LEFT JOIN {prefix}_nodes n ON n.node = c.dst"""
         parts.append(f"{cur} AS MATERIALIZED (\n  {body}\n)")
-    return ",\n".join(parts), f"{prefix}{spec.iterations}"
+    return ",\n".join(parts), f"{prefix}{spec.sweeps}"
 
 
-def rank_sql(spec: RankSpec | str, select: str | None = None, dense: bool = False, graph: str | None = None) -> str:
-    spec = PRESETS[spec] if isinstance(spec, str) else spec
-    norm = "SELECT n FROM g_n" if spec.scale == "pages" else "SELECT count(*) FROM g_nodes"
+def rank_sql(name: str, select: str | None = None, dense: bool = False, graph: str | None = None) -> str:
+    spec = SPECS[name]
+    norm = "SELECT n FROM g_n" if spec.norm == "pages" else "SELECT count(*) FROM g_nodes"
     ctes, final = rank_ctes(spec, norm)
     # the reported value: the rank in units of the normaliser
-    n = "1" if spec.scale == "unit" else f"CAST(({norm}) AS DOUBLE)"
-    ctes += f",\nreported AS (SELECT node, round(rank * {n} + {GUARD}, {DIGITS}) AS rank_n FROM {final})"
-    select = select or "SELECT node, rank_n FROM reported"
+    n = "1" if spec.norm == "one" else f"({norm})"
+    ctes += f",\nreported AS (SELECT node, round(rank * CAST({n} AS DOUBLE) + {GUARD}, {DIGITS}) AS rank_n, CAST({n} AS BIGINT) AS n FROM {final})"
+    select = select or "SELECT node, rank_n, n FROM reported"
     return f"WITH {graph},\n{ctes}\n{select}" if graph else with_graph(select, ctes, dense=dense)
 
 
@@ -311,27 +333,27 @@ GROUP BY dst"""
 FROM g_pairs p JOIN ({_alias_sql()}) a ON a.node = p.src JOIN ({_alias_sql()}) b ON b.node = p.dst"""
     )
     q["initial_ranks"] = with_graph(
-        f"SELECT node, round(CAST(1.0 AS DOUBLE) / (SELECT n FROM g_n) * (SELECT n FROM g_n) + {GUARD}, {DIGITS}) AS rank_n FROM g_nodes"
+        f"SELECT node, round(CAST(1.0 AS DOUBLE) / (SELECT n FROM g_n) * (SELECT n FROM g_n) + {GUARD}, {DIGITS}) AS rank_n, (SELECT n FROM g_n) AS n FROM g_nodes"
     )
-    ctes, final = rank_ctes(PRESETS["list_exact"].with_(iterations=1), "SELECT n FROM g_n", prefix="x")
+    ctes, final = rank_ctes(SPECS["list_exact"]._replace(sweeps=1), "SELECT n FROM g_n", prefix="x")
     q["dangling_mass"] = with_graph(
         f"SELECT round(coalesce(sum(rank), 0) + {GUARD}, {DIGITS}) AS total FROM {final} WHERE deg IS NULL", ctes
     )
-    spec1 = PRESETS["list"].with_(iterations=1)
+    spec1 = SPECS["list"]._replace(sweeps=1)
     ctes, final = rank_ctes(spec1, "SELECT n FROM g_n", prefix="d")
     q["dangling_mass_fixed"] = with_graph(
-        f"""SELECT CAST(coalesce(sum(CAST(floor(round(rank * {FIXED_POINT_SCALE}, 6)) AS BIGINT)), 0) AS BIGINT) AS delta
+        f"""SELECT CAST(coalesce(sum(CAST(floor(round(rank * {FIXED_POINT}, 6)) AS BIGINT)), 0) AS BIGINT) AS delta
 FROM {final} WHERE deg IS NULL""",
         ctes,
     )
-    ctes, _ = rank_ctes(PRESETS["matrix_row"].with_(iterations=0), "SELECT n FROM g_n", prefix="c")
+    ctes, _ = rank_ctes(SPECS["matrix_row"]._replace(sweeps=0), "SELECT n FROM g_n", prefix="c")
     q["contributions"] = with_graph(
-        f"""SELECT w.src, w.dst, round(r.rank / r.deg * w.m * (SELECT n FROM g_n) + {GUARD}, 9) AS c_n
+        f"""SELECT w.src, w.dst, round(r.rank / r.deg * w.m * (SELECT n FROM g_n) + {GUARD}, 9) AS c_n, (SELECT n FROM g_n) AS n
 FROM c_w w JOIN c0 r ON r.node = w.src""",
         ctes,
     )
     q["spmv_step"] = with_graph(
-        f"""SELECT w.dst, round(sum(r.rank / r.deg * w.m) * (SELECT n FROM g_n) + {GUARD}, 9) AS c_n
+        f"""SELECT w.dst, round(sum(r.rank / r.deg * w.m) * (SELECT n FROM g_n) + {GUARD}, 9) AS c_n, (SELECT n FROM g_n) AS n
 FROM c_w w JOIN c0 r ON r.node = w.src GROUP BY w.dst""",
         ctes,
     )

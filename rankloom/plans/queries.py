@@ -27,14 +27,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _ranked(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
-    return R.scaled_ranks(part_follow_graph(spark, sf_dir), preset).select("node", "rank_n")
+    return R.scaled_ranks(part_follow_graph(spark, sf_dir), preset).select("node", "rank_n", "n")
 
 
 def pagerank_dense(spark, sf_dir):
     """The flagship recurrence on the dense part-follow graph: every line item links to the
     next one of its order (no flag filters), i.e. the whole lineitem table."""
     g = part_follow_graph(spark, sf_dir, returnflag=None, linestatus=None)
-    return R.scaled_ranks(g, "total").select("node", "rank_n")
+    return R.scaled_ranks(g, "total").select("node", "rank_n", "n")
 
 
 def rank_query(preset: str) -> Query:
@@ -154,20 +154,23 @@ def _matrix_start(spark, sf_dir) -> tuple[R.RankModel, DataFrame]:
 
 def initial_ranks(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    return R.scaled(model, state).select("node", "rank_n")
+    return R.scaled(model, state).select("node", "rank_n", "n")
+
+
+def _in_units(model: R.RankModel) -> list:
+    """A contribution in units of the normaliser, and the normaliser."""
+    return [R.in_units(F.col("c"), model.norm).alias("c_n"), F.lit(int(model.norm)).cast("long").alias("n")]
 
 
 def contributions(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    c_n = R.in_units(F.col("c"), model.norm).alias("c_n")
-    contrib = R.contributions(model, state).select("src", "dst", c_n)
+    contrib = R.contributions(model, state).select("src", "dst", *_in_units(model))
     return model.named(contrib, "src", "dst")
 
 
 def spmv_step(spark, sf_dir):
     model, state = _matrix_start(spark, sf_dir)
-    c_n = R.in_units(F.col("c"), model.norm).alias("c_n")
-    return model.named(R.gather(model, state).select("dst", c_n), "dst")
+    return model.named(R.gather(model, state).select("dst", *_in_units(model)), "dst")
 
 
 def dangling_mass(spark, sf_dir):
@@ -187,7 +190,7 @@ def dangling_mass_fixed(spark, sf_dir):
 
 # --- G: reports --------------------------------------------------------------------------
 def topk(spark, sf_dir):
-    return T.top_k(_ranked(spark, sf_dir, "total"), value="rank_n")
+    return T.top_k(_ranked(spark, sf_dir, "total").select("node", "rank_n"), value="rank_n")
 
 
 def topk_distinct_ranks(spark, sf_dir):

@@ -8,7 +8,7 @@ import re
 import tempfile
 import uuid
 import zipfile
-from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +22,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: no driver-side context, the server owns the folder
+    except AttributeError:  # Spark Connect: no driver-side context, the server owns the folder
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
             raise RuntimeError("spark.checkpoint.dir is not set on the server session")
@@ -74,7 +74,7 @@ def partitions_for(spark: SparkSession, rows: int, row_bytes: int) -> int:
     if conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true").lower() == "true":
         try:
             parallelism = spark.sparkContext.defaultParallelism
-        except Exception:  # no driver-side context
+        except AttributeError:  # no driver-side context
             parallelism = shuffle_partitions(spark)
         floor = _bytes(conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1MB"))
         target = max(min(math.ceil(total / parallelism), target), floor)
@@ -88,66 +88,103 @@ def partitions_for(spark: SparkSession, rows: int, row_bytes: int) -> int:
     return n
 
 
-@contextmanager
-def scoped_shuffle_partitions(spark: SparkSession, n: int):
-    """Run a block with ``spark.sql.shuffle.partitions = n`` (restored afterwards), so the
-    shuffles planned inside it line up with tables bucketed into ``n`` buckets."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+def session_beside(spark: SparkSession) -> SparkSession:
+    """A new session of the same application with the settings of ``spark``: a job may set its
+    own shuffle width there while others run."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
-def bucketed_table(df: DataFrame, keys: list[str], tag: str, buckets: int | None = None) -> DataFrame:
-    """Materialise ``df`` as a parquet table bucketed on ``keys``; return a scan of it.
+def adopt(own: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` as a frame of the session ``own`` (planned with its settings)."""
+    return df if df.sparkSession is own else own.createDataFrame([], df.schema).unionByName(df)
 
-    The table lives under the checkpoint folder (shared storage on a cluster), so it both
-    cuts lineage (executor loss re-reads files instead of recomputing earlier sweeps) and
-    pins the layout: a bucketed scan reports ``hashpartitioning(keys, n)``, which lets
-    later joins and aggregations on ``keys`` run without shuffling this side - something a
-    plain ``checkpoint()`` does not keep once adaptive execution is on.  The preceding
-    ``repartition`` is dropped by the planner when ``df`` is already hash-partitioned that
-    way; it makes every task write exactly one bucket file.
-    """
-    spark = df.sparkSession
-    root = checkpoint_dir(spark).rstrip("/")
-    n = buckets or shuffle_partitions(spark)
-    name = f"rankloom_{tag}_{uuid.uuid4().hex[:16]}"
-    (
-        df.repartition(n, *keys)
-        .write.format("parquet")
-        .bucketBy(n, *keys)
-        .option("path", f"{root}/tables/{name}")
-        .mode("errorifexists")
-        .saveAsTable(name)
-    )
-    return spark.table(name)
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Held(NamedTuple):
+    """A written table of a :class:`Scratch` and the scan of it."""
+
+    name: str
+    df: DataFrame
+
+
+class Scratch:
+    """Owner of the tables a job writes under the checkpoint folder.
+
+    Everything made through it is known to it: ``drop`` removes one table, ``close`` (or
+    leaving the ``with`` block) all that are left, catalog entries and folders.  A frame that
+    reads them must not be used after that."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.held: dict[str, bool] = {}  # name -> it is in the catalog
+
+    def _path(self, name: str) -> str:
+        return f"{checkpoint_dir(self.spark).rstrip('/')}/tables/{name}"
+
+    def _name(self, tag: str, catalog: bool) -> str:
+        name = f"rankloom_{tag}_{uuid.uuid4().hex[:16]}"
+        self.held[name] = catalog
+        return name
+
+    def written(self, df: DataFrame, tag: str) -> Held:
+        """``df`` as Parquet files."""
+        name = self._name(tag, False)
+        df.write.parquet(self._path(name))
+        return Held(name, self.spark.read.schema(df.schema).parquet(self._path(name)))
+
+    def bucketed(self, df: DataFrame, keys: list[str], tag: str, buckets: int) -> Held:
+        """``df`` as a table bucketed on ``keys``, one file a bucket.
+
+        The files cut lineage (executor loss re-reads them instead of recomputing earlier
+        sweeps) and pin the layout: a bucketed scan reports ``hashpartitioning(keys, n)``,
+        which lets later joins and aggregations on ``keys`` run without shuffling this side -
+        something a plain ``checkpoint()`` does not keep once adaptive execution is on.  The
+        ``repartition`` is dropped by the planner when ``df`` is already partitioned that way.
+        """
+        name = self._name(tag, True)
+        (
+            df.repartition(buckets, *keys)
+            .write.format("parquet")
+            .bucketBy(buckets, *keys)
+            .option("path", self._path(name))
+            .mode("errorifexists")
+            .saveAsTable(name)
+        )
+        return Held(name, self.spark.table(name))
 
+    def path(self, held: Held) -> str:
+        return self._path(held.name)
 
-def drop_bucketed_table(spark: SparkSession, df: DataFrame) -> None:
-    """Remove a table made by :func:`bucketed_table`: its catalog entry and its folder.
+    def release(self, held: Held) -> None:
+        """Keep the files of ``held`` for whoever reads them, without a catalog entry; this
+        object no longer owns them."""
+        if self.held.pop(held.name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {held.name}")
 
-    Only tables whose name this module generated are touched (the name is recovered from
-    the scan), so a caller's own tables can never be removed by mistake.
-    """
-    names = [
-        n for n in df.inputFiles()[:1] if "/tables/rankloom_" in n
-    ]
-    if not names:
-        return
-    folder = names[0][: names[0].rindex("/")]
-    table = folder[folder.rindex("/") + 1 :]
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    try:
-        sc = spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # no JVM access (Spark Connect): leave the files to the folder's lifecycle
-        pass
+    def drop(self, held: Held | None) -> None:
+        if held is not None and held.name in self.held:
+            if self.held.pop(held.name):
+                self.spark.sql(f"DROP TABLE IF EXISTS {held.name}")
+            delete_folder(self.spark, self._path(held.name))
+
+    def close(self) -> None:
+        for name in list(self.held):
+            self.drop(Held(name, None))
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.operators.graph import Graph, normalise_edges
-from rankloom.operators.ordered import HOT_GROUP_ROWS, next_in_group
+from rankloom.operators.ordered import next_in_group
 
 # fixed values of the G and R derivations (shared with the SQL oracle)
 MAX_PAGE_SIZE = 40
@@ -31,7 +31,7 @@ def part_follow_graph(
     sf_dir: str,
     returnflag: str | None = LINK_RETURNFLAG,
     linestatus: str | None = LINK_LINESTATUS,
-    hot_rows: int = HOT_GROUP_ROWS,
+    ranges: int | None = None,
 ) -> Graph:
     """Graph G.  ``returnflag``/``linestatus`` = None drops that filter (denser graphs)."""
     part = read_table(spark, sf_dir, "part")
@@ -44,8 +44,7 @@ def part_follow_graph(
         items = items.where(F.col("l_returnflag") == returnflag)
     if linestatus is not None:
         items = items.where(F.col("l_linestatus") == linestatus)
-    # next line item of the same order; an order with a huge number of lines is split
-    # over many tasks instead of forming one window partition
+    # next line item of the same order; an order of any number of lines is split over ranges.
     # file and row position: a unique, deterministic tie-breaker for equal (line, part)
     # keys - it cannot change the result (tied rows have the same part) but lets a hot
     # order be split anywhere and keeps recomputed tasks identical
@@ -58,8 +57,7 @@ def part_follow_graph(
     )
     followed = next_in_group(
         lines, "l_orderkey", ["l_linenumber", "l_partkey", "_file", "_row"], "l_partkey",
-        out="next_partkey", hot_rows=hot_rows,
-        max_rows=lineitem.count(),  # footer-only count bounds every order
+        out="next_partkey", ranges=ranges,
     )
     links = followed.select(
         F.col("l_partkey").cast("string").alias("src"),

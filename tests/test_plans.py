@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from rankloom.operators import graph as G
 from rankloom.operators import rank as R
-from rankloom.session import bucketed_table
 from rankloom.sources.tables import part_follow_graph
 
 SF = "/root/testdata/sf0.001"
@@ -29,32 +28,44 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_sweep_shuffles_only_partial_sums(spark, g, no_broadcast):
-    model = R.prepare(g, R.PRESETS["total"])
-    with model.scope():
-        state = bucketed_table(R.initial_ranks(model), ["node"], "t0", model.buckets)
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_sweep_moves_messages_and_partial_sums_only(spark, g, no_broadcast, buckets):
+    """One plan at every size: the edges are neither shuffled nor sorted."""
+    with R.prepare(g, R.PRESETS["total"], buckets=buckets) as model:
+        state = model.scratch.bucketed(R.initial_ranks(model), ["node"], "t0", model.buckets).df
         plan = _plan(R.sweep(model, state, 1, mass=0.0))
-    assert plan.count("Exchange") == 1
-    assert "Exchange hashpartitioning(dst" in plan
-    assert "partial_sum" in plan
-    assert "ShuffledHashJoin" in plan
+    assert plan.count("Exchange") == 2
+    assert plan.count("Exchange hashpartitioning(src") == 1  # one message per node and block
+    assert plan.count("Exchange hashpartitioning(dst") == 1  # partial sums
+    assert "partial_sum" in plan and "SortMergeJoin" not in plan
+    assert plan.count("ShuffledHashJoin") == 2
     assert plan.count("Bucketed: true") == 3  # edges, rank vector, node table
 
 
-def test_salted_sweep_moves_messages_not_edges(spark, g, no_broadcast):
-    model = R.prepare(g, R.PRESETS["total"], hub_fanout=1, buckets=4)
-    assert model.salted and model.buckets == 4
-    with model.scope():
-        state = bucketed_table(R.initial_ranks(model), ["node"], "t0", model.buckets)
-        plan = _plan(R.sweep(model, state, 1, mass=0.0))
-    assert plan.count("Exchange hashpartitioning(src") == 1  # exploded messages
-    assert "Exchange hashpartitioning(dst" in plan
+def test_a_hub_is_spread_over_the_buckets(spark):
+    """A source with a third of all links: no bucket holds more than about twice the mean."""
+    n = 30_000
+    src = F.when(F.col("id") % 3 == 0, F.lit("hub")).otherwise(F.concat(F.lit("s"), (F.col("id") % 4_000).cast("string")))
+    edges = spark.range(n).select(src.alias("src"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("dst"))
+    pages = edges.select(F.col("src").alias("node")).distinct()
+    with R.prepare(G.Graph(pages, edges), R.PRESETS["total"], buckets=16) as model:
+        rows = model.weights.groupBy(F.input_file_name().alias("f")).agg(
+            F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("src") == "hub", 1)).alias("hub")
+        ).collect()
+        assert sum(r["n"] for r in rows) == n and sum(r["hub"] for r in rows) == n // 3
+        assert sum(1 for r in rows if r["hub"]) >= 5  # six blocks, hashed to the buckets
+        assert max(r["hub"] for r in rows) <= 2.5 * n / 16  # two blocks may share a bucket
+        msgs = R._messages(R.initial_ranks(model)).count()
+        assert msgs == pages.count() + model.nodes.agg(F.max("blocks")).first()[0] - 1
+        total = sum(r["rank"] for r in R.iterate(model, iterations=2).collect())
+    assert abs(total - 1.0) < 1e-9
 
 
 def test_bucket_count_follows_data_size(spark, g):
     from rankloom.session import partitions_for
 
-    assert R.prepare(g, R.PRESETS["total"]).buckets == 1  # 210 links: under the 1 MB floor
+    with R.prepare(g, R.PRESETS["total"]) as model:
+        assert model.buckets == 1  # 210 links: under the 1 MB floor
     with pytest.raises(ValueError):  # beyond the bucketing limit: said, not cut off
         partitions_for(spark, 10**12, 64)
     assert partitions_for(spark, 40_000, 64) == 3  # 2.56 MB at the 1 MB minimum size
@@ -90,21 +101,33 @@ def test_page_count_counts_page_rows(spark, g):
     assert G.page_count(g).first()["n_pages"] == G.n_pages(g) == 165
 
 
-def test_hot_order_split_path_equals_window(spark):
+def test_next_row_is_the_window_over_any_number_of_ranges(spark):
+    from rankloom.operators.ordered import next_in_group, next_row
+
+    one, many = part_follow_graph(spark, SF, ranges=1), part_follow_graph(spark, SF, ranges=7)
+    want = sorted(map(tuple, one.edges.collect()))
+    assert want == sorted(map(tuple, many.edges.collect())) and want
+    # one group with most rows and ties in the order key, a null group, keys of several types
+    rows = [(1, i // 3, f"v{i // 3}", i) for i in range(300)] + [(2, 0, "x", 300), (None, 5, "n", 301), (None, None, "m", 302)]
+    df = spark.createDataFrame(rows, "k int, o int, v string, r long").repartition(5)
+    w = Window.partitionBy("k").orderBy("o", "v", "r")
+    want = sorted(map(tuple, df.withColumn("next", F.lead("v").over(w)).collect()), key=str)
+    for ranges in (None, 1, 2, 9, 40):
+        got = next_in_group(df, "k", ["o", "v", "r"], "v", ranges=ranges)
+        assert sorted(map(tuple, got.collect()), key=str) == want, ranges
+    ring = {r["r"]: r["next"]["r"] for r in next_row(df, [F.col("r")], ["r"], ranges=6, wrap=True).collect()}
+    assert ring == {i: (i + 1) % 303 for i in range(303)}
+    assert next_in_group(df.where("false"), "k", ["o"], "v").collect() == []
+
+
+def test_a_hot_order_is_split(spark):
+    """A group with all the rows is dealt over the ranges."""
     from rankloom.operators.ordered import next_in_group
 
-    base = part_follow_graph(spark, SF)
-    split = part_follow_graph(spark, SF, hot_rows=2)  # most orders take the split path
-    assert sorted(map(tuple, base.edges.collect())) == sorted(map(tuple, split.edges.collect()))
-    # one group holding every row, with ties in the order key
-    df = spark.createDataFrame(
-        [(1, i // 3, i // 3) for i in range(30)] + [(2, 0, 7)], "k int, o int, v int"
-    )
-    got = sorted(map(tuple, next_in_group(df, "k", ["o", "v"], "v", hot_rows=5).collect()), key=str)
-    want = sorted(
-        map(tuple, next_in_group(df, "k", ["o", "v"], "v", hot_rows=10**9).collect()), key=str
-    )
-    assert got == want
+    df = spark.range(20_000).select(F.lit(7).alias("k"), F.col("id").alias("o"), F.col("id").alias("v"))
+    out = next_in_group(df, "k", ["o"], "v", ranges=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 10_000
 
 
 def test_no_python_in_jvm_operators(spark, g):

@@ -3,6 +3,7 @@
 import pytest
 
 from rankloom.operators import rank as R
+from rankloom.session import checkpoint_dir
 
 TOL = 1e-8
 
@@ -51,20 +52,21 @@ def test_list_exact_differs_from_literal_only_by_dangling_term(fixture_graph):
     assert diffs == {round(0.85 * (0.2 / 5 + 1 / (1e5 * 5)), 12)}
 
 
-def test_salted_hubs_give_the_same_ranks(fixture_graph):
+def test_blocks_give_the_same_ranks(fixture_graph):
+    """C has half of the pairs: with more buckets than one it is a hub of several blocks."""
     plain = ranks(fixture_graph, "total", 10)
-    salted_model = R.prepare(fixture_graph, R.PRESETS["total"], hub_fanout=1)
-    assert salted_model.salted
-    salted = {r["node"]: r["rank"] for r in R.ranks(salted_model, R.iterate(salted_model)).collect()}
-    assert set(plain) == set(salted)
-    assert all(abs(plain[n] - salted[n]) < 1e-12 for n in plain)
+    with R.prepare(fixture_graph, R.PRESETS["total"], buckets=8) as model:
+        blocks = {r["node"]: r["blocks"] for r in model.nodes.collect()}
+        assert blocks["C"] > 1 and blocks["X"] == 1
+        split = {r["node"]: r["rank"] for r in R.ranks(model, R.iterate(model)).collect()}
+    assert set(plain) == set(split)
+    assert all(abs(plain[n] - split[n]) < 1e-12 for n in plain)
 
 
-def test_salted_shuffle_join_path(fixture_graph):
-    # hub table over the broadcast limit: the hub join is a shuffle join, results unchanged
-    got = ranks(fixture_graph, "unnormalised_phantom", 10, hub_fanout=1, broadcast_rows=0)
+def test_blocks_with_the_phantom_node(fixture_graph):
+    got = ranks(fixture_graph, "unnormalised_phantom", 10, buckets=8)
     want = GOLDEN[("unnormalised_phantom", 10)]
-    assert all(abs(got[n] - want[n]) < TOL for n in want)
+    assert set(got) == set(want) and all(abs(got[n] - want[n]) < TOL for n in want)
 
 
 def test_spec_validation():
@@ -74,13 +76,50 @@ def test_spec_validation():
         R.RankSpec(iterations=-1)
 
 
-def test_intermediate_vectors_are_removed(spark, fixture_graph):
-    before = {t.name for t in spark.catalog.listTables() if t.name.startswith("rankloom_rank")}
-    model = R.prepare(fixture_graph, R.PRESETS["total"].with_(iterations=4))
-    final = R.iterate(model)
-    after = {t.name for t in spark.catalog.listTables() if t.name.startswith("rankloom_rank")}
-    assert len(after - before) == 1  # only the final vector's table remains
-    assert abs(sum(r["rank"] for r in final.collect()) - 1.0) < 1e-12
+def made_by_us(spark):
+    import os
+
+    root = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "tables")
+    folders = {f for f in os.listdir(root) if f.startswith("rankloom_")} if os.path.isdir(root) else set()
+    return {t.name for t in spark.catalog.listTables() if t.name.startswith("rankloom_")}, folders
+
+
+def test_a_model_leaves_nothing_behind(spark, fixture_graph):
+    tables, folders = made_by_us(spark)
+    with R.prepare(fixture_graph, R.PRESETS["total"].with_(iterations=4)) as model:
+        final = R.iterate(model)
+        kinds = sorted(n.split("_")[1] for n in made_by_us(spark)[0] - tables)
+        assert kinds == ["links", "nodes", "rank4"]  # no pairs and no earlier vector
+        assert abs(sum(r["rank"] for r in final.collect()) - 1.0) < 1e-12
+    assert made_by_us(spark) == (tables, folders)
+
+
+def test_a_rank_frame_leaves_its_vector_only(spark, fixture_graph):
+    tables, folders = made_by_us(spark)
+    df = R.pagerank(fixture_graph, "total")
+    after = made_by_us(spark)
+    assert after[0] == tables and len(after[1] - folders) == 1
+    assert df.sparkSession is spark and abs(sum(r["rank"] for r in df.collect()) - 1.0) < 1e-12
+
+
+def test_two_models_run_side_by_side(spark, fixture_graph):
+    """Each has a session of its own: neither sees the other's shuffle width nor the caller's change."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    key = "spark.sql.shuffle.partitions"
+    width = spark.conf.get(key)
+
+    def job(buckets):
+        with R.prepare(fixture_graph, R.PRESETS["total"], buckets=buckets) as model:
+            state = R.iterate(model)
+            assert model.scratch.spark.conf.get(key) == str(buckets)
+            assert spark.conf.get(key) == width
+            return {r["node"]: r["rank"] for r in state.collect()}
+
+    with ThreadPoolExecutor(2) as pool:
+        one, other = pool.map(job, [2, 5])
+    assert one.keys() == other.keys() and all(abs(one[n] - other[n]) < 1e-12 for n in one)
+    assert spark.conf.get(key) == width
 
 
 def test_empty_graph(spark):

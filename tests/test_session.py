@@ -1,6 +1,7 @@
-"""Session helpers: checkpoint folder, bucketed tables, scoped shuffle width."""
+"""Session helpers: checkpoint folder, owned tables, sessions beside the caller's."""
+
+import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from rankloom import session as S
@@ -13,36 +14,44 @@ def test_checkpoint_dir_is_set(spark):
 
 def test_bucketed_table_keeps_hash_partitioning(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
-    left = S.bucketed_table(df, ["k"], "probe", buckets=4)
-    right = S.bucketed_table(df, ["k"], "probe", buckets=4)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = left.join(right, "k")._jdf.queryExecution().executedPlan().toString()
+        with S.Scratch(spark) as scratch:
+            left, right = (scratch.bucketed(df, ["k"], "probe", 4).df for _ in range(2))
+            plan = left.join(right, "k")._jdf.queryExecution().executedPlan().toString()
+            assert left.count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
-    assert left.count() == 100
 
 
-def test_drop_only_touches_own_tables(spark, tmp_path):
+def test_scratch_removes_its_own_tables_only(spark, tmp_path):
     df = spark.range(5).select(F.col("id").cast("string").alias("k"))
     name = "user_table_keep_me"
     df.write.mode("overwrite").option("path", str(tmp_path / name)).saveAsTable(name)
-    S.drop_bucketed_table(spark, spark.table(name))
+    with S.Scratch(spark) as scratch:
+        own = scratch.bucketed(df, ["k"], "probe", 2)
+        files = scratch.written(df.where("false"), "none")  # without any row
+        kept = scratch.written(df, "kept")
+        scratch.release(kept)
+        paths = [scratch.path(h).removeprefix("file:") for h in (own, files, kept)]
+        scratch.drop(files)
+        assert [os.path.isdir(p) for p in paths] == [True, False, True]
+        assert own.name in {t.name for t in spark.catalog.listTables()}
+    assert [os.path.isdir(p) for p in paths] == [False, False, True] and kept.df.count() == 5
+    assert own.name not in {t.name for t in spark.catalog.listTables()}
     assert spark.table(name).count() == 5
-    own = S.bucketed_table(df, ["k"], "probe", buckets=2)
-    own_name = own.inputFiles()[0].split("/tables/")[1].split("/")[0]
-    S.drop_bucketed_table(spark, own)
-    assert own_name not in {t.name for t in spark.catalog.listTables()}
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_scoped_shuffle_partitions_restores(spark):
+def test_session_beside_has_settings_of_its_own(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    with pytest.raises(RuntimeError):
-        with S.scoped_shuffle_partitions(spark, 3):
-            assert spark.conf.get(key) == "3"
-            raise RuntimeError("boom")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    own = S.session_beside(spark)
+    assert own.conf.get(key) == before and own.conf.get("spark.sql.session.timeZone") == "UTC"
+    own.conf.set(key, "3")
     assert spark.conf.get(key) == before
+    df = S.adopt(own, spark.range(10).repartition(4).groupBy((F.col("id") % 5).alias("k")).count())
+    assert df.sparkSession is own and df.count() == 5
