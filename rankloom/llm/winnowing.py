@@ -83,10 +83,26 @@ def winnow(text: Column, k: int = GRAM, w: int = WINDOW, piece: int = PIECE) ->
             )
         )
 
-    data = F.coalesce(text, F.lit("")).cast("binary")
+    data = F.coalesce(text.cast("binary"), F.lit("").cast("binary"))
     return F.when(F.octet_length(data) == 0, F.array().cast("array<bigint>")).otherwise(F.array_distinct(_let(data, of_bytes)))
 
 
+def winnow_edited(text: Column, prints: Column, common: Column, k: int = GRAM, w: int = WINDOW) -> Column:
+    """``winnow(text)`` of a text whose first ``common`` bytes are those of a text with the
+    fingerprints ``prints``: only windows that reach past them are worked out.
+
+    The windows before ``same`` lie within the common bytes, so the fingerprints at places
+    before it, which only they can choose, stay.  What they choose behind it is chosen by the
+    last ``w - 1`` of them, which are worked out again."""
+    same = F.greatest(common - (w + k - 2), F.lit(0))
+    first = F.greatest(same - (w - 1), F.lit(0))
+    data = F.coalesce(text, F.lit("")).cast("binary")
+    rest = winnow(F.substring(data, first + 1, F.octet_length(data)), k, w)
+    kept = F.filter(prints, lambda x: F.shiftright(x, 32) < same)
+    moved = F.transform(rest, lambda x: x + F.shiftleft(first.cast("long"), 32))
+    return F.array_distinct(F.concat(kept, moved))  # those of both come first, so the order stays
+
+
 def hashes(prints: Column) -> Column:
     """The distinct hashes of a text's fingerprints."""
     return F.array_distinct(F.transform(prints, lambda x: x.bitwiseAND(HASH)))
@@ -187,8 +203,9 @@ def edited_likeness(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFram
     third = F.floor(F.length("text") / 3).cast("int")
     start = F.substring(F.col("text"), F.lit(1), F.length("text") - third)
     d = fingerprint_documents(docs, k, w)
-    d = d.withColumn("edited", F.concat(start, F.substring(F.col("next.text"), F.lit(1), third)))
-    d = d.withColumn("edited_prints", winnow(F.col("edited"), k, w))
+    d = d.withColumn("start", start)
+    d = d.withColumn("edited", F.concat(F.col("start"), F.substring(F.col("next.text"), F.lit(1), third)))
+    d = d.withColumn("edited_prints", winnow_edited(F.col("edited"), F.col("prints"), F.octet_length("start"), k, w))
     d = d.withColumn("own", hashes(F.col("prints")))
     return d.select(
         "doc_id",

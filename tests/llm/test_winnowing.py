@@ -55,6 +55,20 @@ def test_fingerprints(spark, k, w, piece):
         assert [(x >> 32, x & W.HASH) for x in r.p] == plain(r.text or "", k, w)
 
 
+@pytest.mark.parametrize("k,w", [(24, 64), (5, 7), (1, 1), (3, 2)])
+def test_edited_texts(spark, k, w):
+    rng = random.Random(k + w)
+    rows = []
+    for _ in range(300):
+        a = "".join(rng.choice("ab") for _ in range(rng.choice([0, 1, 5, 30, 90, 200, 400])))
+        cut = rng.randint(0, len(a))
+        rows.append((a, a[:cut] + "".join(rng.choice("ab") for _ in range(rng.choice([0, 1, 9, 100]))), cut))
+    df = spark.createDataFrame(rows, "a string, b string, cut int").withColumn("p", W.winnow(F.col("a"), k, w))
+    got = df.select("b", W.winnow_edited(F.col("b"), F.col("p"), F.col("cut"), k, w).alias("e")).collect()
+    for r in got:
+        assert [(x >> 32, x & W.HASH) for x in r.e] == plain(r.b, k, w)
+
+
 def test_every_long_match_shares_a_fingerprint(spark):
     rng = random.Random(4)
     rows = []
