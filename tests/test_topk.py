@@ -40,9 +40,32 @@ def test_top_k_plans_as_take_ordered(fixture_graph):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_top_k_distinct_pre_aggregates(fixture_graph):
-    plan = T.top_k_distinct(_s10(fixture_graph))._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan and "TakeOrderedAndProject" in plan
+def test_top_k_distinct_shuffles_k_rows_a_task(spark):
+    k = 7
+    df = spark.range(40_000).select(
+        ((F.col("id") * 7919) % 5003 / 8).alias("rank"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("node")
+    ).repartition(6)
+    local = T.task_top_k_distinct(df, k, "rank", "node")
+    tasks = local.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 6 and all(r["count"] <= k for r in tasks)
+    got = T.top_k_distinct(df, k)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "TakeOrderedAndProject" in plan  # the repartition of this test and the merge
+    assert plan.index("Exchange hashpartitioning(value") < plan.index("MapInArrow")  # above it
+    whole = df.groupBy("rank").agg(F.max("node").alias("node")).orderBy(F.desc("rank")).limit(k)
+    assert [(r["rank"], r["node"]) for r in got.orderBy(F.desc("rank")).collect()] == [(r["rank"], r["node"]) for r in whole.collect()]
+
+
+def test_top_k_distinct_of_odd_values(spark):
+    rows = [("a", 0.0), ("b", -0.0), ("c", None), ("d", float("nan")), (None, 5.0), ("e", 1.0), ("f", 1.0), ("g", float("inf")), (None, -1.0), ("h", None)]
+    df = spark.createDataFrame(rows, "node string, rank double").repartition(3)
+    for k in range(1, 9):
+        got = T.top_k_distinct(df, k).collect()
+        want = df.groupBy("rank").agg(F.max("node").alias("node")).orderBy(F.desc("rank")).limit(k).collect()
+        assert sorted(str((r["rank"], r["node"])) for r in got) == sorted(str((r["rank"], r["node"])) for r in want)
+    assert T.top_k_distinct(df.where("false"), 3).collect() == []
+    whole = spark.createDataFrame([("x", 3), ("y", 3), ("z", 2), ("w", None)], "node string, rank long")
+    assert [(r["node"], r["rank"]) for r in T.top_k_distinct(whole, 2).orderBy(F.desc("rank")).collect()] == [("y", 3), ("z", 2)]
 
 
 def test_top_k_of_tiny_ranks(spark):
