@@ -26,8 +26,8 @@ from __future__ import annotations
 
 import bisect
 import functools
+import itertools
 import math
-import re
 import zlib
 from array import array
 
@@ -36,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankloom.llm import _bytes as B
 from rankloom.llm._work import Workspace, arrow_map
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-CACHE_WORDS, CACHE_PARTS = 400_000, 1_000_000  # at most about 300 MB in a worker
-MARKS = ".,!?;:*#$%&"  # neither letters nor numbers, so the tokenizer splits before them
-LOWER = {c: c + 32 for c in range(65, 91)}
+CACHE_WORDS, CACHE_PARTS = 300_000, 600_000  # at most about 200 MB in a worker
+TEXTS = 4 << 20  # bytes of text whose words are looked up together
+MARKS = b".,!?;:*#$%&"  # neither letters nor numbers, so the tokenizer splits before them
+LETTERS = frozenset(range(97, 123)) | frozenset(range(65, 91))
+LATIN = frozenset(range(0x80, 0xC0)) - {0x97, 0xB7}  # behind 0xC3: the letters U+00C0 to U+00FF
 
 
 def vocabulary(name: str) -> str:
@@ -60,49 +62,54 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _reduced(word: bytes) -> bytes:
+    """``word`` without the marks behind its last letter, which the tokenizer splits off.
+
+    Only behind ASCII letters and U+00C0 to U+00FF, whose lower-case form is one letter: others
+    may grow a mark of their own that joins those behind it."""
+    core = word.rstrip(MARKS)
+    if len(core) == len(word) or not core or b"<|" in word:  # the last may hold a special token
+        return word
+    last = core[-1]
+    return core if last in LETTERS or (last in LATIN and core[-2:-1] == b"\xc3") else word
+
+
 class WordIds:
-    """Words -> ids as little-endian unsigned 32-bit bytes; either cache is emptied when full.
+    """Words (UTF-8) -> ids as little-endian unsigned 32-bit bytes; either cache is emptied when
+    full.
 
-    A word that is not cached is first reduced - A-Z lower-cased, marks after a last letter cut
-    off, both of which the tokenizer does itself - so that the forms of one word are encoded
-    once."""
+    A-Z are lower-cased for a whole text and marks after a last letter cut off a new word, both
+    of which the tokenizer does itself, so that the forms of one word are encoded once."""
 
     def __init__(self, path: str):
         self.encode = _tokenizer(path).encode_batch_fast
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    @staticmethod
-    def reduced(word: str) -> tuple[str, str]:
-        if "<|" in word:  # may hold a special token
-            return word, ""
-        word = word.lower() if word.isascii() else word.translate(LOWER)
-        core = word.rstrip(MARKS)
-        return (core, word[len(core) :]) if core[-1:].isalpha() else (word, "")
-
-    def _learn(self, words: set[str]) -> None:
-        cut = {w: self.reduced(w) for w in words}
-        new = list({p for pair in cut.values() for p in pair if p and p not in self.parts})
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        parts, known = self.parts, self.known
+        if len(parts) > CACHE_PARTS:
+            parts.clear()
+        cores = list(map(_reduced, words))
+        tails = [w[len(c) :] for w, c in zip(words, cores)]
+        new = list(set(cores).union(tails).difference(parts))
         for at in range(0, len(new), 20_000):
             some = new[at : at + 20_000]
-            for p, e in zip(some, self.encode(some, add_special_tokens=False)):
-                self.parts[p] = array("I", e.ids).tobytes()
-        for w, (core, tail) in cut.items():
-            self.known[w] = self.parts[core] + self.parts[tail] if tail else self.parts[core]
-
-    def texts(self, words: list[list[str]]) -> list[bytes]:
-        known = self.known
-        if len(known) > CACHE_WORDS:
+            for p, e in zip(some, self.encode([p.decode() for p in some], add_special_tokens=False)):
+                parts[p] = array("I", e.ids).tobytes()
+        for w, core, tail in zip(words, cores, tails):
+            known[w] = parts[core] + parts[tail] if tail else parts[core]
+
+    def texts(self, raws: list[bytes]) -> list[bytes]:
+        # lower-casing could make a special token of what is none
+        words = [(raw if b"<|" in raw else raw.lower()).split() for raw in raws]
+        every, known = set(itertools.chain.from_iterable(words)), self.known
+        new = every.difference(known)
+        if len(known) + len(new) > CACHE_WORDS:
             known.clear()
-        if len(self.parts) > CACHE_PARTS:
-            self.parts.clear()
-        got = [list(map(known.get, ws)) for ws in words]
-        late = [i for i, g in enumerate(got) if None in g]
-        if late:
-            self._learn({w for i in late for w in words[i] if w not in known})
-            for i in late:
-                got[i] = list(map(known.__getitem__, words[i]))
-        return [b"".join(g) for g in got]
+            new = every
+        self._learn(list(new))
+        return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 
 @functools.lru_cache(maxsize=2)
@@ -118,11 +125,10 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0) ->
     def run(batches):
         ids = word_ids(path)
         for batch in batches:
-            texts = batch.column(1)
-            for lo in range(0, batch.num_rows, 256):
-                some = texts.slice(lo, 256).to_pylist()
+            for lo, n, data, off in B.pieces(batch.column(1), TEXTS):
+                raws = [data[off[i] : off[i + 1]].tobytes() for i in range(n)]
                 rows = []
-                for i, raw in enumerate(ids.texts([WORD.findall(t or "") for t in some])):
+                for i, raw in enumerate(ids.texts(raws)):
                     raw += end
                     for p, s in enumerate(range(0, len(raw), 4 * capacity)):
                         part = raw[s : s + 4 * capacity]
@@ -196,18 +202,25 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def pack(pieces: DataFrame, capacity: int, work: Workspace) -> DataFrame:
-    """``pieces`` (with ``doc_id``, ``start``, ``length``) plus ``sequence_id`` and ``offset``."""
-    spark = pieces.sparkSession
+def ranged(pieces: DataFrame, work: Workspace) -> DataFrame:
+    """``pieces`` written in ranges of (length, doc_id, start, row), with their partition and a
+    number that counts up inside it.  The row splits even equal pieces."""
     # the range sort samples its input first, so the pieces are written before it
-    pieces = work.save(pieces, "pieces")
-    ranked = work.save(
-        pieces.repartitionByRange("length", "doc_id", "start", "ids_crc32")
+    pieces = work.save(pieces, "pieces").withColumn("_row", F.monotonically_increasing_id())
+    return work.save(
+        pieces.repartitionByRange("length", "doc_id", "start", "_row")
         .sortWithinPartitions("length")
+        .drop("_row")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_at", F.monotonically_increasing_id()),
         "ranked",
     )
+
+
+def pack(pieces: DataFrame, capacity: int, work: Workspace) -> DataFrame:
+    """``pieces`` (with ``doc_id``, ``start``, ``length``) plus ``sequence_id`` and ``offset``."""
+    spark = pieces.sparkSession
+    ranked = ranged(pieces, work)
     cells = ranked.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     # a sorted layout has at most (partitions + capacity) cells

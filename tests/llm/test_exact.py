@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 
@@ -425,7 +426,6 @@ def test_op2_agrees_with_its_oracle(spark):
 
 
 def test_line_removal_by_hand_and_its_memory():
-    import random
     import tracemalloc
 
     import numpy as np
@@ -466,3 +466,25 @@ def test_line_removal_by_hand_and_its_memory():
     tracemalloc.stop()
     assert peak < 400 << 20, peak
     assert np.int64(B.KEPT) * 16 <= 64 << 20
+
+
+def test_op8_word_ids_are_those_of_the_whole_text():
+    """Word by word, with marks cut off, the ids are those of the text as a whole."""
+    from rankloom.llm import packing
+
+    rng = random.Random(12)
+    bits = [*"abzABZ019.,!?;:*#$%&'\"-_<|>/()", "İ", "ı", "Σ", "ς", "ß", "É", "é", "×", "÷", "ÿ", "Ñ", "ñ", "中", "̇", "́", "ͅ", " ", "\u0085", " ",
+            "‍", "\x1c", "\x1f", "\x00", "\U0001f600", "Ⅷ", "²", "½", "ﬁ", "Å", "K", "'s", "'LL", "don't", "<|endoftext|>", "<|ENDOFTEXT|>", "the", "İ.", "İ!"]
+    gaps = ["", "", "", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c"]
+    texts = ["".join(rng.choice(bits) + rng.choice(gaps) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    ids = packing.WordIds(packing.vocabulary("word_bpe_49k.json"))
+    tok = packing._tokenizer(packing.vocabulary("word_bpe_49k.json"))
+    got = ids.texts([t.encode() for t in texts])
+    for t, g in zip(texts, got):
+        assert np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+    packing.CACHE_WORDS, kept = 50, packing.CACHE_WORDS
+    try:  # emptied caches give the same
+        again = [ids.texts([t.encode()])[0] for t in texts[:300]]
+    finally:
+        packing.CACHE_WORDS = kept
+    assert again == got[:300]
