@@ -10,6 +10,12 @@ from typing import NamedTuple
 
 from rankloom.functions.fixed import HREF_PATTERN, LINK_PATTERN, PAGE_NAME_PATTERN, TOP_K
 from rankloom.sources.tables import (
+    CSV_CYCLE,
+    CSV_EMPTY,
+    CSV_NO_VALUE,
+    CSV_SHORT_EVERY,
+    CSV_SILENT_STATION,
+    CSV_TEXT_VALUE,
     LINK_ESCAPED_LINE,
     LINK_LINESTATUS,
     LINK_OUTSIDE_LINE,
@@ -266,6 +272,20 @@ def with_readings(body: str) -> str:
     return f"WITH {READINGS_CTES}\n{body}"
 
 
+# the readings of the text file, from the rule that writes its lines: which have a measure, and
+# which of those a number
+CSV_READINGS_CTES = f"""
+r_raw AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS station, strftime(l_shipdate, '%Y%m%d') AS date,
+         CASE l_returnflag WHEN 'R' THEN 'TMIN' WHEN 'A' THEN 'TMAX' ELSE 'OTHER' END AS mtype,
+         CASE WHEN l_orderkey % {CSV_CYCLE} NOT IN ({CSV_NO_VALUE}, {CSV_TEXT_VALUE}, {CSV_EMPTY})
+               AND NOT (l_partkey % {CSV_SILENT_STATION} = 0 AND year(l_shipdate) % 2 = 0)
+              THEN CAST(l_quantity AS VARCHAR) END AS value
+  FROM lineitem WHERE l_orderkey % {CSV_SHORT_EVERY} <> 0
+),
+""" + READINGS_CTES[READINGS_CTES.index("r_meas AS"):]
+
+
 HREFS = f"""SELECT page_id, CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS pos, unnest(hrefs) AS href
   FROM (SELECT page_id, regexp_extract_all(html, {_q(HREF_PATTERN)}, 1) AS hrefs FROM pages)"""
 
@@ -371,12 +391,23 @@ FROM c_w w JOIN c0 r ON r.node = w.src GROUP BY w.dst""",
     q["rank_from_pages"] = _topk("list", graph=STRICT_GRAPH)
     q["topk_distinct_ranks"] = _topk_distinct("total")
     q["topk_skip_first"] = _topk_skip_first("unnormalised_phantom")
+    q["report_file"] = rank_sql(
+        "total",
+        f"""SELECT row_number() OVER (ORDER BY rank_n DESC, node) - 1 AS pos, node || ' ' || CAST(rank_n AS VARCHAR) AS line
+FROM (SELECT node, rank_n FROM reported ORDER BY rank_n DESC, node LIMIT {TOP_K})""",
+    )
+    q["key_value_file"] = rank_sql(
+        "unnormalised_phantom",
+        """SELECT row_number() OVER (ORDER BY key NULLS FIRST) - 1 AS pos, coalesce(key, 'null') || chr(9) || CAST(rank_n AS VARCHAR) AS line
+FROM (SELECT CASE WHEN node LIKE '%7' THEN '#' || node ELSE node END AS key, rank_n FROM reported)""",
+    )
     # --- R: readings ----------------------------------------------------------------
     q["readings_filtered"] = with_readings("SELECT station, year, mtype, value FROM r_meas")
     q["secondary_sorted"] = with_readings(
         """SELECT station, year, mtype, value, row_number() OVER (ORDER BY station, year, mtype, value) AS pos FROM r_meas"""
     )
     q["yearly_means"] = with_readings("SELECT station, year, mean_tmin, mean_tmax FROM r_means")
+    q["yearly_means_csv"] = f"WITH {CSV_READINGS_CTES}\nSELECT station, year, mean_tmin, mean_tmax FROM r_means"
     q["year_breaks"] = with_readings(
         """SELECT station, year, lag(year) OVER (PARTITION BY station ORDER BY year) AS prev_year
 FROM (SELECT DISTINCT station, year FROM r_meas)"""

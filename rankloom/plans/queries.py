@@ -20,8 +20,10 @@ from rankloom.operators import rank as R
 from rankloom.operators import series as S
 from rankloom.operators import topk as T
 from rankloom.operators.ordered import dense_index
-from rankloom.sources.tables import lineitem_readings, page_lines, part_follow_graph, read_table
-from rankloom.sources.text import split_page_lines
+from rankloom.session import new_folder
+from rankloom.sources import sinks
+from rankloom.sources.tables import lineitem_readings, page_lines, part_follow_graph, read_table, reading_lines
+from rankloom.sources.text import read_lines_in_order, read_page_lines, read_readings, split_page_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,8 +80,12 @@ def links_strict_raw(spark, sf_dir):
 
 
 def rank_from_pages(spark, sf_dir):
-    """Pages to report: lines -> strict links -> graph -> list recurrence -> top 100."""
-    g = G.adjacency_to_graph(_strict(spark, sf_dir))
+    """Files to report: page lines written as text and read back -> strict links -> graph ->
+    list recurrence -> top 100."""
+    path = new_folder(spark, "pages")
+    sinks.write_lines(page_lines(spark, sf_dir), "value", path)
+    pages = split_page_lines(read_page_lines(spark, path))
+    g = G.adjacency_to_graph(L.extract_links(pages, "strict"))
     return T.top_k(R.scaled_ranks(g, "list").select("node", "rank_n"), value="rank_n")
 
 
@@ -201,6 +207,23 @@ def topk_skip_first(spark, sf_dir):
     return T.top_k_skip_first(_ranked(spark, sf_dir, "unnormalised_phantom"), value="rank_n")
 
 
+def report_file(spark, sf_dir):
+    """The top-100 report as written: the lines of its one file with their places."""
+    path = new_folder(spark, "report")
+    sinks.write_report(topk(spark, sf_dir), path, "node", "rank_n")
+    return read_lines_in_order(spark, path)
+
+
+def key_value_file(spark, sf_dir):
+    """A whole vector as ``key TAB value`` files, sorted by key: the lines with their places.
+    The phantom node's key is NULL and every tenth node's begins with ``#``."""
+    path = new_folder(spark, "ranks")
+    ranks = _ranked(spark, sf_dir, "unnormalised_phantom")
+    key = F.when(F.col("node").endswith("7"), F.concat(F.lit("#"), "node")).otherwise(F.col("node"))
+    sinks.write_key_value(ranks.select(key.alias("key"), "rank_n").orderBy("key"), "key", "rank_n", path)
+    return read_lines_in_order(spark, path)
+
+
 # --- R: readings -------------------------------------------------------------------------
 def _r(spark, sf_dir):
     return lineitem_readings(spark, sf_dir)
@@ -219,6 +242,14 @@ def yearly_means(spark, sf_dir):
     return S.yearly_means(_r(spark, sf_dir))
 
 
+def yearly_means_csv(spark, sf_dir):
+    """The means of readings that come from a text file with missing, empty, padded, extra and
+    unparsable fields."""
+    path = new_folder(spark, "readings")
+    sinks.write_lines(reading_lines(spark, sf_dir), "value", path)
+    return S.yearly_means(read_readings(spark, path))
+
+
 def year_breaks(spark, sf_dir):
     return S.year_breaks(_r(spark, sf_dir))
 
@@ -271,9 +302,12 @@ QUERIES: dict[str, Query] = {
     "topk": topk,
     "topk_distinct_ranks": topk_distinct_ranks,
     "topk_skip_first": topk_skip_first,
+    "report_file": report_file,
+    "key_value_file": key_value_file,
     "readings_filtered": readings_filtered,
     "secondary_sorted": secondary_sorted,
     "yearly_means": yearly_means,
+    "yearly_means_csv": yearly_means_csv,
     "year_breaks": year_breaks,
     "station_series": station_series,
     "series_text": series_text,

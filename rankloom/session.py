@@ -187,6 +187,12 @@ class Scratch:
         self.close()
 
 
+def new_folder(spark: SparkSession, tag: str) -> str:
+    """Path of a folder of its own under the checkpoint folder, for files that a job writes and
+    its result reads."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/rankloom_{tag}_{uuid.uuid4().hex[:16]}"
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet under the checkpoint folder and return a scan of it: for
     frames that are dear to compute and read more than once."""

@@ -22,9 +22,17 @@ def write_lines(df: DataFrame, text: str, path: str, mode: str = "overwrite") ->
     df.select(F.col(text).alias("value")).write.mode(mode).text(path)
 
 
-def write_single_file(df: DataFrame, text: str, path: str, mode: str = "overwrite") -> None:
-    """Value-only lines in ONE file.  Meant for k-row results (reports), never for edge lists."""
-    df.select(F.col(text).alias("value")).coalesce(1).write.mode(mode).text(path)
+SINGLE_FILE_ROWS = 100_000  # rows one task may write as one file
+
+
+def write_single_file(df: DataFrame, text: str, path: str, mode: str = "overwrite", max_rows: int = SINGLE_FILE_ROWS) -> None:
+    """Value-only lines in ONE file, for k-row results (reports), never for edge lists: a frame of
+    more than ``max_rows`` rows fails the write.  No task sends more than one row beyond that."""
+    one = df.select(F.col(text).alias("value")).limit(max_rows + 1).coalesce(1)
+    # in a single partition the ids count from 0
+    within = F.monotonically_increasing_id() < max_rows
+    message = F.lit(f"more than {max_rows} rows for a single file")
+    one.select(F.when(within, F.col("value")).otherwise(F.raise_error(message)).alias("value")).write.mode(mode).text(path)
 
 
 def report_lines(topk: DataFrame, node: str = "node", rank: str = "rank") -> DataFrame:

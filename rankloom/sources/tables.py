@@ -107,6 +107,36 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.join(bodies, F.col("p_partkey") == F.col("l_partkey"), "left").select(line.alias("value"))
 
 
+# fixed values of the readings' text lines (shared with the SQL oracle): by order key
+CSV_EXTRA_EVERY = 3  # these lines have fields behind the value
+CSV_SHORT_EVERY = 13  # these end behind the date
+CSV_CYCLE = 7  # of seven orders: the second has no value field, the third text in it, the
+CSV_NO_VALUE, CSV_TEXT_VALUE, CSV_BLANKS, CSV_EMPTY = 1, 2, 3, 4  # fourth blanks around the number, the fifth nothing
+CSV_SILENT_STATION = 11  # every such station has no number in even years
+
+
+def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings R as lines of a file kept by hand: fields are missing, empty, padded, followed
+    by others, or no numbers."""
+    order, year = F.col("l_orderkey"), F.year("l_shipdate")
+    flag = F.col("l_returnflag")
+    mtype = F.when(flag == "R", F.lit("TMIN")).when(flag == "A", F.lit("TMAX")).otherwise(F.lit(OTHER_MEASURE))
+    value = F.col("l_quantity").cast("string")
+    cycle = order % CSV_CYCLE
+    silent = (F.col("l_partkey") % CSV_SILENT_STATION == 0) & (year % 2 == 0)
+    start = F.concat_ws(",", F.col("l_partkey").cast("string"), F.date_format("l_shipdate", "yyyyMMdd"))
+    field = (
+        F.when(silent | (cycle == CSV_TEXT_VALUE), F.concat(F.lit(",n/a "), value))
+        .when(cycle == CSV_NO_VALUE, F.lit(""))
+        .when(cycle == CSV_BLANKS, F.concat(F.lit(",  "), value, F.lit(" ")))
+        .when(cycle == CSV_EMPTY, F.lit(","))
+        .otherwise(F.concat(F.lit(","), value))
+    )
+    extra = F.when((order % CSV_EXTRA_EVERY == 0) & (cycle != CSV_NO_VALUE), F.lit(",S,0.5,")).otherwise(F.lit(""))
+    line = F.when(order % CSV_SHORT_EVERY == 0, start).otherwise(F.concat(start, F.lit(","), mtype, field, extra))
+    return read_table(spark, sf_dir, "lineitem").select(line.alias("value"))
+
+
 def lineitem_readings(spark: SparkSession, sf_dir: str, measures_only: bool = True) -> DataFrame:
     """Readings R as text fields (station, date yyyymmdd, mtype, value); ``measures_only``
     reads only the line items that carry a measure (a predicate on the flag itself, which

@@ -13,6 +13,20 @@ def read_page_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """``(pos, line)``: the lines of the files of ``path`` (in the order of their names), numbered
+    from 0.  Files may be split over tasks; no task sees more than its own part."""
+    from rankloom.operators.ordered import dense_index
+
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    return dense_index(lines, ["_file", "_block", "_at"], "pos", start=0).select("pos", "line")
+
+
 def split_page_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Split each line at its FIRST ':' into (name, html); lines without ':' are dropped."""
     at = F.instr(F.col(col), ":")

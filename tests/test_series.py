@@ -74,3 +74,20 @@ def test_secondary_sort_output_is_ordered(spark):
     df = S.secondary_sort(S.measure_readings(lineitem_readings(spark, "/root/testdata/sf0.001")))
     keys = [(r["station"], r["year"]) for r in df.select("station", "year").collect()]
     assert keys == sorted(keys)
+
+
+def test_readings_from_a_file_kept_by_hand(spark):
+    """The text lines hold every kind of bad field, and the means every kind of missing value."""
+    import math
+
+    from rankloom.plans.queries import QUERIES
+    from rankloom.sources.tables import reading_lines
+
+    lines = [r["value"].split(",") for r in reading_lines(spark, "/root/testdata/sf0.01").collect()]
+    assert {len(f) for f in lines} >= {2, 3, 4, 7}
+    values = [f[3] for f in lines if len(f) > 3]
+    assert "" in values and any(v.startswith("n/a") for v in values) and any(v.startswith("  ") for v in values)
+    rows = QUERIES["yearly_means_csv"](spark, "/root/testdata/sf0.01").collect()
+    assert any(r["mean_tmin"] == -9999.0 and math.isnan(r["mean_tmax"]) for r in rows)
+    assert any(r["mean_tmin"] == -9999.0 and r["mean_tmax"] > 0 for r in rows)
+    assert any(r["mean_tmin"] > 0 and r["mean_tmax"] == -9999.0 for r in rows)
