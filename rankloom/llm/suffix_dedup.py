@@ -136,16 +136,6 @@ def _stretches(texts: DataFrame, length: int) -> DataFrame:
     return arrow_map(texts, run, "gram long, whole long, id long, key long, s int, n short")
 
 
-def _grams(texts: DataFrame, length: int) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for _, _, data, off in B.pieces(batch.column(0)):
-                gram, count = np.unique(B.signed(anchors(data, off, length)[4]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(count)], names=["gram", "n"])
-
-    return arrow_map(texts.select("text"), run, "gram long, n long")
-
-
 def _cut(rows: DataFrame, length: int) -> DataFrame:
     """Adds the bytes of each wanted stretch: rows are (id, key, text, wants)."""
     names = ["gram", "part", "parts", "copies", "id", "key", "s", "n", "bytes"]
@@ -166,16 +156,26 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     return arrow_map(rows, run, "gram long, part int, parts int, copies long, id long, key long, s int, n short, bytes binary")
 
 
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number, the first highest; zeros past the end."""
+    raw = np.r_[data, np.zeros(8, np.uint8)]
+    words = np.zeros(len(data), B.U)
+    for k in range(8):
+        words |= raw[k : k + len(data)].astype(B.U) << B.U(56 - 8 * k)
+    return words
+
+
 def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
     """Rank of every position's suffix cut at ``depth`` bytes (equal prefixes rank equal), by
-    prefix doubling; the bytes are padded with zeros past the end."""
-    rank = data.astype(np.int64) + 1
-    have = 1
+    prefix doubling from the first eight bytes; the bytes are padded with zeros past the end."""
+    have = min(8, depth)
+    _, rank = np.unique(eight_bytes(data) >> B.U(64 - 8 * have), return_inverse=True)
+    rank = rank.astype(np.int64) + 1
     while have < depth:
         step = min(have, depth - have)  # the last step overlaps
         nxt = np.zeros(len(rank), np.int64)
         nxt[: max(0, len(rank) - step)] = rank[step:]
-        pair = rank * (int(rank.max(initial=0)) + 1) + nxt if len(rank) < (1 << 31) else None
+        pair = rank * (int(rank.max(initial=0)) + 1) + nxt
         _, rank = np.unique(pair, return_inverse=True)
         rank = rank.astype(np.int64) + 1
         have += step
@@ -224,10 +224,7 @@ def previous_factors(data: np.ndarray, at: np.ndarray, order: np.ndarray, depth:
     text = order[head].astype(np.int32)
     before = previous_smaller(text)
     after = len(head) - 1 - previous_smaller(text[::-1])[::-1]  # len(head) where there is none
-    raw = np.r_[data, np.zeros(8, np.uint8)]
-    words = np.zeros(len(data), B.U)
-    for k in range(8):
-        words |= raw[k : k + len(data)].astype(B.U) << B.U(56 - 8 * k)
+    words = eight_bytes(data)
     found = np.zeros(len(head), np.int64)
     for near, has in ((before, before >= 0), (after, after < len(head))):
         k = np.flatnonzero(has)
@@ -316,13 +313,12 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first", part
         raise ValueError(f"length must be at least {GRAM + 32}")
     work = Workspace(docs.sparkSession, "suffix")
     texts = _texts(docs)
-    # written first: a join of two plain scans is one whose hot keys AQE can split
-    twice = work.save(
-        _grams(texts, length).groupBy("gram").agg(F.sum("n").alias("c")).filter("c > 1").select(F.col("gram").alias("g")), "grams"
-    )
-    found = work.save(
-        _stretches(texts, length).join(twice, F.col("gram") == F.col("g"), "left_semi"), "stretches"
-    )
+    # written first: the anchors are found once, and a join of two plain scans is one whose hot
+    # keys AQE can split
+    every = work.save(_stretches(texts, length), "anchors")
+    twice = work.save(every.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("gram").alias("g")), "grams")
+    found = work.save(every.join(twice, F.col("gram") == F.col("g"), "left_semi"), "stretches")
+    work.drop("anchors")
     # equal stretches: one stands for all
     whole = work.save(
         found.groupBy("gram", "whole").agg(
@@ -335,6 +331,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first", part
         settled = settled.filter(F.struct("id", "key", "s") != F.struct("first.id", "first.key", "first.s"))
     settled = settled.select("id", "key", F.col("s").alias("lo"), (F.col("s") + F.col("n") - 1 + length).cast("int").alias("hi"))
     many = whole.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select(F.col("gram").alias("g"), F.ceil(F.col("kinds") / part).cast("int").alias("parts"))
+    many = work.save(many, "many")  # so that the join below can split a hot gram
     wants = (
         whole.join(many, F.col("gram") == F.col("g"))
         .select("first.id", "first.key", F.struct("gram", F.pmod(F.xxhash64("whole"), F.col("parts")).cast("int").alias("part"), "parts", "copies", "first.s", "first.n").alias("want"))
@@ -351,9 +348,9 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first", part
     across = names.join(by_name, (F.col("x") == F.col("nx")) & (F.col("y") == F.col("ny")))
     if keep == "first":
         across = across.filter(F.struct("id", "key", "lo") != F.col("first"))
-    every = settled.unionByName(spans).unionByName(across.select("id", "key", "lo", "hi"))
+    spans = settled.unionByName(spans).unionByName(across.select("id", "key", "lo", "hi"))
     # rows with the same id and text give the same spans: they are reduced before they meet
-    return every.distinct().groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return spans.distinct().groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def merged(spans: list) -> list[tuple[int, int]]:
