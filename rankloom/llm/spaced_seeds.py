@@ -8,8 +8,10 @@ A-Z.  Each fixed mask hashes the tokens at its 1-positions and ignores those at
 2. One pass over the texts makes their seeds and keeps those in a Bloom filter of the
    benchmark's seeds.  The filter has a fixed size (``bloom_bits``, 2 MB by default) whatever
    the tables' sizes; a fuller one only lets more rows through to the exact join.
-3. Surviving seeds carry the token hashes around them and are joined exactly, by a shuffle,
-   with the benchmark's seeds.
+3. Surviving seeds are cut into segments of at most ``SPREAD`` places, which carry the token
+   hashes around them, and are joined exactly, by a shuffle, with the benchmark's seeds.  A hit
+   is a segment, an item and their alignment, once, and ships the segment and the part of the
+   item beside it: a bounded number of tokens, however many items a document holds.
 4. Each hit is verified: on its alignment some window of ``window`` tokens (the whole item
    where it is shorter) must agree in ``share`` of its tokens.
 
@@ -42,6 +44,7 @@ from rankloom.llm._work import Workspace, arrow_map
 MASKS = ("11010111", "1100101011", "1110010011", "1011001101")  # fixed; weight 6
 WINDOW, SHARE, LEAST = 13, 0.8, 1
 WHOLE, SHORT = 8, 12
+SPREAD = 64  # places from a segment's first seed to its last
 BLOOM_BITS = 1 << 24
 KEYS = B.mix(np.arange(501, 501 + 16, dtype=B.U) * B.U(B.BASE)) | B.U(1)
 
@@ -158,6 +161,8 @@ def _segments(docs: DataFrame, filter_: np.ndarray, masks, reach: int, bits: int
                 last = np.searchsorted(doc, doc[at], "right")
                 new = np.ones(len(at), bool)
                 new[1:] = (doc[at[1:]] != doc[at[:-1]]) | (at[1:] - at[:-1] > 2 * reach + span)
+                part = (at - at[np.flatnonzero(new)][np.cumsum(new) - 1]) // SPREAD
+                new[1:] |= part[1:] != part[:-1]
                 heads = np.flatnonzero(new)
                 ends = np.r_[heads[1:], len(at)]
                 take = lo + doc[at[heads]]
@@ -178,10 +183,9 @@ def _segments(docs: DataFrame, filter_: np.ndarray, masks, reach: int, bits: int
     return arrow_map(d, run, "doc_id long, key long, first long, tokens array<long>, at array<int>, seeds array<long>")
 
 
-def best_window(text: np.ndarray, item: np.ndarray, shift: int, window: int) -> tuple[int, int, int]:
-    """Most agreeing tokens in a window of the alignment text[i + shift] ~ item[i]: (matches,
-    window length, first text token).  A shorter item is one window."""
-    w = min(window, len(item))
+def best_window(text: np.ndarray, item: np.ndarray, shift: int, w: int) -> tuple[int, int, int]:
+    """Most agreeing tokens in a window of ``w`` of the alignment text[i + shift] ~ item[i]:
+    (matches, window length, first text token)."""
     lo, hi = max(0, -shift), min(len(item), len(text) - shift)
     if hi - lo < w:
         return 0, w, 0
@@ -197,6 +201,19 @@ def contaminated_pairs(
 ) -> DataFrame:
     """``(doc_id, key, item_id, matched, length, first_token)`` for every document row (key:
     xxhash64 of its text) and item that overlap."""
+    good = verified(aligned(docs, benchmark, masks, window, share, least, bloom_bits), share)
+    best = F.max(F.struct("matched", (-F.col("first_token")).alias("at"), "length")).alias("b")
+    return good.groupBy("doc_id", "key", "item_id").agg(best).select(
+        "doc_id", "key", "item_id", F.col("b.matched").alias("matched"), F.col("b.length").alias("length"),
+        (-F.col("b.at")).alias("first_token"),
+    )
+
+
+def aligned(
+    docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int = WINDOW, share: float = SHARE,
+    least: int = LEAST, bloom_bits: int = BLOOM_BITS,
+) -> DataFrame:
+    """The hits: a segment's tokens beside the item's, and how they are aligned."""
     work = Workspace(docs.sparkSession, "seeds")
     items = work.save(_item_rows(benchmark, masks, window, share, least), "items")
     lengths = items.select(F.size("tokens").alias("n")).filter(F.col("n") < SHORT).distinct().collect()  # < SHORT rows
@@ -214,19 +231,28 @@ def contaminated_pairs(
         .select("segment", "item_id", (F.col("at") - F.col("i_at")).alias("shift"))
         .distinct()
     )
-    lined = (
+    # of an item only what lies beside the segment
+    start, stop = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("item"), F.size("tokens") - F.col("shift"))
+    return (
         hits.join(found.select(F.col("segment").alias("f_segment"), "doc_id", "key", "first", "tokens"), F.col("segment") == F.col("f_segment"))
         .join(items.select(F.col("item_id").alias("t_id"), F.col("tokens").alias("item")), F.col("item_id").eqNullSafe(F.col("t_id")))
-        .select("doc_id", "key", "first", "tokens", "item", "item_id", "shift")
+        .select(
+            "doc_id", "key", "first", "tokens", F.slice("item", start + 1, F.greatest(stop - start, F.lit(0))).alias("item"),
+            "item_id", (F.col("shift") + start).alias("shift"), F.least(F.lit(window), F.size("item")).alias("w"),
+        )
     )
 
+
+def verified(hits: DataFrame, share: float) -> DataFrame:
+    """Hits of which some window agrees in ``share`` of its tokens."""
+
     def verify(batches):
         for batch in batches:
             rows = []
-            firsts, shifts = batch.column(2).to_pylist(), batch.column(6).to_pylist()
+            firsts, shifts, ws = (batch.column(c).to_pylist() for c in (2, 6, 7))
             for i in range(batch.num_rows):
                 text, item = batch.column(3)[i].values.to_numpy(), batch.column(4)[i].values.to_numpy()
-                m, w, at = best_window(text, item, shifts[i], window)
+                m, w, at = best_window(text, item, shifts[i], ws[i])
                 rows.append((m, w, firsts[i] + at, m >= math.ceil(share * w)))
             m, w, at, ok = (np.array(x) for x in zip(*rows)) if rows else (np.empty(0, np.int64),) * 4
             keep = pa.array(np.flatnonzero(ok))
@@ -235,16 +261,12 @@ def contaminated_pairs(
                 names=["doc_id", "key", "item_id", "matched", "length", "first_token"],
             )
 
-    good = arrow_map(lined, verify, "doc_id long, key long, item_id long, matched long, length long, first_token long")
-    best = F.max(F.struct("matched", (-F.col("first_token")).alias("at"), "length")).alias("b")
-    return good.groupBy("doc_id", "key", "item_id").agg(best).select(
-        "doc_id", "key", "item_id", F.col("b.matched").alias("matched"), F.col("b.length").alias("length"),
-        (-F.col("b.at")).alias("first_token"),
-    )
+    return arrow_map(hits, verify, "doc_id long, key long, item_id long, matched long, length long, first_token long")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose text overlaps a benchmark item; columns stay."""
-    bad = contaminated_pairs(docs, benchmark, **options).select(F.col("key").alias("b_key")).distinct()
-    packed = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("_key"))
-    return packed.join(bad, F.col("_key") == F.col("b_key"), "left_anti").select("row.*")
+    bad = contaminated_pairs(docs, benchmark, **options).select(F.col("doc_id").alias("b_id"), F.col("key").alias("b_key")).distinct()
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key"))
+    same = F.col("_id").eqNullSafe(F.col("b_id")) & (F.col("_key") == F.col("b_key"))
+    return packed.join(bad, same, "left_anti").select("row.*")

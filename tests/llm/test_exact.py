@@ -488,3 +488,20 @@ def test_op8_word_ids_are_those_of_the_whole_text():
     finally:
         packing.CACHE_WORDS = kept
     assert again == got[:300]
+
+
+def test_op3_a_document_of_many_items_ships_in_proportion(spark):
+    rng = random.Random(21)
+    items = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice([5, 11, 40, 300])))) for i in range(400)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    shipped = {}
+    for n in (100, 200, 400):
+        docs = spark.createDataFrame([(1, " ".join(t for _, t in items[:n])), (None, "some other words here " * 9)], "doc_id long, text string")
+        hits = spaced_seeds.aligned(docs, bench)
+        shipped[n] = hits.agg(F.sum(F.size("tokens") + F.size("item"))).first()[0]
+        pairs = spaced_seeds.contaminated_pairs(docs, bench).collect()
+        assert {(r.doc_id, r.item_id) for r in pairs} == {(1, i) for i in range(n)}
+        assert all(r.matched == r.length == min(13, len(items[r.item_id][1].split())) for r in pairs)
+        assert spaced_seeds.drop_contaminated(docs, bench).count() == 1
+    words = sum(len(t.split()) for _, t in items)
+    assert shipped[400] < 2.5 * shipped[200] < 6 * shipped[100] and shipped[400] < 60 * words
