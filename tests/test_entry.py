@@ -14,7 +14,7 @@ TABLES = "part lineitem pages".split()
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["node", "rank_n"]
+    assert df.columns == ["node", "rank_n", "n"]
     rows = df.collect()
     assert len(rows) > 0
     assert abs(sum(r["rank_n"] for r in rows) / len(rows) - 1.0) < 1e-6  # ranks sum to 1
