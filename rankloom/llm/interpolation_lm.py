@@ -11,13 +11,17 @@ of the first word is the end token.  Counts cover all training documents.
 
 Plan.  Rows with the same doc_id and text are one row with a number within each batch, and the
 rest is dealt by doc_id and text into blocks of about ``BLOCK`` bytes of text.  A block sends each
-of its distinct words and pairs once, with its counts, to the task of the key's hash range;
-that task adds up the counts of all blocks and sends each block its totals back, in the
-same order, so answers need no keys.  The blocks meet their answers in a cogroup (the texts'
-exchange is the same one, reused) and write the counts of every token.  Both shuffles carry
-one entry per distinct key and block, packed as sorted differences: about 5 bytes for a pair
+of its distinct words and pairs once, with its counts, as one packed row for each of ``RANGES``
+ranges of hashes, whatever the size of the corpus.  The rows of ``GROUP`` blocks and one range
+meet in a task, which adds up their counts.  Where there are more blocks than a group has, each
+group asks in turn, with its merged keys and ranges cut ``RANGES`` times finer, until one group
+is left: its sums are the totals.  They go back down the same way, to each asker in the order
+of its keys, so answers need no keys.  The blocks meet their answers in a cogroup (the texts'
+exchange is the same one, reused) and write the counts of every token.  Every shuffle carries
+one entry per distinct key and asker, packed as sorted differences: about 5 bytes for a pair
 and one or two for an answer, where rows would take 30.  A word that is in every text is one
-entry per block, and ranges of hashes are even, so there is no hot key.  Weights and scores
+entry per block, and ranges of hashes are even, so there is no hot key.  A task holds the
+distinct keys of one block, or one range of ``GROUP`` askers.  Weights and scores
 then come from the written counts without any shuffle; the driver sees N, V and a histogram
 of held-out counts on a grid of bounded size.
 
@@ -40,6 +44,8 @@ from rankloom.llm._work import Workspace, arrow_map
 from rankloom.session import ship_package
 
 BLOCK = 12 << 20
+RANGES = 64  # ranges of hashes a block's keys are sent in; each level cuts them as often again
+GROUP = 256  # askers whose keys of one range meet in a task
 END = B.mix(np.array([0x656E64], B.U))[0]
 PAIR = (B.U(0x9FB21C651E98DF25), B.U(0xC2B2AE3D27D4EB4F))
 GRID = 4  # cells of the held-out histogram per octave of a probability
@@ -96,13 +102,16 @@ def unpack_counts(raw: bytes, n: int) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
-def _bucket_bounds(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
-    edges = [-(-(b << bits) // buckets) for b in range(1, buckets)]
-    return np.r_[0, np.searchsorted(keys, np.array(edges, B.U)), len(keys)]
+def _range_bounds(keys: np.ndarray, first: int, parts: int, ranges: int, bits: int) -> np.ndarray:
+    """Where sorted ``keys`` of the ranges ``first`` to ``first + parts - 1`` (of ``ranges`` equal
+    ones over ``bits`` bits) are cut."""
+    edges = [-(-(b << bits) // ranges) for b in range(first + 1, first + parts)]
+    return np.r_[0, np.searchsorted(keys, np.array(edges, B.U)), len(keys)].astype(np.int64)
 
 
-ASKED = "bucket int, block long, kind int, n int, keys binary, rest binary, dev binary"
-ANSWERED = "block long, bucket int, kind int, n int, rest binary, dev binary"
+ASKED = "bucket long, unit long, kind int, n int, keys binary, rest binary, dev binary"
+ANSWERED = "unit long, bucket long, kind int, n int, rest binary, dev binary"
+BITS = (64, 56)  # of the keys of either kind
 COUNTED = "doc_id long, split int, times int, n long, words binary, pairs binary, words_rest binary, pairs_rest binary"
 
 
@@ -116,54 +125,124 @@ def _once(batches):
         yield out if len(first) == len(rows) else out.take(pa.array(np.flatnonzero(times)))
 
 
-def _ask(buckets: int):
+def _requests(unit: int, kind: int, first: int, parts: int, ranges: int, keys, rest, dev) -> list[tuple]:
+    """One packed row for each range that has some of the sorted ``keys``."""
+    bound = _range_bounds(keys, first, parts, ranges, BITS[kind])
+    return [
+        (int(first + b), unit, kind, int(j - i), pack_sorted(keys[i:j]), pack_counts(rest[i:j]), pack_counts(dev[i:j]))
+        for b, i, j in ((b, bound[b], bound[b + 1]) for b in np.flatnonzero(np.diff(bound)))
+    ]
+
+
+def _asked(rows: list[tuple]) -> pa.Table:
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["bucket", "unit", "kind", "n", "keys", "rest", "dev"]
+    return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 7, types)], names=names)
+
+
+def _answered(rows: list[tuple]) -> pa.Table:
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["unit", "bucket", "kind", "n", "rest", "dev"]
+    return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, types)], names=names)
+
+
+def _ask(table: pa.Table) -> pa.Table:
+    """A block of texts -> its requests."""
+    tok, prev, size = block_tokens(table.column("text"))
+    split = np.repeat(table.column("split").to_numpy().astype(np.int8), size)
+    times = np.repeat(table.column("times").to_numpy(), size)
+    block, rows = table.column("block")[0].as_py(), []
+    for kind in range(len(BITS)):
+        distinct, at = np.unique(tok if kind == 0 else pair_keys(prev, tok), return_inverse=True)
+        rest, dev = (
+            np.bincount(at[some], weights=times[some], minlength=len(distinct)).astype(np.int64) for some in (split > DEV, split == DEV)
+        )
+        rows += _requests(block, kind, 0, RANGES, RANGES, distinct, rest, dev)
+    return _asked(rows)
+
+
+def _of_kind(table: pa.Table, kind: int) -> pa.Table:
+    return table.filter(pa.array(table.column("kind").to_numpy() == kind))
+
+
+def _sums(some: pa.Table):
+    """Requests of one kind and range -> distinct keys, the place of every asker's keys among
+    them, both sums."""
+    n = some.column("n").to_pylist()
+    keys = np.concatenate([unpack_sorted(k, m) for k, m in zip(some.column("keys").to_pylist(), n)])
+    distinct, at = np.unique(keys, return_inverse=True)
+    total = []
+    for name in ("rest", "dev"):
+        x = np.concatenate([unpack_counts(k, m) for k, m in zip(some.column(name).to_pylist(), n)])
+        total.append(np.bincount(at, weights=x, minlength=len(distinct)).astype(np.int64))
+    return distinct, at, total
+
+
+def _replies(some: pa.Table, bucket: int, kind: int, at, total) -> list[tuple]:
+    """Each asker's totals, in the order of its keys."""
+    out, end = [], 0
+    for unit, m in zip(some.column("unit").to_pylist(), some.column("n").to_pylist()):
+        mine = at[end : end + m]
+        end += m
+        out.append((unit, bucket, kind, m, pack_counts(total[0][mine]), pack_counts(total[1][mine])))
+    return out
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """All requests of one range -> the replies, and the number of training words in it."""
+    bucket, rows = table.column("bucket")[0].as_py(), []
+    for kind in range(len(BITS)):
+        some = _of_kind(table, kind)
+        if some.num_rows:
+            _, at, total = _sums(some)
+            rows += _replies(some, bucket, kind, at, total)
+            if kind == 0:
+                rows.append((-1 - bucket, bucket, 2, int(((total[0] + total[1]) > 0).sum()), b"", b""))
+    return _answered(rows)
+
+
+def _merge(ranges: int):
+    """Requests of one range and group of askers -> the group's requests, in finer ranges."""
+
     def run(table: pa.Table) -> pa.Table:
-        tok, prev, size = block_tokens(table.column("text"))
-        split = np.repeat(table.column("split").to_numpy().astype(np.int8), size)
-        times = np.repeat(table.column("times").to_numpy(), size)
-        block = table.column("block")[0].as_py()
-        rows = []
-        for kind, bits in ((0, 64), (1, 56)):
-            distinct, at = np.unique(tok if kind == 0 else pair_keys(prev, tok), return_inverse=True)
-            rest, dev = (
-                np.bincount(at[some], weights=times[some], minlength=len(distinct)).astype(np.int64) for some in (split > DEV, split == DEV)
-            )
-            bound = _bucket_bounds(distinct, buckets, bits)
-            for b in np.flatnonzero(np.diff(bound)):
-                i, j = bound[b], bound[b + 1]
-                rows.append((int(b), block, kind, int(j - i), pack_sorted(distinct[i:j]), pack_counts(rest[i:j]), pack_counts(dev[i:j])))
-        types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        names = ["bucket", "block", "kind", "n", "keys", "rest", "dev"]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        bucket, group, rows = table.column("bucket")[0].as_py(), table.column("grp")[0].as_py(), []
+        for kind in range(len(BITS)):
+            some = _of_kind(table, kind)
+            if some.num_rows:
+                distinct, _, total = _sums(some)
+                rows += _requests(group, kind, bucket * RANGES, RANGES, ranges * RANGES, distinct, *total)
+        return _asked(rows)
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    bucket = table.column("bucket")[0].as_py()
+def _down(asked: pa.Table, replies: pa.Table) -> pa.Table:
+    """A group's requests of one range and the replies to its merged ones -> each asker's."""
     rows = []
-    for kind in (0, 1):
-        some = table.filter(pa.array(table.column("kind").to_numpy() == kind))
-        n = some.column("n").to_pylist()
-        if not n:
-            continue
-        keys = np.concatenate([unpack_sorted(k, m) for k, m in zip(some.column("keys").to_pylist(), n)])
-        distinct, at = np.unique(keys, return_inverse=True)
-        total = []
-        for name in ("rest", "dev"):
-            x = np.concatenate([unpack_counts(k, m) for k, m in zip(some.column(name).to_pylist(), n)])
-            total.append(np.bincount(at, weights=x, minlength=len(distinct)).astype(np.int64))
-        end = 0
-        for block, m in zip(some.column("block").to_pylist(), n):
-            mine = at[end : end + m]
-            end += m
-            rows.append((block, bucket, kind, m, pack_counts(total[0][mine]), pack_counts(total[1][mine])))
-        if kind == 0:  # how many words of this range the training documents have
-            known = int(((total[0] + total[1]) > 0).sum())
-            rows.append((-1 - bucket, bucket, 2, known, b"", b""))
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    names = ["block", "bucket", "kind", "n", "rest", "dev"]
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+    for kind in range(len(BITS)):
+        some = _of_kind(asked, kind)
+        if some.num_rows:
+            _, at, _ = _sums(some)
+            mine = _of_kind(replies, kind).sort_by("bucket")
+            n = mine.column("n").to_pylist()
+            total = [np.concatenate([unpack_counts(k, m) for k, m in zip(mine.column(c).to_pylist(), n)]) for c in ("rest", "dev")]
+            rows += _replies(some, asked.column("bucket")[0].as_py(), kind, at, total)
+    return _answered(rows)
+
+
+def total_counts(asked: DataFrame, units: int, ranges: int = RANGES, group: int = GROUP) -> DataFrame:
+    """Requests of ``units`` askers -> replies with the totals over all of them, by merging
+    ``group`` askers at a time until one group is left."""
+    if units <= group:
+        return asked.groupBy("bucket").applyInArrow(_answer, ANSWERED)
+    grouped = asked.withColumn("grp", F.floor(F.col("unit") / group).cast("long"))
+    merged = grouped.groupBy("bucket", "grp").applyInArrow(_merge(ranges), ASKED)
+    above = total_counts(merged, -(-units // group), ranges * RANGES, group)
+    replies = above.filter("kind < 2").select(
+        F.floor(F.col("bucket") / RANGES).cast("long").alias("wide"), F.col("unit").alias("grp"), "bucket", "kind", "n", "rest", "dev"
+    )
+    down = grouped.groupBy("bucket", "grp").cogroup(replies.groupBy("wide", "grp")).applyInArrow(_down, ANSWERED)
+    return down.unionByName(above.filter("kind = 2"))
 
 
 def _packed(values: np.ndarray, size: np.ndarray, wanted: np.ndarray | None = None) -> pa.Array:
@@ -184,7 +263,7 @@ def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
         [("doc_id", pa.int64()), ("split", pa.int32()), ("times", pa.int32()), ("n", pa.int64())]
         + [(c, pa.binary()) for c in ("words", "pairs", "words_rest", "pairs_rest")]
     )
-    if not left.num_rows:  # word totals of one bucket
+    if not left.num_rows:  # word totals of one range
         n = sum(right.column("n").to_pylist())
         return pa.Table.from_pylist([{"doc_id": None, "split": -1, "times": 1, "n": n}], schema=schema)
     tok, prev, size = block_tokens(left.column("text"))
@@ -203,7 +282,7 @@ def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([left.column("doc_id"), pa.array(split), left.column("times"), pa.array(size), *both, *rest_of_dev], schema=schema)
 
 
-def token_counts(docs: DataFrame) -> DataFrame:
+def token_counts(docs: DataFrame, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """``(doc_id, split, times, n, words, pairs, words_rest, pairs_rest)``: packed, for every token of
     every text, the training counts of the token and of its pair with the one before; the
     same without the held-out part for documents of that part; ``times`` is the number of equal
@@ -219,11 +298,10 @@ def token_counts(docs: DataFrame) -> DataFrame:
     )
     d = arrow_map(d, _once, "doc_id long, split int, text string, text_key long, times int")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK))
+    blocks = max(1, -(-size // block))
     d = d.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks))).drop("text_key")
-    asked = d.groupBy("block").applyInArrow(_ask(int(blocks)), ASKED)
-    answers = asked.groupBy("bucket").applyInArrow(_answer, ANSWERED)
-    return d.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_meet, COUNTED)
+    answers = total_counts(d.groupBy("block").applyInArrow(_ask, ASKED), blocks, group=group)
+    return d.groupBy("block").cogroup(answers.groupBy("unit")).applyInArrow(_meet, COUNTED)
 
 
 def octave(count: np.ndarray) -> np.ndarray:
@@ -318,11 +396,11 @@ def _scores(weights: np.ndarray, total: int, types: int):
     return run
 
 
-def score_texts(docs: DataFrame) -> DataFrame:
+def score_texts(docs: DataFrame, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every
     document row; logarithms to base 10."""
     work = Workspace(docs.sparkSession, "lm")
-    counts = work.save(token_counts(docs), "counts")
+    counts = work.save(token_counts(docs, block, group), "counts")
     n = F.col("n") * F.col("times")
     sums = counts.agg(
         F.sum(F.when(F.col("split") >= DEV, n)).alias("total"),

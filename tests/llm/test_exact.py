@@ -505,3 +505,87 @@ def test_op3_a_document_of_many_items_ships_in_proportion(spark):
         assert spaced_seeds.drop_contaminated(docs, bench).count() == 1
     words = sum(len(t.split()) for _, t in items)
     assert shipped[400] < 2.5 * shipped[200] < 6 * shipped[100] and shipped[400] < 60 * words
+
+
+def lm_by_hand(rows, grid=4):
+    """Deleted interpolation in plain Python -> score of each text."""
+    part = lambda i: zlib.crc32(str(i).encode()) % 10 if i is not None else 0
+    tokens = [(part(i), [*WORD.findall(lower(t or "")), None]) for i, t in rows]
+    pairs = lambda ws: list(zip([None, *ws[:-1]], ws))
+    one, two = ([collections.Counter() for _ in range(2)] for _ in range(2))  # all training tokens; without the held-out tenth
+    for p, ws in tokens:
+        for k in range(2):
+            if p > k:
+                one[k].update(ws)
+                two[k].update(pairs(ws))
+    n, rest, v = sum(one[0].values()), sum(one[1].values()), len(one[0])
+    octave = lambda c: c.bit_length()
+    cell = lambda x: math.floor(-math.log2(x) * grid) if x > 0 else None
+    held = collections.Counter()
+    for p, ws in tokens:
+        if p == 1:
+            for a, b in pairs(ws):
+                c = one[1][a]
+                held[octave(c), cell(two[1][a, b] / c if c else 0), cell(one[1][b] / max(1, rest))] += 1
+    weights, seen = {}, None
+    for o in range(65):
+        mine = [([min(1, 2.0 ** (-(x + 0.5) / grid)) if x is not None else 0.0 for x in k[1:]] + [1 / (v + 1)], c) for k, c in held.items() if k[0] == o]
+        w = [0.0, 0.9, 0.1] if seen is None else weights[seen]
+        if mine:
+            w = [1 / 3] * 3
+            for _ in range(60):
+                new = [0.0] * 3
+                for p, c in mine:
+                    s = sum(x * y for x, y in zip(p, w))
+                    new = [a + c * x * y / s for a, x, y in zip(new, p, w)]
+                w = [a / sum(c for _, c in mine) for a in new]
+            w = [max(a, b) for a, b in zip(w, [0, 1e-9, 1e-6])]
+            w, seen = [a / sum(w) for a in w], o
+        weights[o] = w
+    weights[0] = [0.0, *(a / sum(weights[0][1:]) for a in weights[0][1:])]
+    out = []
+    for (i, _), (_, ws) in zip(rows, tokens):
+        s = 0.0
+        for a, b in pairs(ws):
+            w = weights[octave(one[0][a])]
+            s += math.log10(w[0] * two[0][a, b] / max(1, one[0][a]) + w[1] * one[0][b] / max(1, n) + w[2] / (v + 1))
+        out.append((str(i), s))
+    return sorted(out)
+
+
+def test_op6_scores_by_hand(spark, docs):
+    want = lm_by_hand(docs)
+    got = sorted((str(r.doc_id), r.score) for r in run(spark, "op6_lm_scoring"))
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-9)
+
+
+def test_op6_many_blocks_and_levels(spark, docs):
+    """Small blocks, few to a group: requests are merged over several levels, the scores stay."""
+    some = [*docs[:60], (None, "a b"), (None, None), (7, ""), *[(9, "again and again")] * 20]
+    df = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+    size = sum(len((t or "").encode()) for _, t in some)
+    block = size // 40
+    assert 40 / 3 / 3 > 3  # groups of three: four levels
+    want = lm_by_hand(some)
+    for group in (3, 1000):
+        got = sorted((str(r.doc_id), r.score) for r in interpolation_lm.score_texts(df, block, group).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert np.allclose(sorted(s for _, s in got), sorted(s for _, s in want), rtol=1e-9)
+
+
+def test_op6_a_block_sends_as_many_rows_at_every_size():
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40_000))
+    def rows(block):  # the number of blocks is no input of it
+        t = pa.table({"block": pa.array([block], pa.int64()), "text": [text], "split": pa.array([5], pa.int32()), "times": pa.array([1], pa.int32())})
+        return interpolation_lm._ask(t)
+    small, large = rows(3), rows(8_000_000)  # of 36 MB and of 100 TB
+    assert small.num_rows == large.num_rows == 2 * interpolation_lm.RANGES
+    assert sum(small.column("n").to_pylist()) == sum(large.column("n").to_pylist())
+    merged = interpolation_lm._merge(interpolation_lm.RANGES)(
+        small.filter(pa.array([b == 5 for b in small.column("bucket").to_pylist()])).append_column("grp", pa.array([0] * 2, pa.int64()))
+    )
+    assert merged.num_rows <= 2 * interpolation_lm.RANGES and set(merged.column("bucket").to_pylist()) <= set(range(320, 384))
