@@ -30,11 +30,29 @@ dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
 texts AS (SELECT host, t, any_value(r) AS r FROM d GROUP BY host, t),
 entries AS (SELECT l.host, l.t, l.norm, sum(l.words) AS words FROM lines l JOIN texts x ON x.r = l.r GROUP BY l.host, l.t, l.norm),
 hosts AS (SELECT host, count(*) AS n FROM texts GROUP BY host),
-often AS (
+often_high AS (
   SELECT e.host, e.norm FROM (SELECT host, norm, count(*) AS n FROM entries GROUP BY host, norm) e
   JOIN hosts h ON h.host IS NOT DISTINCT FROM e.host
   WHERE e.n > 10 AND e.n > CAST(0.1 AS DOUBLE) * h.n
 ),
+low_some AS (
+  SELECT e.host, e.norm, h.n AS host_docs FROM (SELECT host, norm, count(*) AS n, min(words) AS words FROM entries GROUP BY host, norm) e
+  JOIN hosts h ON h.host IS NOT DISTINCT FROM e.host
+  WHERE e.words >= 6 AND e.n >= 3 AND e.n > least(100, CAST(0.02 AS DOUBLE) * h.n)
+),
+low_held AS (
+  SELECT e.host, e.t, e.norm, e.words, s.host_docs FROM entries e JOIN low_some s ON s.host IS NOT DISTINCT FROM e.host AND s.norm = e.norm
+),
+low_carriers AS (
+  SELECT c.host, c.t FROM (SELECT host, t, sum(words) AS words FROM low_held GROUP BY host, t) c
+  JOIN texts x ON x.host IS NOT DISTINCT FROM c.host AND x.t = c.t JOIN d ON d.r = x.r
+  WHERE 2 * c.words <= len(d.w)
+),
+often_low AS (
+  SELECT e.host, e.norm FROM low_held e JOIN low_carriers c ON c.host IS NOT DISTINCT FROM e.host AND c.t = e.t
+  GROUP BY e.host, e.norm, e.host_docs HAVING count(*) >= 3 AND count(*) > least(100, CAST(0.02 AS DOUBLE) * e.host_docs)
+),
+often AS (SELECT host, norm FROM often_high UNION SELECT host, norm FROM often_low),
 removed AS (
   SELECT e.host, e.t, sum(e.words) AS words, count(*) AS n FROM entries e
   JOIN often o ON o.host IS NOT DISTINCT FROM e.host AND o.norm = e.norm GROUP BY e.host, e.t

@@ -45,7 +45,7 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 WINDOW_KEYS = B.mix(np.arange(101, 101 + WINDOW, dtype=B.U) * B.U(B.BASE)) | B.U(1)
 IN_DOC = B.U(0xA24BAED4963EE407)
-LOW_LEAST = 3
+LOW_LEAST, LOW_DOCS = 3, 100
 
 STATS = (
     "doc_id long, host string, text_key long, n_words long, word_chars long, n_symbols long, "

@@ -34,7 +34,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = quality_rules.line_verdicts(table(spark, sf_dir, "documents"))
+    v = quality_rules.line_verdicts(table(spark, sf_dir, "documents"), low_docs=quality_rules.LOW_DOCS)
     return v.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_frequent_lines", "n_line_words",
