@@ -179,31 +179,35 @@ def near_links(distinct: DataFrame, radius: int = 4, block: int = BLOCK) -> Data
     return arrow_map(members.repartition("g").sortWithinPartitions("g"), links, "u long, v long").distinct()
 
 
-def _grouped(docs: DataFrame, shingle: int, radius: int, block: int) -> DataFrame:
-    """``(doc_id, text_key, fp, root)`` per document row; ``root`` names the component."""
-    work = Workspace(docs.sparkSession, "simhash")
+def _roots(docs: DataFrame, shingle: int, radius: int, block: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id, text_key, fp`` per document row, ``node, root`` per fingerprint with a link),
+    both written: a join of two plain scans is one whose hot keys AQE can split."""
     fps = work.save(fingerprints(docs, shingle), "fingerprints")
-    distinct = fps.select("fp").distinct()
-    roots = components(near_links(distinct, radius, block), work)
-    return fps.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "doc_id", "text_key", "fp", F.coalesce("root", "fp").alias("root")
-    )
+    roots = components(near_links(fps.select("fp").distinct(), radius, block), work)
+    return fps, work.save(roots, "roots")
 
 
 def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, block: int = BLOCK) -> DataFrame:
     """``(doc_id, fp, component_id)``: the smallest doc_id reachable over links of at most
     ``radius`` differing bits, for every document row."""
-    rows = _grouped(docs, shingle, radius, block)
-    least = rows.groupBy(F.col("root").alias("c")).agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, F.col("root") == F.col("c")).select("doc_id", "fp", "component_id")
+    work = Workspace(docs.sparkSession, "simhash")
+    fps, roots = _roots(docs, shingle, radius, block, work)
+    # copies are reduced to their fingerprint first, and components to one row each
+    least = fps.groupBy(F.col("fp").alias("f")).agg(F.min("doc_id").alias("least"))
+    rooted = work.save(least.join(roots, F.col("f") == F.col("node"), "left").select("f", F.coalesce("root", "f").alias("root"), "least"), "rooted")
+    first = work.save(rooted.groupBy(F.col("root").alias("c")).agg(F.min("least").alias("component_id")), "components")
+    ids = work.save(rooted.join(first, F.col("root") == F.col("c")).select("f", "component_id"), "ids")
+    return fps.join(ids, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, block: int = BLOCK) -> DataFrame:
     """``docs`` with one row of each near-duplicate group, the one with the smallest doc_id
     (a null id only where the group has no other; one row where rows repeat); columns stay."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("k")
+    fps, roots = _roots(docs, shingle, radius, block, Workspace(docs.sparkSession, "simhash"))
     keep = (
-        _grouped(docs, shingle, radius, block)
+        fps.join(roots, F.col("fp") == F.col("node"), "left")
+        .select("doc_id", "text_key", F.coalesce("root", "fp").alias("root"))
         .groupBy("root")
         .agg(first)
         .select(F.coalesce("k.doc_id", F.lit(0)).alias("k_id"), F.col("k.text_key").alias("k_key"))
