@@ -40,15 +40,13 @@ BLOCKED_SITES = (
     "payday-loan cheap-loans replica-watches get-rich free-iphone jackpot-win"
 ).split()
 ALLOWED_SITES = (
-    "news daily-news weather library museum school university research science history recipes garden travel "
-    "music books sports-club city-council health-info hospital open-data docs wiki forum community photo "
-    "theatre history-there nation other then the-times station-one weather-north thread method then-other mother "
-    "brother nether hither shore stone tinder thinner anthem ether rather father neither bother gather weather-and"
+    "news weather library museum school university research science history recipes garden travel music books "
+    "sports city council health hospital data docs wiki forum community photo cinema kitchen fashion economy finance "
+    "energy transport railway airport hotel restaurant market furniture tools software hardware chess puzzle design "
+    "architecture photography nature animals birds ocean mountain climate astronomy physics chemistry biology "
+    "mathematics language dictionary translation law government election parks education careers"
 ).split()
-LAYOUTS = (
-    "http://{}.example.net/en/{}", "https://www.{}.example.com/es/{}.html", "https://blog.{}.example.net/fr/{}?page=2&ref=x",
-    "http://m.{}.example.com/en/{}/",
-)
+LAYOUTS = ("https://{}.example/", "http://www.{}.example/index.html", "https://{}.example/articles/{}", "https://shop.{}.example/items/{}/view")
 
 
 def labelled_urls() -> list[tuple[str, int]]:
@@ -151,13 +149,14 @@ def train(labelled: DataFrame, width: int = WIDTH, rounds: int = 20, rate: float
     return weights, bias
 
 
-def judge(pages: DataFrame, labelled: DataFrame, rules=RULES, width: int = WIDTH, threshold: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, labelled: DataFrame | None, rules=RULES, width: int = WIDTH, threshold: float = 0.5, model=None) -> DataFrame:
     """``(page_id, host, path, rule, verdict, score)`` for every page row; ``score`` is the
-    model's probability of block, also where a rule decides."""
-    weights, bias = train(labelled, width)
+    probability of block by ``model`` (weights and bias; trained on ``labelled`` if it is not
+    given), also where a rule decides."""
+    weights, bias = model or train(labelled, width)
     url = F.col("url")
     p = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), url_features(url, width).alias("f"))
     m = margin(F.col("f"), weights, bias)
     judged = p.select("page_id", "host", "path", rule(F.col("host"), F.col("path"), rules).alias("r"), (1 / (1 + F.exp(-m))).alias("score"))
-    model = F.when(F.col("score") >= threshold, "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", model).alias("verdict"), "score")
+    verdict = F.when(F.col("score") >= threshold, "block").otherwise("allow")
+    return judged.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", verdict).alias("verdict"), "score")
