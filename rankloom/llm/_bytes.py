@@ -1,7 +1,7 @@
 """Vectorised byte kernels shared by the text operators (run inside Arrow tasks).
 
 A text column arrives as one Arrow buffer; the helpers below view it as numpy arrays, cut it
-into pieces of about a megabyte at document bounds (one longer document is a piece of its
+into pieces of about half a megabyte at document bounds (one longer document is a piece of its
 own, so memory is a fixed multiple of the longest document) and find words, lines and 64-bit
 hashes of any byte span without a Python loop over characters.
 
@@ -18,8 +18,8 @@ import pyarrow as pa
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64
-PIECE = 1 << 20
-KEPT = 2 * PIECE  # entries of the power tables that stay in a worker
+PIECE = 1 << 19
+KEPT = 2 * PIECE  # entries of the power tables that stay in a worker (16 MB)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,7 +56,7 @@ def _kept() -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` for i in 0..n-1 at least.  One table is kept in a worker
-    (32 MB, enough for every piece that is not one long document); larger ones are made for
+    (16 MB, enough for every piece that is not one long document); larger ones are made for
     their caller and freed with it."""
     return _kept() if n <= KEPT else _tables(n)
 
