@@ -23,7 +23,7 @@ def recounted(docs: DataFrame) -> DataFrame:
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality rules reject go; kept texts lose their boilerplate lines."""
-    return recounted(quality_rules.apply_rules(docs, low_docs=100))
+    return recounted(quality_rules.apply_rules(docs, low_docs=quality_rules.LOW_DOCS))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
