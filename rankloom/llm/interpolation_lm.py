@@ -2,11 +2,12 @@
 
 ``score_texts`` learns a bigram model from the training documents and scores every text:
 
-    P(w | v) = l2[b] c(v w) / c(v)  +  l1[b] c(w) / N  +  l0[b] / (V + 1)
+    P(w | u v) = l2[b] c(v w) / c(v)  +  l1[b] c(w) / N  +  l0[b] / (V + 1)
 
-with b the octave of the context's count c(v), and the weights of every b learned by
-expectation-maximisation on held-out counts: a tenth of the training documents is scored with
-the counts of the others.  Tokens are words, lower-cased A-Z, then one end token; the context
+with b the bucket of the context's frequency: the octave of c(v) and that of c(u v), the pair
+that leads up to the word (a pair that was seen makes the next one likelier, above all in
+passages that occur again).  The weights of every b are learned by expectation-maximisation on
+held-out counts: a tenth of the training documents is scored with the counts of the others.  Tokens are words, lower-cased A-Z, then one end token; the context
 of the first word is the end token.  Counts cover all training documents.
 
 Plan.  Rows with the same doc_id and text are one row with a number within each batch, and the
@@ -50,6 +51,7 @@ END = B.mix(np.array([0x656E64], B.U))[0]
 PAIR = (B.U(0x9FB21C651E98DF25), B.U(0xC2B2AE3D27D4EB4F))
 GRID = 4  # cells of the held-out histogram per octave of a probability
 OCTAVES = 64
+BEFORE = 4  # octaves of the leading pair's count: none, 1, 2 to 3, more
 HELD, DEV = 0, 1  # remainders: scored only; held-out counts
 
 
@@ -317,8 +319,18 @@ def context(words: np.ndarray, off: np.ndarray) -> np.ndarray:
     return prev
 
 
+def bucket(words: np.ndarray, pairs: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Count of each token's context, and its bucket: the octave of that count and, in steps of
+    ``OCTAVES + 1``, that of the count of the pair before (none for a text's first token)."""
+    ctx = context(words, off)
+    lead = np.zeros(len(pairs), np.int64)
+    lead[1:] = pairs[:-1]
+    lead[off[:-1]] = 0
+    return ctx, octave(ctx) + (OCTAVES + 1) * np.minimum(octave(lead), BEFORE - 1)
+
+
 def _held_out(total: int, types: int):
-    """Histogram of held-out tokens: octave of the context, grid cells of both estimates."""
+    """Histogram of held-out tokens: bucket of the context, grid cells of both estimates."""
 
     def cell(p):
         with np.errstate(divide="ignore"):
@@ -331,9 +343,9 @@ def _held_out(total: int, types: int):
                 size, times = part.column(0).to_numpy(), part.column(3).to_numpy()
                 off = np.r_[0, np.cumsum(size)]
                 words, pairs = _unpacked(part.column(1), size), _unpacked(part.column(2), size)
-                ctx = context(words, off)
+                ctx, b = bucket(words, pairs, off)
                 p2 = np.where(ctx > 0, pairs / np.maximum(ctx, 1), 0.0)
-                code = (octave(ctx) << 20) | (cell(p2) << 10) | cell(words / max(1, total))
+                code = (b << 20) | (cell(p2) << 10) | cell(words / max(1, total))
                 code, at = np.unique(code, return_inverse=True)
                 count = np.bincount(at, weights=np.repeat(times, size), minlength=len(code)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(count)], names=["code", "n"])
@@ -342,26 +354,31 @@ def _held_out(total: int, types: int):
 
 
 def mixture_weights(code: np.ndarray, count: np.ndarray, types: int, rounds: int = 60) -> np.ndarray:
-    """EM on held-out counts -> weights (pair, word, uniform) per octave of the context."""
-    out = np.tile([0.0, 0.9, 0.1], (OCTAVES + 1, 1))
-    octaves, k2, k1 = code >> 20, (code >> 10) & 1023, code & 1023
+    """EM on held-out counts -> weights (pair, word, uniform) of every bucket."""
+    out = np.tile([0.0, 0.9, 0.1], (BEFORE * (OCTAVES + 1), 1))
+    buckets, k2, k1 = code >> 20, (code >> 10) & 1023, code & 1023
     value = lambda k: np.where(k < 1023, 2.0 ** (-(k + 0.5) / GRID), 0.0)
     p = np.stack([np.minimum(1, value(k2)), np.minimum(1, value(k1)), np.full(len(code), 1 / (types + 1))], axis=1)
-    seen = None
-    for b in range(OCTAVES + 1):
-        mine = octaves == b
-        if mine.any():
-            w, x, c = np.array([1 / 3, 1 / 3, 1 / 3]), p[mine], count[mine].astype(float)
-            for _ in range(rounds):
-                share = x * w
-                share /= share.sum(axis=1, keepdims=True)
-                w = (share * c[:, None]).sum(axis=0) / c.sum()
-            w = np.maximum(w, [0, 1e-9, 1e-6])
-            out[b] = w / w.sum()
-            seen = b
-        elif seen:  # no held-out token has such a context: the next rarer octave's weights
-            out[b] = out[seen]
-    out[0] = [0.0, *(out[0][1:] / out[0][1:].sum())]  # no context count, no pair estimate
+    for lead in range(BEFORE):
+        seen = None
+        for o in range(OCTAVES + 1):
+            b = lead * (OCTAVES + 1) + o
+            mine = buckets == b
+            if mine.any():
+                w, x, c = np.array([1 / 3, 1 / 3, 1 / 3]), p[mine], count[mine].astype(float)
+                for _ in range(rounds):
+                    share = x * w
+                    share /= share.sum(axis=1, keepdims=True)
+                    w = (share * c[:, None]).sum(axis=0) / c.sum()
+                w = np.maximum(w, [0, 1e-9, 1e-6])
+                out[b] = w / w.sum()
+                seen = b
+            elif seen is not None:  # no held-out token has such a context: the next rarer octave's weights
+                out[b] = out[seen]
+            elif lead:  # nor a rarer one: those without such a pair before
+                out[b] = out[b - OCTAVES - 1]
+        none = lead * (OCTAVES + 1)  # no context count, no pair estimate
+        out[none] = [0.0, *(out[none][1:] / out[none][1:].sum())]
     return out
 
 
@@ -375,8 +392,8 @@ def _scores(weights: np.ndarray, total: int, types: int):
                 size = part.column(2).to_numpy()
                 off = np.r_[0, np.cumsum(size)]
                 words, pairs = _unpacked(part.column(3), size), _unpacked(part.column(4), size)
-                ctx = context(words, off)
-                w = weights[octave(ctx)]
+                ctx, b = bucket(words, pairs, off)
+                w = weights[b]
                 p = w[:, 0] * pairs / np.maximum(ctx, 1) + w[:, 1] * words / max(1, total) + w[:, 2] / (types + 1)
                 base = np.log10((words + 0.1) / (total + 0.1 * (types + 1)))
                 doc = np.repeat(np.arange(len(off) - 1), np.diff(off))

@@ -521,33 +521,43 @@ def lm_by_hand(rows, grid=4):
     n, rest, v = sum(one[0].values()), sum(one[1].values()), len(one[0])
     octave = lambda c: c.bit_length()
     cell = lambda x: math.floor(-math.log2(x) * grid) if x > 0 else None
+
+    def steps(ws, k):
+        """(context, word, bucket) of each token by the counts of ``k``."""
+        lead = 0
+        for a, b in pairs(ws):
+            yield a, b, (min(3, octave(lead)), octave(one[k][a]))
+            lead = two[k][a, b]
+
     held = collections.Counter()
     for p, ws in tokens:
         if p == 1:
-            for a, b in pairs(ws):
+            for a, b, at in steps(ws, 1):
                 c = one[1][a]
-                held[octave(c), cell(two[1][a, b] / c if c else 0), cell(one[1][b] / max(1, rest))] += 1
-    weights, seen = {}, None
-    for o in range(65):
-        mine = [([min(1, 2.0 ** (-(x + 0.5) / grid)) if x is not None else 0.0 for x in k[1:]] + [1 / (v + 1)], c) for k, c in held.items() if k[0] == o]
-        w = [0.0, 0.9, 0.1] if seen is None else weights[seen]
-        if mine:
-            w = [1 / 3] * 3
-            for _ in range(60):
-                new = [0.0] * 3
-                for p, c in mine:
-                    s = sum(x * y for x, y in zip(p, w))
-                    new = [a + c * x * y / s for a, x, y in zip(new, p, w)]
-                w = [a / sum(c for _, c in mine) for a in new]
-            w = [max(a, b) for a, b in zip(w, [0, 1e-9, 1e-6])]
-            w, seen = [a / sum(w) for a in w], o
-        weights[o] = w
-    weights[0] = [0.0, *(a / sum(weights[0][1:]) for a in weights[0][1:])]
+                held[at, cell(two[1][a, b] / c if c else 0), cell(one[1][b] / max(1, rest))] += 1
+    weights = {}
+    for lead in range(4):
+        seen = None
+        for o in range(65):
+            mine = [([min(1, 2.0 ** (-(x + 0.5) / grid)) if x is not None else 0.0 for x in k[1:]] + [1 / (v + 1)], c) for k, c in held.items() if k[0] == (lead, o)]
+            w = weights[seen] if seen else weights.get((lead - 1, o), [0.0, 0.9, 0.1])
+            if mine:
+                w = [1 / 3] * 3
+                for _ in range(60):
+                    new = [0.0] * 3
+                    for p, c in mine:
+                        s = sum(x * y for x, y in zip(p, w))
+                        new = [a + c * x * y / s for a, x, y in zip(new, p, w)]
+                    w = [a / sum(c for _, c in mine) for a in new]
+                w = [max(a, b) for a, b in zip(w, [0, 1e-9, 1e-6])]
+                w, seen = [a / sum(w) for a in w], (lead, o)
+            weights[lead, o] = w
+        weights[lead, 0] = [0.0, *(a / sum(weights[lead, 0][1:]) for a in weights[lead, 0][1:])]
     out = []
     for (i, _), (_, ws) in zip(rows, tokens):
         s = 0.0
-        for a, b in pairs(ws):
-            w = weights[octave(one[0][a])]
+        for a, b, at in steps(ws, 0):
+            w = weights[at]
             s += math.log10(w[0] * two[0][a, b] / max(1, one[0][a]) + w[1] * one[0][b] / max(1, n) + w[2] / (v + 1))
         out.append((str(i), s))
     return sorted(out)
