@@ -61,7 +61,8 @@ def _bounds(df: DataFrame, names: list[str], ranges: int | None) -> list[dict]:
     partition.  Without ``ranges`` adaptive execution picks their number by the keys' bytes."""
     ranged = df.repartitionByRange(*names) if ranges is None else df.repartitionByRange(ranges, *names)
     least = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*names)).alias("key"))
-    return [r["key"].asDict() for r in least.orderBy("key").collect()]
+    keys = [r["key"] for r in least.collect()]
+    return [k.asDict() for k in sorted(keys, key=lambda k: [(v is not None, v) for v in k])]
 
 
 def next_row(

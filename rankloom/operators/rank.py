@@ -210,8 +210,11 @@ def prepare(g: Graph, spec: RankSpec, *, buckets: int | None = None, keys: str =
         width = LINK_ROW_BYTES + math.ceil((counted["bytes"] or 0) / max(1, counted["n"]))
         buckets = partitions_for(own, counted["n"], width)
     own.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    # the layout is pinned from here on: there is nothing to re-plan between the stages of a
+    # sweep, which run as one job
+    own.conf.set("spark.sql.adaptive.enabled", "false")
     keyed = keys == "hash" and _keys_are_unique(g, pairs.df)
-    model = _build(g, spec, pairs.df, buckets, scratch, keyed)
+    model = _build(g, spec, pairs.df, counted["n"], buckets, scratch, keyed)
     scratch.drop(pairs)
     return model
 
@@ -233,16 +236,17 @@ def _keys_are_unique(g: Graph, pairs: DataFrame) -> bool:
     return clashes.limit(1).count() == 0
 
 
-def _block_counts(links: DataFrame, buckets: int) -> DataFrame:
-    """``(src, blocks)`` of the sources with more links than a mean bucket: one block for each
-    mean load.  Fewer rows than ``buckets``."""
+def _block_counts(links: DataFrame, total: int, buckets: int) -> DataFrame:
+    """``(src, blocks)`` of the sources with more links than a mean bucket of ``total`` links: one
+    block for each mean load.  Fewer rows than ``buckets``."""
     widths = links.groupBy("src").agg(F.count(F.lit(1)).alias("width"))
-    total = links.agg(F.count(F.lit(1)).alias("n")).first()["n"]  # of a written table: from its footers
     many = F.ceil(F.col("width") * buckets / max(1, total)).cast("int")
     return widths.where(F.col("width") * buckets > total).select("src", many.alias("blocks"))
 
 
-def _build(g: Graph, spec: RankSpec, pairs: DataFrame, buckets: int, scratch: Scratch, keyed: bool = False) -> RankModel:
+def _build(
+    g: Graph, spec: RankSpec, pairs: DataFrame, n_pairs: int, buckets: int, scratch: Scratch, keyed: bool = False
+) -> RankModel:
     """Edge table and node table in ``buckets`` buckets.
 
     Counts the sweeps need (pages, nodes, dangling nodes of the start vector) are observed
@@ -251,11 +255,14 @@ def _build(g: Graph, spec: RankSpec, pairs: DataFrame, buckets: int, scratch: Sc
     """
     if spec.edges == "distinct":
         pairs = pairs.withColumn("m", F.lit(1).cast("long"))
-    links = pairs.unionByName(_phantom_pairs(g, pairs)) if spec.phantom else pairs
+    links = pairs
+    if spec.phantom:
+        links = pairs.unionByName(_phantom_pairs(g, pairs))
+        n_pairs = links.count()
     if keyed:
         links = links.select(_key(F.col("src")).alias("src"), _key(F.col("dst")).alias("dst"), "m")
 
-    hubs = F.broadcast(_block_counts(links, buckets))
+    hubs = F.broadcast(_block_counts(links, n_pairs, buckets))
     block = F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("blocks"))).cast("int")
     dealt = links.join(hubs, "src", "left").select("src", block.alias("b"), "dst", "m")
     weights = scratch.bucketed(dealt, ["src", "b"], "links", buckets).df

@@ -11,6 +11,7 @@ import zipfile
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -100,7 +101,11 @@ def session_beside(spark: SparkSession) -> SparkSession:
 
 def adopt(own: SparkSession, df: DataFrame) -> DataFrame:
     """``df`` as a frame of the session ``own`` (planned with its settings)."""
-    return df if df.sparkSession is own else own.createDataFrame([], df.schema).unionByName(df)
+    if df.sparkSession is own:
+        return df
+    # no row of the session's own, which the optimizer drops
+    none = own.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return none.unionByName(df)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
