@@ -42,7 +42,7 @@ from rankloom.llm import _bytes as B
 from rankloom.llm._work import Workspace, arrow_map
 
 GRAM = 64
-PART = 1000
+PART = 4000
 AT = B.U((1 << 22) - 1)  # low bits of the packed gram hash: place in a section
 SECTION = 1 << 21
 NO_ID = (1 << 63) - 1  # a null doc_id comes after all others
