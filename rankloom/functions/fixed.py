@@ -1,4 +1,4 @@
-"""Fixed values.  These must equal the original programs' values for results to match."""
+"""Fixed values.  Results depend on them; they stand together here and are used by name."""
 
 # --- fixed values: link extraction -------------------------------------------------
 PAGE_NAME_PATTERN = r"^([^~]+)$"            # a page name is kept when it has no '~'

@@ -1,4 +1,4 @@
-"""End-to-end batch jobs: the original programs' entry points as Spark jobs.
+"""End-to-end batch jobs, from input files to output files.
 
     python -m rankloom.jobs rank    <page-lines> <out-dir> [--preset list] [--mode strict] [--k 100]
     python -m rankloom.jobs series  <readings-csv> <out-dir>
@@ -21,6 +21,7 @@ from rankloom.operators import series as S
 from rankloom.operators import topk as T
 from rankloom.operators.graph import adjacency_to_graph
 from rankloom.operators.links import extract_links
+from rankloom.session import Scratch
 from rankloom.sources import sinks
 from rankloom.sources.text import read_page_lines, read_readings, split_page_lines
 
@@ -35,12 +36,14 @@ def rank_pages(
     write_ranks: bool = True,
 ) -> None:
     pages = split_page_lines(read_page_lines(spark, pages_path))
-    graph = adjacency_to_graph(extract_links(pages, mode))
-    ranks = R.pagerank(graph, preset)
-    if write_ranks:
-        sinks.write_key_value(ranks, "node", "rank", f"{out_dir}/ranks")
-    top = T.top_k(ranks, k)
-    sinks.write_key_value(top.orderBy(top["rank"].desc(), "node").coalesce(1), "node", "rank", f"{out_dir}/top{k}")
+    with Scratch(spark) as scratch:  # the job leaves its outputs and nothing else
+        graph = adjacency_to_graph(extract_links(pages, mode, scratch=scratch))
+        with R.prepare(graph, R.PRESETS[preset]) as model:
+            ranks = R.ranks(model, R.iterate(model))
+            if write_ranks:
+                sinks.write_key_value(ranks, "node", "rank", f"{out_dir}/ranks")
+            top = T.top_k(ranks, k)
+            sinks.write_key_value(top.orderBy(top["rank"].desc(), "node").coalesce(1), "node", "rank", f"{out_dir}/top{k}")
 
 
 def station_series(spark: SparkSession, readings_path: str, out_dir: str) -> None:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import strip_whitespace
-from rankloom.session import materialise
+from rankloom.session import Scratch, materialise
 
 
 class Graph(NamedTuple):
@@ -109,29 +109,30 @@ def adjacency(g: Graph) -> DataFrame:
     return linked.unionByName(empty)
 
 
-def transition_matrix(g: Graph, distinct: bool = False) -> DataFrame:
+def transition_matrix(g: Graph, distinct: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """Sparse column-stochastic matrix in COO form: (dst, src, w) with w = m / out-degree.
 
     Pairs and degrees are written once each: the links are derived once, and a join of two
-    plain scans is one whose hot sources adaptive execution can split."""
+    plain scans is one whose hot sources adaptive execution can split.  They belong to
+    ``scratch`` where one is given."""
     pairs = edge_multiplicity(g)
     if distinct:
         pairs = pairs.withColumn("m", F.lit(1).cast("long"))
-    pairs = materialise(pairs, "pairs")
-    deg = materialise(pairs.groupBy("src").agg(F.sum("m").alias("deg")), "degrees")
+    pairs = materialise(pairs, "pairs", scratch)
+    deg = materialise(pairs.groupBy("src").agg(F.sum("m").alias("deg")), "degrees", scratch)
     return pairs.join(deg, "src").select("dst", "src", (F.col("m") / F.col("deg")).alias("w"))
 
 
-def matrix_rows(g: Graph) -> DataFrame:
+def matrix_rows(g: Graph, scratch: Scratch | None = None) -> DataFrame:
     """Row view of the matrix: COO entries range-partitioned and sorted by (dst, src), so
     each target's entries are contiguous and ordered.  A target with a huge in-degree is
     split across tasks by the range bounds instead of being gathered into one array."""
-    return transition_matrix(g).orderBy("dst", "src")
+    return transition_matrix(g, scratch=scratch).orderBy("dst", "src")
 
 
-def matrix_row_summary(g: Graph) -> DataFrame:
+def matrix_row_summary(g: Graph, scratch: Scratch | None = None) -> DataFrame:
     """Per target row: number of entries and total incoming weight (partial aggregation)."""
-    return transition_matrix(g).groupBy("dst").agg(
+    return transition_matrix(g, scratch=scratch).groupBy("dst").agg(
         F.count(F.lit(1)).alias("nnz"), F.sum("w").alias("in_weight")
     )
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.fixed import BODY_DIV_ID, HREF_PATTERN, LINK_PATTERN
 from rankloom.functions.text import decode_link, link_capture, page_name_ok, strip_whitespace
-from rankloom.session import materialise, ship_package
+from rankloom.session import Scratch, materialise, ship_package
 
 MODES = ("strict", "lenient")
 
@@ -102,14 +102,15 @@ def lenient_links(html):
     return F.filter(names, lambda n: n.isNotNull())
 
 
-def extract_links(pages: DataFrame, mode: str = "strict", dedupe: bool = True) -> DataFrame:
+def extract_links(pages: DataFrame, mode: str = "strict", dedupe: bool = True, scratch: Scratch | None = None) -> DataFrame:
     """(name, html) -> (name, links).  Names with '~' and malformed pages (strict) are dropped.
 
     Whitespace is stripped from the names first (a name that becomes empty is no page).  With
     ``dedupe`` a name that occurs on several lines keeps one of its link lists, the one with
     the smallest html hash: the winning hash per name is a hash aggregate over two short
     columns, joined back to the written lists; only names that repeat go through one
-    more exchange.  Lines with the same name and html are one page.
+    more exchange.  Lines with the same name and html are one page.  The lists belong to
+    ``scratch`` where one is given.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -125,7 +126,7 @@ def extract_links(pages: DataFrame, mode: str = "strict", dedupe: bool = True) -
         adj = named.mapInPandas(_strict_batches, "name string, h long, links array<string>")
     if not dedupe:
         return adj.select("name", "links")
-    adj = materialise(adj, "adjacency")  # each page is parsed once, whatever reads the lists
+    adj = materialise(adj, "adjacency", scratch)  # each page is parsed once, whatever reads the lists
     best = adj.groupBy("name").agg(F.min("h").alias("best"), F.count(F.lit(1)).alias("lines"))
     joined = adj.join(best, "name").where(F.col("h") == F.col("best"))
     once = joined.where(F.col("lines") == 1).select("name", "links")

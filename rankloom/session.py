@@ -198,13 +198,15 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/rankloom_{tag}_{uuid.uuid4().hex[:16]}"
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, scratch: Scratch | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the checkpoint folder and return a scan of it: for
-    frames that are dear to compute and read more than once."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{tag}-{uuid.uuid4().hex[:16]}"
+    frames that are dear to compute and read more than once.  The files belong to ``scratch``
+    where one is given; otherwise they stay for whoever reads the result."""
+    if scratch is not None:
+        return scratch.written(df, tag).df
+    path = new_folder(df.sparkSession, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _shipped: set[str] = set()

@@ -27,6 +27,22 @@ def test_rank_job(spark, tmp_path):
     assert sorted(ranks.values(), reverse=True)[:2] == sorted((float(r) for _, r in top), reverse=True)
 
 
+def test_jobs_side_by_side_leave_their_outputs_only(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tests.test_rank_fixture import made_by_us
+
+    src = tmp_path / "pages.txt"
+    src.write_text("\n".join(LINES) + "\n")
+    before, width = made_by_us(spark), spark.conf.get("spark.sql.shuffle.partitions")
+    with ThreadPoolExecutor(2) as pool:
+        jobs_ = [pool.submit(jobs.rank_pages, spark, str(src), str(tmp_path / p), preset=p, k=3) for p in ("total", "list")]
+        [j.result() for j in jobs_]
+    assert made_by_us(spark) == before and spark.conf.get("spark.sql.shuffle.partitions") == width
+    for p in ("total", "list"):
+        assert len(_lines(str(tmp_path / p / "top3"))) == 3 and len(_lines(str(tmp_path / p / "ranks"))) == 6
+
+
 def test_series_job(spark, tmp_path):
     src = tmp_path / "r.csv"
     src.write_text(READINGS)

@@ -118,7 +118,7 @@ def test_each_page_is_parsed_once(spark, tmp_path, monkeypatch):
     g = G.adjacency_to_graph(extract_links(pages, "strict"))
     for df in (g.pages, g.edges):
         plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "MapInPandas" not in plan and all("/tables/adjacency-" in f for f in df.inputFiles())
+        assert "MapInPandas" not in plan and all("/tables/rankloom_adjacency_" in f for f in df.inputFiles())
     assert R.pagerank(g, "list").count() == 20
 
 
