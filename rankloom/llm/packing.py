@@ -28,6 +28,7 @@ import bisect
 import functools
 import itertools
 import math
+import re
 import zlib
 from array import array
 
@@ -44,6 +45,11 @@ TEXTS = 4 << 20  # bytes of text whose words are looked up together
 MARKS = b".,!?;:*#$%&"  # neither letters nor numbers, so the tokenizer splits before them
 LETTERS = frozenset(range(97, 123)) | frozenset(range(65, 91))
 LATIN = frozenset(range(0x80, 0xC0)) - {0x97, 0xB7}  # behind 0xC3: the letters U+00C0 to U+00FF
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # lower-case ASCII and Latin-1 letters only
+# the byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes, in
+# turn, for the characters from 256 on
+_OTHERS = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD)]
+ALPHABET = {b: 256 + i for i, b in enumerate(_OTHERS)}
 
 
 def vocabulary(name: str) -> str:
@@ -82,7 +88,8 @@ class WordIds:
     of which the tokenizer does itself, so that the forms of one word are encoded once."""
 
     def __init__(self, path: str):
-        self.encode = _tokenizer(path).encode_batch_fast
+        tokenizer = _tokenizer(path)
+        self.encode, self.pieces = tokenizer.encode_batch_fast, tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
@@ -92,9 +99,15 @@ class WordIds:
             parts.clear()
         cores = list(map(_reduced, words))
         tails = [w[len(c) :] for w, c in zip(words, cores)]
-        new = list(set(cores).union(tails).difference(parts))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
+        other = []
+        for p in set(cores).union(tails).difference(parts):
+            if PLAIN.fullmatch(p):  # nothing to normalise or split: the model's pieces are the ids
+                text = p.decode("latin-1")
+                parts[p] = array("I", [t.id for t in self.pieces(text if p.isascii() else text.translate(ALPHABET))]).tobytes()
+            else:
+                other.append(p)
+        for at in range(0, len(other), 20_000):
+            some = other[at : at + 20_000]
             for p, e in zip(some, self.encode([p.decode() for p in some], add_special_tokens=False)):
                 parts[p] = array("I", e.ids).tobytes()
         for w, core, tail in zip(words, cores, tails):
