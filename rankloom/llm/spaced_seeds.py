@@ -77,7 +77,7 @@ def seeds(h: np.ndarray, doc: np.ndarray, masks=MASKS):
         n = len(h) - len(mask) + 1
         if n < 1:
             continue
-        x = np.full(n, KEYS[15] * B.U(2 * int(f"1{mask}", 2) + 1), B.U)
+        x = np.full(n, int(KEYS[15]) * (2 * int(f"1{mask}", 2) + 1) % (1 << 64), B.U)
         for j, bit in enumerate(mask):
             if bit == "1":
                 x = x + h[j : j + n] * KEYS[j]
