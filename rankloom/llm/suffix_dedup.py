@@ -288,7 +288,7 @@ def _match(part: DataFrame, length: int, keep: str) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += batch.nbytes
-            if size > (1 << 21):  # whole groups, a couple of MB at a time
+            if size > (1 << 20):  # whole groups, about a MB at a time
                 t = pa.Table.from_batches(held).combine_chunks()
                 g = t.column("g").to_numpy()
                 last = int(np.searchsorted(g, g[-1]))
