@@ -44,7 +44,7 @@ from rankloom.llm import _bytes as B
 from rankloom.llm._work import Workspace, arrow_map
 from rankloom.session import ship_package
 
-BLOCK = 12 << 20
+BLOCK = 10 << 20
 RANGES = 64  # ranges of hashes a block's keys are sent in; each level cuts them as often again
 GROUP = 256  # askers whose keys of one range meet in a task
 END = B.mix(np.array([0x656E64], B.U))[0]
