@@ -66,7 +66,13 @@ def _bounds(df: DataFrame, names: list[str], ranges: int | None) -> list[dict]:
 
 
 def next_row(
-    df: DataFrame, order: list[Column], carried: list[str], out: str = "next", ranges: int | None = None, wrap: bool = False
+    df: DataFrame,
+    order: list[Column],
+    carried: list[str],
+    out: str = "next",
+    ranges: int | None = None,
+    wrap: bool = False,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus ``out``: a struct of the ``carried`` columns of the next row in ascending
     ``order`` (nulls first), NULL for the last row or, with ``wrap``, those of the first.
@@ -74,9 +80,10 @@ def next_row(
     ``order`` has to be total (end it with a unique column, e.g. file and row of a scan): ranges
     can then split even equal keys, and every row has one place.  ``df`` is read twice and must
     give the same rows both times.  ``ranges`` is the number of ranges, for rows much wider
-    than their keys."""
+    than their keys; ``keys`` are the values of ``order`` of all rows, where they are at hand
+    (written, so that wide rows are read once)."""
     names = [f"_o{i}" for i in range(len(order))]
-    keys = df.select(*[c.alias(n) for c, n in zip(order, names)])
+    keys = df.select(*[c.alias(n) for c, n in zip(order, names)]) if keys is None else keys.toDF(*names)
     types = keys.schema
     bounds = _bounds(keys, names, ranges)
     if not bounds:

@@ -130,6 +130,18 @@ def test_a_hot_order_is_split(spark):
     assert sum(sizes) == 20_000 and max(sizes) < 10_000
 
 
+def test_next_row_with_written_keys_and_a_hot_key(spark):
+    """A third of the rows with one key; every row's next is the global next, in one ring."""
+    from rankloom.operators.ordered import next_row
+
+    n = 6000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(17)).otherwise(F.col("id") * 31 % 997).alias("a"), F.col("id").alias("b"))
+    got = next_row(df, [F.col("a"), F.col("b")], ["a", "b"], ranges=9, wrap=True, keys=df.select("a", "b").cache())
+    follow = {(r["a"], r["b"]): (r["next"]["a"], r["next"]["b"]) for r in got.collect()}
+    order = sorted(follow)
+    assert len(order) == n and all(follow[k] == order[(i + 1) % n] for i, k in enumerate(order))
+
+
 def test_no_python_in_jvm_operators(spark, g):
     """Everything except strict extraction stays in the JVM (no Python evaluation nodes)."""
     import __spark_entry__ as E
