@@ -10,13 +10,12 @@ of equal ones; a chosen gram is kept once, with its place.  So two texts that sh
   is the rightmost of the least hashes), and the minimum of ``w`` grams comes from minima of 1,
   2, 4, ... of them.  A text is worked on in pieces of ``PIECE`` windows, so an array never has
   more elements than that, however long the text.
-* *The next document* (``with_next``) comes from one shuffle of the texts.  The order keys
-  alone are range-sorted first; the first row of each range is a bound, and there are as many
-  ranges as the texts need.  Each row finds its range among the bounds by binary search; the
-  first row of a range goes to the range before it as well, so that every row has its next
-  one beside it, and the first of all follows the last.  A hot id is split like any rows, as
-  the order ends with the row's number.  ``docs`` is read twice and must give the same rows in
-  the same order, as a scan of files does; write other frames first.
+* *The next document* comes from one shuffle of the texts (``ordered.next_row``).  The order
+  keys alone are written and range-sorted first, in as many ranges as the texts need; each row
+  is then shuffled to its range, the first row of a range to the one before it as well.  A hot
+  id is split like any rows, as the order ends with the row's number.  ``docs`` is read twice
+  and must give the same rows in the same order, as a scan of files does; write other frames
+  first.
 
 Defined cases: a null text is empty; an empty text has no fingerprints, and two texts without
 any are alike (1.0); a null doc_id comes after all others; rows with the same id come in the
@@ -26,10 +25,11 @@ row is itself; an empty table gives no rows; extra columns are ignored, whatever
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm._work import Workspace
+from rankloom.operators.ordered import next_row
 from rankloom.session import partitions_for
 
 GRAM, WINDOW = 24, 64
@@ -129,60 +129,6 @@ def resemblance(a: Column, b: Column) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(both / every)
 
 
-# --- the next row -----------------------------------------------------------------------
-def _longs(values: list[int]) -> Column:
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
-
-
-def with_next(rows: DataFrame, order: list[Column], carried: list[str], size: Column, work: Workspace, out: str = "next") -> DataFrame:
-    """``rows`` plus ``out``, a struct of the ``carried`` columns of the next row in ``order``
-    (ascending, of type long and not null); after the last row comes the first.  ``size`` is the bytes of a
-    row, from which the number of ranges follows."""
-    spark = rows.sparkSession
-    names = [f"_o{i}" for i in range(len(order) + 1)]
-    keys = [c.alias(n) for c, n in zip([*order, F.monotonically_increasing_id()], names)]
-    ids = work.save(rows.select(*keys, size.cast("long").alias("_size")), "ids")
-    total = ids.agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("bytes")).first()
-    ranges = partitions_for(spark, total["n"], -(-(total["bytes"] or 0) // max(1, total["n"])) + 64)
-    ranged = (
-        ids.select(*names)
-        .repartitionByRange(ranges, *names)
-        .sortWithinPartitions(*names)
-        .select(F.struct(*names).alias("key"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
-    )
-    # the first row of each range: at most ``ranges`` rows
-    firsts = sorted(tuple(r["b"]) for r in ranged.groupBy("part").agg(F.min_by("key", "at").alias("b")).collect())
-    if not firsts:
-        return rows.withColumn(out, F.struct(*carried))
-    bounds = [_longs(list(c)) for c in zip(*firsts)]
-    jumps = [1 << b for b in reversed(range(max(1, (len(firsts) - 1).bit_length())))]
-
-    def not_after(i):
-        """The bound at ``i`` is not after the row (false past the last bound)."""
-        cond = F.get(bounds[-1], i) <= F.col(names[-1])
-        for b, n in zip(reversed(bounds[:-1]), reversed(names[:-1])):
-            cond = (F.get(b, i) < F.col(n)) | ((F.get(b, i) == F.col(n)) & cond)
-        return F.coalesce(cond, F.lit(False))
-
-    place_ = F.aggregate(
-        F.array(*[F.lit(j) for j in jumps]), F.lit(0), lambda at, jump: F.when(not_after(at + jump), at + jump).otherwise(at)
-    )
-    first = F.lit(True)
-    for b, n in zip(bounds, names):
-        first = first & (F.get(b, F.col("_range")) == F.col(n))
-    target = lambda r, extra: F.struct(r.alias("_to"), F.lit(extra).alias("_extra"))
-    here = target(F.col("_range"), False)
-    before = target(F.pmod(F.col("_range") - 1, F.lit(len(firsts))), True)
-    dealt = (
-        rows.select("*", *keys)
-        .withColumn("_range", place_)
-        .withColumn("_target", F.explode(F.when(first, F.array(here, before)).otherwise(F.array(here))))
-        .select(*rows.columns, *names, "_target._to", "_target._extra")
-    )
-    follow = F.lead(F.struct(*carried)).over(Window.partitionBy("_to").orderBy("_extra", *names))
-    return dealt.withColumn(out, follow).filter(~F.col("_extra")).select(*rows.columns, out)
-
-
 # --- documents --------------------------------------------------------------------------
 def fingerprint_documents(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text, prints`` and ``next``, the same of the next
@@ -191,10 +137,13 @@ def fingerprint_documents(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> Da
         raise ValueError("w is 1 to 255: the gap between two places is written with two digits")
     work = Workspace(docs.sparkSession, "winnow")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    last = F.lit((1 << 63) - 1)
-    order = [F.coalesce(F.bitwise_not("doc_id"), last), F.xxhash64("text")]  # ~x falls as x grows
+    # ~x falls as x grows
+    order = [F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1)), F.xxhash64("text"), F.monotonically_increasing_id()]
+    keys = work.save(rows.select(*[c.alias(f"k{i}") for i, c in enumerate(order)], F.octet_length("text").alias("size")), "keys")
+    total = keys.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
+    ranges = partitions_for(docs.sparkSession, total["n"], -(-(total["bytes"] or 0) // max(1, total["n"])) + 64)
     rows = rows.withColumn("prints", winnow(F.col("text"), k, w))
-    return with_next(rows, order, ["text", "prints"], F.octet_length("text"), work)
+    return next_row(rows, order, ["text", "prints"], ranges=ranges, wrap=True, keys=keys.drop("size"))
 
 
 def edited_likeness(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:

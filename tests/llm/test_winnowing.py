@@ -112,27 +112,6 @@ def test_hard_tables(spark):
     assert W.edited_likeness(df.filter("false")).collect() == []
 
 
-def test_next_over_many_ranges(spark):
-    """A hot id with a third of the rows is split; every row's next one is the global next."""
-    n = 6000
-    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(17)).otherwise(F.col("id") * 31 % 997).alias("a"), F.col("id").alias("b"))
-    work = Workspace(spark, "test")
-    size = F.lit(1 << 15)  # 200 MB said, so that several ranges are made
-    got = W.with_next(df, [F.col("a")], ["a", "b"], size, work)
-    rows = sorted((r.a, r.b, r.next.a, r.next.b) for r in got.collect())
-    assert len(rows) == n
-    order = sorted((r[0], r[1]) for r in rows)
-    assert [(r[0], r[2]) for r in rows] == [(order[i][0], order[(i + 1) % n][0]) for i in range(n)]
-    follow = {(r[0], r[1]): (r[2], r[3]) for r in rows}
-    at, seen = order[0], 0
-    while seen < n:
-        at, seen = follow[at], seen + 1
-        if at == order[0]:
-            break
-    assert seen == n  # one cycle through all rows
-    assert got.groupBy(F.spark_partition_id().alias("p")).count().agg(F.count("p"), F.max("count")).first()[0] > 2
-
-
 def test_query_over_the_whole_table_and_native(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = op11_document_fingerprints(spark, "/root/testdata/sf0.001")
