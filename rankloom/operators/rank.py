@@ -267,7 +267,8 @@ def _build(
     dealt = links.join(hubs, "src", "left").select("src", block.alias("b"), "dst", "m")
     weights = scratch.bucketed(dealt, ["src", "b"], "links", buckets).df
 
-    deg = weights.groupBy("src").agg(F.sum("m").alias("deg"))
+    # a source's messages go to the blocks up to its last one with a link
+    deg = weights.groupBy("src").agg(F.sum("m").alias("deg"), (F.max("b") + 1).alias("blocks"))
     flags = g.pages.select(
         "node", F.lit(True).alias("is_page"), F.lit(False).alias("has_in"), F.lit(1).alias("lines")
     ).unionByName(
@@ -286,7 +287,6 @@ def _build(
             _key(F.col("node")).alias("node"), F.col("node").alias("name"), "is_page", "has_in", "lines"
         )
     nodes = nodes.join(deg, F.col("node") == F.col("src"), "left").drop("src")
-    nodes = nodes.join(hubs, F.col("node") == F.col("src"), "left").drop("src")
     nodes = nodes.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     in_start = F.lit(True) if spec.start == "nodes" else F.col("is_page")
     counted = Observation("nodes")
