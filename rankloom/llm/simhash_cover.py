@@ -12,8 +12,10 @@ its table.  No pair within the radius is missed (31 tables for r = 4, each keepi
 bits), and every candidate is compared exactly.
 
 Plan: distinct fingerprints only (a group of exact copies is one row); rows of buckets with
-one member are dropped after a pre-aggregated count; a bucket above ``block`` members is cut
-into blocks by hash, and each pair of blocks is its own group, so no task holds an unbounded
+one member are dropped after a pre-aggregated count.  Members of a bucket differ in the bits
+its mask drops only, so a bucket above ``block`` members is split by each of r+1 parts of
+those bits: a pair within the radius agrees in one of them.  What is still above ``block`` is
+cut into blocks by hash, and each pair of blocks is its own group, so no task holds an unbounded
 bucket and no pair is skipped.  A group returns a spanning forest of its links, not its
 pairs; components are found by alternating stars over those.
 
@@ -80,6 +82,12 @@ def covering_masks(radius: int, bits: int = 64) -> list[int]:
     ]
 
 
+def dropped_parts(mask: int, radius: int, bits: int = 64) -> list[int]:
+    """The bits that ``mask`` drops, in ``radius + 1`` parts."""
+    dropped = [i for i in range(bits) if not mask >> i & 1]
+    return [sum(1 << i for i in dropped[p :: radius + 1]) for p in range(radius + 1)]
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -140,22 +148,36 @@ def _group_links(fp: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.nda
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def near_links(distinct: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
-    """Links ``(u, v)`` between distinct fingerprints ``fp`` within ``radius`` bits: enough of
-    them to connect every component, each of them a true link or a path of true links."""
-    tables = F.array(
-        *[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(covering_masks(radius))]
-    )
+def candidate_groups(distinct: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
+    """``(fp, g)``: groups of distinct fingerprints such that every pair within ``radius`` bits
+    shares one; no group has more than ``2 * block`` members."""
+    masks = covering_masks(radius)
+    tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)])
     rows = distinct.select("fp", F.explode(tables).alias("b")).select("fp", "b.t", "b.key")
     buckets = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    few = rows.join(buckets.filter(F.col("n") <= block), ["t", "key"]).select("fp", F.xxhash64("t", "key").alias("g"))
+    parts = F.array(*[F.array(*[F.lit(_signed(x)) for x in dropped_parts(m, radius)]) for m in masks])
+    split = (
+        rows.join(buckets.filter(F.col("n") > block).drop("n"), ["t", "key"])
+        .select("fp", "t", "key", F.posexplode(F.get(parts, F.col("t"))).alias("p", "m"))
+        .select("fp", "t", "key", "p", F.col("fp").bitwiseAND(F.col("m")).alias("sub"))
+    )
+    sub = ["t", "key", "p", "sub"]
     cut = F.ceil(F.col("n") / block).cast("int")
-    members = (
-        rows.join(buckets, ["t", "key"])
+    many = (
+        split.join(split.groupBy(*sub).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), sub)
         .withColumn("cut", cut)
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("cut")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-        .select("fp", F.xxhash64("t", "key", F.least("own", "other"), F.greatest("own", "other")).alias("g"))
+        .select("fp", F.xxhash64(*sub, F.least("own", "other"), F.greatest("own", "other")).alias("g"))
     )
+    return few.unionByName(many)
+
+
+def near_links(distinct: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
+    """Links ``(u, v)`` between distinct fingerprints ``fp`` within ``radius`` bits: enough of
+    them to connect every component, each of them a true link or a path of true links."""
+    members = candidate_groups(distinct, radius, block)
 
     def links(batches):
         carry_fp, carry_g = np.empty(0, np.int64), np.empty(0, np.int64)

@@ -289,6 +289,22 @@ def test_op9_covering_masks_and_blocks(spark):
         assert group == near
 
 
+def test_op9_big_buckets_grow_in_proportion(spark):
+    """Fingerprints that agree in all bits of one mask: as many rows each, however many they are."""
+    rng = np.random.default_rng(8)
+    dropped = [i for i in range(64) if not simhash_cover.covering_masks(4)[0] >> i & 1]
+    parts = simhash_cover.dropped_parts(simhash_cover.covering_masks(4)[0], 4)
+    assert sum(parts) == sum(1 << i for i in dropped) and len(parts) == 5
+    rows, most = {}, {}
+    for n in (4000, 16_000):
+        bits = rng.integers(0, 2, (n, len(dropped)))
+        fp = (bits << np.array(dropped, np.uint64).astype(np.int64)).sum(axis=1)
+        df = spark.createDataFrame([(int(x),) for x in np.unique(fp)], "fp long")
+        g = simhash_cover.candidate_groups(df, 4, 256).groupBy("g").count()
+        rows[n], most[n] = g.agg(F.sum("count"), F.max("count")).first()
+    assert rows[16_000] < 8 * rows[4000] and max(most.values()) <= 600  # 16 times with pairs of blocks alone
+
+
 def test_op3_exact_and_substituted(spark, docs):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     tok = lambda t: lower(" ".join(re.findall(r"(?:[0-9A-Za-z]|[^\x00-\x7f])+", t))).split(" ")
