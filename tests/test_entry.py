@@ -50,3 +50,19 @@ def test_query_agrees_with_its_oracle(spark, duck, name):
     assert got == sorted(tuple(_text(r[i]) for i in at) for r in rel.fetchall())
     if name != "links_strict_raw":  # none of the given pages is well-formed XML
         assert got
+
+
+def test_entry_without_a_module_of_the_optional_part():
+    """A module that only the training-data operators need is not there: the rest is."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.modules['xxhash'] = None; sys.modules['tokenizers'] = None\n"
+        "import __spark_entry__ as E\n"
+        "assert 'pagerank' in E.queries() and 'pagerank' in E.oracle_sql()\n"
+        "assert set(E.oracle_sql()) <= set(E.queries())\n"
+        "assert not any(k.startswith('op9_') for k in E.queries())"
+    )
+    root = __file__[: __file__.rindex("/tests/")]
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
