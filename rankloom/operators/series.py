@@ -1,7 +1,7 @@
 """Per-station yearly summaries of readings (the secondary-sort job as Spark aggregates).
 
-The reference sorts every reading of a station into one reducer and walks the years with
-a control break.  Here the same numbers come from a two-level aggregation: readings ->
+A control-break program would sort every reading of a station into one task and walk the
+years.  Here the same numbers come from a two-level aggregation: readings ->
 (station, year) sums and counts (partially aggregated map-side, so even a station holding
 a third of all readings leaves each task as one row per year) -> one ordered series per
 station (bounded by its number of years).
