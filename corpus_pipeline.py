@@ -54,9 +54,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best-fit packing", pack),
 ]
 
-# Byte-exact hashing, suffix order and a tokenizer have no SQL form.  The tests hold parts of
-# the operators against brute force (counts of the quality rules, spans, components, packing),
-# what the stages keep only on small made cases; no brute-force version of whole stages exists.
+# Byte-exact hashing, suffix order and a tokenizer have no SQL form: the tests run a plain Python
+# version of every stage beside it and compare documents and texts (tests/llm/test_by_hand.py).
 ORACLE_SQL = None
 
 
