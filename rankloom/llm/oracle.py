@@ -132,7 +132,7 @@ def clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024
     def assigned(i):
         return (
             f"a{i} AS MATERIALIZED (SELECT r, c, dist FROM (SELECT r, c, dist, row_number() OVER (PARTITION BY r ORDER BY dist, c) AS nr FROM "
-            f"(SELECT v.r, k.c, sum((v.x - k.x) * (v.x - k.x)) AS dist FROM vals v JOIN c{i} k ON k.d = v.d GROUP BY v.r, k.c)) WHERE nr = 1)"
+            f"(SELECT v.r, k.c, sum(CAST(v.x - k.x AS HUGEINT) * (v.x - k.x)) AS dist FROM vals v JOIN c{i} k ON k.d = v.d GROUP BY v.r, k.c)) WHERE nr = 1)"
         )
 
     parts = [

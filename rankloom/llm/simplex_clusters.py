@@ -23,8 +23,9 @@ Defined cases: vectors with another number of components, a null or a non-finite
 out (as are null vectors); a null ``vec_id`` is kept and named ``3:``; rows with the same id are
 told apart by their components when the start centroids are picked, equal rows are each
 clustered; fewer than ``k`` vectors make fewer centroids and an empty table gives no rows;
-extra columns are ignored.  Vectors with a component beyond ``largest(dims)`` (2**27 for 64),
-whose squared distances a long could not hold, are left out too.
+extra columns are ignored.  Where components are beyond ``largest(dims)`` (2**27 for 64) the same
+arithmetic is done in unbounded integers; a squared distance or an inertia that a long cannot
+hold is null.  Vectors with a component whose integer is beyond 2**62 are left out too.
 """
 
 from __future__ import annotations
@@ -56,8 +57,16 @@ def distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.sqrt(np.stack([squared(x, q) for q in p], axis=1).astype(np.float64)) if len(p) else np.empty((len(x), 0))
 
 
+def unbounded(*arrays: np.ndarray) -> bool:
+    """Some component is too large for squared distances in 64 bits."""
+    return any(a.size and int(np.abs(a).max()) > largest(a.shape[-1]) for a in arrays)
+
+
 def squared(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Exact squared distances of rows of ``x`` to the vector ``q``."""
+    if unbounded(x, q):
+        d = x.astype(object) - q.astype(object)
+        return (d * d).sum(axis=1)
     d = x - q
     return np.einsum("ij,ij->i", d, d)
 
@@ -117,12 +126,13 @@ def nearest(x: np.ndarray, apex: np.ndarray, centroids: np.ndarray, c_apex: np.n
     # ``reach``: the largest squared distance between pivots
     room = SLACK * (1.0 + reach + (apex**2).sum(axis=1, keepdims=True) + (c_apex**2).sum(axis=1)[None, :])
     maybe = low - room <= (high + room).min(axis=1, keepdims=True)
-    best = np.full(len(x), np.iinfo(np.int64).max)
+    wide = unbounded(x, centroids)
+    best = np.full(len(x), 1 << 140, object) if wide else np.full(len(x), np.iinfo(np.int64).max)
     which = np.zeros(len(x), np.int32)
     for c in range(len(centroids)):
         rows = np.flatnonzero(maybe[:, c])
         d = squared(x[rows], centroids[c])
-        better = d < best[rows]
+        better = (d < best[rows]).astype(bool)
         best[rows[better]], which[rows[better]] = d[better], c
     return which, best, int(maybe.sum())
 
@@ -142,7 +152,7 @@ class Projection:
 def kept_vectors(table: DataFrame, dims: int, scale: float, vector: str = "embedding") -> DataFrame:
     """``(vec_id, v array<long>)``: whole vectors as integers ``floor(scale * x)``."""
     x = F.col("e")
-    ok = (F.size("e") == dims) & F.forall("e", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * scale) <= largest(dims)))
+    ok = (F.size("e") == dims) & F.forall("e", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * scale) <= float(1 << 62)))
     return (
         table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("e"))
         .filter(F.coalesce(ok, F.lit(False)))
@@ -197,7 +207,7 @@ def sums(vectors: DataFrame, centroids: np.ndarray, projection: Projection) -> l
         for _, x, which, _, _ in _assigned(batches, centroids, projection):
             for c in np.unique(which):
                 mine = which == c
-                total[c] += x[mine].sum(axis=0).astype(object)  # below 2**63 in a block
+                total[c] += x[mine].astype(object if unbounded(x) else np.int64).sum(axis=0).astype(object)  # below 2**63 in a block
                 count[c] += int(mine.sum())
         rows = [(int(c), d, int(total[c, d]), int(count[c])) for c in np.flatnonzero(count) for d in range(dims)]
         cols = list(zip(*rows)) or [[]] * 4
@@ -239,15 +249,19 @@ def cluster(table: DataFrame, k: int = 8, rounds: int = 10, dims: int = 64, scal
 
     def run(batches):
         for some, _, which, best, _ in _assigned(batches, centroids, projection):
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(which), pa.array(best)], names=["vec_id", "cluster", "distance"])
+            fits = pa.array([v if v < 1 << 63 else None for v in best.tolist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(which), fits], names=["vec_id", "cluster", "distance"])
 
     last = work.save(arrow_map(vectors, run, schema), "assigned")
-    inertia = {r["cluster"]: int(r["s"]) for r in last.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()}
+    total = F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")
+    per = last.groupBy("cluster").agg(total, F.count("distance").alias("n"), F.count(F.lit(1)).alias("of")).collect()  # k rows
+    inertia = {r["cluster"]: int(r["s"]) if r["n"] == r["of"] else None for r in per}
     digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
-    # k rows: what every vector of a cluster says of it; a total beyond a long is null
-    fits = lambda v: v if v < 1 << 63 else None
+    # what every vector of a cluster says of it; a total beyond a long is null
+    fits = lambda v: v if v is not None and v < 1 << 63 else None
+    every = None if None in inertia.values() else sum(inertia.values())
     about = table.sparkSession.createDataFrame(
-        [(c, fits(s), fits(sum(inertia.values())), digest[c]) for c, s in sorted(inertia.items())],
+        [(c, fits(s), fits(every), digest[c]) for c, s in sorted(inertia.items())],
         "c int, cluster_inertia long, inertia long, centroid_sha256 string",
     )
     return last.join(F.broadcast(about), F.col("cluster") == F.col("c")).select([c.split()[0] for c in out])

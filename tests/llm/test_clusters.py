@@ -90,5 +90,20 @@ def test_hard_tables(spark):
     few = [(1, [1.0, 2.0, 3.0, 4.0]), (2, [1.0, 2.0, 3.0, 4.0])]  # fewer than k, and equal
     assert rows_of(C.cluster(spark.createDataFrame(few, df.schema), dims=4)) == brute(few, dims=4)
     assert C.cluster(df.filter("false"), dims=4).collect() == []
-    large = spark.createDataFrame([(1, [1e300] * 4), (2, [1.0] * 4)], df.schema)
-    assert [r.vec_id for r in C.cluster(large, dims=4).collect()] == [2]
+    gone = spark.createDataFrame([(1, [1e300] * 4), (2, [1.0] * 4)], df.schema)
+    assert [r.vec_id for r in C.cluster(gone, dims=4).collect()] == [2]
+
+
+def test_large_components(spark):
+    """Beyond 64-bit squares the arithmetic is the same; what a long cannot hold is null."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(0, 1, 4) * 10 ** rng.integers(0, 7, 4)).tolist()) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert rows_of(C.cluster(df, dims=4)) == brute(rows, dims=4)
+    rows += [(100 + i, [(-1) ** i * 4e14, 1.0, 2.0, float(i)]) for i in range(20)]
+    want = brute(rows, dims=4)
+    fits = lambda v: v if v < 1 << 63 else None
+    want = sorted(((i, c, fits(d), ci, n, h) for i, c, d, ci, n, h in want), key=str)
+    got = rows_of(C.cluster(spark.createDataFrame(rows, df.schema), dims=4))
+    assert [(r[:3], r[5]) for r in got] == [(r[:3], r[5]) for r in want]
+    assert all(r[4] == (want[0][4] if want[0][4] < 1 << 63 and all(x[2] is not None for x in want) else None) for r in got)
