@@ -45,6 +45,18 @@ def free_name(df: DataFrame, want: str) -> str:
     return want
 
 
+SLICE = 4 << 20
+
+
+def slices(batches, most: int = SLICE):
+    """The batches in slices of about ``most`` bytes (a larger row is one of its own): for
+    functions that turn a batch into Python objects."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(batch.nbytes, most))
+        for lo in range(0, batch.num_rows, step):
+            yield batch.slice(lo, step)
+
+
 def arrow_map(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` with the package sent to the Python workers first."""
     ship_package(df.sparkSession)

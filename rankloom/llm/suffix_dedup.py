@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm import _bytes as B
-from rankloom.llm._work import Workspace, arrow_map
+from rankloom.llm._work import Workspace, arrow_map, slices
 
 GRAM = 64
 PART = 4000
@@ -141,7 +141,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     names = ["gram", "part", "parts", "copies", "id", "key", "s", "n", "bytes"]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts, wants = batch.column(2), batch.column(3)
             out = [[] for _ in names]
@@ -285,7 +285,7 @@ def _match(part: DataFrame, length: int, keep: str) -> DataFrame:
                 names=names,
             )
 
-        for batch in batches:
+        for batch in slices(batches, 1 << 19):
             held.append(batch)
             size += batch.nbytes
             if size > (1 << 20):  # whole groups, about a MB at a time
@@ -381,7 +381,7 @@ def span_digest(docs: DataFrame, length: int = 200, keep: str = "none") -> DataF
     """Per document row: n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text, spans in zip(batch.column(1), _pairs(batch.column(2))):
                 raw = (text.as_py() or "").encode()
@@ -414,10 +414,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep: str = "first") -> D
     at = [c.lower() for c in names].index("text")
 
     def run(batches):
-        for batch in batches:
-            if batch.num_columns == len(names):
-                yield batch
-                continue
+        for batch in slices(batches):
             col = batch.column(at)
             texts = col.to_pylist()
             for i, spans in enumerate(_pairs(batch.column(len(names)))):
