@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from rankloom.llm import _bytes as B
 from rankloom.llm._work import Workspace, arrow_map
 
-CACHE_WORDS, CACHE_PARTS = 120_000, 200_000  # at most about 80 MB in a worker
+CACHE_WORDS, CACHE_PARTS = 120_000, 500_000  # at most about 130 MB in a worker
 TEXTS = 2 << 20  # bytes of text whose words are looked up together
 MARKS = b".,!?;:*#$%&"  # neither letters nor numbers, so the tokenizer splits before them
 LETTERS = frozenset(range(97, 123)) | frozenset(range(65, 91))
