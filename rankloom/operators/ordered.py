@@ -9,8 +9,10 @@ Neither has a window over one huge partition (a single task holding a third of t
   are range-sorted, and the first key of each range becomes a bound; every row finds its range
   by binary search among the bounds and is shuffled to it, the first row of a range to the
   range before it as well.  The window then runs inside a range, whatever the keys are.
-* :func:`next_in_group` is ``lead(value) OVER (PARTITION BY key ORDER BY ...)`` by it: the next
-  row counts if it is of the same group.  A group of any size is split like other rows.
+* :func:`next_in_group` is ``lead(value) OVER (PARTITION BY key ORDER BY ...)``.  Groups of up to
+  ``GROUP_ROWS`` rows are windows of their own; the rows of larger ones go through
+  :func:`next_row`, where the next row counts if it is of the same group, so that a group of any
+  size is split.
 """
 
 from __future__ import annotations
@@ -112,11 +114,52 @@ def next_row(
     return dealt.withColumn(out, follow).where(~F.col("_extra")).select(*df.columns, out)
 
 
+GROUP_ROWS = 1_000_000  # rows of a group that one task may sort
+SLOTS = 1 << 16  # counts of hashed keys
+
+
 def next_in_group(
-    df: DataFrame, key: str, order: list[str], value: str, out: str = "next", ranges: int | None = None
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    value: str,
+    out: str = "next",
+    ranges: int | None = None,
+    ties: list[str] | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """``df`` plus ``out`` = ``value`` of the next row of the same ``key`` group in ``order``
-    (NULL for a group's last row); see :func:`next_row` for what ``order`` has to be."""
+    (NULL for a group's last row).
+
+    ``order`` and ``ties`` together have to be total, see :func:`next_row`; name as ``ties`` the
+    columns that only tell rows apart which are alike in ``order`` and ``value``: they are dropped,
+    and small groups do without them.  With ``ranges`` all rows are dealt over that many ranges."""
+    ties = ties or []
+    whole = df.drop(*ties)
+    if ranges is not None:
+        return _next_by_ranges(df, key, [*order, *ties], value, out, ranges).select(*whole.columns, out)
+    large = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > group_rows)
+    large = large.select("_key")
+    follow = F.lead(value).over(Window.partitionBy(key).orderBy(*order))
+    if not _may_have_large(df, key, group_rows):
+        return whole.withColumn(out, follow)
+    # fewer keys than df has times group_rows
+    is_large = F.col(key).eqNullSafe(F.col("_key"))
+    few = whole.join(F.broadcast(large), is_large, "left_anti").withColumn(out, follow)
+    many = _next_by_ranges(df.join(F.broadcast(large), is_large, "left_semi"), key, [*order, *ties], value, out, None)
+    return few.unionByName(many.select(*whole.columns, out))
+
+
+def _may_have_large(df: DataFrame, key: str, group_rows: int) -> bool:
+    """False only if no group has more than ``group_rows`` rows: the groups are counted by the hash of
+    their key, so that a task sends at most ``SLOTS`` counts."""
+    slots = df.groupBy(F.pmod(F.xxhash64(key), F.lit(SLOTS)).alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
+    return (slots.agg(F.max("rows")).first()[0] or 0) > group_rows
+
+
+def _next_by_ranges(
+    df: DataFrame, key: str, order: list[str], value: str, out: str, ranges: int | None
+) -> DataFrame:
     followed = next_row(df, [F.col(c) for c in [key, *order]], [key, value], "_next", ranges)
     same = F.col(f"_next.{key}").eqNullSafe(F.col(key))
     return followed.withColumn(out, F.when(same, F.col(f"_next.{value}"))).drop("_next")
